@@ -104,12 +104,17 @@ def update_from(target: DataFrame, source: DataFrame, on: Column, when: Column |
             .select("_hk", *[F.col(f"_p._new_{n}").alias(f"_new_{n}") for n in names])
     hits = hits.withColumn("_hit", F.lit(True))
 
+    # set_ may name columns the target lacks (audit columns): they are added,
+    # NULL on rows that were not hit.
+    extra = [n for n in names if n not in target.columns]
     joined = target.join(hits, target[target_key] == hits["_hk"], "left")
     out = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(target[c]).alias(c) if c in set_
            else target[c] for c in target.columns]
+    out += [F.when(F.col("_hit"), F.col(f"_new_{n}")).alias(n) for n in extra]
     after = joined.select(*out)
     rows = target.join(hits, target[target_key] == hits["_hk"], "inner").select(
-        *[F.col(f"_new_{c}").alias(c) if c in set_ else target[c] for c in target.columns])
+        *[F.col(f"_new_{c}").alias(c) if c in set_ else target[c] for c in target.columns],
+        *[F.col(f"_new_{n}").alias(n) for n in extra])
     return Change(rows=rows, after=after)
 
 
