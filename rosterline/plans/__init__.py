@@ -1,6 +1,6 @@
 """Query families. Importing this package registers every query key."""
 
-from rosterline.plans import accounts, credentials, jobs, links  # noqa: F401
+from rosterline.plans import accounts, credentials, groups, jobs, links  # noqa: F401
 from rosterline.plans.registry import REGISTRY, oracle_sql, queries
 
 __all__ = ["REGISTRY", "queries", "oracle_sql"]
