@@ -210,8 +210,8 @@ def digest_expr_sql(secret: str, key: str) -> str:
 def split_ids(c, trim_items=True) -> Column:
     """Comma list -> array, blank items dropped; items trimmed unless told not to."""
     arr = F.split(col(c), ",")
-    if trim_items:
-        arr = F.transform(arr, lambda x: F.trim(x))
+    if trim_items:   # all whitespace (line breaks too), like a C# Trim()
+        arr = F.transform(arr, lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
     return F.filter(arr, lambda x: x.rlike(r"\S"))
 
 

@@ -1,0 +1,205 @@
+"""The ordered, switchable sync pipeline.
+
+Seven steps in fixed order, each switchable and isolated: a failing step
+becomes a result row and later steps still run. Step n+1 reads what step n
+wrote (accounts of step 1 feed step 2, logons of step 2 feed step 3, people
+of step 4 feed step 5).
+
+Per step the changed rows are computed once and written to the shared
+checkpoint folder; their count is read from that output, and the table's new
+version is built from the written rows (insert: union; update: anti-join on
+the key + union) and written as the next version. So no step recomputes its
+join, lineage never grows across steps, and a retried step rewrites only its
+own version folder.
+"""
+
+from __future__ import annotations
+
+import time
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rosterline.params import DEFAULT_PARAMS, TASKS, SyncParams
+from rosterline.plans import accounts as A
+from rosterline.plans import credentials as CR
+from rosterline.plans import jobs as J
+from rosterline.plans import links as L
+from rosterline.plans.audits import all_duplicate_keys
+from rosterline.plans.logs import append_log, log_entries
+from rosterline.plans.registry import query
+from rosterline.schemas import SYNC_RESULT_SCHEMA
+from rosterline.sources.sinks import commit
+from rosterline.sources.standins import Tables
+
+c = F.col
+P = DEFAULT_PARAMS
+
+# step name -> (target table, kind, key, builder(tables, params) -> Change)
+STEPS = {
+    "acct_insert_missing": ("accounts", "insert", "id",
+                            lambda t, p: A.acct_insert_missing(t["roster"], t["accounts"], p)),
+    "logon_insert_missing": ("logons", "insert", "id",
+                             lambda t, p: CR.logon_insert_missing(t["accounts"], t["logons"], p)),
+    "cred_backfill": ("logons", "update", "id",
+                      lambda t, p: CR.cred_backfill(t["logons"], t["accounts"], p, mode=p.live_mode)),
+    "people_insert_missing": ("people", "insert", "id",
+                              lambda t, p: J.people_insert_missing(t["roster"], t["people"], p)),
+    "people_link_account": ("people", "update", "id",
+                            lambda t, p: L.people_link_account(t["people"], t["accounts"])),
+    "acct_disable_leavers": ("accounts", "update", "id",
+                             lambda t, p: A.acct_disable_leavers(t["accounts"], t["roster"], p)),
+    "people_job_status": ("people", "update", "id",
+                          lambda t, p: J.people_job_status(t["people"], t["roster"], p)),
+}
+
+
+def apply_rows(target: DataFrame, rows: DataFrame, kind: str, key: str) -> DataFrame:
+    """New table version from the written change rows."""
+    if kind == "insert":
+        return target.unionByName(rows, allowMissingColumns=True)
+    kept = target.join(rows.select(c(key).alias("_k")), target[key] == c("_k"), "left_anti")
+    return kept.unionByName(rows, allowMissingColumns=True)
+
+
+def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str | None = None,
+             base: str | None = None, check_keys: bool = True, log: DataFrame | None = None,
+             paths: dict | None = None):
+    """G1 + G3: run the enabled steps in order. Returns (tables_after, results).
+
+    ``tables`` maps roster / accounts / logons / people to DataFrames. Every
+    new version goes to ``<spark.checkpoint.dir>/tables/<name>/v=<run>-<step>``;
+    ``paths`` (if given) receives the folder of each table's newest version.
+    """
+    run_id = run_id or uuid.uuid4().hex[:12]
+    t = dict(tables)
+    results = []
+    if check_keys:
+        # Q12 before any update: duplicate business keys make joins fan out.
+        t0 = time.time()
+        keyed = (("roster", "empcode"), ("accounts", "account"), ("people", "code"))
+        dup = all_duplicate_keys(_Dict(t), keyed)
+        n = dup.count()
+        results.append((0, "duplicate_keys", True, n, f"{n} duplicated business keys", None,
+                        int((time.time() - t0) * 1000)))
+    for i, name in enumerate(TASKS, start=1):
+        if not p.tasks.get(name, True):
+            continue
+        tbl, kind, key, build = STEPS[name]
+        t0 = time.time()
+        try:
+            ch = build(t, p)
+            rows = commit(ch.rows, spark, f"{tbl}_changes", f"{run_id}-{i}", base)
+            n = rows.count()
+            t[tbl] = commit(apply_rows(t[tbl], rows, kind, key), spark, tbl, f"{run_id}-{i}", base, paths=paths)
+            verb = "inserted" if kind == "insert" else "updated"
+            results.append((i, name, True, n, f"{verb} {n} rows of {tbl}", None, int((time.time() - t0) * 1000)))
+        except Exception as e:  # G3: the error becomes a result row; later steps still run
+            results.append((i, name, False, 0, f"failed: {type(e).__name__}", str(e)[:2000],
+                            int((time.time() - t0) * 1000)))
+    res = spark.createDataFrame(results, SYNC_RESULT_SCHEMA)
+    if log is not None:
+        entries = [("Information" if ok else "Error", "sync", msg, None) for _, _, ok, _, msg, _, _ in results]
+        t["system_log"] = commit(append_log(log, log_entries(spark, entries, p.run_ts)), spark, "system_log",
+                                 run_id, base)
+    return t, res
+
+
+class _Dict:
+    def __init__(self, d):
+        self._d = d
+
+    def __getattr__(self, k):
+        return self._d[k]
+
+
+def sync_report(results: DataFrame) -> DataFrame:
+    """Totals (affected rows of successes only; duration of all) and the
+    per-task lines in step order, as one row."""
+    line = F.concat_ws(" | ", c("task"), F.when(c("success"), F.lit("success")).otherwise(F.lit("failed")),
+                       F.concat(F.lit("affected="), c("affected_rows").cast("string")),
+                       F.concat(F.lit("ms="), c("duration_ms").cast("string")), c("message"))
+    return results.agg(
+        F.count(F.when(c("success"), 1)).alias("success_count"),
+        F.count(F.when(~c("success"), 1)).alias("fail_count"),
+        F.sum(F.when(c("success"), c("affected_rows")).otherwise(0)).cast("bigint").alias("total_affected"),
+        F.sum("duration_ms").cast("bigint").alias("total_duration_ms"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(c("step"), line.alias("line")))),
+                                 lambda x: x["line"]), "\n").alias("report"))
+
+
+def due_days(spark: SparkSession, ledger: DataFrame, first_day: str, today: str) -> DataFrame:
+    """Days from ``first_day`` to ``today`` that have no completed run in
+    ``ledger`` (column ``run_day``): a missed day is caught up, a day already
+    done is not run again."""
+    days = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(first_day)), F.to_date(F.lit(today))))
+                                 .alias("day"))
+    done = ledger.select(c("run_day").alias("day")).distinct()
+    return days.join(done, "day", "left_anti").orderBy("day")
+
+
+def tables_for(spark, d) -> dict:
+    T = Tables(spark, d)
+    return {"roster": T.roster, "accounts": T.accounts, "logons": T.logons, "people": T.people}
+
+
+# -------------------------------------------------------------------- queries
+def _sync_results_sql() -> str:
+    i1 = A._I1_SQL.strip()
+    i3 = J._I3_SQL.strip()
+    from rosterline.functions.exprs import in_scope_sql
+    scope = in_scope_sql("r.gdname4", P)
+    return f"""
+WITH ins1 AS ({i1}),
+acc1 AS (SELECT id, account, delete_mark, enabled_mark FROM accounts
+         UNION ALL SELECT id, account, delete_mark, enabled_mark FROM ins1),
+ins2 AS (SELECT a.id FROM acc1 a WHERE NOT EXISTS (SELECT 1 FROM logons l WHERE l.user_id = a.id)),
+log2 AS (SELECT id, user_id, password_hash FROM logons UNION ALL SELECT id, id, '' FROM ins2),
+c3 AS (SELECT count(*) AS n FROM log2 l WHERE (l.password_hash IS NULL OR l.password_hash = '')
+       AND EXISTS (SELECT 1 FROM acc1 a WHERE a.id = l.user_id AND (a.delete_mark IS NULL OR a.delete_mark = 0))),
+ins4 AS ({i3}),
+ppl4 AS (SELECT id, code, sys_user, job_status FROM people
+         UNION ALL SELECT id, code, sys_user, job_status FROM ins4),
+c5 AS (SELECT count(*) AS n FROM ppl4 b WHERE EXISTS (SELECT 1 FROM acc1 a WHERE a.account = b.code
+       AND (b.sys_user IS NULL OR b.sys_user <> a.id))),
+c6 AS (SELECT count(*) AS n FROM acc1 a WHERE EXISTS (SELECT 1 FROM roster r WHERE a.account = r.empcode
+       AND {scope} AND r.isactive = 0 AND (a.enabled_mark IS NULL OR a.enabled_mark <> 0))),
+c7 AS (SELECT count(*) AS n FROM ppl4 b WHERE EXISTS (SELECT 1 FROM roster r WHERE b.code = r.empcode
+       AND {scope} AND r.isactive IS NOT NULL AND (b.job_status IS NULL OR (r.isactive = 0 AND b.job_status <> 1)
+       OR (r.isactive = 1 AND b.job_status <> 0)))),
+dup AS (SELECT count(*) AS n FROM (
+        SELECT empcode FROM roster GROUP BY empcode HAVING count(*) > 1
+        UNION ALL SELECT account FROM accounts GROUP BY account HAVING count(*) > 1
+        UNION ALL SELECT code FROM people GROUP BY code HAVING count(*) > 1) z)
+SELECT * FROM (VALUES
+  (0, 'duplicate_keys', TRUE, (SELECT n FROM dup)),
+  (1, 'acct_insert_missing', TRUE, (SELECT count(*) FROM ins1)),
+  (2, 'logon_insert_missing', TRUE, (SELECT count(*) FROM ins2)),
+  (3, 'cred_backfill', TRUE, (SELECT n FROM c3)),
+  (4, 'people_insert_missing', TRUE, (SELECT count(*) FROM ins4)),
+  (5, 'people_link_account', TRUE, (SELECT n FROM c5)),
+  (6, 'acct_disable_leavers', TRUE, (SELECT n FROM c6)),
+  (7, 'people_job_status', TRUE, (SELECT n FROM c7))
+) AS v(step, task, success, affected_rows)
+"""
+
+
+_SYNC_SQL = _sync_results_sql()
+
+
+@query("sync_results", _SYNC_SQL)
+def q_sync_results(spark, d):
+    _, res = run_sync(spark, tables_for(spark, d))
+    return res.select("step", "task", "success", "affected_rows")
+
+
+@query("sync_totals", f"""
+WITH r AS ({_SYNC_SQL.strip()})
+SELECT count(CASE WHEN success THEN 1 END) AS success_count, count(CASE WHEN NOT success THEN 1 END) AS fail_count,
+       CAST(SUM(CASE WHEN success THEN affected_rows ELSE 0 END) AS BIGINT) AS total_affected
+FROM r
+""")
+def q_sync_totals(spark, d):
+    _, res = run_sync(spark, tables_for(spark, d))
+    return sync_report(res).select("success_count", "fail_count", "total_affected")

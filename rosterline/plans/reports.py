@@ -257,7 +257,7 @@ def q_delivery_totals(spark, d):
 
 @query("delivery_fanout", f"""
 WITH ds AS ({_SUMMARY_SQL.strip().rsplit('ORDER BY', 1)[0]}),
-rec AS (SELECT rule_id, level, trim(x) AS recipient
+rec AS (SELECT rule_id, level, regexp_replace(x, '^\\s+|\\s+$', '', 'g') AS recipient
         FROM ({_RIF_SQL}) r, unnest(string_split(user_ids, ',')) AS t(x)
         WHERE regexp_matches(trim(x), '\\S'))
 SELECT rec.rule_id, rec.level, rec.recipient, ds.row_count

@@ -1,0 +1,160 @@
+"""Hand-made small tables, one per semantic note: multi-match updates, set
+NULL, duplicate roster rows, NULL keys, '' vs NULL, NULL flags, deletes."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from rosterline.functions import exprs as X
+from rosterline.operators.audit import duplicate_keys, match_profile
+from rosterline.operators.change import delete_where, insert_missing, number_copies, update_from
+from rosterline.params import DEFAULT_PARAMS, SyncParams
+from rosterline.plans import accounts as A
+from rosterline.plans import jobs as J
+from rosterline.plans import links as L
+
+c = F.col
+
+ROSTER = "empcode string, empname string, gdname4 string, isactive int"
+ACCTS = "id string, account string, real_name string, delete_mark int, enabled_mark int, org string, enterprise_id string"
+PEOPLE = "id string, code string, name string, sys_user string, job_status int, group_id string"
+
+
+def rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_multi_match_update_counts_target_once_and_takes_smallest(spark):
+    people = spark.createDataFrame([("p1", "C1", "n", None, 0, None), ("p2", "C2", "n", "zz", 0, None)], PEOPLE)
+    accts = spark.createDataFrame([("b-id", "C1", "x", 0, 1, "o", "e"), ("a-id", "C1", "y", 0, 1, "o", "e"),
+                                   ("zz", "C2", "z", 0, 1, "o", "e")], ACCTS)
+    ch = L.people_link_account(people, accts)
+    assert ch.count() == 1                      # p1 once, although two accounts match
+    assert rows(ch.rows, "id", "sys_user") == [("p1", "a-id")]
+    assert rows(ch.after, "id", "sys_user") == [("p1", "a-id"), ("p2", "zz")]
+
+
+def test_where_applies_per_pair_before_dedup(spark):
+    # only the second pair passes the WHERE; its value must be used
+    t = spark.createDataFrame([("t1", "K", 5)], "id string, k string, v int")
+    s = spark.createDataFrame([("K", 1, False), ("K", 9, True)], "k string, nv int, ok boolean")
+    ch = update_from(t, s, c("t.k") == c("s.k"), c("s.ok"), {"v": c("s.nv")})
+    assert rows(ch.after, "id", "v") == [("t1", 9)]
+
+
+def test_update_to_null_is_not_no_update(spark):
+    t = spark.createDataFrame([("t1", "K", 5), ("t2", "L", 6)], "id string, k string, v int")
+    s = spark.createDataFrame([("K", None)], "k string, nv int")
+    ch = update_from(t, s, c("t.k") == c("s.k"), None, {"v": c("s.nv")})
+    assert ch.count() == 1
+    assert rows(ch.after, "id", "v") == [("t1", None), ("t2", 6)]
+
+
+def test_null_status_with_unknown_flag_counts_but_stays_null(spark):
+    people = spark.createDataFrame([("p1", "C1", "n", None, None, None)], PEOPLE)
+    roster = spark.createDataFrame([("C1", "n", "BUILDING", 2)], ROSTER)
+    ch = J.people_job_status(people, roster)
+    assert ch.count() == 1
+    assert rows(ch.after, "id", "job_status") == [("p1", None)]
+
+
+def test_enable_is_one_way(spark):
+    accts = spark.createDataFrame([("a1", "C1", "n", 0, 0, "o", "e")], ACCTS)
+    roster = spark.createDataFrame([("C1", "n", "BUILDING", 1)], ROSTER)
+    assert A.acct_disable_leavers(accts, roster).count() == 0
+
+
+def test_duplicate_roster_rows_inserted_twice_with_distinct_ids(spark):
+    roster = spark.createDataFrame([("C1", "n", "BUILDING", 1)] * 2 + [("C2", "m", "BUILDING", 1)], ROSTER)
+    accts = spark.createDataFrame([], ACCTS)
+    ch = A.acct_insert_missing(roster, accts)
+    got = ch.rows.select("id", "account").collect()
+    assert len(got) == 3 and len({r.id for r in got}) == 3
+    assert A.acct_insert_missing(roster, accts, dedup=True).count() == 2
+
+
+def test_anti_join_keeps_null_source_key(spark):
+    roster = spark.createDataFrame([(None, "n", "BUILDING", 1), ("C1", "m", "BUILDING", 1)], ROSTER)
+    accts = spark.createDataFrame([("a1", "C1", "x", 0, 1, "o", "e"), ("a2", None, "y", 0, 1, "o", "e")], ACCTS)
+    ch = A.acct_insert_missing(roster, accts)
+    assert rows(ch.rows, "account") == [(None,)]
+
+
+def test_scope_and_factory_map_first_entry_wins(spark):
+    p = SyncParams(dept_map=((" BUILDING ", "F1"), ("BUILDING", "F2"), ("HOUSEHOLD", "F3"), ("", "zz")))
+    assert p.dept_names() == ["BUILDING", "HOUSEHOLD"]
+    roster = spark.createDataFrame([("C1", "n", "BUILDING", 1), ("C2", "m", "MACHINERY", 1)], ROSTER)
+    ch = A.acct_insert_missing(roster, spark.createDataFrame([], ACCTS), p)
+    assert rows(ch.rows, "account", "factory") == [("C1", "F1")]
+
+
+def test_blank_vs_null_and_strict_mismatch(spark):
+    df = spark.createDataFrame([(None,), ("",), ("x",)], "g string")
+    assert df.where(X.is_blank("g")).count() == 2
+    assert df.where(c("g").isNull()).count() == 1
+    t = spark.createDataFrame([(None, "a"), ("a", "a"), ("b", "a")], "t string, s string")
+    assert t.where(X.needs_change("t", "s")).count() == 2
+    assert t.where(X.strict_mismatch("t", "s")).count() == 1      # NULL drops out
+    assert t.where(X.differs("t", "s")).count() == 2
+
+
+def test_live_modes_differ(spark):
+    a = spark.createDataFrame([(None, 1), (0, 1), (0, 0), (1, 1)], "d int, e int")
+    assert a.where(X.is_live("d", "e", "service")).count() == 3
+    assert a.where(X.is_live("d", "e", "script")).count() == 1
+
+
+def test_delete_keeps_null_time(spark):
+    log = spark.createDataFrame([(1, dt.datetime(2023, 1, 1)), (2, None), (3, dt.datetime(2024, 1, 30))],
+                                "log_id long, log_time timestamp_ntz")
+    ch = delete_where(log, X.older_than("log_time", "2024-01-31 00:00:00", 14))
+    assert rows(ch.rows, "log_id") == [(1,)]
+    assert rows(ch.after, "log_id") == [(2,), (3,)]
+
+
+def test_profile_sum_over_no_rows_is_null_count_is_zero(spark):
+    df = spark.createDataFrame([], "x int")
+    r = match_profile(df, {"pos": c("x") > 0}).collect()[0]
+    assert r["total"] == 0 and r["pos"] is None
+
+
+def test_number_copies_and_duplicate_keys(spark):
+    df = spark.createDataFrame([("a", 1)] * 3 + [("a", 2), ("b", 1)], "k string, v int")
+    n = number_copies(df, ["k", "v"])
+    assert rows(n, "k", "v", "copy_no") == [("a", 1, 1), ("a", 1, 2), ("a", 1, 3), ("a", 2, 1), ("b", 1, 1)]
+    d = duplicate_keys(df, "k", "t")
+    assert rows(d, "key_value", "occurrences") == [("a", 4)]
+
+
+def test_pct_half_up_and_zero(spark):
+    df = spark.createDataFrame([(49, 400), (0, 0), (1, 3)], "p long, d long")
+    got = [r[0] for r in df.select(X.pct("p", "d")).collect()]
+    assert got == [12.3, 0.0, 33.3]
+
+
+def test_split_ids_trim_option(spark):
+    df = spark.createDataFrame([("u1, u2,,\nu3 ,  ",)], "s string")
+    assert df.select(X.split_ids("s")).first()[0] == ["u1", "u2", "u3"]
+    assert df.select(X.split_ids("s", trim_items=False)).first()[0] == ["u1", " u2", "\nu3 "]
+
+
+def test_insert_missing_generic(spark):
+    src = spark.createDataFrame([("k1", 1), ("k2", 2)], "k string, v int")
+    tgt = spark.createDataFrame([("k1", 9)], "k string, v int")
+    ch = insert_missing(src, tgt, "k", "k", lambda d: [c("k"), c("v")])
+    assert rows(ch.rows, "k", "v") == [("k2", 2)]
+    assert rows(ch.after, "k") == [("k1",), ("k2",)]
+
+
+def test_trimmed_join_finds_padded_keys(spark):
+    people = spark.createDataFrame([("p1", "C1 ", "n", None, 0, None)], PEOPLE)
+    accts = spark.createDataFrame([("a1", "C1", "x", 0, 1, "o", "e")], ACCTS)
+    assert L.link_pending_inner(people, accts).count() == 0
+    assert L.link_pending_inner(people, accts, trim_keys=True).count() == 1
+    kf = L.key_format_check(people, accts).collect()[0]
+    assert kf["match_status"] == "match after trim" and kf["code_length"] == 2 and kf["code_bytes"] == 6
+
+
+def test_default_params_are_the_fixture_values():
+    assert DEFAULT_PARAMS.dept_names() == ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
+    assert DEFAULT_PARAMS.protected_groups == ("NATION_7", "NATION_8")
