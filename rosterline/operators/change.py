@@ -77,15 +77,17 @@ def update_from(target: DataFrame, source: DataFrame, on: Column, when: Column |
 
     - the WHERE is applied per (t, s) pair, before anything is deduplicated;
     - a target row is updated once if any pair passes; its new value comes
-      from one passing pair: the smallest new value (non-NULL first), found
-      by ``min`` in an aggregate that combines map-side (no window, so a hot
-      key is pre-aggregated before it is shuffled);
-    - "updated to NULL" differs from "not updated": a hit flag drives the
-      final projection, never ``coalesce(new, old)``;
+      from one passing pair: the smallest new value (non-NULL first);
+    - "updated to NULL" differs from "not updated": the changed rows are
+      exactly the rows with a passing pair, never ``coalesce(new, old)``;
     - the changed-row count is the number of hit target rows, counted once.
 
-    The join back is on the target key; when the hit set is small AQE turns it
-    into a broadcast join so the target is not shuffled a second time.
+    Plan: the passing pairs already carry the whole target row, so the
+    changed rows are one aggregate over the *hit pairs only*, grouped by the
+    target row (``min`` of the new value). It combines map-side, so a target
+    row matched by very many source rows is reduced before the shuffle, and
+    the target is scanned once. ``after`` joins the target with the changed
+    rows on ``target_key`` (AQE broadcasts them when they are few).
     """
     t = target.alias("t")
     s = source.alias("s")
@@ -93,31 +95,40 @@ def update_from(target: DataFrame, source: DataFrame, on: Column, when: Column |
     if when is not None:
         pairs = pairs.where(when)
     names = list(set_)
-    new_cols = [set_[n].alias(f"_new_{n}") for n in names]
-    pairs = pairs.select(F.col(f"t.{target_key}").alias("_hk"), *new_cols)
+    tcols = target.columns
+    pairs = pairs.select(*[F.col(f"t.{x}").alias(f"_t_{x}") for x in tcols],
+                         *[set_[n].alias(f"_new_{n}") for n in names])
+    keys = [f"_t_{x}" for x in tcols]
     if len(names) == 1:
-        agg = [F.min(f"_new_{names[0]}").alias(f"_new_{names[0]}")]
-        hits = pairs.groupBy("_hk").agg(*agg)
+        agg = pairs.groupBy(*keys).agg(F.min(f"_new_{names[0]}").alias(f"_new_{names[0]}"))
     else:
         packed = F.struct(*[F.col(f"_new_{n}") for n in names])
-        hits = pairs.groupBy("_hk").agg(F.min(packed).alias("_p")) \
-            .select("_hk", *[F.col(f"_p._new_{n}").alias(f"_new_{n}") for n in names])
-    hits = hits.withColumn("_hit", F.lit(True))
-
+        agg = pairs.groupBy(*keys).agg(F.min(packed).alias("_p")) \
+            .select(*keys, *[F.col(f"_p._new_{n}").alias(f"_new_{n}") for n in names])
     # set_ may name columns the target lacks (audit columns): they are added,
     # NULL on rows that were not hit.
-    extra = [n for n in names if n not in target.columns]
-    joined = target.join(hits, target[target_key] == hits["_hk"], "left")
-    out = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(target[c]).alias(c) if c in set_
-           else target[c] for c in target.columns]
-    out += [F.when(F.col("_hit"), F.col(f"_new_{n}")).alias(n) for n in extra]
-    after = joined.select(*out)
-    rows = target.join(hits, target[target_key] == hits["_hk"], "inner").select(
-        *[F.col(f"_new_{c}").alias(c) if c in set_ else target[c] for c in target.columns],
-        *[F.col(f"_new_{n}").alias(n) for n in extra])
+    extra = [n for n in names if n not in tcols]
+    rows = agg.select(*[F.col(f"_new_{x}").alias(x) if x in set_ else F.col(f"_t_{x}").alias(x) for x in tcols],
+                      *[F.col(f"_new_{n}").alias(n) for n in extra])
+    after = apply_changes(target, rows, "update", target_key)
     return Change(rows=rows, after=after)
 
 
+def apply_changes(target: DataFrame, rows: DataFrame, kind: str, key: str) -> DataFrame:
+    """A table after a change, from the changed rows alone (merge on read).
+
+    insert: target + rows; update / delete: target rows whose key is not
+    changed, + the changed rows (update) -- an anti-join on the key, which AQE
+    turns into a broadcast join when the change set is small.
+    """
+    if kind == "insert":
+        return target.unionByName(rows, allowMissingColumns=True)
+    kept = target.join(rows.select(F.col(key).alias("_ck")), target[key] == F.col("_ck"), "left_anti")
+    if kind == "delete":
+        return kept
+    return kept.unionByName(rows, allowMissingColumns=True)
+
+
 def delete_where(target: DataFrame, cond: Column) -> Change:
     """DELETE ... WHERE cond: a row whose condition is NULL is kept."""
     deleted = target.where(cond)
@@ -135,5 +146,5 @@ def exists_one(df: DataFrame, cond: Column) -> DataFrame:
     return df.where(cond)
 
 
-__all__ = ["Change", "insert_missing", "update_from", "delete_where", "append",
+__all__ = ["Change", "insert_missing", "update_from", "apply_changes", "delete_where", "append",
            "number_copies", "exists_one", "col"]

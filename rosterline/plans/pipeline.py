@@ -5,12 +5,14 @@ becomes a result row and later steps still run. Step n+1 reads what step n
 wrote (accounts of step 1 feed step 2, logons of step 2 feed step 3, people
 of step 4 feed step 5).
 
-Per step the changed rows are computed once and written to the shared
-checkpoint folder; their count is read from that output, and the table's new
-version is built from the written rows (insert: union; update: anti-join on
-the key + union) and written as the next version. So no step recomputes its
-join, lineage never grows across steps, and a retried step rewrites only its
-own version folder.
+Merge on read: per step only the changed rows are computed and written to
+the shared checkpoint folder (their count is read from that output). The
+table a later step sees is the last compacted version plus the written
+deltas (insert: union; update: anti-join on the key + union), and each table
+that changed is compacted once, at the end of the run. So a run rewrites a
+large table once, not once per step; no step recomputes an earlier join; the
+lineage of any step is at most seven small deltas deep; and a retried step
+rewrites only its own folder.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from rosterline.plans import jobs as J
 from rosterline.plans import links as L
 from rosterline.plans.audits import all_duplicate_keys
 from rosterline.plans.logs import append_log, log_entries
+from rosterline.operators.change import apply_changes
 from rosterline.plans.registry import query
 from rosterline.schemas import SYNC_RESULT_SCHEMA
 from rosterline.sources.sinks import commit
@@ -56,11 +59,8 @@ STEPS = {
 
 
 def apply_rows(target: DataFrame, rows: DataFrame, kind: str, key: str) -> DataFrame:
-    """New table version from the written change rows."""
-    if kind == "insert":
-        return target.unionByName(rows, allowMissingColumns=True)
-    kept = target.join(rows.select(c(key).alias("_k")), target[key] == c("_k"), "left_anti")
-    return kept.unionByName(rows, allowMissingColumns=True)
+    """New table view from the written change rows."""
+    return apply_changes(target, rows, kind, key)
 
 
 def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str | None = None,
@@ -68,12 +68,14 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
              paths: dict | None = None):
     """G1 + G3: run the enabled steps in order. Returns (tables_after, results).
 
-    ``tables`` maps roster / accounts / logons / people to DataFrames. Every
-    new version goes to ``<spark.checkpoint.dir>/tables/<name>/v=<run>-<step>``;
-    ``paths`` (if given) receives the folder of each table's newest version.
+    ``tables`` maps roster / accounts / logons / people to DataFrames. Deltas
+    go to ``<spark.checkpoint.dir>/tables/<name>_changes/v=<run>-<step>``, the
+    compacted tables to ``.../tables/<name>/v=<run>``; ``paths`` (if given)
+    receives the folder of each compacted table.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     t = dict(tables)
+    changed = set()
     results = []
     if check_keys:
         # Q12 before any update: duplicate business keys make joins fan out.
@@ -92,12 +94,16 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
             ch = build(t, p)
             rows = commit(ch.rows, spark, f"{tbl}_changes", f"{run_id}-{i}", base)
             n = rows.count()
-            t[tbl] = commit(apply_rows(t[tbl], rows, kind, key), spark, tbl, f"{run_id}-{i}", base, paths=paths)
+            if n:
+                t[tbl] = apply_rows(t[tbl], rows, kind, key)
+                changed.add(tbl)
             verb = "inserted" if kind == "insert" else "updated"
             results.append((i, name, True, n, f"{verb} {n} rows of {tbl}", None, int((time.time() - t0) * 1000)))
         except Exception as e:  # G3: the error becomes a result row; later steps still run
             results.append((i, name, False, 0, f"failed: {type(e).__name__}", str(e)[:2000],
                             int((time.time() - t0) * 1000)))
+    for tbl in sorted(changed):      # one rewrite per changed table per run
+        t[tbl] = commit(t[tbl], spark, tbl, run_id, base, paths=paths)
     res = spark.createDataFrame(results, SYNC_RESULT_SCHEMA)
     if log is not None:
         entries = [("Information" if ok else "Error", "sync", msg, None) for _, _, ok, _, msg, _, _ in results]

@@ -3,8 +3,8 @@
 ``readStream`` over the roster folder -> ``foreachBatch``: each batch keeps
 the last row per code (``max_by`` on the change time, an aggregate that
 combines map-side, so a hot code is pre-aggregated), then runs ``run_sync``
-with the batch as the roster. Every step of every batch writes version
-``b<batch_id>-<step>`` of its table in the shared checkpoint folder, and a
+with the batch as the roster. Every batch writes its deltas and compacted
+tables under version ``b<batch_id>`` in the shared checkpoint folder, and a
 one-row manifest per batch records which version of each managed table is
 current. A replayed batch (a failure before the stream checkpoint committed)
 finds its own manifest row and is skipped, or, if it died before writing it,
@@ -71,7 +71,7 @@ def stream_sync(spark: SparkSession, roster_dir: str, initial: dict, state_dir:
         out, res = run_sync(spark, tables, p, run_id=f"b{batch_id}", base=base, paths=paths)
         for k in MANAGED:             # a table no step changed keeps a copy at this batch
             if k not in paths:
-                commit(out[k], spark, k, f"b{batch_id}-0", base, paths=paths)
+                commit(out[k], spark, k, f"b{batch_id}", base, paths=paths)
         doc = {"batch_id": batch_id, **{k: paths[k] for k in MANAGED}}
         spark.createDataFrame([doc]).write.mode("overwrite").parquet(f"{base}/manifest/b={batch_id}")
         collected.append(res.withColumn("batch_id", F.lit(batch_id)))
