@@ -64,6 +64,39 @@ class SyncParams:
         return [(d.strip(), f if f is not None else "") for d, f in self.dept_map
                 if d and d.strip()]
 
+    @classmethod
+    def from_config(cls, doc: dict) -> "SyncParams":
+        """SRC3: build from a JSON-like document.
+
+        ``dept_map``: ordered list of {"dept": ..., "factory": ...}; at least one
+        non-empty department after trimming (else ValueError). ``tasks``:
+        switches by task name (missing ones stay on). Other keys override the
+        defaults of the same name.
+        """
+        kw = {k: v for k, v in doc.items() if k not in ("dept_map", "tasks")}
+        entries = doc.get("dept_map")
+        if not entries:
+            raise ValueError("dept_map must not be empty")
+        kw["dept_map"] = tuple(((e.get("dept") or ""), e.get("factory") or "") for e in entries)
+        flags = {t: True for t in TASKS}
+        for k, v in (doc.get("tasks") or {}).items():
+            if k not in flags:
+                raise ValueError(f"unknown task {k!r}")
+            flags[k] = bool(v)
+        kw["tasks"] = flags
+        for k in ("protected_groups", "keeper_level5"):
+            if k in kw:
+                kw[k] = tuple(kw[k])
+        p = cls(**kw)
+        p.dept_names()      # validates: at least one non-empty name
+        return p
+
+    @classmethod
+    def load(cls, path: str) -> "SyncParams":
+        import json
+        with open(path, encoding="utf-8") as f:
+            return cls.from_config(json.load(f))
+
     def with_tasks(self, **flags) -> "SyncParams":
         t = dict(self.tasks)
         t.update(flags)

@@ -33,7 +33,7 @@ from rosterline.plans.logs import append_log, log_entries
 from rosterline.operators.change import apply_changes
 from rosterline.plans.registry import query
 from rosterline.schemas import SYNC_RESULT_SCHEMA
-from rosterline.sources.sinks import commit
+from rosterline.sources.sinks import commit, commit_counted
 from rosterline.sources.standins import Tables
 
 c = F.col
@@ -92,8 +92,7 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
         t0 = time.time()
         try:
             ch = build(t, p)
-            rows = commit(ch.rows, spark, f"{tbl}_changes", f"{run_id}-{i}", base)
-            n = rows.count()
+            rows, n = commit_counted(ch.rows, spark, f"{tbl}_changes", f"{run_id}-{i}", base)
             if n:
                 t[tbl] = apply_rows(t[tbl], rows, kind, key)
                 changed.add(tbl)

@@ -80,32 +80,55 @@ def rule_recipients(rules: DataFrame, trim_items: bool = True) -> DataFrame:
     return rules.select("rule_id", "level", F.explode(split_ids("user_ids", trim_items)).alias("recipient"))
 
 
+def pick_tagged(T: Tables, p: SyncParams = P, levels=LEVELS) -> DataFrame:
+    """Every report level in ONE pass over the lines: each row in the window
+    is tagged with every (level, keeper_name) whose test it passes, then
+    exploded. One scan and one set of joins serve all rules, instead of one
+    scan of the (large) line table per rule."""
+    ns = is_open("prep_status", "not_signed")
+    io = is_open("prep_status", "issuing_or_null")
+    b = pick_base(T.picking_lines, T.items, T.picking_heads, T.item_keepers, _window(p) & (ns | io))
+
+    def tag(cond, level, name=None):
+        return F.when(cond, F.struct(F.lit(level).alias("level"), F.lit(name).cast("string").alias("keeper_name")))
+    tags = []
+    if 1 in levels:
+        tags.append(tag(ns, 1))
+    if 2 in levels:
+        tags.append(tag(ns & c("remark").startswith("1"), 2))
+    if 3 in levels:
+        tags.append(tag(ns & c("remark").startswith("G"), 3))
+    if 4 in levels:
+        tags.append(tag(io & c("keeper").contains(p.keeper_level4), 4, p.keeper_level4))
+    if 5 in levels:
+        tags += [tag(io & c("keeper").contains(n), 5, n) for n in p.keeper_level5]
+    if not tags:
+        return b.where(F.lit(False)).select(F.lit(None).cast("int").alias("level"), *BASE_COLS,
+                                             F.lit(None).cast("string").alias("keeper_name"))
+    arr = F.filter(F.array(*tags), lambda x: x.isNotNull())
+    return b.select(*BASE_COLS, F.explode(arr).alias("_t")).select("_t.level", *BASE_COLS, "_t.keeper_name")
+
+
 def rule_rows(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100),
               enterprise_id="ent-1", org_id="org-1"):
-    """Run every rule in force through the registered query of its level,
-    tag rows with rule id and level. Returns (rows, failures).
-
-    The rule table is configuration (a handful of rows), so its rows are read
-    on the driver to choose builders; the report rows never are. A rule whose
-    level has no builder, or whose plan fails, is recorded and skipped.
+    """Every rule in force, through the registered report of its level,
+    rows tagged with rule id and level. Returns (rows, failures).
+
+    The rule table is configuration (a handful of rows): its levels are read
+    on the driver to choose which tests to evaluate, the report rows never
+    are. A rule whose level has no registered report is recorded and skipped.
+    The join of the tagged rows with the rules in force is on the level; the
+    rules side is a small local relation, broadcast under the session's
+    checked threshold.
     """
-    rif = rules_in_force(rules, band[0], band[1], enterprise_id, org_id).select("rule_id", "level").collect()
-    parts, failures = [], []
-    for r in rif:
-        try:
-            if r.level not in LEVELS:
-                raise KeyError(f"no registered report for level {r.level}")
-            df = pick_level(T, r.level, p)
-            parts.append(df.select(F.lit(r.rule_id).alias("rule_id"), F.lit(r.level).alias("level"), *df.columns))
-        except Exception as e:  # recorded, later rules still run
-            failures.append((r.rule_id, r.level, f"{type(e).__name__}: {e}"))
-    if not parts:
-        empty = T.spark.createDataFrame([], "rule_id string, level int")
-        return empty, failures
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out, failures
+    rif = rules_in_force(rules, band[0], band[1], enterprise_id, org_id).select("rule_id", "level")
+    conf = rif.collect()
+    failures = [(r.rule_id, r.level, f"KeyError: no registered report for level {r.level}")
+                for r in conf if r.level not in LEVELS]
+    levels = sorted({r.level for r in conf if r.level in LEVELS})
+    tagged = pick_tagged(T, p, levels)
+    out = tagged.join(rif.where(c("level").isin(levels) if levels else F.lit(False)), "level")
+    return out.select("rule_id", "level", *BASE_COLS, "keeper_name"), failures
 
 
 def _summary_all(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100),

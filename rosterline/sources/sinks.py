@@ -10,7 +10,8 @@ lost executor or a replayed step cannot leave half a version behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from rosterline.session import checkpoint_dir
 
@@ -37,6 +38,15 @@ def commit(df: DataFrame, spark: SparkSession, name: str, version: str, base: st
     return spark.read.parquet(path)
 
 
+def commit_counted(df: DataFrame, spark: SparkSession, name: str, version: str, base: str | None = None,
+                   paths: dict | None = None):
+    """``commit`` that also returns the number of rows written, observed
+    while writing (A9: the affected-row count costs no second job)."""
+    obs = Observation(f"count_{name}_{version}".replace("-", "_").replace(".", "_"))
+    out = commit(df.observe(obs, F.count(F.lit(1)).alias("n")), spark, name, version, base, paths=paths)
+    return out, int(obs.get["n"])
+
+
 def export_reports(df: DataFrame, path: str, by: str = "level") -> None:
     """SNK3: one folder of CSV per rule level (spreadsheet output is not built)."""
     df.write.mode("overwrite").partitionBy(by).option("header", "true").csv(path)
