@@ -190,12 +190,26 @@ BUILDERS = {
 
 
 class Tables:
-    """Lazy access to the stand-in views of one data folder: ``T.roster`` etc."""
+    """Lazy access to the stand-in views of one data folder: ``T.roster`` etc.
+
+    The resolved DataFrames (plans only, no data) are shared by every query of
+    the same session and folder, so files are listed and footers read once per
+    session rather than once per query. ``Tables.forget()`` drops them (for a
+    folder whose files changed).
+    """
+
+    _shared: dict = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.sf_dir = sf_dir
-        self._cache = {}
+        self.sf_dir = sf_dir.rstrip("/")
+        self._cache = Tables._shared.setdefault((id(spark), self.sf_dir), {})
+
+    @classmethod
+    def forget(cls, sf_dir: str | None = None):
+        for k in list(cls._shared):
+            if sf_dir is None or k[1] == sf_dir.rstrip("/"):
+                del cls._shared[k]
 
     def __getattr__(self, name) -> DataFrame:
         if name.startswith("_") or name not in BUILDERS:
