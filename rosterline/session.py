@@ -24,6 +24,22 @@ BASE_CONF = {
 }
 
 
+# Added on a cluster (no local master). Sized for tables of tens of TB: many
+# initial shuffle partitions that AQE coalesces towards ~256 MiB each, input
+# splits of 256 MiB, and a skew split for any partition 5x the median and over
+# 512 MiB (a business code holding a third of all rows is split, not sent to
+# one task).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def get_spark(master: str | None = None, app: str = "rosterline",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
@@ -36,6 +52,8 @@ def get_spark(master: str | None = None, app: str = "rosterline",
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if not master or not master.startswith("local"):
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -46,16 +64,25 @@ def get_spark(master: str | None = None, app: str = "rosterline",
     return spark
 
 
+_FALLBACK_DIRS: dict = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and versioned tables.
 
     Read ``spark.checkpoint.dir`` from the session (a cluster names a shared
-    folder there). Only when it is unset (local tests) do we make one.
+    folder there). Only when it is unset -- local tests -- is a folder made,
+    once per session; ``spark.checkpoint.dir`` is a core setting that cannot
+    be changed at run time, so the fallback is kept here and handed to the
+    SparkContext.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="rosterline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        key = id(spark.sparkContext)
+        if key not in _FALLBACK_DIRS:
+            _FALLBACK_DIRS[key] = tempfile.mkdtemp(prefix="rosterline-ckpt-",
+                                                   dir=os.environ.get("TMPDIR", "/tmp"))
+        d = _FALLBACK_DIRS[key]
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

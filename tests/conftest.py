@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,9 +12,8 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 def spark():
     from rosterline.session import get_spark
     s = get_spark("local[8]", app="rosterline-tests", shuffle_partitions=8)
-    # tests only: a checkpoint folder when the session names none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rosterline-test-ckpt-"))
+    from rosterline.session import checkpoint_dir
+    checkpoint_dir(s)     # the session's folder, or (tests only) one made when unset
     yield s
 
 
