@@ -310,3 +310,18 @@ WHERE r.gdname4 = '{P.single_dept}'
 def q_job_status_profile(spark, d):
     T = Tables(spark, d)
     return job_status_profile(T.people, T.roster)
+
+
+@query("people_insert_missing_after", f"""
+WITH ins AS ({_I3_SQL.strip()})
+SELECT id, code, name, sys_user, job_status, group_id, NULL AS factory, NULL::INTEGER AS is_quit,
+       NULL AS staff_type, NULL AS org, NULL AS enterprise_id, NULL::TIMESTAMP AS created_at, NULL AS created_by,
+       NULL::TIMESTAMP AS modified_at, NULL AS modified_by
+FROM people
+UNION ALL
+SELECT id, code, name, sys_user, job_status, group_id, factory, is_quit, staff_type, org, enterprise_id,
+       created_at, created_by, modified_at, modified_by FROM ins
+""")
+def q_people_insert_missing_after(spark, d):
+    T = Tables(spark, d)
+    return people_insert_missing(T.roster, T.people).after

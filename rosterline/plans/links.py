@@ -272,12 +272,13 @@ def q_link_trimmed(spark, d):
 
 
 def _utf16_bytes_sql(x):
-    return f"(2 * length({x}) + 2 * length(regexp_replace({x}, '[\\x{{0}}-\\x{{FFFF}}]', '', 'g')))"
+    return f"CAST(2 * length({x}) + 2 * length(regexp_replace({x}, '[\\x{{0}}-\\x{{FFFF}}]', '', 'g')) AS INTEGER)"
 
 
 @query("key_format_check", f"""
-SELECT b.code AS people_code, length(rtrim(b.code)) AS code_length, {_utf16_bytes_sql('b.code')} AS code_bytes,
-       a.account, length(rtrim(a.account)) AS account_length, {_utf16_bytes_sql('a.account')} AS account_bytes,
+SELECT b.code AS people_code, CAST(length(rtrim(b.code)) AS INTEGER) AS code_length,
+       {_utf16_bytes_sql('b.code')} AS code_bytes, a.account,
+       CAST(length(rtrim(a.account)) AS INTEGER) AS account_length, {_utf16_bytes_sql('a.account')} AS account_bytes,
        CASE WHEN b.code = a.account THEN 'match' WHEN trim(b.code) = trim(a.account) THEN 'match after trim'
             ELSE 'no match' END AS match_status
 FROM people b JOIN accounts a ON trim(b.code) = trim(a.account)

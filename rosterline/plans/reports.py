@@ -246,7 +246,7 @@ def q_rule_rows(spark, d):
     return rule_rows(T, T.report_rules)[0]
 
 
-_RECIP = "len(list_filter(string_split(user_ids, ','), lambda x: regexp_matches(trim(x), '\\S')))"
+_RECIP = "CAST(len(list_filter(string_split(user_ids, ','), lambda x: regexp_matches(trim(x), '\\S'))) AS INTEGER)"
 _SUMMARY_SQL = f"""
 WITH rif AS ({_RIF_SQL}), lv AS ({_LV_UNION}),
 rr AS (SELECT rif.rule_id, count(*) AS n FROM rif JOIN lv ON lv.lvl = rif.level GROUP BY rif.rule_id),

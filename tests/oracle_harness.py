@@ -51,6 +51,25 @@ def rows_key(cols, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+_DUCK = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
+         "TIMESTAMP": "timestamp", "DATE": "date", "SMALLINT": "smallint", "FLOAT": "float"}
+
+
+def type_mismatches(df, con, sql):
+    """Column types: Spark simple type vs DuckDB DESCRIBE (timestamp_ntz ~ TIMESTAMP).
+    An all-NULL DuckDB column (type "NULL") matches anything."""
+    desc = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for f in df.schema.fields:
+        st = f.dataType.simpleString().replace("timestamp_ntz", "timestamp")
+        dtype = desc.get(f.name)
+        if dtype is None or dtype == '"NULL"' or dtype == "NULL":
+            continue
+        if _DUCK.get(dtype, dtype.lower()) != st:
+            out.append((f.name, st, dtype))
+    return out
+
+
 def compare(spark, key, fn, sql, sf_dir, con=None):
     """Return (ok, message)."""
     df = fn(spark, sf_dir)
@@ -66,6 +85,9 @@ def compare(spark, key, fn, sql, sf_dir, con=None):
         return False, f"{key}: columns differ\n spark={sorted(s_cols)}\n duck ={sorted(d_cols)}"
     if len(s_rows) != len(d_rows):
         return False, f"{key}: row count spark={len(s_rows)} duck={len(d_rows)}"
+    tmis = type_mismatches(df, con, sql)
+    if tmis:
+        return False, f"{key}: types differ {tmis}"
     a, b = rows_key(s_cols, s_rows), rows_key(d_cols, d_rows)
     if a != b:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
