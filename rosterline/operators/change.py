@@ -25,17 +25,28 @@ class Change:
         return self.rows.count()
 
 
-def number_copies(df: DataFrame, cols: list, name: str = "copy_no") -> DataFrame:
+def number_copies(df: DataFrame, cols: list, name: str = "copy_no", chunk: int = 1_000_000) -> DataFrame:
     """Give exact duplicate rows distinct numbers 1..n without a window.
 
     Rows are grouped on *all* their columns: a partial aggregate collapses
     copies map-side before the shuffle, and the shuffle spreads one business
-    key with many different rows over all reducers (hash of every column), so
-    a hot key never lands in one task. ``explode(sequence(1, n))`` then gives
-    the copies back, each with its number.
+    key with many different rows over all reducers (hash of every column).
+    ``explode(sequence(1, n))`` then gives the copies back, each with its
+    number. A row with more than ``chunk`` copies is first cut into chunk
+    descriptors that are spread over the shuffle partitions (an explicit
+    repartition, which AQE does not coalesce), so its copies are produced by
+    many tasks, not one.
     """
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).cast("int").alias("_n"))
-    return g.select(*cols, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias(name))
+    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.col("_n")
+    small = g.where(n <= chunk).select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias(name))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    big = (g.where(n > chunk)
+            .select(*cols, "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))).alias("_chunk"))
+            .repartition(parts, *cols, "_chunk")
+            .select(*cols, F.explode(F.sequence(F.col("_chunk") * chunk + 1,
+                                                F.least(n, (F.col("_chunk") + 1) * chunk))).alias(name)))
+    return small.unionByName(big)
 
 
 def insert_missing(source: DataFrame, target: DataFrame, src_key: str, tgt_key: str,

@@ -65,9 +65,14 @@ def apply_rows(target: DataFrame, rows: DataFrame, kind: str, key: str) -> DataF
 
 def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str | None = None,
              base: str | None = None, check_keys: bool = True, log: DataFrame | None = None,
-             paths: dict | None = None):
+             paths: dict | None = None, compact: bool = True):
     """G1 + G3: run the enabled steps in order. Returns (tables_after, results).
 
+    ``compact=False`` skips the end-of-run rewrite: the returned tables are
+    the input versions plus the written deltas (``paths["<table>_deltas"]``
+    lists them in order with their kind), for jobs that compact periodically
+    instead of every run.
+
     ``tables`` maps roster / accounts / logons / people to DataFrames. Deltas
     go to ``<spark.checkpoint.dir>/tables/<name>_changes/v=<run>-<step>``, the
     compacted tables to ``.../tables/<name>/v=<run>``; ``paths`` (if given)
@@ -92,16 +97,19 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
         t0 = time.time()
         try:
             ch = build(t, p)
-            rows, n = commit_counted(ch.rows, spark, f"{tbl}_changes", f"{run_id}-{i}", base)
+            dpaths = {}
+            rows, n = commit_counted(ch.rows, spark, f"{tbl}_changes", f"{run_id}-{i}", base, paths=dpaths)
             if n:
                 t[tbl] = apply_rows(t[tbl], rows, kind, key)
                 changed.add(tbl)
+                if paths is not None:
+                    paths.setdefault(f"{tbl}_deltas", []).append((kind, dpaths[f"{tbl}_changes"]))
             verb = "inserted" if kind == "insert" else "updated"
             results.append((i, name, True, n, f"{verb} {n} rows of {tbl}", None, int((time.time() - t0) * 1000)))
         except Exception as e:  # G3: the error becomes a result row; later steps still run
             results.append((i, name, False, 0, f"failed: {type(e).__name__}", str(e)[:2000],
                             int((time.time() - t0) * 1000)))
-    for tbl in sorted(changed):      # one rewrite per changed table per run
+    for tbl in sorted(changed) if compact else ():    # one rewrite per changed table per run
         t[tbl] = commit(t[tbl], spark, tbl, run_id, base, paths=paths)
     res = spark.createDataFrame(results, SYNC_RESULT_SCHEMA)
     if log is not None:

@@ -37,6 +37,13 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
+    # semi-join reduction: a selective side (e.g. the +/-15 day picking window)
+    # builds a bloom filter that prunes the other side (heads, items) in its
+    # scan, before the shuffle; allow it for creation sides up to 256 MiB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(256 * 1024 * 1024),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(50_000_000),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(256 * 1024 * 1024),
 }
 
 
