@@ -25,33 +25,35 @@ class Change:
         return self.rows.count()
 
 
-def number_copies(df: DataFrame, cols: list, name: str = "copy_no", chunk: int = 1_000_000) -> DataFrame:
+def number_copies(df: DataFrame, cols: list, name: str = "copy_no", spread_chunk: int | None = None) -> DataFrame:
     """Give exact duplicate rows distinct numbers 1..n without a window.
 
     Rows are grouped on *all* their columns: a partial aggregate collapses
     copies map-side before the shuffle, and the shuffle spreads one business
     key with many different rows over all reducers (hash of every column).
     ``explode(sequence(1, n))`` then gives the copies back, each with its
-    number. A row with more than ``chunk`` copies is first cut into chunk
-    descriptors that are spread over the shuffle partitions (an explicit
-    repartition, which AQE does not coalesce), so its copies are produced by
-    many tasks, not one.
+    number; the copies of one row are generated by one task, streaming (no
+    buffering). For a source known to hold huge numbers of *identical* rows,
+    ``spread_chunk`` cuts every row's copies into chunks that an explicit
+    repartition spreads over all shuffle partitions (one extra shuffle of the
+    small chunk descriptors), so those copies are produced by many tasks.
     """
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     n = F.col("_n")
-    small = g.where(n <= chunk).select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias(name))
+    if spread_chunk is None:
+        return g.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias(name))
+    k = int(spread_chunk)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    big = (g.where(n > chunk)
-            .select(*cols, "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))).alias("_chunk"))
-            .repartition(parts, *cols, "_chunk")
-            .select(*cols, F.explode(F.sequence(F.col("_chunk") * chunk + 1,
-                                                F.least(n, (F.col("_chunk") + 1) * chunk))).alias(name)))
-    return small.unionByName(big)
+    return (g.select(*cols, "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / k))).alias("_chunk"))
+             .repartition(parts, *cols, "_chunk")
+             .select(*cols, F.explode(F.sequence(F.col("_chunk") * k + 1, F.least(n, (F.col("_chunk") + 1) * k)))
+                     .alias(name)))
 
 
 def insert_missing(source: DataFrame, target: DataFrame, src_key: str, tgt_key: str,
                    template, id_table: str | None = None, id_col: str = "id",
-                   dedup: bool = False, source_cols: list | None = None) -> Change:
+                   dedup: bool = False, source_cols: list | None = None,
+                   spread_chunk: int | None = None) -> Change:
     """Rows of ``source`` whose key has no row in ``target`` become target rows.
 
     - anti-join (``left_anti``): a NULL source key is kept, as with
@@ -72,7 +74,7 @@ def insert_missing(source: DataFrame, target: DataFrame, src_key: str, tgt_key:
             .select(src_key, *[F.col(f"_row.{c}").alias(c) for c in other]) \
             .withColumn("copy_no", F.lit(1))
     else:
-        missing = number_copies(missing, cols)
+        missing = number_copies(missing, cols, spread_chunk=spread_chunk)
     if id_table is not None:
         missing = missing.withColumn(id_col, stable_id(F.lit(id_table), *cols, "copy_no"))
     rows = missing.select(*template(missing))

@@ -177,8 +177,11 @@ REPORT_RULE_SCHEMA = ("rule_id string, level int, user_ids string, enterprise_id
 
 
 def report_rules(spark, d=None):
-    """The rule table is configuration (eight rows), not data that grows."""
-    return spark.createDataFrame(REPORT_RULE_ROWS, REPORT_RULE_SCHEMA)
+    """The rule table is configuration (eight rows), not data that grows.
+
+    Built as a VALUES relation (not ``createDataFrame``) so the planner knows
+    its size and can broadcast it in the rule joins."""
+    return spark.sql(VIEW_SQL["report_rules"])
 
 
 BUILDERS = {

@@ -107,7 +107,7 @@ def test_insert_with_hot_duplicates_is_exact(spark, skewed):
 def test_number_copies_spreads_a_hot_key(spark):
     df = spark.createDataFrame([("K", 1)] * 5000 + [("L", 2)] * 3, "k string, v int")
     with conf(spark, FORCE):
-        n = number_copies(df, ["k", "v"], chunk=100)
+        n = number_copies(df, ["k", "v"], spread_chunk=100)
         per_part = n.where(c("k") == "K").groupBy(F.spark_partition_id().alias("p")).count().collect()
         nums = sorted(r.copy_no for r in n.where(c("k") == "K").select("copy_no").collect())
         small = sorted(r.copy_no for r in n.where(c("k") == "L").select("copy_no").collect())
