@@ -39,21 +39,21 @@ from rosterline.sources.standins import Tables
 c = F.col
 P = DEFAULT_PARAMS
 
-# step name -> (target table, kind, key, builder(tables, params) -> Change)
+# step name -> (target table, kind, key, tables read, builder(tables, params) -> Change)
 STEPS = {
-    "acct_insert_missing": ("accounts", "insert", "id",
+    "acct_insert_missing": ("accounts", "insert", "id", ("roster", "accounts"),
                             lambda t, p: A.acct_insert_missing(t["roster"], t["accounts"], p)),
-    "logon_insert_missing": ("logons", "insert", "id",
+    "logon_insert_missing": ("logons", "insert", "id", ("accounts", "logons"),
                              lambda t, p: CR.logon_insert_missing(t["accounts"], t["logons"], p)),
-    "cred_backfill": ("logons", "update", "id",
+    "cred_backfill": ("logons", "update", "id", ("logons", "accounts"),
                       lambda t, p: CR.cred_backfill(t["logons"], t["accounts"], p, mode=p.live_mode)),
-    "people_insert_missing": ("people", "insert", "id",
+    "people_insert_missing": ("people", "insert", "id", ("roster", "people"),
                               lambda t, p: J.people_insert_missing(t["roster"], t["people"], p)),
-    "people_link_account": ("people", "update", "id",
+    "people_link_account": ("people", "update", "id", ("people", "accounts"),
                             lambda t, p: L.people_link_account(t["people"], t["accounts"])),
-    "acct_disable_leavers": ("accounts", "update", "id",
+    "acct_disable_leavers": ("accounts", "update", "id", ("accounts", "roster"),
                              lambda t, p: A.acct_disable_leavers(t["accounts"], t["roster"], p)),
-    "people_job_status": ("people", "update", "id",
+    "people_job_status": ("people", "update", "id", ("people", "roster"),
                           lambda t, p: J.people_job_status(t["people"], t["roster"], p)),
 }
 
@@ -65,58 +65,91 @@ def apply_rows(target: DataFrame, rows: DataFrame, kind: str, key: str) -> DataF
 
 def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str | None = None,
              base: str | None = None, check_keys: bool = True, log: DataFrame | None = None,
-             paths: dict | None = None, compact: bool = True):
+             paths: dict | None = None, compact: bool = True, parallel: bool = True):
     """G1 + G3: run the enabled steps in order. Returns (tables_after, results).
 
-    ``compact=False`` skips the end-of-run rewrite: the returned tables are
-    the input versions plus the written deltas (``paths["<table>_deltas"]``
-    lists them in order with their kind), for jobs that compact periodically
-    instead of every run.
-
     ``tables`` maps roster / accounts / logons / people to DataFrames. Deltas
     go to ``<spark.checkpoint.dir>/tables/<name>_changes/v=<run>-<step>``, the
     compacted tables to ``.../tables/<name>/v=<run>``; ``paths`` (if given)
     receives the folder of each compacted table.
+
+    Every step sees exactly the table versions it would see if the steps ran
+    one after another (the output of the last earlier step that wrote the
+    table; a failed or empty step leaves the version as it was). With
+    ``parallel`` the steps whose inputs are ready run as concurrent Spark jobs
+    -- {1, 4}, then {2, 5, 6}, then {3, 7} with all steps on -- which changes
+    wall time, not results.
+
+    ``compact=False`` skips the end-of-run rewrite: the returned tables are
+    the input versions plus the written deltas (``paths["<table>_deltas"]``
+    lists them in order with their kind), for jobs that compact periodically
+    instead of every run.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     run_id = run_id or uuid.uuid4().hex[:12]
-    t = dict(tables)
-    changed = set()
+    base_tables = dict(tables)
     results = []
     if check_keys:
         # Q12 before any update: duplicate business keys make joins fan out.
         t0 = time.time()
         keyed = (("roster", "empcode"), ("accounts", "account"), ("people", "code"))
-        dup = all_duplicate_keys(_Dict(t), keyed)
+        dup = all_duplicate_keys(_Dict(base_tables), keyed)
         n = dup.count()
         results.append((0, "duplicate_keys", True, n, f"{n} duplicated business keys", None,
                         int((time.time() - t0) * 1000)))
-    for i, name in enumerate(TASKS, start=1):
-        if not p.tasks.get(name, True):
-            continue
-        tbl, kind, key, build = STEPS[name]
+    enabled = [(i, name) for i, name in enumerate(TASKS, start=1) if p.tasks.get(name, True)]
+    futures = {}
+
+    def producer(tbl, j):
+        for i, name in reversed(enabled):
+            if i < j and STEPS[name][0] == tbl:
+                return i
+        return None
+
+    def version(tbl, j):
+        i = producer(tbl, j)
+        if i is None:
+            return base_tables[tbl]
+        after = futures[i].result()[0]
+        return after if after is not None else version(tbl, i)
+
+    def run_step(i, name):
+        tbl, kind, key, reads, build = STEPS[name]
+        view = {x: version(x, i) for x in set(reads) | {tbl}}      # waits for the inputs
         t0 = time.time()
         try:
-            ch = build(t, p)
+            ch = build(view, p)
             dpaths = {}
             rows, n = commit_counted(ch.rows, spark, f"{tbl}_changes", f"{run_id}-{i}", base, paths=dpaths)
-            if n:
-                t[tbl] = apply_rows(t[tbl], rows, kind, key)
-                changed.add(tbl)
-                if paths is not None:
-                    paths.setdefault(f"{tbl}_deltas", []).append((kind, dpaths[f"{tbl}_changes"]))
+            after = apply_rows(view[tbl], rows, kind, key) if n else None
             verb = "inserted" if kind == "insert" else "updated"
-            results.append((i, name, True, n, f"{verb} {n} rows of {tbl}", None, int((time.time() - t0) * 1000)))
+            res = (i, name, True, n, f"{verb} {n} rows of {tbl}", None, int((time.time() - t0) * 1000))
+            return after, res, (kind, dpaths[f"{tbl}_changes"]) if n else None
         except Exception as e:  # G3: the error becomes a result row; later steps still run
-            results.append((i, name, False, 0, f"failed: {type(e).__name__}", str(e)[:2000],
-                            int((time.time() - t0) * 1000)))
-    for tbl in sorted(changed) if compact else ():    # one rewrite per changed table per run
-        t[tbl] = commit(t[tbl], spark, tbl, run_id, base, paths=paths)
+            return None, (i, name, False, 0, f"failed: {type(e).__name__}", str(e)[:2000],
+                          int((time.time() - t0) * 1000)), None
+
+    with ThreadPoolExecutor(max_workers=max(1, len(enabled)) if parallel else 1) as pool:
+        for i, name in enabled:               # submitted in step order; each waits for its inputs
+            futures[i] = pool.submit(run_step, i, name)
+        outcomes = {i: futures[i].result() for i, _ in enabled}      # (after, result row, delta)
+        results += [outcomes[i][1] for i, _ in enabled]
+        changed = sorted({STEPS[name][0] for i, name in enabled if outcomes[i][1][2] and outcomes[i][1][3]})
+        if paths is not None:
+            for i, name in enabled:
+                if outcomes[i][2] is not None:
+                    paths.setdefault(f"{STEPS[name][0]}_deltas", []).append(outcomes[i][2])
+        final = {x: version(x, len(TASKS) + 1) for x in base_tables}
+        if compact:                           # one rewrite per changed table per run, tables in parallel
+            done = {x: pool.submit(commit, final[x], spark, x, run_id, base, None, paths) for x in changed}
+            final.update({x: f.result() for x, f in done.items()})
     res = spark.createDataFrame(results, SYNC_RESULT_SCHEMA)
     if log is not None:
         entries = [("Information" if ok else "Error", "sync", msg, None) for _, _, ok, _, msg, _, _ in results]
-        t["system_log"] = commit(append_log(log, log_entries(spark, entries, p.run_ts)), spark, "system_log",
-                                 run_id, base)
-    return t, res
+        final["system_log"] = commit(append_log(log, log_entries(spark, entries, p.run_ts)), spark, "system_log",
+                                     run_id, base)
+    return final, res
 
 
 class _Dict:

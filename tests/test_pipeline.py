@@ -41,8 +41,8 @@ def test_failing_step_becomes_a_row_and_later_steps_run(spark, sf_small, monkeyp
     def boom(t, p):
         raise RuntimeError("planned failure")
     steps = dict(PL.STEPS)
-    tbl, kind, key, _ = steps["people_insert_missing"]
-    steps["people_insert_missing"] = (tbl, kind, key, boom)
+    tbl, kind, key, reads, _ = steps["people_insert_missing"]
+    steps["people_insert_missing"] = (tbl, kind, key, reads, boom)
     monkeypatch.setattr(PL, "STEPS", steps)
     _, res = PL.run_sync(spark, PL.tables_for(spark, sf_small))
     by = {r.task: r for r in res.collect()}
@@ -55,6 +55,14 @@ def test_failing_step_becomes_a_row_and_later_steps_run(spark, sf_small, monkeyp
     assert rep.report.splitlines()[0].startswith("duplicate_keys")
 
 
+def test_parallel_steps_equal_sequential_steps(spark, sf_small):
+    tp, rp = PL.run_sync(spark, PL.tables_for(spark, sf_small), parallel=True)
+    ts, rs = PL.run_sync(spark, PL.tables_for(spark, sf_small), parallel=False)
+    strip = lambda res: sorted((r.step, r.task, r.success, r.affected_rows) for r in res.collect())
+    assert strip(rp) == strip(rs)
+    assert _snapshot(tp) == _snapshot(ts)
+
+
 def test_run_ledger_catches_up_missed_days(spark):
     import datetime as dt
     ledger = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 3),)], "run_day date")
