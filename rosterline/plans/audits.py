@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.operators.audit import duplicate_keys, missing_from
+from rosterline.operators.audit import missing_from
 from rosterline.plans.registry import query
 from rosterline.sources.standins import Tables
 
@@ -34,12 +34,18 @@ KEYED = (("roster", "empcode"), ("accounts", "account"), ("accounts", "id"), ("l
 
 
 def all_duplicate_keys(T: Tables, keyed=KEYED) -> DataFrame:
-    """Q12 over every business key the joins and updates assume unique."""
-    out = None
+    """Q12 over every business key the joins and updates assume unique.
+
+    One aggregate for all tables: the (table, key) pairs of every table are
+    stacked and counted together, so there is one shuffle, combined map-side
+    (a key holding a third of a table is one partial count per task)."""
+    stacked = None
     for table, key in keyed:
-        d = duplicate_keys(getattr(T, table), key, f"{table}.{key}")
-        out = d if out is None else out.unionByName(d)
-    return out
+        part = getattr(T, table).select(F.lit(f"{table}.{key}").alias("table_name"),
+                                        c(key).cast("string").alias("key_value"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    return (stacked.groupBy("table_name", "key_value").agg(F.count(F.lit(1)).alias("occurrences"))
+            .where(c("occurrences") > 1))
 
 
 @query("personnel_missing_detail", """
