@@ -6,13 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def missing_from(a: DataFrame, b: DataFrame, on, how: str = "left_anti") -> DataFrame:
-    """J3 / SET1: rows of ``a`` with no partner in ``b``.
+def distinct_keys(df: DataFrame, key: str, alias: str = "_mk") -> DataFrame:
+    """The distinct values of one key column.
+
+    As the right side of an anti / semi join this is what the join needs;
+    the partial aggregate collapses a hot key map-side (AQE can split a
+    skewed *left* side of an anti-join, never the right one), and its hash
+    partitioning on the key is reused by the join, so it adds no shuffle.
+    """
+    return df.select(F.col(key).alias(alias)).distinct()
+
+
+def missing_from(a: DataFrame, b: DataFrame, a_key: str, b_key: str, how: str = "left_anti") -> DataFrame:
+    """J3 / SET1: rows of ``a`` whose key has no partner in ``b``
+    (``how="left_semi"``: rows that have one, J5).
 
     Written as an anti-join directly: Catalyst does not turn LEFT JOIN ...
-    IS NULL into one, it keeps an outer join plus a filter.
+    IS NULL into one, it keeps an outer join plus a filter. A NULL key of
+    ``a`` never matches, so the row is kept, as with LEFT JOIN ... IS NULL.
     """
-    return a.join(b, on, how)
+    k = distinct_keys(b, b_key)
+    return a.join(k, a[a_key] == k["_mk"], how)
 
 
 def match_profile(df: DataFrame, counters: dict, total: str | None = "total") -> DataFrame:

@@ -65,8 +65,8 @@ def insert_missing(source: DataFrame, target: DataFrame, src_key: str, tgt_key:
       use the column ``id_col`` which holds a repeatable id (X1).
     """
     cols = source_cols or source.columns
-    missing = source.select(*cols).join(
-        target.select(F.col(tgt_key).alias("_tk")), F.col(src_key) == F.col("_tk"), "left_anti")
+    tk = target.select(F.col(tgt_key).alias("_tk")).distinct()   # hot target keys collapse map-side
+    missing = source.select(*cols).join(tk, F.col(src_key) == F.col("_tk"), "left_anti")
     if dedup:
         other = [c for c in cols if c != src_key]
         packed = F.min(F.struct(*other)).alias("_row") if other else F.count(F.lit(1)).alias("_row")

@@ -15,7 +15,7 @@ c = F.col
 def personnel_missing(personnel: DataFrame, accounts: DataFrame) -> DataFrame:
     """SET1: personnel rows whose employee id has no account (anti-join, not
     EXCEPT: the rows carry columns the other side lacks)."""
-    return missing_from(personnel, accounts.select(c("account")), personnel["employee_id"] == c("account"))
+    return missing_from(personnel, accounts, "employee_id", "account")
 
 
 def personnel_missing_detail(personnel, accounts) -> DataFrame:

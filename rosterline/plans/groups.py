@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.functions.exprs import classify, diff_text, differs, is_blank
+from rosterline.operators.audit import missing_from
 from rosterline.operators.change import Change, update_from
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.registry import query
@@ -271,7 +272,7 @@ def group_chain_counts(people, personnel, groups) -> DataFrame:
 def people_not_in_personnel(people, personnel) -> DataFrame:
     """Blank group and not in personnel."""
     return (people.where(is_blank("group_id"))
-            .join(personnel.select("employee_id"), c("code") == c("employee_id"), "left_anti")
+            .transform(lambda d: missing_from(d, personnel, "code", "employee_id"))
             .select("code", "name", "group_id", F.lit("not in personnel").alias("status")).orderBy("code"))
 
 

@@ -122,13 +122,13 @@ def link_profile(people, accounts) -> DataFrame:
 
 def people_without_account(people, accounts) -> DataFrame:
     """Q3: people whose code has no account."""
-    return (missing_from(people, accounts.select(c("account")), people["code"] == c("account"))
+    return (missing_from(people, accounts, "code", "account")
             .select("code", "name", "sys_user").orderBy("code"))
 
 
 def accounts_without_person(people, accounts) -> DataFrame:
     """Q4: accounts whose name is no person's code."""
-    return (missing_from(accounts, people.select(c("code")), accounts["account"] == c("code"))
+    return (missing_from(accounts, people, "account", "code")
             .select("account", "real_name", "id").orderBy("account"))
 
 
