@@ -83,7 +83,7 @@ def insert_missing(source: DataFrame, target: DataFrame, src_key: str, tgt_key:
 
 
 def update_from(target: DataFrame, source: DataFrame, on: Column, when: Column | None,
-                set_: dict, target_key: str = "id") -> Change:
+                set_: dict, target_key: str = "id", source_cols: list | None = None) -> Change:
     """UPDATE t SET ... FROM t JOIN s ON ... WHERE ... with exact semantics.
 
     ``target`` must be aliased "t" and ``source`` "s" in ``on``/``when``/``set_``.
@@ -101,7 +101,15 @@ def update_from(target: DataFrame, source: DataFrame, on: Column, when: Column |
     row matched by very many source rows is reduced before the shuffle, and
     the target is scanned once. ``after`` joins the target with the changed
     rows on ``target_key`` (AQE broadcasts them when they are few).
+
+    ``source_cols``: the source columns ``on`` / ``when`` / ``set_`` use.
+    The source is then reduced to their distinct combinations before the
+    join (duplicates cannot change which rows are hit or the smallest new
+    value), so a key that is hot in both tables meets a few source rows, not
+    all of them: no group emits all its pairs.
     """
+    if source_cols is not None:
+        source = source.select(*source_cols).distinct()
     t = target.alias("t")
     s = source.alias("s")
     pairs = t.join(s, on, "inner")

@@ -53,7 +53,8 @@ def acct_disable_leavers(accounts: DataFrame, roster: DataFrame, p: SyncParams =
                 & (c("t.enabled_mark").isNull() | (c("t.enabled_mark") != 0)))
     else:
         when = c("s.isactive") == 0
-    return update_from(accounts, roster, on, when, {"enabled_mark": F.lit(0)}, target_key="id")
+    return update_from(accounts, roster, on, when, {"enabled_mark": F.lit(0)}, target_key="id",
+                       source_cols=["empcode", "gdname4", "isactive"])
 
 
 def acct_disable_preview(accounts: DataFrame, roster: DataFrame) -> DataFrame:

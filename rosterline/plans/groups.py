@@ -47,7 +47,8 @@ def people_group_fill(people, personnel, groups) -> Change:
     """U4: NULL group id -> id of the personnel group name (found in the dimension)."""
     when = c("t.group_id").isNull() & c("s.group_name").isNotNull() & c("s.gid").isNotNull()
     return update_from(people, _chain(personnel, groups), c("t.code") == c("s.employee_id"), when,
-                       {"group_id": c("s.gid")}, target_key="id")
+                       {"group_id": c("s.gid")}, target_key="id",
+                     source_cols=["employee_id", "group_name", "gid"])
 
 
 def people_group_fill_or_fix(people, personnel, groups) -> Change:
@@ -61,7 +62,8 @@ def people_group_fill_or_fix(people, personnel, groups) -> Change:
     fix = (~blank) & c("t._cur_name").isNotNull() & (c("t._cur_name") != c("s.group_name"))
     when = blank | (fix & c("s.group_name").isNotNull())
     ch = update_from(tgt, _chain(personnel, groups), c("t.code") == c("s.employee_id"), when,
-                     {"group_id": c("s.gid")}, target_key="id")
+                     {"group_id": c("s.gid")}, target_key="id",
+                     source_cols=["employee_id", "group_name", "gid"])
     return _strip(ch, people.columns)
 
 
@@ -73,7 +75,8 @@ def people_group_fix_mismatch(people, personnel, groups, p: SyncParams = P) -> C
             & (c("t._cur_name") != c("s.group_name")) & c("s.group_name").isNotNull()
             & ~c("t._cur_name").isin(prot) & ~c("s.group_name").isin(prot))
     ch = update_from(tgt, _chain(personnel, groups), c("t.code") == c("s.employee_id"), when,
-                     {"group_id": c("s.gid")}, target_key="id")
+                     {"group_id": c("s.gid")}, target_key="id",
+                     source_cols=["employee_id", "group_name", "gid"])
     return _strip(ch, people.columns)
 
 

@@ -57,7 +57,8 @@ def people_job_status(people: DataFrame, roster: DataFrame, p: SyncParams = P,
     elif scope == "dept":
         when = (c("s.gdname4") == p.single_dept) & when
     return update_from(people, roster, c("t.code") == c("s.empcode"), when,
-                       {"job_status": job_status_expr(fl, st)}, target_key="id")
+                       {"job_status": job_status_expr(fl, st)}, target_key="id",
+                       source_cols=["empcode", "gdname4", "isactive"])
 
 
 def people_job_status_oneway(people: DataFrame, roster: DataFrame, to_left: bool) -> Change:
@@ -66,7 +67,7 @@ def people_job_status_oneway(people: DataFrame, roster: DataFrame, to_left: bool
     st = c("t.job_status")
     when = (c("s.isactive") == flag) & (st.isNull() | (st != val))
     return update_from(people, roster, c("t.code") == c("s.empcode"), when,
-                       {"job_status": F.lit(val)}, target_key="id")
+                       {"job_status": F.lit(val)}, target_key="id", source_cols=["empcode", "isactive"])
 
 
 def _status_name(x, default=JOB_UNKNOWN):

@@ -28,10 +28,27 @@ def people_link_account(people: DataFrame, accounts: DataFrame, mode: str = "nul
     when = {"null_or_stale": needs_change(su, aid),
             "null": su.isNull(),
             "stale": su.isNotNull() & (su != aid)}[mode]
-    return update_from(people, accounts, c("t.code") == c("s.account"), when,
+    return update_from(people, two_smallest_ids(accounts), c("t.code") == c("s.account"), when,
                        {"sys_user": aid}, target_key="id")
 
 
+def two_smallest_ids(accounts: DataFrame) -> DataFrame:
+    """Per account code, its two smallest account ids (one row each).
+
+    That is all the link update can use: the smallest passing id is the
+    smallest id, or the second smallest when the person already points at
+    the smallest. Built with two combinable aggregates (the second over the
+    accounts joined to one row per code), so a code held by very many
+    accounts never meets the people of that code pair by pair.
+    """
+    a = accounts.select("account", "id").where(c("id").isNotNull())
+    m1 = a.groupBy("account").agg(F.min("id").alias("_id1"))
+    m2 = (a.join(m1, "account").where(c("id") > c("_id1"))
+           .groupBy("account").agg(F.min("id").alias("_id2")))
+    first = m1.select("account", c("_id1").alias("id"))
+    return first.unionByName(m2.select("account", c("_id2").alias("id")))
+
+
 def _pair_cols(label):
     return [c("b.code"), c("b.name"), c("b.sys_user").alias("current_sys_user"),
             c("a.id").alias("target_sys_user"), c("a.account"), c("a.real_name").alias("account_name"),

@@ -113,3 +113,26 @@ def test_number_copies_spreads_a_hot_key(spark):
         small = sorted(r.copy_no for r in n.where(c("k") == "L").select("copy_no").collect())
     assert nums == list(range(1, 5001)) and small == [1, 2, 3]
     assert len(per_part) > 1          # 5000 copies of one row are produced by several tasks
+
+
+def test_link_update_with_code_hot_on_both_sides(spark):
+    from rosterline.plans import links as L
+    rnd = random.Random(3)
+    people = [(f"p{i:04d}", "HOT" if i % 3 == 0 else f"C{i}", "x",
+               rnd.choice([None, "a0005", "a0001", "zz"]), 0, None) for i in range(900)]
+    accts = [(f"a{i:04d}", "HOT" if i % 3 == 0 else f"C{i}", "n", 0, 1, "o", "e") for i in range(900)]
+    with conf(spark, FORCE):
+        ch = L.people_link_account(spark.createDataFrame(people, PEOPLE), spark.createDataFrame(accts, ACCTS))
+        got = {r.id: r.sys_user for r in ch.rows.collect()}
+        src = L.two_smallest_ids(spark.createDataFrame(accts, ACCTS))
+        per_code = max(r["count"] for r in src.groupBy("account").count().collect())
+    ids = defaultdict(list)
+    for aid, code, *_ in accts:
+        ids[code].append(aid)
+    expect = {}
+    for pid, code, _, su, _, _ in people:
+        passing = [a for a in ids.get(code, []) if su is None or su != a]
+        if passing:
+            expect[pid] = min(passing)
+    assert got == expect
+    assert per_code <= 2          # 300 people x 300 accounts of one code meet 2 source rows, not 300
