@@ -68,3 +68,15 @@ def duplicate_keys(df: DataFrame, key, table: str) -> DataFrame:
 def group_counts(df: DataFrame, keys, name: str = "cnt") -> DataFrame:
     """A3: count per group."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def weighted(df: DataFrame, cols, name: str = "_w") -> DataFrame:
+    """``df`` reduced to its distinct ``cols`` with their multiplicity.
+
+    Counting over a join of two tables whose key is hot on both sides would
+    materialise every pair of that key. Joining one side (or both) reduced
+    this way and summing the products of the multiplicities gives the same
+    counts from at most one row per distinct combination, and the aggregate
+    combines map-side.
+    """
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))

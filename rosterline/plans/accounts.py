@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rosterline.functions.exprs import (in_scope, in_scope_sql, map_ordered, map_ordered_sql,
                                         project_template, stable_id_sql, ts_lit)
+from rosterline.operators.audit import weighted
 from rosterline.operators.change import Change, insert_missing, update_from
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.registry import query
@@ -80,11 +81,15 @@ def acct_enabled_detail(accounts: DataFrame, roster: DataFrame) -> DataFrame:
 
 
 def acct_disable_counts(accounts: DataFrame, roster: DataFrame) -> DataFrame:
-    """Q15: done / not-done counts in one pass (COUNT semantics: 0 on no rows)."""
-    a, r = accounts.alias("a"), roster.alias("r")
-    j = a.join(r, c("a.account") == c("r.empcode")).where(c("r.isactive") == 0)
-    return j.agg(F.count(F.when(c("a.enabled_mark") == 0, 1)).alias("updated_count"),
-                 F.count(F.when(c("a.enabled_mark") != 0, 1)).alias("not_updated_count"))
+    """Q15: done / not-done counts of leaver pairs (COUNT semantics: 0 on no
+    rows), the roster reduced to leaver codes with multiplicities."""
+    r = weighted(roster.where(c("isactive") == 0), ["empcode"])
+    j = accounts.join(r, c("account") == c("empcode"))
+
+    def n(cond):
+        return F.coalesce(F.sum(F.when(cond, c("_w"))), F.lit(0)).cast("bigint")
+    return j.agg(n(c("enabled_mark") == 0).alias("updated_count"),
+                 n(c("enabled_mark") != 0).alias("not_updated_count"))
 
 
 # -------------------------------------------------------------------- queries

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.functions.exprs import classify, diff_text, differs, is_blank
-from rosterline.operators.audit import missing_from
+from rosterline.operators.audit import missing_from, weighted
 from rosterline.operators.change import Change, update_from
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.registry import query
@@ -157,21 +157,31 @@ def group_mismatch_core(people, personnel, groups) -> DataFrame:
             .orderBy("code"))
 
 
+def _per_w(personnel):
+    """Personnel reduced to (employee, group name) with multiplicities: the
+    counts below join this instead of the rows, so a hot employee code never
+    makes its pairs with the people of the same code."""
+    return weighted(personnel.select("employee_id", c("group_name").alias("personnel_group")),
+                    ["employee_id", "personnel_group"])
+
+
 def group_mismatch_count(people, personnel, groups) -> DataFrame:
     """Q7: count of C10d."""
-    return _mismatch(people, personnel, groups).agg(
-        F.count(F.lit(1)).alias("mismatched_count"), F.lit("group mismatches").alias("description"))
+    j = _pg(people, groups).join(_per_w(personnel), c("code") == c("employee_id"))
+    return j.where(differs(c("people_group"), c("personnel_group"))).agg(
+        F.coalesce(F.sum("_w"), F.lit(0)).cast("bigint").alias("mismatched_count"),
+        F.lit("group mismatches").alias("description"))
 
 
 def group_profile(people, personnel, groups) -> DataFrame:
-    """Q6: six counters over all people, one pass."""
-    j = _pg(people, groups).join(_per(personnel), c("code") == c("employee_id"), "left")
-    pg, per, known = c("people_group"), c("personnel_group"), c("employee_id").isNotNull()
-
-    def s(cond):
-        return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
-    return j.agg(F.count(F.lit(1)).alias("total_records"),
-                 s(c("employee_id").isNull()).alias("not_in_personnel"),
+    """Q6: six counters over all people, one pass (personnel weighted)."""
+    j = _pg(people, groups).join(_per_w(personnel), c("code") == c("employee_id"), "left")
+    pg, per, known, w = c("people_group"), c("personnel_group"), c("employee_id").isNotNull(), c("_w")
+
+    def s(cond, weight=w):
+        return F.sum(F.when(cond, weight).otherwise(0)).cast("bigint")
+    return j.agg(F.coalesce(F.sum(F.coalesce(w, F.lit(1))), F.lit(0)).cast("bigint").alias("total_records"),
+                 s(c("employee_id").isNull(), F.lit(1)).alias("not_in_personnel"),
                  s(known & (pg == per)).alias("matched_groups"),
                  s(known & (pg != per)).alias("mismatched_groups"),
                  s(known & pg.isNull() & per.isNotNull()).alias("people_null_group"),
@@ -237,20 +247,28 @@ def group_mismatch_preview(people, personnel, groups, p: SyncParams = P, remaini
                                  F.lit("group differs, needs_update").alias("status")))
 
 
+def _fill_base_w(people, personnel, groups):
+    g = groups.select(c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
+    j = people.join(_per_w(personnel), c("code") == c("employee_id")) \
+        .join(g, c("personnel_group") == c("target_group_name"), "left")
+    return j.where(c("group_id").isNull() & c("personnel_group").isNotNull())
+
+
 def group_fill_profile(people, personnel, groups) -> DataFrame:
-    """Q8: total missing, can update, cannot update."""
-    b = _fill_base(people, personnel, groups)
-    return b.agg(F.count(F.lit(1)).alias("total_null_group"),
-                 F.sum(F.when(c("target_group_id").isNotNull(), 1).otherwise(0)).cast("bigint").alias("can_update"),
-                 F.sum(F.when(c("target_group_id").isNull(), 1).otherwise(0)).cast("bigint").alias("cannot_update"),
+    """Q8: total missing, can update, cannot update (personnel weighted)."""
+    b, w = _fill_base_w(people, personnel, groups), c("_w")
+    return b.agg(F.coalesce(F.sum(w), F.lit(0)).cast("bigint").alias("total_null_group"),
+                 F.sum(F.when(c("target_group_id").isNotNull(), w).otherwise(0)).cast("bigint").alias("can_update"),
+                 F.sum(F.when(c("target_group_id").isNull(), w).otherwise(0)).cast("bigint").alias("cannot_update"),
                  F.lit("people with NULL group").alias("description"))
 
 
 def group_fill_remaining(people, personnel) -> DataFrame:
     """Still missing after U4."""
-    j = people.join(_per(personnel), c("code") == c("employee_id"))
+    j = people.join(_per_w(personnel), c("code") == c("employee_id"))
     return j.where(c("group_id").isNull() & c("personnel_group").isNotNull()).agg(
-        F.count(F.lit(1)).alias("remaining_null_count"), F.lit("NULL groups after update").alias("description"))
+        F.coalesce(F.sum("_w"), F.lit(0)).cast("bigint").alias("remaining_null_count"),
+        F.lit("NULL groups after update").alias("description"))
 
 
 def group_dim_list(groups) -> DataFrame:
@@ -259,16 +277,24 @@ def group_dim_list(groups) -> DataFrame:
 
 
 def group_chain_counts(people, personnel, groups) -> DataFrame:
-    """Q10: blank groups; code matches; name matches; full chain (one row each)."""
-    g = groups.select(c("id").alias("gid"), c("group_name").alias("gname"))
+    """Q10: blank groups; code matches; name matches; full chain (one row each).
+
+    Pair counts are sums of products of per-key multiplicities: no join here
+    builds the pairs it counts."""
+    def total(df, expr, name):
+        return df.agg(F.lit(name).alias("check_name"),
+                      F.coalesce(F.sum(expr), F.lit(0)).cast("bigint").alias("cnt"))
     blank = people.where(is_blank("group_id")).agg(F.lit("blank_groups").alias("check_name"),
                                                    F.count(F.lit(1)).alias("cnt"))
-    pj = people.join(_per(personnel), c("code") == c("employee_id"))
-    code = pj.agg(F.lit("code_matches").alias("check_name"), F.count(F.lit(1)).alias("cnt"))
-    name = personnel.join(g, personnel["group_name"] == g["gname"]).agg(
-        F.lit("name_matches").alias("check_name"), F.count(F.lit(1)).alias("cnt"))
-    full = pj.join(g, c("personnel_group") == c("gname")).agg(
-        F.lit("full_chain").alias("check_name"), F.count(F.lit(1)).alias("cnt"))
+    pw = weighted(people, ["code"], "_np")
+    per_code = weighted(personnel, ["employee_id"], "_nc")
+    per_name = weighted(personnel.select(c("group_name").alias("_pn")), ["_pn"], "_nn")
+    per_both = weighted(personnel.select("employee_id", c("group_name").alias("_pg")), ["employee_id", "_pg"], "_nb")
+    dim = weighted(groups.select(c("group_name").alias("_dn")), ["_dn"], "_nd")
+    code = total(pw.join(per_code, c("code") == c("employee_id")), c("_np") * c("_nc"), "code_matches")
+    name = total(per_name.join(dim, c("_pn") == c("_dn")), c("_nn") * c("_nd"), "name_matches")
+    full = total(pw.join(per_both, c("code") == c("employee_id")).join(dim, c("_pg") == c("_dn")),
+                 c("_np") * c("_nb") * c("_nd"), "full_chain")
     return blank.unionByName(code).unionByName(name).unionByName(full)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rosterline.functions.exprs import (classify, decode, in_scope, in_scope_sql, job_status_expr,
                                         job_status_on_insert, map_ordered, map_ordered_sql,
                                         project_template, stable_id_sql, ts_lit)
+from rosterline.operators.audit import weighted
 from rosterline.operators.change import Change, insert_missing, update_from
 from rosterline.params import DEFAULT_PARAMS, JOB_LABELS, JOB_UNKNOWN, SyncParams
 from rosterline.plans.registry import query
@@ -124,24 +125,26 @@ def job_status_inconsistent(people, roster, p: SyncParams = P) -> DataFrame:
 
 
 def job_status_distribution(people, roster) -> DataFrame:
-    """Q13: count per (status, flag)."""
-    b, r = people.alias("b"), roster.alias("r")
-    return (b.join(r, c("b.code") == c("r.empcode"))
-             .groupBy(c("b.job_status").alias("job_status"), c("r.isactive").alias("roster_isactive"))
-             .agg(F.count(F.lit(1)).alias("cnt"))
+    """Q13: count per (status, flag) of the person x roster pairs, from the
+    roster reduced to (code, flag) with multiplicities (no pair is built)."""
+    r = weighted(roster, ["empcode", "isactive"])
+    return (people.join(r, c("code") == c("empcode"))
+             .groupBy(c("job_status"), c("isactive").alias("roster_isactive"))
+             .agg(F.sum("_w").cast("bigint").alias("cnt"))
              .select("job_status", _status_name(c("job_status")).alias("status_name"), "roster_isactive", "cnt")
              .orderBy("job_status", "roster_isactive"))
 
 
 def job_status_profile(people, roster, p: SyncParams = P) -> DataFrame:
-    """Q14: total, matched active, matched left, mismatched in one department."""
-    b, r = people.alias("b"), roster.alias("r")
-    st, fl = c("b.job_status"), c("r.isactive")
-    j = b.join(r, c("b.code") == c("r.empcode")).where(c("r.gdname4") == p.single_dept)
+    """Q14: total, matched active, matched left, mismatched in one department
+    (pair counts from the roster reduced to (code, flag) with multiplicities)."""
+    r = weighted(roster.where(c("gdname4") == p.single_dept), ["empcode", "isactive"])
+    st, fl, w = c("job_status"), c("isactive"), c("_w")
+    j = people.join(r, c("code") == c("empcode"))
 
     def s(cond):
-        return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
-    return j.agg(F.count(F.lit(1)).alias("total_records"),
+        return F.sum(F.when(cond, w).otherwise(0)).cast("bigint")
+    return j.agg(F.coalesce(F.sum(w), F.lit(0)).cast("bigint").alias("total_records"),
                  s((st == 0) & (fl == 1)).alias("matched_active"),
                  s((st == 1) & (fl == 0)).alias("matched_left"),
                  s(((st == 0) & (fl == 0)) | ((st == 1) & (fl == 1))).alias("mismatched"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.functions.exprs import classify, is_live, key_norm, needs_change
-from rosterline.operators.audit import match_profile, missing_from
+from rosterline.operators.audit import missing_from, weighted
 from rosterline.operators.change import Change, update_from
 from rosterline.plans.registry import query
 from rosterline.sources.standins import Tables
@@ -128,13 +128,30 @@ def key_format_check(people, accounts, n: int | None = None) -> DataFrame:
 
 
 def link_profile(people, accounts) -> DataFrame:
-    """Q2: total, NULL, matched, mismatched in one pass over the left join."""
-    b, a = people.alias("b"), accounts.alias("a")
-    su, aid = c("b.sys_user"), c("a.id")
-    j = b.join(a, c("b.code") == c("a.account"), "left")
-    return match_profile(j, {"null_count": su.isNull(),
-                             "matched_count": su.isNotNull() & (su == aid),
-                             "mismatched_count": su.isNotNull() & (su != aid)}, total="total_records")
+    """Q2: total, NULL, matched, mismatched over people LEFT JOIN accounts.
+
+    Counted without building the pairs: accounts per code (all rows / rows
+    with an id) and per (code, id) are joined to the people, then
+      total = sum max(n_all, 1); null = the same for NULL links;
+      matched = n(code, link); mismatched = n_with_id - n(code, link).
+    """
+    per_code = accounts.groupBy(c("account").alias("_k")).agg(
+        F.count(F.lit(1)).alias("_n_all"), F.count("id").alias("_n_id"))
+    per_id = weighted(accounts.where(c("id").isNotNull()).select(c("account").alias("_k2"), c("id").alias("_v")),
+                      ["_k2", "_v"], "_n_v")
+    j = (people.join(per_code, c("code") == c("_k"), "left")
+               .join(per_id, (c("code") == c("_k2")) & (c("sys_user") == c("_v")), "left"))
+    su = c("sys_user")
+    rows = F.greatest(F.coalesce(c("_n_all"), F.lit(0)), F.lit(1))
+    eq = F.coalesce(c("_n_v"), F.lit(0))
+    ne = F.coalesce(c("_n_id"), F.lit(0)) - eq
+
+    def s(x):
+        return F.sum(x).cast("bigint")
+    return j.agg(F.coalesce(s(rows), F.lit(0)).cast("bigint").alias("total_records"),
+                 s(F.when(su.isNull(), rows).otherwise(0)).alias("null_count"),
+                 s(F.when(su.isNotNull(), eq).otherwise(0)).alias("matched_count"),
+                 s(F.when(su.isNotNull(), ne).otherwise(0)).alias("mismatched_count"))
 
 
 def people_without_account(people, accounts) -> DataFrame:
@@ -162,8 +179,11 @@ def link_counts(people, accounts) -> DataFrame:
         F.struct(F.lit("all_people").alias("check_name"), c("all_people").alias("cnt")))).alias("x")).select("x.*")
     live = accounts.where(is_live("delete_mark", "enabled_mark", "script")).agg(
         F.lit("live_accounts").alias("check_name"), F.count(F.lit(1)).alias("cnt"))
-    matched = people.join(accounts, people["code"] == accounts["account"]).agg(
-        F.lit("matched_pairs").alias("check_name"), F.count(F.lit(1)).alias("cnt"))
+    pw = weighted(people, ["code"], "_np")
+    aw = weighted(accounts, ["account"], "_na")
+    matched = pw.join(aw, c("code") == c("account")).agg(
+        F.lit("matched_pairs").alias("check_name"),
+        F.coalesce(F.sum(c("_np") * c("_na")), F.lit(0)).cast("bigint").alias("cnt"))
     return ppl.unionByName(live).unionByName(matched)
 
 

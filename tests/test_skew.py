@@ -136,3 +136,23 @@ def test_link_update_with_code_hot_on_both_sides(spark):
             expect[pid] = min(passing)
     assert got == expect
     assert per_code <= 2          # 300 people x 300 accounts of one code meet 2 source rows, not 300
+
+
+def test_profiles_count_pairs_without_building_them(spark):
+    from rosterline.operators.audit import match_profile
+    from rosterline.plans import links as L
+    rnd = random.Random(11)
+    people = [(f"p{i}", "HOT" if i % 3 == 0 else f"C{i % 50}", "x",
+               rnd.choice([None, "a1", "a2", "zz"]), 0, None) for i in range(600)]
+    accts = [(rnd.choice(["a1", "a2", "a3", None]), "HOT" if i % 3 == 0 else f"C{i % 40}", "n", 0, 1, "o", "e")
+             for i in range(600)]
+    p, a = spark.createDataFrame(people, PEOPLE), spark.createDataFrame(accts, ACCTS)
+    with conf(spark, FORCE):
+        fast = L.link_profile(p, a).first().asDict()
+        j = p.alias("b").join(a.alias("a"), c("b.code") == c("a.account"), "left")
+        su, aid = c("b.sys_user"), c("a.id")
+        slow = match_profile(j, {"null_count": su.isNull(), "matched_count": su.isNotNull() & (su == aid),
+                                 "mismatched_count": su.isNotNull() & (su != aid)}, total="total_records").first().asDict()
+        lc = {r.check_name: r.cnt for r in L.link_counts(p, a).collect()}
+    assert fast == slow
+    assert lc["matched_pairs"] == p.join(a, p["code"] == a["account"]).count()
