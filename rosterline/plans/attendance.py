@@ -55,10 +55,15 @@ def _finish(df, keys):
                      present.alias("present"), pct(present, "due").alias("rate"))
 
 
+def attendance_summary_rows(att: DataFrame, p: SyncParams = P) -> DataFrame:
+    """A6 without the final sort: one row per group."""
+    rows = attendance_status_rows(att, p)
+    return _finish(rows.groupBy("group_name").agg(*_counters()), ["group_name"])
+
+
 def attendance_by_group(att: DataFrame, p: SyncParams = P) -> DataFrame:
     """One row per group, sorted by group."""
-    rows = attendance_status_rows(att, p)
-    return _finish(rows.groupBy("group_name").agg(*_counters()), ["group_name"]).orderBy("group_name")
+    return attendance_summary_rows(att, p).orderBy("group_name")
 
 
 def attendance_total(att: DataFrame, p: SyncParams = P) -> DataFrame:

@@ -127,7 +127,14 @@ def rule_rows(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100),
                 for r in conf if r.level not in LEVELS]
     levels = sorted({r.level for r in conf if r.level in LEVELS})
     tagged = pick_tagged(T, p, levels)
-    out = tagged.join(rif.where(c("level").isin(levels) if levels else F.lit(False)), "level")
+    r = rules_in_force(rules, band[0], band[1], enterprise_id, org_id)
+    r = r.where(c("level").isin(levels) if levels else F.lit(False))
+    if "keeper_name" in rules.columns:
+        # a rule may name its own keeper (several level-5 rules, one name each)
+        r = r.select("rule_id", c("level").alias("_rl"), c("keeper_name").alias("_rk"))
+        out = tagged.join(r, (c("level") == c("_rl")) & (c("_rk").isNull() | (c("keeper_name") == c("_rk"))))
+    else:
+        out = tagged.join(rif.where(c("level").isin(levels) if levels else F.lit(False)), "level")
     return out.select("rule_id", "level", *BASE_COLS, "keeper_name"), failures
 
 
@@ -175,6 +182,46 @@ def delivery_fanout(T: Tables, rules: DataFrame, p: SyncParams = P) -> DataFrame
     return rec.join(s, "rule_id").select("rule_id", "level", "recipient", "row_count")
 
 
+def _band_rules(rules, lo, hi, enterprise_id="ent-1", org_id="org-1") -> list:
+    """Rules in force of one band that have at least one recipient.
+
+    The rule table is configuration (a handful of rows); its rows are read on
+    the driver, never the report rows."""
+    return (rules_in_force(rules, lo, hi, enterprise_id, org_id)
+            .select("rule_id", "level", F.size(split_ids("user_ids")).alias("recipient_count"))
+            .where(c("recipient_count") > 0).orderBy("level", "rule_id").collect())
+
+
+_RULE_T = "array<struct<rule_id:string,level:int,recipient_count:int>>"
+
+
+def _for_each_rule(df: DataFrame, rule_rows: list) -> DataFrame:
+    """Every row of ``df`` once per rule: the rules are a literal array that
+    is exploded (a projection; no join, so nothing for Catalyst to turn into
+    a nested-loop join)."""
+    structs = [F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.level).cast("int").alias("level"),
+                        F.lit(r.recipient_count).cast("int").alias("recipient_count")) for r in rule_rows]
+    arr = F.array(*structs) if structs else F.array().cast(_RULE_T)
+    return df.select(F.explode(arr).alias("_r"), *df.columns).select("_r.*", *df.columns)
+
+
+def attendance_rule_summary(T: Tables, rules: DataFrame, p: SyncParams = P) -> DataFrame:
+    """N2 for the attendance band (levels 101-200): every rule in force gets
+    the per-group attendance summary of the report day (A6)."""
+    from rosterline.plans.attendance import attendance_summary_rows
+    summ = attendance_summary_rows(T.attendance, p)
+    return _for_each_rule(summ, _band_rules(rules, 101, 200)).orderBy("level", "rule_id", "group_name")
+
+
+def group_notice_summary(T: Tables, rules: DataFrame) -> DataFrame:
+    """N2 + N7 for the unmaintained-group band (levels 201-300): per rule in
+    force, recipients, number of people without a group, status."""
+    n = group_unmaintained_count(T.people)
+    st = F.when(c("unmaintained_count") > 0, F.lit("sent")).otherwise(F.lit("no data"))
+    return (_for_each_rule(n, _band_rules(rules, 201, 300))
+            .withColumn("status", st).orderBy("level", "rule_id"))
+
+
 def group_unmaintained(people: DataFrame) -> DataFrame:
     """People with no group (NULL or ''), with the total on every row."""
     return (people.where(is_blank("group_id")).select("code", "name", "group_id")
@@ -303,3 +350,37 @@ SELECT count(*) AS unmaintained_count FROM people WHERE group_id IS NULL OR grou
 """)
 def q_group_unmaintained_count(spark, d):
     return group_unmaintained_count(Tables(spark, d).people)
+
+
+_BAND_SQL = """SELECT rule_id, level, {recip} AS recipient_count FROM report_rules
+WHERE is_active AND trim(user_ids) <> '' AND level BETWEEN {lo} AND {hi}
+  AND (enterprise_id IS NULL OR enterprise_id = 'ent-1') AND (org_id IS NULL OR org_id = 'org-1')"""
+
+
+def _attendance_rule_sql():
+    from rosterline.plans.attendance import _CNT, _ROWS, _fin_sql
+    summ = _fin_sql("group_name,", f"SELECT group_name, {_CNT} FROM ({_ROWS}) r GROUP BY group_name")
+    return f"""
+WITH r AS ({_BAND_SQL.format(recip=_RECIP, lo=101, hi=200)}), s AS ({summ})
+SELECT r.rule_id, r.level, r.recipient_count, s.* FROM r, s WHERE r.recipient_count > 0
+ORDER BY r.level, r.rule_id, s.group_name
+"""
+
+
+@query("attendance_rule_summary", _attendance_rule_sql())
+def q_attendance_rule_summary(spark, d):
+    T = Tables(spark, d)
+    return attendance_rule_summary(T, T.report_rules)
+
+
+@query("group_notice_summary", f"""
+WITH r AS ({_BAND_SQL.format(recip=_RECIP, lo=201, hi=300)}),
+n AS (SELECT count(*) AS unmaintained_count FROM people WHERE group_id IS NULL OR group_id = '')
+SELECT r.rule_id, r.level, r.recipient_count, n.unmaintained_count,
+       CASE WHEN n.unmaintained_count > 0 THEN 'sent' ELSE 'no data' END AS status
+FROM r, n WHERE r.recipient_count > 0
+ORDER BY r.level, r.rule_id
+""")
+def q_group_notice_summary(spark, d):
+    T = Tables(spark, d)
+    return group_notice_summary(T, T.report_rules)

@@ -96,3 +96,31 @@ def test_rename_and_top_n(spark):
     assert [r.k for r in top_n(df, 2, "k").collect()] == [1, 2]
     with pytest.raises(ValueError):
         top_n(df, 2)
+
+
+def test_level5_rules_get_only_their_own_keeper(spark, sf_small):
+    T = Tables(spark, sf_small)
+    names = list(R.P.keeper_level5[:2])
+    rules = spark.createDataFrame(
+        [("k1", 5, "u1", None, None, True, names[0]), ("k2", 5, "u2", None, None, True, names[1]),
+         ("k3", 5, "u3", None, None, True, None)],
+        REPORT_RULE_SCHEMA + ", keeper_name string")
+    rows, failures = R.rule_rows(T, rules)
+    assert failures == []
+    got = {}
+    for r in rows.select("rule_id", "keeper_name").collect():
+        got.setdefault(r.rule_id, set()).add(r.keeper_name)
+    allowed = set(R.P.keeper_level5)
+    assert got.get("k1", set()) <= {names[0]} and got.get("k2", set()) <= {names[1]}
+    assert got.get("k3", set()) <= allowed
+    total5 = R.pick_level(T, 5).count()
+    assert rows.where(c("rule_id") == "k3").count() == total5      # no name: every level-5 row
+
+
+def test_band_summaries_attach_every_rule(spark, sf_small):
+    T = Tables(spark, sf_small)
+    s = R.attendance_rule_summary(T, T.report_rules)
+    groups = AT.attendance_by_group(T.attendance).count()
+    assert s.count() == groups and {r.rule_id for r in s.select("rule_id").collect()} <= {"r7"}
+    g = R.group_notice_summary(T, T.report_rules).collect()
+    assert [r.rule_id for r in g] == ["r8"] and g[0].unmaintained_count == R.group_unmaintained(T.people).count()
