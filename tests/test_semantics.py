@@ -158,3 +158,29 @@ def test_trimmed_join_finds_padded_keys(spark):
 def test_default_params_are_the_fixture_values():
     assert DEFAULT_PARAMS.dept_names() == ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
     assert DEFAULT_PARAMS.protected_groups == ("NATION_7", "NATION_8")
+
+
+def test_one_account_logon_outcomes(spark):
+    from rosterline.plans import credentials as CR
+    accts = spark.createDataFrame([("a1", "C1", "x", 0, 1, "o", "e"), ("a2", "C2", "y", 0, 1, "o", "e"),
+                                   ("a3", "C3", "z", 1, 1, "o", "e")], ACCTS)
+    logons = spark.createDataFrame([("a1", "a1", "h", "k")], "id string, user_id string, password_hash string, "
+                                                               "secret_key string")
+    out = {u: CR.logon_insert_one(accts, logons, u).first().outcome for u in ("a1", "a2", "a3")}
+    assert out == {"a1": "exists", "a2": "inserted", "a3": "not_live"}
+
+
+def test_one_account_credential_reset(spark):
+    from rosterline.plans import credentials as CR
+    accts = spark.createDataFrame([("a1", "C1", "x", None, 1, "o", "e"), ("a2", "C2", "y", 0, 1, "o", "e")], ACCTS)
+    logons = spark.createDataFrame([("a1", "a1", "old", None), ("a2", "a2", "", "kk")],
+                                   "id string, user_id string, password_hash string, secret_key string")
+    ch, found = CR.cred_reset_one(logons, accts, "a1")
+    r = ch.rows.collect()
+    assert len(r) == 1 and r[0].password_hash != "old" and len(r[0].secret_key) == 16
+    assert found.first().has_logon is True
+    ch2, found2 = CR.cred_reset_one(logons, accts, "nobody")
+    assert ch2.count() == 0 and found2.first().has_logon is False
+    # the same account through the all-accounts form gets the same digest
+    full = {x.id: x.password_hash for x in CR.cred_backfill(logons, accts, update_all=True).rows.collect()}
+    assert full["a1"] == r[0].password_hash
