@@ -206,12 +206,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self._cache = Tables._shared.setdefault((id(spark), self.sf_dir), {})
+        key = (id(spark), spark.sparkContext.applicationId, self.sf_dir)
+        self._cache = Tables._shared.setdefault(key, {})
 
     @classmethod
     def forget(cls, sf_dir: str | None = None):
         for k in list(cls._shared):
-            if sf_dir is None or k[1] == sf_dir.rstrip("/"):
+            if sf_dir is None or k[2] == sf_dir.rstrip("/"):
                 del cls._shared[k]
 
     def __getattr__(self, name) -> DataFrame:
