@@ -185,6 +185,22 @@ def due_days(spark: SparkSession, ledger: DataFrame, first_day: str, today: str)
     return days.join(done, "day", "left_anti").orderBy("day")
 
 
+def mark_run_done(spark: SparkSession, ledger: DataFrame, day: str, results: DataFrame | None = None,
+                  base: str | None = None) -> DataFrame:
+    """Record that the run of ``day`` completed -- also when some tasks
+    failed, as the reference does -- with the number of failed tasks. The
+    ledger is a table in the shared folder (the reference keeps the mark in
+    memory only, so a restart forgets it). A day already in the ledger is not
+    added twice."""
+    failed = results.where(~F.col("success")).count() if results is not None else 0
+    row = spark.createDataFrame([(day, failed)], "run_day string, failed_tasks long") \
+        .select(F.to_date("run_day").alias("run_day"), "failed_tasks")
+    new = row.join(ledger.select("run_day"), "run_day", "left_anti")
+    # a new version folder per write: never overwrite the folder being read
+    return commit(ledger.unionByName(new, allowMissingColumns=True), spark, "sync_run_ledger",
+                  f"{day.replace('-', '')}-{uuid.uuid4().hex[:8]}", base)
+
+
 def tables_for(spark, d) -> dict:
     T = Tables(spark, d)
     return {"roster": T.roster, "accounts": T.accounts, "logons": T.logons, "people": T.people}

@@ -70,6 +70,19 @@ def test_run_ledger_catches_up_missed_days(spark):
     assert got == ["2024-01-02", "2024-01-04"]
 
 
+def test_run_ledger_marks_a_day_once_even_with_failures(spark):
+    import datetime as dt
+    ledger = spark.createDataFrame([(dt.date(2024, 1, 1), 0)], "run_day date, failed_tasks long")
+    res = spark.createDataFrame([(1, "x", False, 0, "m", "e", 1), (2, "y", True, 3, "m", None, 1)],
+                                PL.SYNC_RESULT_SCHEMA)
+    l2 = PL.mark_run_done(spark, ledger, "2024-01-02", res)
+    assert sorted((r.run_day.isoformat(), r.failed_tasks) for r in l2.collect()) == [
+        ("2024-01-01", 0), ("2024-01-02", 1)]
+    l3 = PL.mark_run_done(spark, l2, "2024-01-02", res)
+    assert l3.count() == 2
+    assert PL.due_days(spark, l3, "2024-01-01", "2024-01-03").first().day.isoformat() == "2024-01-03"
+
+
 def test_log_rows_are_appended(spark, sf_small):
     from rosterline.sources.standins import Tables
     log = Tables(spark, sf_small).system_log
