@@ -10,6 +10,8 @@ lost executor or a replayed step cannot leave half a version behind.
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ def commit(df: DataFrame, spark: SparkSession, name: str, version: str, base: st
     """Write ``df`` as version ``version`` of table ``name`` and return the
     DataFrame read back from it (this also cuts the lineage)."""
     path = version_path(spark, name, version, base)
+    target = urlparse(path).path.rstrip("/") + "/"
+    if any(urlparse(f).path.startswith(target) for f in df.inputFiles()):
+        raise ValueError(f"refusing to overwrite {path}: the data being written is read from it")
     if paths is not None:
         paths[name] = path
     w = df.write.mode("overwrite")

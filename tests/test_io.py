@@ -39,3 +39,12 @@ def test_materialize_registers_a_view(spark):
     df = materialize(spark.range(3), "tmp_three")
     assert spark.sql("SELECT count(*) AS n FROM tmp_three").first().n == 3
     df.unpersist()
+
+
+def test_commit_refuses_to_overwrite_its_own_input(spark, tmp_path):
+    import pytest
+    base = str(tmp_path)
+    v1 = commit(spark.range(3), spark, "t", "1", base)
+    with pytest.raises(ValueError):
+        commit(v1, spark, "t", "1", base)
+    assert v1.count() == 3
