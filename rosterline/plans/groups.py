@@ -581,13 +581,6 @@ def q_group_fill_remaining(spark, d):
     return group_fill_remaining(T.people, T.personnel)
 
 
-@query("group_dim_list", """
-SELECT id, group_name, 'available group' AS description FROM groups_dim ORDER BY group_name
-""")
-def q_group_dim_list(spark, d):
-    return group_dim_list(Tables(spark, d).groups_dim)
-
-
 @query("group_chain_counts", """
 SELECT 'blank_groups' AS check_name, count(*) AS cnt FROM people WHERE group_id IS NULL OR group_id = ''
 UNION ALL SELECT 'code_matches', count(*) FROM people b JOIN personnel per ON b.code = per.employee_id

@@ -124,3 +124,9 @@ def test_band_summaries_attach_every_rule(spark, sf_small):
     assert s.count() == groups and {r.rule_id for r in s.select("rule_id").collect()} <= {"r7"}
     g = R.group_notice_summary(T, T.report_rules).collect()
     assert [r.rule_id for r in g] == ["r8"] and g[0].unmaintained_count == R.group_unmaintained(T.people).count()
+
+
+def test_group_dim_list_sorted_by_name(spark, sf_small):
+    from rosterline.plans import groups as G
+    g = [r.group_name for r in G.group_dim_list(Tables(spark, sf_small).groups_dim).collect()]
+    assert g == sorted(g) and len(g) == 23
