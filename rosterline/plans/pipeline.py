@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
         # Q12 before any update: duplicate business keys make joins fan out.
         t0 = time.time()
         keyed = (("roster", "empcode"), ("accounts", "account"), ("people", "code"))
-        dup = all_duplicate_keys(_Dict(base_tables), keyed)
+        dup = all_duplicate_keys(SimpleNamespace(**base_tables), keyed)
         n = dup.count()
         results.append((0, "duplicate_keys", True, n, f"{n} duplicated business keys", None,
                         int((time.time() - t0) * 1000)))
@@ -152,14 +153,6 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
     return final, res
 
 
-class _Dict:
-    def __init__(self, d):
-        self._d = d
-
-    def __getattr__(self, k):
-        return self._d[k]
-
-
 def sync_report(results: DataFrame) -> DataFrame:
     """Totals (affected rows of successes only; duration of all) and the
     per-task lines in step order, as one row."""
