@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from rosterline.functions.exprs import classify, diff_text, differs, is_blank
 from rosterline.operators.audit import missing_from, weighted
 from rosterline.operators.change import Change, update_from
+from rosterline.operators.frames import broadcast_if_small
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.registry import query
 from rosterline.sources.standins import Tables
@@ -27,14 +28,14 @@ P = DEFAULT_PARAMS
 
 def _chain(personnel: DataFrame, groups: DataFrame) -> DataFrame:
     """J6 last hop: personnel rows with the dimension id of their group name."""
-    g = groups.select(c("id").alias("gid"), c("group_name").alias("gname"))
+    g = broadcast_if_small(groups, c("id").alias("gid"), c("group_name").alias("gname"))
     return personnel.join(g, personnel["group_name"] == g["gname"]).select(
         "employee_id", "group_name", "gid", "gname")
 
 
 def _with_current(people: DataFrame, groups: DataFrame) -> DataFrame:
     """The person's current group name (dimension under a second role)."""
-    cur = groups.select(c("id").alias("_cur_id"), c("group_name").alias("_cur_name"))
+    cur = broadcast_if_small(groups, c("id").alias("_cur_id"), c("group_name").alias("_cur_name"))
     return people.join(cur, people["group_id"] == cur["_cur_id"], "left").drop("_cur_id")
 
 
@@ -82,7 +83,7 @@ def people_group_fix_mismatch(people, personnel, groups, p: SyncParams = P) -> C
 
 def _pg(people, groups):
     """people LEFT JOIN dimension ON group_id: adds ``people_group``."""
-    g = groups.select(c("id").alias("_gid"), c("group_name").alias("people_group"))
+    g = broadcast_if_small(groups, c("id").alias("_gid"), c("group_name").alias("people_group"))
     return people.join(g, people["group_id"] == g["_gid"], "left").drop("_gid")
 
 
@@ -106,7 +107,7 @@ def group_compare(people, personnel, groups) -> DataFrame:
 
 def group_compare_inner(people, personnel, groups) -> DataFrame:
     """Both sides present (inner joins)."""
-    g = groups.select(c("id").alias("_gid"), c("group_name").alias("people_group"))
+    g = broadcast_if_small(groups, c("id").alias("_gid"), c("group_name").alias("people_group"))
     j = people.join(g, people["group_id"] == g["_gid"]).join(_per(personnel), c("code") == c("employee_id"))
     pg, per = c("people_group"), c("personnel_group")
     label = classify([(pg == per, "matched"), (pg.isNull() & per.isNotNull(), "people group empty"),
@@ -190,7 +191,7 @@ def group_profile(people, personnel, groups) -> DataFrame:
 
 def _fill_base(people, personnel, groups, blank_mode=False):
     """people JOIN personnel LEFT JOIN dimension ON personnel group name."""
-    g = groups.select(c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
+    g = broadcast_if_small(groups, c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
     j = people.join(_per(personnel), c("code") == c("employee_id")) \
         .join(g, c("personnel_group") == c("target_group_name"), "left")
     miss = is_blank("group_id") if blank_mode else c("group_id").isNull()
@@ -217,7 +218,7 @@ def group_fill_unknown(people, personnel, groups, blank_mode=False) -> DataFrame
 def group_fix_preview(people, personnel, groups) -> DataFrame:
     """What U4b would do (target group must exist: inner join)."""
     tgt = _with_current(people, groups)
-    g = groups.select(c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
+    g = broadcast_if_small(groups, c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
     j = tgt.join(_per(personnel), c("code") == c("employee_id")).join(g, c("personnel_group") == c("target_group_name"))
     blank = is_blank("group_id")
     fix = (~blank) & c("_cur_name").isNotNull() & (c("_cur_name") != c("personnel_group"))
@@ -239,7 +240,7 @@ def group_mismatch_preview(people, personnel, groups, p: SyncParams = P, remaini
     if remaining:
         return (j.where(cond).select("code", "name", c("_cur_name").alias("current_group_name"), "personnel_group",
                                      F.lit("still differs").alias("status")))
-    g = groups.select(c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
+    g = broadcast_if_small(groups, c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
     j = j.join(g, c("personnel_group") == c("target_group_name"))
     return (j.where(cond).select("code", "name", c("group_id").alias("current_group_id"),
                                  c("_cur_name").alias("current_group_name"), "employee_id", "personnel_name",
@@ -248,7 +249,7 @@ def group_mismatch_preview(people, personnel, groups, p: SyncParams = P, remaini
 
 
 def _fill_base_w(people, personnel, groups):
-    g = groups.select(c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
+    g = broadcast_if_small(groups, c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
     j = people.join(_per_w(personnel), c("code") == c("employee_id")) \
         .join(g, c("personnel_group") == c("target_group_name"), "left")
     return j.where(c("group_id").isNull() & c("personnel_group").isNotNull())
@@ -321,7 +322,7 @@ def group_sizes(personnel) -> DataFrame:
 
 def group_name_match(personnel, groups) -> DataFrame:
     """Distinct personnel group names, found / not found in the dimension."""
-    g = groups.select(c("id").alias("dim_group_id"), c("group_name").alias("dim_group_name"))
+    g = broadcast_if_small(groups, c("id").alias("dim_group_id"), c("group_name").alias("dim_group_name"))
     j = personnel.where(c("group_name").isNotNull()).join(g, c("group_name") == c("dim_group_name"), "left")
     st = F.when(c("dim_group_name").isNotNull(), F.lit("found")).otherwise(F.lit("not found"))
     return (j.select(c("group_name").alias("personnel_group"), st.alias("match_status"),

@@ -114,28 +114,33 @@ def rule_rows(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100),
     """Every rule in force, through the registered report of its level,
     rows tagged with rule id and level. Returns (rows, failures).
 
-    The rule table is configuration (a handful of rows): its levels are read
-    on the driver to choose which tests to evaluate, the report rows never
-    are. A rule whose level has no registered report is recorded and skipped.
-    The join of the tagged rows with the rules in force is on the level; the
-    rules side is a small local relation, broadcast under the session's
-    checked threshold.
+    The rule table is configuration (a handful of rows): it is read on the
+    driver to choose which tests to evaluate; the report rows never are. A
+    rule whose level has no registered report is recorded and skipped. The
+    rules of each level are attached to the tagged rows as a literal array
+    that is exploded -- a projection, not a join on the (five-valued) level,
+    which would put every row of one level into one task. A rule may name
+    its own keeper (several level-5 rules, one name each).
     """
-    rif = rules_in_force(rules, band[0], band[1], enterprise_id, org_id).select("rule_id", "level")
-    conf = rif.collect()
+    has_keeper = "keeper_name" in rules.columns
+    cols = ["rule_id", "level"] + (["keeper_name"] if has_keeper else [])
+    conf = rules_in_force(rules, band[0], band[1], enterprise_id, org_id).select(*cols).collect()
     failures = [(r.rule_id, r.level, f"KeyError: no registered report for level {r.level}")
                 for r in conf if r.level not in LEVELS]
-    levels = sorted({r.level for r in conf if r.level in LEVELS})
-    tagged = pick_tagged(T, p, levels)
-    r = rules_in_force(rules, band[0], band[1], enterprise_id, org_id)
-    r = r.where(c("level").isin(levels) if levels else F.lit(False))
-    if "keeper_name" in rules.columns:
-        # a rule may name its own keeper (several level-5 rules, one name each)
-        r = r.select("rule_id", c("level").alias("_rl"), c("keeper_name").alias("_rk"))
-        out = tagged.join(r, (c("level") == c("_rl")) & (c("_rk").isNull() | (c("keeper_name") == c("_rk"))))
-    else:
-        out = tagged.join(rif.where(c("level").isin(levels) if levels else F.lit(False)), "level")
-    return out.select("rule_id", "level", *BASE_COLS, "keeper_name"), failures
+    by_level = {}
+    for r in conf:
+        if r.level in LEVELS:
+            rk = r["keeper_name"] if has_keeper else None
+            by_level.setdefault(r.level, []).append(
+                F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(rk).cast("string").alias("rk")))
+    tagged = pick_tagged(T, p, sorted(by_level))
+    empty = F.array().cast("array<struct<rule_id:string,rk:string>>")
+    per_level = empty
+    for lv in sorted(by_level, reverse=True):
+        per_level = F.when(c("level") == lv, F.array(*by_level[lv])).otherwise(per_level)
+    out = (tagged.select("*", F.explode(per_level).alias("_r"))
+                 .where(c("_r.rk").isNull() | (c("keeper_name") == c("_r.rk"))))
+    return out.select(c("_r.rule_id").alias("rule_id"), "level", *BASE_COLS, "keeper_name"), failures
 
 
 def _summary_all(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100),

@@ -1,6 +1,7 @@
 """Plan guards: what every registered query must (not) contain at scale."""
 
 import contextlib
+import re
 import io
 
 import pytest
@@ -51,3 +52,27 @@ def test_picking_filters_pushed_and_columns_pruned(spark, sf_small, tmp_path):
 def test_scope_filter_reaches_the_scan(spark, sf_small):
     p = plan(E.queries()["acct_insert_missing"](spark, sf_small))
     assert "PushedFilters: [In(c_mktsegment" in p
+
+
+GROUP_KEYS = ["group_compare", "group_profile", "people_group_fill_or_fix", "group_fill_preview",
+              "group_mismatch_preview", "group_name_match", "group_fill_profile"]
+
+
+@pytest.mark.parametrize("key", GROUP_KEYS)
+def test_no_shuffle_join_on_a_group_key(spark, sf_small, key):
+    """Group ids / names have few values: the dimension must be broadcast (its
+    size is checked), even when the size thresholds would not allow it."""
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        p = plan(E.queries()[key](spark, sf_small))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    smj = [ln for ln in p.splitlines() if "SortMergeJoin" in ln]
+    assert not [ln for ln in smj if re.search(r"SortMergeJoin \[[^\]]*(group|gid|gname|_cur_id|dim_)", ln)], smj
