@@ -20,6 +20,11 @@ TASKS = (
 )
 
 
+def dedup_ordered(items) -> list:
+    """A5: distinct items, first-seen order, ordinal comparison (tiny config lists)."""
+    return list(dict.fromkeys(items))
+
+
 @dataclass(frozen=True)
 class SyncParams:
     # ordered (department, factory) pairs; first matching entry wins
@@ -58,7 +63,7 @@ class SyncParams:
         names = [d.strip() for d, _ in self.dept_map if d and d.strip()]
         if not names:
             raise ValueError("dept_map needs at least one non-empty department name")
-        return list(dict.fromkeys(names))
+        return dedup_ordered(names)
 
     def dept_pairs(self) -> list:
         return [(d.strip(), f if f is not None else "") for d, f in self.dept_map
