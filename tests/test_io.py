@@ -48,3 +48,25 @@ def test_commit_refuses_to_overwrite_its_own_input(spark, tmp_path):
     with pytest.raises(ValueError):
         commit(v1, spark, "t", "1", base)
     assert v1.count() == 3
+
+
+def test_cli_sync_and_query(spark, sf_small, tmp_path, capsys):
+    import json
+    from rosterline.__main__ import main
+    from rosterline.sources.standins import Tables
+    T = Tables(spark, sf_small)
+    conf = {"tables": {}, "params": {"dept_map": [{"dept": "BUILDING", "factory": "1060"}]},
+            "out": str(tmp_path / "out")}
+    for name in ("roster", "accounts", "logons", "people"):
+        path = str(tmp_path / name)
+        getattr(T, name).write.parquet(path)
+        conf["tables"][name] = {"path": path}
+    cfg = tmp_path / "conf.json"
+    cfg.write_text(json.dumps(conf))
+    assert main(["--master", "local[8]", "sync", "--config", str(cfg)]) == 0
+    out = capsys.readouterr().out
+    assert "1 acct_insert_missing: ok" in out and "accounts:" in out
+    assert spark.read.parquet(str(tmp_path / "out" / "results")).count() == 8
+    assert main(["--master", "local[8]", "query", "link_profile", "--data", sf_small,
+                 "--out", str(tmp_path / "q")]) == 0
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 1
