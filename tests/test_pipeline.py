@@ -63,6 +63,15 @@ def test_parallel_steps_equal_sequential_steps(spark, sf_small):
     assert _snapshot(tp) == _snapshot(ts)
 
 
+def test_uncompacted_run_equals_compacted_run(spark, sf_small):
+    paths = {}
+    tu, ru = PL.run_sync(spark, PL.tables_for(spark, sf_small), compact=False, paths=paths)
+    tc, rc = PL.run_sync(spark, PL.tables_for(spark, sf_small))
+    assert _snapshot(tu) == _snapshot(tc)
+    assert [k for k, _ in paths["people_deltas"]] == ["insert", "update", "update"]
+    assert not any(k in paths for k in ("accounts", "people", "logons"))     # nothing compacted
+
+
 def test_run_ledger_catches_up_missed_days(spark):
     import datetime as dt
     ledger = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 3),)], "run_day date")
