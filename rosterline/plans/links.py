@@ -135,10 +135,10 @@ def link_profile(people, accounts) -> DataFrame:
       total = sum max(n_all, 1); null = the same for NULL links;
       matched = n(code, link); mismatched = n_with_id - n(code, link).
     """
-    per_code = accounts.groupBy(c("account").alias("_k")).agg(
-        F.count(F.lit(1)).alias("_n_all"), F.count("id").alias("_n_id"))
-    per_id = weighted(accounts.where(c("id").isNotNull()).select(c("account").alias("_k2"), c("id").alias("_v")),
-                      ["_k2", "_v"], "_n_v")
+    by_id = weighted(accounts.select(c("account").alias("_k2"), c("id").alias("_v")), ["_k2", "_v"], "_n_v")
+    per_code = by_id.groupBy(c("_k2").alias("_k")).agg(      # from the same aggregate: one scan
+        F.sum("_n_v").alias("_n_all"), F.sum(F.when(c("_v").isNotNull(), c("_n_v")).otherwise(0)).alias("_n_id"))
+    per_id = by_id.where(c("_v").isNotNull())
     j = (people.join(per_code, c("code") == c("_k"), "left")
                .join(per_id, (c("code") == c("_k2")) & (c("sys_user") == c("_v")), "left"))
     su = c("sys_user")
