@@ -52,7 +52,7 @@ def cmd_query(args) -> int:
 
 def cmd_sync(args) -> int:
     from rosterline.params import SyncParams
-    from rosterline.plans.pipeline import run_sync, sync_report
+    from rosterline.plans.sync import run_sync, sync_report
     from rosterline.sources.tables import TableSpec, read_table
     with open(args.config, encoding="utf-8") as f:
         conf = json.load(f)

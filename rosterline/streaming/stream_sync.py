@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from rosterline.params import DEFAULT_PARAMS, SyncParams
-from rosterline.plans.pipeline import run_sync
+from rosterline.plans.sync import run_sync
 from rosterline.session import checkpoint_dir
 from rosterline.sources.sinks import commit
 

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from rosterline.params import DEFAULT_PARAMS
-from rosterline.plans import pipeline as PL
+from rosterline.plans import sync as PL
 from rosterline.streaming.stream_sync import stream_sync
 
 c = F.col
