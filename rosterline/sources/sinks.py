@@ -22,6 +22,14 @@ def table_root(spark: SparkSession, name: str, base: str | None = None) -> str:
     return f"{(base or checkpoint_dir(spark)).rstrip('/')}/tables/{name}"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, through the Hadoop file system of the path
+    (works for local, HDFS and object-store folders alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def version_path(spark: SparkSession, name: str, version: str, base: str | None = None) -> str:
     return f"{table_root(spark, name, base)}/v={version}"
 
@@ -31,9 +39,13 @@ def commit(df: DataFrame, spark: SparkSession, name: str, version: str, base: st
     """Write ``df`` as version ``version`` of table ``name`` and return the
     DataFrame read back from it (this also cuts the lineage)."""
     path = version_path(spark, name, version, base)
-    target = urlparse(path).path.rstrip("/") + "/"
-    if any(urlparse(f).path.startswith(target) for f in df.inputFiles()):
-        raise ValueError(f"refusing to overwrite {path}: the data being written is read from it")
+    # Only a folder that already exists can be one the data is read from; the
+    # (driver-side) list of input files is consulted only in that rare case
+    # (a replayed version), never for a fresh version of a large table.
+    if _exists(spark, path):
+        target = urlparse(path).path.rstrip("/") + "/"
+        if any(urlparse(f).path.startswith(target) for f in df.inputFiles()):
+            raise ValueError(f"refusing to overwrite {path}: the data being written is read from it")
     if paths is not None:
         paths[name] = path
     w = df.write.mode("overwrite")
