@@ -1,7 +1,7 @@
 """Roster files arriving in a folder drive the sync pipeline per micro-batch.
 
 ``readStream`` over the roster folder -> ``foreachBatch``: each batch keeps
-the last row per code (``max_by`` on the change time, an aggregate that
+the last row per code (``max`` of (change time, row), an aggregate that
 combines map-side, so a hot code is pre-aggregated), then runs ``run_sync``
 with the batch as the roster. Every batch writes its deltas and compacted
 tables under version ``b<batch_id>`` in the shared checkpoint folder, and a
@@ -27,9 +27,10 @@ MANAGED = ("accounts", "logons", "people")
 
 
 def last_per_code(batch: DataFrame) -> DataFrame:
-    """Keep the newest row of each code in the batch."""
+    """Keep the newest row of each code in the batch; rows with the same
+    change time are ordered by their values, so the choice repeats."""
     cols = [c for c in batch.columns if c not in ("empcode", "change_ts")]
-    agg = batch.groupBy("empcode").agg(F.max_by(F.struct(*cols), F.col("change_ts")).alias("_r"))
+    agg = batch.groupBy("empcode").agg(F.max(F.struct("change_ts", *cols)).alias("_r"))
     return agg.select("empcode", *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 

@@ -137,3 +137,14 @@ def test_stream_two_batches_equal_one(spark, sf_small):
     assert r_split.select("batch_id").distinct().count() == 2
     assert r_one.select("batch_id").distinct().count() == 1
     assert _snapshot(t_split) == _snapshot(t_one)
+
+
+def test_last_per_code_is_deterministic_on_ties(spark):
+    from rosterline.streaming.stream_sync import last_per_code
+    b = spark.createDataFrame(
+        [("C1", "a", "X", 1, "2024-01-01 00:00:00"), ("C1", "b", "X", 0, "2024-01-01 00:00:00"),
+         ("C1", "z", "X", 1, "2023-12-31 00:00:00"), ("C2", "q", "Y", 1, "2024-01-02 00:00:00")],
+        "empcode string, empname string, gdname4 string, isactive int, change_ts string") \
+        .withColumn("change_ts", F.to_timestamp_ntz("change_ts"))
+    got = sorted(tuple(r) for r in last_per_code(b.repartition(3)).collect())
+    assert got == [("C1", "b", "X", 0), ("C2", "q", "Y", 1)]
