@@ -43,7 +43,7 @@ class SyncParams:
     window_days: int = 15
     log_as_of: str = "2024-01-31 00:00:00"
     retain_days: int = 14
-    attendance_day: str = "20240115"
+    attendance_day: str | None = "20240115"     # None: today
 
     # constants of the scripts
     single_dept: str = "BUILDING"

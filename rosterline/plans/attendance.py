@@ -29,9 +29,11 @@ def status_bucket(col, buckets=ATTENDANCE_BUCKETS, default=ATTENDANCE_UNKNOWN):
     return classify([(s.startswith(prefix), name) for prefix, name in buckets], default)
 
 
-def day_rows(att: DataFrame, day: str) -> DataFrame:
-    """Rows of the report day (``day`` as yyyyMMdd text, X6)."""
-    return att.where(c("work_date") == F.to_date(F.lit(day), "yyyyMMdd"))
+def day_rows(att: DataFrame, day: str | None) -> DataFrame:
+    """Rows of the report day (``day`` as yyyyMMdd text, X6); ``None`` means
+    today (the reference's default), evaluated once per query."""
+    d = F.current_date() if day is None else F.to_date(F.lit(day), "yyyyMMdd")
+    return att.where(c("work_date") == d)
 
 
 def attendance_status_rows(att: DataFrame, p: SyncParams = P) -> DataFrame:

@@ -130,3 +130,13 @@ def test_group_dim_list_sorted_by_name(spark, sf_small):
     from rosterline.plans import groups as G
     g = [r.group_name for r in G.group_dim_list(Tables(spark, sf_small).groups_dim).collect()]
     assert g == sorted(g) and len(g) == 23
+
+
+def test_attendance_day_defaults_to_today(spark):
+    import datetime as dt
+    from rosterline.params import SyncParams
+    today = dt.date.today()
+    att = spark.createDataFrame([(1, "e", today, "G", "normal"), (2, "f", today - dt.timedelta(days=1), "G", "late")],
+                                "row_id long, empcode string, work_date date, group_name string, status string")
+    p = SyncParams(attendance_day=None)
+    assert AT.attendance_total(att, p).first().due == 1
