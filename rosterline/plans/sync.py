@@ -91,14 +91,15 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
     run_id = run_id or uuid.uuid4().hex[:12]
     base_tables = dict(tables)
     results = []
-    if check_keys:
-        # Q12 before any update: duplicate business keys make joins fan out.
+
+    def check_keys_step():
+        # Q12 on the input tables: duplicate business keys make the joins fan
+        # out. It reads only the inputs, so it runs beside the first steps.
         t0 = time.time()
         keyed = (("roster", "empcode"), ("accounts", "account"), ("people", "code"))
-        dup = all_duplicate_keys(SimpleNamespace(**base_tables), keyed)
-        n = dup.count()
-        results.append((0, "duplicate_keys", True, n, f"{n} duplicated business keys", None,
-                        int((time.time() - t0) * 1000)))
+        n = all_duplicate_keys(SimpleNamespace(**base_tables), keyed).count()
+        return (0, "duplicate_keys", True, n, f"{n} duplicated business keys", None, int((time.time() - t0) * 1000))
+
     enabled = [(i, name) for i, name in enumerate(TASKS, start=1) if p.tasks.get(name, True)]
     futures = {}
 
@@ -131,10 +132,13 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
             return None, (i, name, False, 0, f"failed: {type(e).__name__}", str(e)[:2000],
                           int((time.time() - t0) * 1000)), None
 
-    with ThreadPoolExecutor(max_workers=max(1, len(enabled)) if parallel else 1) as pool:
+    with ThreadPoolExecutor(max_workers=len(enabled) + 1 if parallel else 1) as pool:
+        keys_check = pool.submit(check_keys_step) if check_keys else None
         for i, name in enabled:               # submitted in step order; each waits for its inputs
             futures[i] = pool.submit(run_step, i, name)
         outcomes = {i: futures[i].result() for i, _ in enabled}      # (after, result row, delta)
+        if keys_check is not None:
+            results.append(keys_check.result())
         results += [outcomes[i][1] for i, _ in enabled]
         changed = sorted({STEPS[name][0] for i, name in enabled if outcomes[i][1][2] and outcomes[i][1][3]})
         if paths is not None:
