@@ -33,7 +33,8 @@ def people_link_account(people: DataFrame, accounts: DataFrame, mode: str = "nul
 
 
 def two_smallest_ids(accounts: DataFrame) -> DataFrame:
-    """Per account code, its two smallest account ids (one row each).
+    """Per account code, its two smallest account ids (one row each), plus
+    one NULL-id row when the code has an account without id.
 
     That is all the link update can use: the smallest passing id is the
     smallest id, or the second smallest when the person already points at
@@ -46,7 +47,11 @@ def two_smallest_ids(accounts: DataFrame) -> DataFrame:
     m2 = (a.join(m1, "account").where(c("id") > c("_id1"))
            .groupBy("account").agg(F.min("id").alias("_id2")))
     first = m1.select("account", c("_id1").alias("id"))
-    return first.unionByName(m2.select("account", c("_id2").alias("id")))
+    # an account without id still matches a person whose link is NULL (the
+    # link is then "set" to NULL and counted): one such row per code
+    no_id = (accounts.where(c("id").isNull()).select("account").distinct()
+             .select("account", F.lit(None).cast("string").alias("id")))
+    return first.unionByName(m2.select("account", c("_id2").alias("id"))).unionByName(no_id)
 
 
 def _pair_cols(label):

@@ -184,3 +184,12 @@ def test_one_account_credential_reset(spark):
     # the same account through the all-accounts form gets the same digest
     full = {x.id: x.password_hash for x in CR.cred_backfill(logons, accts, update_all=True).rows.collect()}
     assert full["a1"] == r[0].password_hash
+
+
+def test_null_account_id_sets_null_link_and_counts(spark):
+    people = spark.createDataFrame([("p1", "C1", "n", None, 0, None), ("p2", "C2", "n", "x", 0, None)], PEOPLE)
+    accts = spark.createDataFrame([(None, "C1", "x", 0, 1, "o", "e"), (None, "C2", "y", 0, 1, "o", "e")], ACCTS)
+    ch = L.people_link_account(people, accts)
+    # p1: link NULL passes "IS NULL" with a NULL id -> updated to NULL, counted;
+    # p2: 'x' <> NULL is unknown -> not updated
+    assert rows(ch.rows, "id", "sys_user") == [("p1", None)]
