@@ -166,8 +166,15 @@ def key_norm(c, trim=False, lower=False) -> Column:
 
 
 # -------------------------------------------------------------------- scalars
+def _id_part(p) -> Column:
+    # injective: NULL -> "N", a value -> "<utf-8 bytes>:<text>" (NULL and ''
+    # differ, a separator inside a value cannot shift the boundaries)
+    v = col(p).cast("string")
+    return F.when(v.isNull(), lit("N")).otherwise(F.concat(F.octet_length(v).cast("string"), lit(":"), v))
+
+
 def _id_input(parts) -> Column:
-    return F.concat_ws("|", *[F.coalesce(col(p).cast("string"), lit("")) for p in parts])
+    return F.concat_ws("|", *[_id_part(p) for p in parts])
 
 
 def stable_id(*parts) -> Column:
@@ -178,7 +185,8 @@ def stable_id(*parts) -> Column:
 
 
 def stable_id_sql(*parts: str) -> str:
-    inner = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts)
+    inner = ", ".join(f"CASE WHEN {p} IS NULL THEN 'N' ELSE CAST(strlen(CAST({p} AS VARCHAR)) AS VARCHAR) "
+                      f"|| ':' || CAST({p} AS VARCHAR) END" for p in parts)
     h = f"md5(concat_ws('|', {inner}))"
     return (f"upper(concat_ws('-', substring({h}, 1, 8), substring({h}, 9, 4), substring({h}, 13, 4), "
             f"substring({h}, 17, 4), substring({h}, 21, 12)))")

@@ -193,3 +193,9 @@ def test_null_account_id_sets_null_link_and_counts(spark):
     # p1: link NULL passes "IS NULL" with a NULL id -> updated to NULL, counted;
     # p2: 'x' <> NULL is unknown -> not updated
     assert rows(ch.rows, "id", "sys_user") == [("p1", None)]
+
+
+def test_stable_id_is_injective_on_null_empty_and_separators(spark):
+    df = spark.createDataFrame([(None, "x"), ("", "x"), ("a|b", "c"), ("a", "b|c")], "p string, q string")
+    ids = [r[0] for r in df.select(X.stable_id("p", "q")).collect()]
+    assert len(set(ids)) == 4
