@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rosterline.llm import chat, sharding, urls
+from rosterline.llm import chat, sharding, spotsigs, urls
 
 REGISTRY = {
     "op3_urls": (urls.op3, None),
+    "op4_fingerprints": (spotsigs.op4, None),
     "op8_sharding": (sharding.op8, None),
     "op10_chat": (chat.op10, chat.OP10_SQL),
 }
