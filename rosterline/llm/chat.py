@@ -65,7 +65,7 @@ def paths(messages: DataFrame, top: int | None = None) -> DataFrame:
     else:
         best = Window.partitionBy("tree").orderBy(F.desc(F.col("sum") / F.col("depth")), "node")
         ranked = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= top)
-    reached = ranked.select("tree", F.col("node").alias("leaf"), "branch", "depth", "node", F.lit(0).cast("bigint").alias("back"))
+    reached = cut(ranked.select("tree", F.col("node").alias("leaf"), "branch", "depth", "node", F.lit(0).cast("bigint").alias("back")))
     for k in reversed(range(len(jumps))):
         hop = jumps[k].toDF("t", "n", "jump")
         further = reached.join(hop, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))) \
@@ -122,7 +122,7 @@ def op10(spark, sf_dir: str) -> DataFrame:
     probe = spark.sql(f"SELECT -7L AS conv_id, turn, role, '{PROBE}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
     said = rows.union(probe).select(F.col("conv_id").alias("tree"), F.row_number().over(order).cast("bigint").alias("node"), "role", "text")
-    links = said.select("tree", "node", (F.col("node") - 1).alias("parent"), F.char_length("text").alias("score"))
+    links = cut(said.select("tree", "node", (F.col("node") - 1).alias("parent"), F.char_length("text").alias("score")))
     chosen = paths(links, top=1)
     where = F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))
     turns = chosen.join(said.toDF("t", "n", "role", "text"), where).select("tree", "leaf", "turn", "role", "text")

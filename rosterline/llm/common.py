@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.session import checkpoint_dir
 
+# Functions that run in Python workers travel with the job, so that the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules["rosterline.llm"])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,9 +32,8 @@ def written(df: DataFrame, what: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small loop state."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """The state of a loop or a small table, without its lineage."""
+    return written(df, "state")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from rosterline.llm import chat, sharding, spotsigs, urls
+from rosterline.llm import chat, langid, sharding, simhash, spotsigs, urls
 
 REGISTRY = {
     "op3_urls": (urls.op3, None),
     "op4_fingerprints": (spotsigs.op4, None),
+    "op6_simhash": (simhash.op6, None),
+    "op7_langid": (langid.op7, None),
     "op8_sharding": (sharding.op8, None),
     "op10_chat": (chat.op10, chat.OP10_SQL),
 }
