@@ -8,23 +8,31 @@ are rejected.
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterline.llm.common import table
 
-DICT_BYTES = 256 << 10      # of a language's dictionary
-SAMPLE_ROWS = 600           # of learning rows of a language that may enter its dictionary
+DICT_BYTES = 128 << 10      # of a language's dictionary
+SAMPLE_ROWS = 400           # of learning rows of a language that may enter its dictionary
 BLOCK = 8 << 10             # characters encoded at once
-LEVEL = 3
+LEVEL = 9
 FULL_MARGIN = 0.10          # share of the second best size that counts as a score of 1
 MIN_SCORE = 0.02            # below it the language is rejected
 UNKNOWN = "und"
+NO_LETTER = re.compile(r"[\W\d_]+")
+
+
+def plain(text: str) -> str:
+    """Lower-case words between single spaces, without digits and marks."""
+    return f" {NO_LETTER.sub(' ', text.lower())} "
 
 
 def learn(texts: DataFrame) -> dict[str, bytes]:
-    """``texts(lang, text)`` to one dictionary a language.
+    """``texts(lang, text)`` to one dictionary a language, the most frequent language first.
 
     The rows come from hashing the text: a fraction of each language's rows that
     leaves about SAMPLE_ROWS of them, in hash order until DICT_BYTES are full.
@@ -35,13 +43,13 @@ def learn(texts: DataFrame) -> dict[str, bytes]:
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "l")
     drawn = rows.withColumn("h", F.xxhash64("text")).join(counts, F.col("lang") == F.col("l")) \
         .where(F.pmod("h", F.lit(1 << 31)) / float(1 << 31) <= SAMPLE_ROWS / F.col("n")) \
-        .select("lang", "h", F.substring("text", 1, DICT_BYTES).alias("text")).distinct()
+        .select("lang", "n", "h", F.substring("text", 1, DICT_BYTES).alias("text")).distinct()
     order = Window.partitionBy("lang").orderBy("h", "text")
     kept = drawn.withColumn("before", F.sum(F.octet_length("text")).over(order) - F.octet_length("text")) \
-        .where(F.col("before") < DICT_BYTES).groupBy("lang") \
-        .agg(F.substring(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("before", "text"))), lambda x: x["text"]), "\n"),
-                         1, DICT_BYTES).alias("text"))
-    return {r["lang"]: r["text"].lower().encode() for r in kept.collect()}
+        .where(F.col("before") < DICT_BYTES).groupBy("lang", "n").agg(F.array_sort(F.collect_list(F.struct("before", "text"))).alias("all")) \
+        .select("lang", "n", F.substring(F.array_join(F.transform("all", lambda x: x["text"]), "\n"), 1, DICT_BYTES).alias("text"))
+    found = sorted(kept.collect(), key=lambda r: (-r["n"], r["lang"]))
+    return {r["lang"]: plain(r["text"]).encode()[:DICT_BYTES] for r in found}
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:
@@ -59,22 +67,22 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
     def encode(batches):
         import zstandard
-        names = sorted(shared.value)
+        names = list(shared.value)         # ties go to the more frequent language
         coders = []
         for n in names:
             d = zstandard.ZstdCompressionDict(shared.value[n], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
             coders.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False))
-        plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
+        alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
         def judge(t):
             if not names or t is None or not any(map(str.isalpha, t)):
                 return UNKNOWN, 0.0
-            t = t.lower()
+            t = plain(t)
             blocks = [t[i:i + BLOCK].encode() for i in range(0, len(t), BLOCK)]
             sizes = [sum(len(c.compress(b)) for b in blocks) for c in coders]
             best = min(range(len(names)), key=sizes.__getitem__)
-            rest = sizes[:best] + sizes[best + 1:] or [sum(len(plain.compress(b)) for b in blocks)]
+            rest = sizes[:best] + sizes[best + 1:] or [sum(len(alone.compress(b)) for b in blocks)]
             second = max(1, min(rest))
             return names[best], min(1.0, max(0, second - sizes[best]) / second / FULL_MARGIN)
 
