@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rosterline.llm import chat, langid, packing, sharding, simhash, spotsigs, urls
+from rosterline.llm import chat, decontam, langid, packing, sharding, simhash, spotsigs, urls
 
 REGISTRY = {
     "op1_packing": (packing.op1, None),
+    "op2_decontam": (decontam.op2, None),
     "op3_urls": (urls.op3, None),
     "op4_fingerprints": (spotsigs.op4, None),
     "op6_simhash": (simhash.op6, None),
