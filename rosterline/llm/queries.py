@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rosterline.llm import chat, decontam, langid, packing, sharding, simhash, spotsigs, urls
+from rosterline.llm import chat, decontam, langid, lines, packing, sharding, simhash, spotsigs, urls
 
 REGISTRY = {
     "op1_packing": (packing.op1, None),
@@ -12,6 +12,7 @@ REGISTRY = {
     "op6_simhash": (simhash.op6, None),
     "op7_langid": (langid.op7, None),
     "op8_sharding": (sharding.op8, None),
+    "op9_lines": (lines.op9, None),
     "op10_chat": (chat.op10, chat.OP10_SQL),
 }
 
