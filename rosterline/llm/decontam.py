@@ -19,7 +19,7 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rosterline.llm.common import table
 
@@ -149,6 +149,32 @@ class Index:
         return [(d, i, e, p) for (d, i), (e, p) in best.items()]
 
 
+def _blocks(benchmark: DataFrame):
+    """Items of the benchmark in words form, in blocks of about BLOCK_CHARS characters; at least one block."""
+    block, size, any_ = [], 0, False
+    for row in benchmark.select("item_id", "text").toLocalIterator():      # one partition at a time
+        block.append((row["item_id"], words(row["text"])))
+        size += len(block[-1][1])
+        if size >= BLOCK_CHARS:
+            yield block
+            block, size, any_ = [], 0, True
+    if block or not any_:
+        yield block
+
+
+def _found(block, batches, text):
+    """(batch, rows of it, their leaks) for parts of about CHUNK characters."""
+    index = Index(block)
+    for batch in batches:
+        texts, at = batch.column(text), 0
+        while at < len(texts):
+            part, size, first = [], 0, at
+            while at < len(texts) and (not part or size < CHUNK):
+                part.append(words(texts[at].as_py()))
+                size, at = size + len(part[-1]), at + 1
+            yield batch.slice(first, at - first), [(d, index.texts[i][0], e, p) for d, i, e, p in index.leaks(part)]
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` against ``benchmark(item_id, text)``: ``(doc_id, item_id, edits, position)``, one row a leaking pair.
 
@@ -156,42 +182,43 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     region (fewest edits). Items of fewer than Q characters, NULL or empty
     texts match nothing. Rows of a repeated document each get their rows.
     """
-    kind, item = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
-    schema = f"doc_id {kind}, item_id {item}, edits int, position bigint"
+    kind, item = dict(docs.dtypes)["doc_id"], benchmark.schema["item_id"].dataType
+    schema = f"doc_id {kind}, item_id {item.simpleString()}, edits int, position bigint"
+    item_type = to_arrow_type(item)
 
     def against(block):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches):
-            index = Index(shared.value)
-            for batch in batches:
-                keys, texts = batch.column("doc_id"), batch.column("text")
-                at = 0
-                while at < len(texts):
-                    part, size, first = [], 0, at
-                    while at < len(texts) and (not part or size < CHUNK):
-                        part.append(words(texts[at].as_py()))
-                        size, at = size + len(part[-1]), at + 1
-                    rows = index.leaks(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [keys.take(pa.array([first + r[0] for r in rows], pa.int32())), pa.array([index.texts[r[1]][0] for r in rows], pa.int64()),
-                         pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int64())],
-                        names=["doc_id", "item_id", "edits", "position"])
+            for part, rows in _found(shared.value, batches, "text"):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array([r[0] for r in rows], pa.int32())), pa.array([r[1] for r in rows], item_type),
+                     pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int64())],
+                    names=["doc_id", "item_id", "edits", "position"])
         return docs.select("doc_id", "text").mapInArrow(run, schema)
-
-    out, block, size = None, [], 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():      # one partition at a time
-        block.append((row["item_id"], words(row["text"])))
-        size += len(block[-1][1])
-        if size >= BLOCK_CHARS:
-            found, block, size = against(block), [], 0
-            out = found if out is None else out.union(found)
-    if block or out is None:
-        found = against(block)
-        out = found if out is None else out.union(found)
+    out, *more = [against(b) for b in _blocks(benchmark)]
+    for found in more:
+        out = out.union(found)
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` into whose ``text`` no benchmark item leaks, with all their columns; a NULL text stays."""
+    for block in _blocks(benchmark):
+        docs = _without(docs, docs.sparkSession.sparkContext.broadcast(block), text)
+    return docs
+
+
+def _without(docs: DataFrame, shared, text: str) -> DataFrame:
+    def run(batches):
+        import numpy as np
+        for part, rows in _found(shared.value, batches, text):
+            keep = np.ones(part.num_rows, bool)
+            keep[[r[0] for r in rows]] = False
+            yield part.filter(pa.array(keep))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2(spark, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair in which the item leaks."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -94,6 +94,16 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     return docs.mapInArrow(encode, schema)
 
 
+def recognized(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs(text, lang, ...)`` whose language is not rejected, learned from its own ``lang``; all if none was learned."""
+    known = learn(docs.select("lang", "text"))
+    if not known:
+        return docs
+    plain_ = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])       # no name of the table can clash
+    rows = classify(plain_, known, f"c{docs.columns.index('text')}").where("not rejected")
+    return rows.select(*plain_.columns).toDF(*docs.columns)
+
+
 def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 

@@ -256,12 +256,14 @@ def drop_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """
     gone = line_classes(docs.where("doc_id is not null").select("doc_id", "text")).where("repeated").where(F.col("n_chars") >= least)
     gone = gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone")).withColumnRenamed("doc_id", "d")
-    whole = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text").join(gone, F.col("doc_id") == F.col("d"), "left")
+    rest = [c for c in docs.columns if c != "text"]
+    whole = docs.select(F.struct(*rest).alias("row"), "text").join(gone, F.col("row.doc_id") == F.col("d"), "left")
     parts = F.split("text", "\n")
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone")), lambda i: F.get(parts, i))
     whole = whole.withColumn("kept", F.when(F.col("gone").isNotNull(), F.array_join(left, "\n")))
-    whole = whole.where(F.col("kept").isNull() | (F.trim(F.regexp_replace("kept", r"\s+", " ")) != ""))
-    new = {"text": F.coalesce("kept", "row.text"), "n_chars": F.when(F.col("kept").isNull(), F.col("row.n_chars")).otherwise(F.char_length("kept"))}
+    whole = whole.where(F.col("kept").isNull() | F.regexp_like("kept", F.lit(r"\S")))
+    new = {"text": F.coalesce("kept", "text"),
+           "n_chars": F.when(F.col("kept").isNull(), F.col("row.n_chars")).otherwise(F.char_length("kept")) if "n_chars" in rest else None}
     return whole.select(*[(new[c].cast(t) if c in new else F.col("row")[c]).alias(c) for c, t in docs.dtypes])
 
 

@@ -104,6 +104,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return prints.join(named, prints["fp"] == named["f"]).select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The document of smallest doc_id of every component, with all columns of ``docs``.
+
+    Rows of one doc_id are one document: the row of the smallest text stays.
+    Rows without doc_id are not compared and stay.
+    """
+    known = docs.where("doc_id is not null")
+    kept = near_duplicates(known.select("doc_id", "text")).where("doc_id = component_id").select(F.col("doc_id").alias("d")).distinct()
+    rows = known.select(F.struct(*docs.columns).alias("row")).join(kept, F.col("row.doc_id") == F.col("d"), "left_semi")
+    first = Window.partitionBy("row.doc_id").orderBy("row.text")
+    rows = rows.withColumn("n", F.row_number().over(first)).where("n = 1").select("row.*")
+    return rows.union(docs.where("doc_id is null"))
+
+
 def op6(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
