@@ -30,7 +30,7 @@ ANCHORS = ("a", "an", "and", "as", "at", "be", "by", "for", "from", "he", "in",
 CHAIN = 2
 HEX = 6                 # hex digits of a signature in a fingerprint
 THRESHOLD = 0.8
-SLICES = 256            # of the document order, see next_text
+SLICES, SLICE_ROWS = 256, 100_000   # of the document order: at least so many, of about so many rows
 
 
 def _pattern(words) -> str:
@@ -70,6 +70,15 @@ def fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         F.regexp_like(text, F.lit(r"[\p{L}\p{N}]")), F.concat_ws(" ", F.array_sort(sigs))).otherwise(F.lit(""))).drop("units")
 
 
+def packed(print_: Column) -> Column:
+    """A fingerprint as bytes, half the size or less."""
+    return F.unhex(F.replace(print_, F.lit(" "), F.lit("")))
+
+
+def unpacked(bytes_: Column) -> Column:
+    return F.rtrim(F.regexp_replace(F.lower(F.hex(bytes_)), f"(.{{{HEX}}})", "$1 "))
+
+
 def occurrences(print_: Column) -> Column:
     """A fingerprint as a set: each signature with its number among its equals (signature + '#k')."""
     runs = F.regexp_extract_all(F.concat(print_, F.lit(" ")), F.lit(rf"([0-9a-f]{{{HEX}}} )\1*+"), F.lit(0))
@@ -94,28 +103,30 @@ def partitions(longest: int, threshold: float = THRESHOLD) -> list[int]:
     return ends
 
 
-def next_rows(docs: DataFrame, name: str) -> DataFrame:
-    """``docs(doc_id, text, ...)`` with struct ``name``: the next row by descending doc_id, the first one after the last.
+def next_rows(docs: DataFrame, name: str, more) -> DataFrame:
+    """``docs(doc_id, text)`` with what ``more`` adds, and struct ``name``: the next such row by descending doc_id, the first one after the last.
 
     The order is dealt to slices between percentiles of doc_id, so each task
-    sorts one slice; the first row of every slice (at most SLICES + 1 of them)
-    links the slices. Rows with one doc_id follow by text; rows without doc_id
+    sorts one slice; the first row of every slice (one in SLICE_ROWS rows, or
+    SLICES + 1) links the slices. Rows with one doc_id follow by text; rows without doc_id
     come last, by text.
     """
-    marks = docs.agg(F.percentile_approx("doc_id", [i / SLICES for i in range(1, SLICES)], 20 * SLICES).alias("m")).first()["m"]
+    slices = max(SLICES, docs.count() // SLICE_ROWS)
+    marks = docs.agg(F.percentile_approx("doc_id", [i / slices for i in range(1, slices)], 20 * slices).alias("m")).first()["m"]
     marks = F.lit(sorted(set(marks or []))).cast("array<bigint>")
     keyed = docs.withColumn("slice", F.when(F.col("doc_id").isNull(), -1).otherwise(
         F.size(F.filter(marks, lambda m: m <= F.col("doc_id")))).cast("int"))
-    row = F.struct(*docs.columns)
     top = keyed.groupBy("slice").agg(F.max("doc_id").alias("top")).withColumnRenamed("slice", "s")
     first = keyed.join(F.broadcast(top), (F.col("slice") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("top"))) \
-        .groupBy("slice").agg(F.min_by(row, F.col("text")).alias("head"))
+        .groupBy("slice").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    first, keyed = more(first), more(keyed)
+    row = F.struct(*[c for c in keyed.columns if c != "slice"])
     around = Window.orderBy(F.desc("slice"))
     heads = cut(first.select(F.col("slice").alias("s"), F.coalesce(
-        F.lead("head").over(around), F.first("head").over(around)).alias("after")))
+        F.lead(row).over(around), F.first(row).over(around)).alias("after")))
     inside = Window.partitionBy("slice").orderBy(F.col("doc_id").desc_nulls_last(), "text")
     return keyed.withColumn(name, F.lead(row).over(inside)).join(F.broadcast(heads), F.col("slice") == F.col("s")) \
-        .select(*docs.columns, F.coalesce(name, "after").alias(name))
+        .drop("slice", "s").withColumn(name, F.coalesce(name, "after")).drop("after")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -157,14 +168,18 @@ def op4(spark, sf_dir: str) -> DataFrame:
     compared, ``edited_partition`` the edited text's.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = next_rows(fingerprint(docs, "text", "fingerprint"), "next").withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+    def printed(df):
+        return fingerprint(df, "text", "print").withColumn("print", packed(F.col("print")))
+    rows = next_rows(docs, "next", printed).withColumn("n_chars", F.char_length("text").cast("bigint"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - third).cast("int")),
                                               F.substr("next.text", F.lit(1), third)))
-    rows = fingerprint(rows, "edited", "edited_fingerprint")
+    rows = fingerprint(rows, "edited", "edited_fingerprint") \
+        .withColumns({"fingerprint": unpacked(F.col("print")), "next_print": unpacked(F.col("next.print"))})
     rows = rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                        "fingerprint", "edited_fingerprint", *[occurrences(F.col(c)).alias(s) for c, s in (
-                           ("fingerprint", "own"), ("edited_fingerprint", "changed"), ("next.fingerprint", "after"))])
+                           ("fingerprint", "own"), ("edited_fingerprint", "changed"), ("next_print", "after"))])
     ends = F.lit(partitions(1 << 31)).cast("array<bigint>")
 
     def part(sigs):
