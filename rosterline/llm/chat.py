@@ -50,16 +50,17 @@ def paths(messages: DataFrame, top: int | None = None) -> DataFrame:
     step = cut(messages.join(known, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("p")), "left")
                .select("tree", "node", F.col("p").alias("jump"), F.lit(1).cast("bigint").alias("depth"),
                        F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("sum")))
-    jumps, rows = [], step.count()
-    while len(jumps) <= max(rows, 1).bit_length() and not step.where("jump is not null").isEmpty():
-        jumps.append(step.where("jump is not null").select("tree", "node", "jump"))
-        on = step.toDF("t", "n", "next", "more", "plus")
-        step = cut(step.join(on, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("n")), "left")
-                   .select("tree", "node", F.col("next").alias("jump"),
-                           (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                           (F.col("sum") + F.coalesce("plus", F.lit(0.0))).alias("sum")))
+    jumps, rows, done, going = [], step.count(), step.where("jump is null"), step.where("jump is not null")
+    while len(jumps) <= max(rows, 1).bit_length() and not going.isEmpty():
+        jumps.append(going.select("tree", "node", "jump"))
+        # only messages that haven't reached their root are joined again
+        on = done.union(going).toDF("t", "n", "next", "more", "plus")
+        step = cut(going.join(on, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("n")))
+                   .select("tree", "node", F.col("next").alias("jump"), (F.col("depth") + F.col("more")).alias("depth"),
+                           (F.col("sum") + F.col("plus")).alias("sum")))
+        done, going = done.union(step.where("jump is null")), step.where("jump is not null")
     inner = messages.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
-    leaves = step.where("jump is null").join(inner, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
+    leaves = done.join(inner, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
     if top is None:
         ranked = leaves.withColumn("branch", F.lit(None).cast("int"))
     else:
