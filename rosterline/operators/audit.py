@@ -6,15 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def distinct_keys(df: DataFrame, key: str, alias: str = "_mk") -> DataFrame:
-    """The distinct values of one key column.
+SALTS = 16
+
+
+def salt() -> Column:
+    """A number below SALTS for the task that reads the row.
 
-    As the right side of an anti / semi join this is what the join needs;
-    the partial aggregate collapses a hot key map-side (AQE can split a
-    skewed *left* side of an anti-join, never the right one), and its hash
-    partitioning on the key is reused by the join, so it adds no shuffle.
+    Grouping by key and salt shrinks a hot key before the shuffle, yet leaves
+    the result not partitioned by the key: the join that follows gets an
+    exchange of its own on both sides, which AQE needs to split a skewed one.
+    (An aggregate on the key itself between exchange and join prevents that.)
+    Any salt gives the same result where it is used, so a retried task may draw
+    another one.
     """
-    return df.select(F.col(key).alias(alias)).distinct()
+    return F.pmod(F.spark_partition_id(), F.lit(SALTS))
+
+
+def distinct_keys(df: DataFrame, key: str, alias: str = "_mk") -> DataFrame:
+    """The values of one key column, each at most SALTS times: the right side of an anti / semi join."""
+    return df.select(F.col(key).alias(alias), salt().alias("_salt")).distinct().select(alias)
 
 
 def missing_from(a: DataFrame, b: DataFrame, a_key: str, b_key: str, how: str = "left_anti") -> DataFrame:
@@ -24,6 +34,8 @@ def missing_from(a: DataFrame, b: DataFrame, a_key: str, b_key: str, how: str =
     Written as an anti-join directly: Catalyst does not turn LEFT JOIN ...
     IS NULL into one, it keeps an outer join plus a filter. A NULL key of
     ``a`` never matches, so the row is kept, as with LEFT JOIN ... IS NULL.
+    A key that is hot in ``a`` is split by AQE, one that is hot in ``b`` is
+    reduced before the shuffle (see ``salt``).
     """
     k = distinct_keys(b, b_key)
     return a.join(k, a[a_key] == k["_mk"], how)
@@ -42,15 +54,6 @@ def match_profile(df: DataFrame, counters: dict, total: str | None = "total") ->
     return df.agg(*aggs)
 
 
-def count_where(df: DataFrame, cond: Column | None, name: str, description: str | None = None) -> DataFrame:
-    """A1: count of rows meeting ``cond`` (+ constant description, P6)."""
-    d = df.where(cond) if cond is not None else df
-    out = [F.count(F.lit(1)).alias(name)]
-    if description is not None:
-        out.append(F.lit(description).alias("description"))
-    return d.agg(*out)
-
-
 def duplicate_keys(df: DataFrame, key, table: str) -> DataFrame:
     """Q12: business keys that occur more than once (guard for joins / updates).
 
@@ -65,18 +68,15 @@ def duplicate_keys(df: DataFrame, key, table: str) -> DataFrame:
                       "occurrences"))
 
 
-def group_counts(df: DataFrame, keys, name: str = "cnt") -> DataFrame:
-    """A3: count per group."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
 def weighted(df: DataFrame, cols, name: str = "_w") -> DataFrame:
-    """``df`` reduced to its distinct ``cols`` with their multiplicity.
+    """``df`` reduced to its distinct ``cols`` with their multiplicity, in at most SALTS rows each.
 
     Counting over a join of two tables whose key is hot on both sides would
     materialise every pair of that key. Joining one side (or both) reduced
     this way and summing the products of the multiplicities gives the same
-    counts from at most one row per distinct combination, and the aggregate
-    combines map-side.
+    counts from at most SALTS rows per distinct combination, and the aggregate
+    combines before the shuffle. The rows of one combination add up, so only
+    sums of ``name`` may be taken over the join.
     """
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
+    cols = list(cols)
+    return df.withColumn("_salt", salt()).groupBy(*cols, "_salt").agg(F.count(F.lit(1)).alias(name)).drop("_salt")

@@ -14,46 +14,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.functions.exprs import col, stable_id
+from rosterline.operators.audit import missing_from
 
 
 @dataclass
 class Change:
-    rows: DataFrame       # the rows that change (after values for updates)
+    rows: DataFrame       # the rows that change (after values for updates), one for each changed row
     after: DataFrame      # the full table after the change
+    delta: DataFrame      # what ``apply_changes`` needs to make ``after`` again, with a count ``_n``
 
     def count(self) -> int:
         return self.rows.count()
 
 
-def number_copies(df: DataFrame, cols: list, name: str = "copy_no", spread_chunk: int | None = None) -> DataFrame:
+COPIES = 10_000           # copies of one row that one task writes out
+
+
+def copies_of(df: DataFrame, n: str, name: str) -> DataFrame:
+    """Every row of ``df`` as often as its column ``n`` says, numbered from 1 in ``name``.
+
+    The count is cut into ranges of COPIES first and the ranges are dealt to
+    all tasks, so neither an array nor a task grows with the copies of a row.
+    """
+    cols = [c for c in df.columns if c != n]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.select(*cols, n, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / COPIES))).alias("_range"))
+    ranges = ranges.repartition(parts, *cols, "_range")
+    first = F.col("_range") * COPIES
+    return ranges.select(*cols, F.explode(F.sequence(first + 1, F.least(F.col(n), first + COPIES))).alias(name))
+
+
+def number_copies(df: DataFrame, cols: list, name: str = "copy_no") -> DataFrame:
     """Give exact duplicate rows distinct numbers 1..n without a window.
 
     Rows are grouped on *all* their columns: a partial aggregate collapses
-    copies map-side before the shuffle, and the shuffle spreads one business
-    key with many different rows over all reducers (hash of every column).
-    ``explode(sequence(1, n))`` then gives the copies back, each with its
-    number; the copies of one row are generated by one task, streaming (no
-    buffering). For a source known to hold huge numbers of *identical* rows,
-    ``spread_chunk`` cuts every row's copies into chunks that an explicit
-    repartition spreads over all shuffle partitions (one extra shuffle of the
-    small chunk descriptors), so those copies are produced by many tasks.
+    copies before the shuffle, and the shuffle spreads one business key with
+    many different rows over all reducers (hash of every column).
     """
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    n = F.col("_n")
-    if spread_chunk is None:
-        return g.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias(name))
-    k = int(spread_chunk)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (g.select(*cols, "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / k))).alias("_chunk"))
-             .repartition(parts, *cols, "_chunk")
-             .select(*cols, F.explode(F.sequence(F.col("_chunk") * k + 1, F.least(n, (F.col("_chunk") + 1) * k)))
-                     .alias(name)))
+    return copies_of(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")), "_n", name)
 
 
 def insert_missing(source: DataFrame, target: DataFrame, src_key: str, tgt_key: str,
                    template, id_table: str | None = None, id_col: str = "id",
-                   dedup: bool = False, source_cols: list | None = None,
-                   spread_chunk: int | None = None) -> Change:
+                   dedup: bool = False, source_cols: list | None = None) -> Change:
     """Rows of ``source`` whose key has no row in ``target`` become target rows.
 
     - anti-join (``left_anti``): a NULL source key is kept, as with
@@ -65,8 +68,7 @@ def insert_missing(source: DataFrame, target: DataFrame, src_key: str, tgt_key:
       use the column ``id_col`` which holds a repeatable id (X1).
     """
     cols = source_cols or source.columns
-    tk = target.select(F.col(tgt_key).alias("_tk")).distinct()   # hot target keys collapse map-side
-    missing = source.select(*cols).join(tk, F.col(src_key) == F.col("_tk"), "left_anti")
+    missing = missing_from(source.select(*cols), target, src_key, tgt_key)
     if dedup:
         other = [c for c in cols if c != src_key]
         packed = F.min(F.struct(*other)).alias("_row") if other else F.count(F.lit(1)).alias("_row")
@@ -74,16 +76,15 @@ def insert_missing(source: DataFrame, target: DataFrame, src_key: str, tgt_key:
             .select(src_key, *[F.col(f"_row.{c}").alias(c) for c in other]) \
             .withColumn("copy_no", F.lit(1))
     else:
-        missing = number_copies(missing, cols, spread_chunk=spread_chunk)
+        missing = number_copies(missing, cols)
     if id_table is not None:
         missing = missing.withColumn(id_col, stable_id(F.lit(id_table), *cols, "copy_no"))
     rows = missing.select(*template(missing))
-    after = target.unionByName(rows, allowMissingColumns=True)
-    return Change(rows=rows, after=after)
+    return Change(rows=rows, after=apply_changes(target, rows, "insert"), delta=rows)
 
 
 def update_from(target: DataFrame, source: DataFrame, on: Column, when: Column | None,
-                set_: dict, target_key: str = "id", source_cols: list | None = None) -> Change:
+                set_: dict, source_cols: list | None = None) -> Change:
     """UPDATE t SET ... FROM t JOIN s ON ... WHERE ... with exact semantics.
 
     ``target`` must be aliased "t" and ``source`` "s" in ``on``/``when``/``set_``.
@@ -93,79 +94,75 @@ def update_from(target: DataFrame, source: DataFrame, on: Column, when: Column |
       from one passing pair: the smallest new value (non-NULL first);
     - "updated to NULL" differs from "not updated": the changed rows are
       exactly the rows with a passing pair, never ``coalesce(new, old)``;
-    - the changed-row count is the number of hit target rows, counted once.
-
-    Plan: the passing pairs already carry the whole target row, so the
-    changed rows are one aggregate over the *hit pairs only*, grouped by the
-    target row (``min`` of the new value). It combines map-side, so a target
-    row matched by very many source rows is reduced before the shuffle, and
-    the target is scanned once. ``after`` joins the target with the changed
-    rows on ``target_key`` (AQE broadcasts them when they are few).
-
-    ``source_cols``: the source columns ``on`` / ``when`` / ``set_`` use.
-    The source is then reduced to their distinct combinations before the
-    join (duplicates cannot change which rows are hit or the smallest new
+    - no column needs to be unique or non-NULL: equal target rows are changed
+      together and counted each, and the number of rows never changes.
+
+    ``source_cols``: the source columns ``on`` / ``when`` / ``set_`` use (all
+    if not given). The source is reduced to their distinct combinations before
+    the join (duplicates cannot change which rows are hit or the smallest new
     value), so a key that is hot in both tables meets a few source rows, not
-    all of them: no group emits all its pairs.
+    all of them.
+
+    Plan: the passing pairs carry the whole target row. Counting them by target
+    row and source combination gives the number of equal target rows; the
+    smallest new value by target row is a second aggregate over the hits only.
+    ``delta`` holds one row for each distinct changed row: the old row, the new
+    values and the count. ``after`` joins the target with it on the old row
+    (AQE broadcasts it when the changes are few).
     """
-    if source_cols is not None:
-        source = source.select(*source_cols).distinct()
-    t = target.alias("t")
-    s = source.alias("s")
-    pairs = t.join(s, on, "inner")
+    s_cols = source_cols or source.columns
+    pairs = target.alias("t").join(source.select(*s_cols).distinct().alias("s"), on, "inner")
     if when is not None:
         pairs = pairs.where(when)
-    names = list(set_)
-    tcols = target.columns
-    pairs = pairs.select(*[F.col(f"t.{x}").alias(f"_t_{x}") for x in tcols],
+    tcols, names = target.columns, list(set_)
+    old = [f"_t_{x}" for x in tcols]
+    pairs = pairs.select(*[F.col(f"t.{x}").alias(f"_t_{x}") for x in tcols], *[F.col(f"s.{x}").alias(f"_s_{x}") for x in s_cols],
                          *[set_[n].alias(f"_new_{n}") for n in names])
-    keys = [f"_t_{x}" for x in tcols]
-    if len(names) == 1:
-        agg = pairs.groupBy(*keys).agg(F.min(f"_new_{names[0]}").alias(f"_new_{names[0]}"))
-    else:
-        packed = F.struct(*[F.col(f"_new_{n}") for n in names])
-        agg = pairs.groupBy(*keys).agg(F.min(packed).alias("_p")) \
-            .select(*keys, *[F.col(f"_p._new_{n}").alias(f"_new_{n}") for n in names])
-    # set_ may name columns the target lacks (audit columns): they are added,
-    # NULL on rows that were not hit.
-    extra = [n for n in names if n not in tcols]
-    rows = agg.select(*[F.col(f"_new_{x}").alias(x) if x in set_ else F.col(f"_t_{x}").alias(x) for x in tcols],
-                      *[F.col(f"_new_{n}").alias(n) for n in extra])
-    after = apply_changes(target, rows, "update", target_key)
-    return Change(rows=rows, after=after)
-
-
-def apply_changes(target: DataFrame, rows: DataFrame, kind: str, key: str) -> DataFrame:
-    """A table after a change, from the changed rows alone (merge on read).
-
-    insert: target + rows; update / delete: target rows whose key is not
-    changed, + the changed rows (update) -- an anti-join on the key, which AQE
-    turns into a broadcast join when the change set is small.
+    value = F.col(f"_new_{names[0]}") if len(names) == 1 else F.struct(*[F.col(f"_new_{n}") for n in names])
+    hits = pairs.groupBy(*old, *[f"_s_{x}" for x in s_cols]).agg(F.min(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    hits = hits.groupBy(*old).agg(F.min("_v").alias("_v"), F.max("_n").alias("_n"))
+    new = {n: F.col("_v") if len(names) == 1 else F.col(f"_v._new_{n}") for n in names}
+    delta = hits.select(F.struct(*[F.col(f"_t_{x}").alias(x) for x in tcols]).alias("_old"),
+                        F.struct(*[new[n].alias(n) for n in names]).alias("_new"), "_n")
+    rows = copies_of(delta, "_n", "_copy").select(*_changed(tcols, names))
+    return Change(rows=rows, after=apply_changes(target, delta, "update"), delta=delta)
+
+
+def _changed(tcols: list, names: list) -> list:
+    """The row after an update; set columns that the table lacks (audit columns) follow its own."""
+    return [F.col(f"_new.{x}" if x in names else f"_old.{x}").alias(x) for x in tcols] \
+        + [F.col(f"_new.{n}").alias(n) for n in names if n not in tcols]
+
+
+def apply_changes(target: DataFrame, delta: DataFrame, kind: str) -> DataFrame:
+    """A table after a change, from its ``delta`` alone (merge on read).
+
+    insert: target + rows. update: every row that equals (NULLs included) an
+    old row gets its new values. delete: rows equal to a row of ``delta`` go.
+    Rows are matched as wholes, by a hash of all columns and then the columns
+    themselves, so a key that is hot in the table is no key here; set columns
+    that the table lacks are NULL on rows that were not hit.
     """
     if kind == "insert":
-        return target.unionByName(rows, allowMissingColumns=True)
-    kept = target.join(rows.select(F.col(key).alias("_ck")), target[key] == F.col("_ck"), "left_anti")
+        return target.unionByName(delta, allowMissingColumns=True)
+    cols = target.columns
+    whole = F.struct(*[target[x] for x in cols])
     if kind == "delete":
-        return kept
-    return kept.unionByName(rows, allowMissingColumns=True)
+        gone = delta.select(F.xxhash64(*cols).alias("_h"), F.struct(*cols).alias("_old")).distinct()
+        return target.join(gone, (F.xxhash64(*[target[x] for x in cols]) == gone["_h"]) & (whole == gone["_old"]), "left_anti")
+    names = delta.schema["_new"].dataType.names
+    change = delta.select(F.xxhash64(*[F.col(f"_old.{x}") for x in cols]).alias("_h"), "_old", "_new")
+    both = target.join(change, (F.xxhash64(*[target[x] for x in cols]) == change["_h"]) & (whole == change["_old"]), "left")
+    hit = change["_h"].isNotNull()
+    return both.select(*[F.when(hit, F.col(f"_new.{x}")).otherwise(target[x]).alias(x) if x in names else target[x] for x in cols],
+                       *[F.col(f"_new.{n}").alias(n) for n in names if n not in cols])
 
 
 def delete_where(target: DataFrame, cond: Column) -> Change:
     """DELETE ... WHERE cond: a row whose condition is NULL is kept."""
     deleted = target.where(cond)
     kept = target.where(~F.coalesce(cond, F.lit(False)))
-    return Change(rows=deleted, after=kept)
-
-
-def append(target: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """SNK1: append rows; columns the new rows lack are NULL."""
-    return target.unionByName(new_rows, allowMissingColumns=True)
-
-
-def exists_one(df: DataFrame, cond: Column) -> DataFrame:
-    """Rows of ``df`` meeting ``cond`` (EXISTS guard as a filter)."""
-    return df.where(cond)
+    return Change(rows=deleted, after=kept, delta=deleted)
 
 
-__all__ = ["Change", "insert_missing", "update_from", "apply_changes", "delete_where", "append",
-           "number_copies", "exists_one", "col"]
+__all__ = ["Change", "insert_missing", "update_from", "apply_changes", "delete_where", "copies_of", "number_copies", "col"]

@@ -18,29 +18,3 @@ def top_n(df: DataFrame, n: int, *order) -> DataFrame:
     if not order:
         raise ValueError("top_n needs an order")
     return df.orderBy(*order).limit(n)
-
-
-_SIZE_CHECKED: dict = {}
-
-
-def is_small(df: DataFrame, max_rows: int = 1_000_000) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows: counted once (a cheap job
-    for a dimension) and remembered for this DataFrame object."""
-    hit = _SIZE_CHECKED.get(id(df))
-    if hit is None or hit[0] is not df or hit[1] != max_rows:
-        hit = (df, max_rows, df.count() <= max_rows)
-        _SIZE_CHECKED[id(df)] = hit
-    return hit[2]
-
-
-def broadcast_if_small(df: DataFrame, *cols, max_rows: int = 1_000_000) -> DataFrame:
-    """``df`` (projected to ``cols`` if given), broadcast only when its row
-    count is proven <= ``max_rows``.
-
-    For dimensions joined on a low-cardinality key (group id / name): a
-    shuffle join would put every row of one group into one task, so the
-    dimension is broadcast after counting it. Above the bound the dimension
-    has that many distinct keys, and the planner's ordinary join is used.
-    """
-    out = df.select(*cols) if cols else df
-    return F.broadcast(out) if is_small(df, max_rows) else out

@@ -50,7 +50,8 @@ class SyncParams:
     protected_groups: tuple = ("NATION_7", "NATION_8")
     keeper_level4: str = "Supplier#000000007"
     keeper_level5: tuple = tuple(f"Supplier#{i:09d}" for i in range(11, 22))
-    default_secret: str = "123456"
+    default_secret: str | None = None   # required where credentials are written
+    run_salt: str | None = None         # required there too: makes derived keys unpredictable
     system_user: str = "system"
     org: str = "org-1"
     enterprise_id: str = "ent-1"
@@ -58,6 +59,20 @@ class SyncParams:
     organize_id: str = "dept-default"
     live_mode: str = "service"          # F8: "service" or "script"
 
+    @property
+    def secret(self) -> str:
+        """The default secret; there is none unless it was given."""
+        if not self.default_secret:
+            raise ValueError("default_secret is required to write credentials")
+        return self.default_secret
+
+    @property
+    def key_seed(self) -> str:
+        """What row ids are combined with in generated keys."""
+        if not self.run_salt:
+            raise ValueError("run_salt is required to write credentials")
+        return self.run_ts + self.run_salt
+
     def dept_names(self) -> list:
         """trimmed, non-empty, ordinally distinct names in first-seen order."""
         names = [d.strip() for d, _ in self.dept_map if d and d.strip()]
@@ -108,7 +123,9 @@ class SyncParams:
         return SyncParams(**{**self.__dict__, "tasks": t})
 
 
-DEFAULT_PARAMS = SyncParams()
+# Parameters of the registered queries: fixed, so that results repeat. A real
+# run gives its own secret and a fresh salt (from_config has no default for them).
+DEFAULT_PARAMS = SyncParams(default_secret="fixture-secret", run_salt="fixture-salt")
 
 # English stand-ins for the reference's labels (order as used).
 JOB_LABELS = {0: "active", 1: "left"}

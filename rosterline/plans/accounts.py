@@ -54,7 +54,7 @@ def acct_disable_leavers(accounts: DataFrame, roster: DataFrame, p: SyncParams =
                 & (c("t.enabled_mark").isNull() | (c("t.enabled_mark") != 0)))
     else:
         when = c("s.isactive") == 0
-    return update_from(accounts, roster, on, when, {"enabled_mark": F.lit(0)}, target_key="id",
+    return update_from(accounts, roster, on, when, {"enabled_mark": F.lit(0)},
                        source_cols=["empcode", "gdname4", "isactive"])
 
 
@@ -190,12 +190,10 @@ def q_acct_disable_preview(spark, d):
 
 
 @query("acct_enabled_detail", """
-SELECT a.id, a.account, a.real_name, a.enabled_mark, r.empcode, r.gdname4, r.isactive,
-       CASE WHEN a.enabled_mark = 0 THEN 'updated to 0'
-            ELSE 'not updated (enabled_mark=' || CAST(a.enabled_mark AS VARCHAR) || ')' END AS status
-FROM accounts a JOIN roster r ON a.account = r.empcode
-WHERE r.isactive = 0
-ORDER BY a.account
+WITH leaver AS (SELECT * FROM roster WHERE isactive = 0)
+SELECT id, account, real_name, enabled_mark, empcode, gdname4, isactive,
+       if(enabled_mark = 0, 'updated to 0', 'not updated (enabled_mark=' || enabled_mark || ')') AS status
+FROM leaver JOIN accounts ON account = empcode
 """)
 def q_acct_enabled_detail(spark, d):
     T = Tables(spark, d)

@@ -4,9 +4,9 @@ Updates U4 (fill NULL), U4b (fill blank or fix), U5 (fix mismatches except
 protected groups); comparisons C10-C10d, previews C11-C11c, C12; profiles and
 lists Q6-Q11b.
 
-The group dimension is a bounded list (one row per group): joins to it are
-planned by Catalyst/AQE as broadcast joins under the session's checked
-threshold; the person and personnel tables are shuffled on the business code.
+The group dimension has one row a group: AQE broadcasts it when its real size
+allows, and otherwise splits the groups that are hot on the other side. The
+person and personnel tables are shuffled on the business code.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from rosterline.functions.exprs import classify, diff_text, differs, is_blank
 from rosterline.operators.audit import missing_from, weighted
 from rosterline.operators.change import Change, update_from
-from rosterline.operators.frames import broadcast_if_small
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.registry import query
 from rosterline.sources.standins import Tables
@@ -28,19 +27,19 @@ P = DEFAULT_PARAMS
 
 def _chain(personnel: DataFrame, groups: DataFrame) -> DataFrame:
     """J6 last hop: personnel rows with the dimension id of their group name."""
-    g = broadcast_if_small(groups, c("id").alias("gid"), c("group_name").alias("gname"))
+    g = groups.select(c("id").alias("gid"), c("group_name").alias("gname"))
     return personnel.join(g, personnel["group_name"] == g["gname"]).select(
         "employee_id", "group_name", "gid", "gname")
 
 
 def _with_current(people: DataFrame, groups: DataFrame) -> DataFrame:
     """The person's current group name (dimension under a second role)."""
-    cur = broadcast_if_small(groups, c("id").alias("_cur_id"), c("group_name").alias("_cur_name"))
+    cur = groups.select(c("id").alias("_cur_id"), c("group_name").alias("_cur_name"))
     return people.join(cur, people["group_id"] == cur["_cur_id"], "left").drop("_cur_id")
 
 
 def _strip(ch: Change, cols) -> Change:
-    return Change(rows=ch.rows.select(*cols), after=ch.after.select(*cols))
+    return Change(rows=ch.rows.select(*cols), after=ch.after.select(*cols), delta=ch.delta)
 
 
 # ------------------------------------------------------------------ operators
@@ -48,7 +47,7 @@ def people_group_fill(people, personnel, groups) -> Change:
     """U4: NULL group id -> id of the personnel group name (found in the dimension)."""
     when = c("t.group_id").isNull() & c("s.group_name").isNotNull() & c("s.gid").isNotNull()
     return update_from(people, _chain(personnel, groups), c("t.code") == c("s.employee_id"), when,
-                       {"group_id": c("s.gid")}, target_key="id",
+                       {"group_id": c("s.gid")},
                      source_cols=["employee_id", "group_name", "gid"])
 
 
@@ -63,7 +62,7 @@ def people_group_fill_or_fix(people, personnel, groups) -> Change:
     fix = (~blank) & c("t._cur_name").isNotNull() & (c("t._cur_name") != c("s.group_name"))
     when = blank | (fix & c("s.group_name").isNotNull())
     ch = update_from(tgt, _chain(personnel, groups), c("t.code") == c("s.employee_id"), when,
-                     {"group_id": c("s.gid")}, target_key="id",
+                     {"group_id": c("s.gid")},
                      source_cols=["employee_id", "group_name", "gid"])
     return _strip(ch, people.columns)
 
@@ -76,14 +75,14 @@ def people_group_fix_mismatch(people, personnel, groups, p: SyncParams = P) -> C
             & (c("t._cur_name") != c("s.group_name")) & c("s.group_name").isNotNull()
             & ~c("t._cur_name").isin(prot) & ~c("s.group_name").isin(prot))
     ch = update_from(tgt, _chain(personnel, groups), c("t.code") == c("s.employee_id"), when,
-                     {"group_id": c("s.gid")}, target_key="id",
+                     {"group_id": c("s.gid")},
                      source_cols=["employee_id", "group_name", "gid"])
     return _strip(ch, people.columns)
 
 
 def _pg(people, groups):
     """people LEFT JOIN dimension ON group_id: adds ``people_group``."""
-    g = broadcast_if_small(groups, c("id").alias("_gid"), c("group_name").alias("people_group"))
+    g = groups.select(c("id").alias("_gid"), c("group_name").alias("people_group"))
     return people.join(g, people["group_id"] == g["_gid"], "left").drop("_gid")
 
 
@@ -94,11 +93,10 @@ def _per(personnel):
 
 def group_compare(people, personnel, groups) -> DataFrame:
     """Personnel-known people whose group differs (F7), with P7 text."""
-    j = _pg(people, groups).join(_per(personnel), c("code") == c("employee_id"), "left")
     pg, per = c("people_group"), c("personnel_group")
-    label = classify([(c("employee_id").isNull(), "not in personnel"), (pg.isNull(), "people group empty"),
-                      (pg != per, "group differs")], "matched")
-    return (j.where(c("employee_id").isNotNull() & differs(pg, per))
+    # an empty personnel group counts as "matched" here, as in the reference's report
+    label = classify([(pg.isNull(), "people group empty"), (per.isNull(), "matched")], "group differs")
+    return (_mismatch(people, personnel, groups)
              .select(c("code"), c("name"), pg, c("employee_id").alias("personnel_employee_id"),
                      c("personnel_name"), per, label.alias("status"),
                      diff_text(pg, per).alias("group_difference"))
@@ -107,27 +105,23 @@ def group_compare(people, personnel, groups) -> DataFrame:
 
 def group_compare_inner(people, personnel, groups) -> DataFrame:
     """Both sides present (inner joins)."""
-    g = broadcast_if_small(groups, c("id").alias("_gid"), c("group_name").alias("people_group"))
+    g = groups.select(c("id").alias("_gid"), c("group_name").alias("people_group"))
     j = people.join(g, people["group_id"] == g["_gid"]).join(_per(personnel), c("code") == c("employee_id"))
     pg, per = c("people_group"), c("personnel_group")
-    label = classify([(pg == per, "matched"), (pg.isNull() & per.isNotNull(), "people group empty"),
-                      (pg.isNotNull() & per.isNull(), "personnel group empty")], "group differs")
-    return (j.where((pg != per) | (pg.isNull() & per.isNotNull()) | (pg.isNotNull() & per.isNull()))
+    label = classify([(pg.isNull(), "people group empty"), (per.isNull(), "personnel group empty")], "group differs")
+    return (j.where(differs(pg, per))
              .select("code", "name", pg, "personnel_name", per, label.alias("status")).orderBy("code"))
 
 
 def group_compare_detail(people, personnel, groups) -> DataFrame:
-    """Seven labels, priority sort."""
-    j = _pg(people, groups).join(_per(personnel), c("code") == c("employee_id"), "left")
+    """Labels by which group is empty, priority sort."""
+    j = _pg(people, groups).join(_per(personnel), c("code") == c("employee_id"))
     pg, per = c("people_group"), c("personnel_group")
     label = classify([
-        (c("employee_id").isNull(), "code not in personnel"),
-        (pg.isNull() & per.isNull(), "both groups empty"),
-        (pg.isNull() & per.isNotNull(), "people group empty, personnel has one"),
-        (pg.isNotNull() & per.isNull(), "people has group, personnel empty"),
-        (pg == per, "groups equal"), (pg != per, "groups differ")], "other")
-    prio = F.when(pg != per, 1).when(pg.isNull(), 2).when(per.isNull(), 3).otherwise(4)
-    return (j.where(c("employee_id").isNotNull() & (pg.isNull() | per.isNull() | (pg != per)))
+        (pg.isNull() & per.isNull(), "both groups empty"), (pg.isNull(), "people group empty, personnel has one"),
+        (per.isNull(), "people has group, personnel empty")], "groups differ")
+    prio = F.when(pg.isNull(), 2).when(per.isNull(), 3).otherwise(1)
+    return (j.where(F.coalesce(pg != per, F.lit(True)))
              .select("code", "name", c("group_id").alias("people_group_id"), pg.alias("people_group_name"),
                      "employee_id", "personnel_name", per.alias("personnel_group_name"),
                      label.alias("comparison_status"), prio.alias("priority"))
@@ -149,9 +143,7 @@ def group_mismatch_short(people, personnel, groups) -> DataFrame:
 def group_mismatch_core(people, personnel, groups) -> DataFrame:
     """C10d: differing rows with three labels."""
     pg, per = c("people_group"), c("personnel_group")
-    label = (F.when(pg.isNull() & per.isNotNull(), F.lit("people group empty"))
-              .when(pg.isNotNull() & per.isNull(), F.lit("personnel group empty"))
-              .when(pg != per, F.lit("group differs")))
+    label = classify([(pg.isNull(), "people group empty"), (per.isNull(), "personnel group empty")], "group differs")
     return (_mismatch(people, personnel, groups)
             .select("code", "name", "people_group", "employee_id", "personnel_name", "personnel_group",
                     label.alias("difference"))
@@ -191,7 +183,7 @@ def group_profile(people, personnel, groups) -> DataFrame:
 
 def _fill_base(people, personnel, groups, blank_mode=False):
     """people JOIN personnel LEFT JOIN dimension ON personnel group name."""
-    g = broadcast_if_small(groups, c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
+    g = groups.select(c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
     j = people.join(_per(personnel), c("code") == c("employee_id")) \
         .join(g, c("personnel_group") == c("target_group_name"), "left")
     miss = is_blank("group_id") if blank_mode else c("group_id").isNull()
@@ -200,9 +192,7 @@ def _fill_base(people, personnel, groups, blank_mode=False):
 
 def group_fill_preview(people, personnel, groups) -> DataFrame:
     """C11: what U4 would do."""
-    label = classify([(c("group_id").isNull() & c("target_group_id").isNotNull(), "update"),
-                      (c("group_id").isNotNull(), "has group"),
-                      (c("target_group_id").isNull(), "unknown group")], "other")
+    label = classify([(c("target_group_id").isNull(), "unknown group")], "update")
     return (_fill_base(people, personnel, groups)
             .select("code", "name", c("group_id").alias("current_group_id"), "employee_id", "personnel_name",
                     "personnel_group", "target_group_id", "target_group_name", label.alias("status"))
@@ -218,12 +208,11 @@ def group_fill_unknown(people, personnel, groups, blank_mode=False) -> DataFrame
 def group_fix_preview(people, personnel, groups) -> DataFrame:
     """What U4b would do (target group must exist: inner join)."""
     tgt = _with_current(people, groups)
-    g = broadcast_if_small(groups, c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
+    g = groups.select(c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
     j = tgt.join(_per(personnel), c("code") == c("employee_id")).join(g, c("personnel_group") == c("target_group_name"))
     blank = is_blank("group_id")
     fix = (~blank) & c("_cur_name").isNotNull() & (c("_cur_name") != c("personnel_group"))
-    label = classify([(blank, "empty, needs_update"), (c("_cur_name") != c("personnel_group"), "group differs, needs_update")],
-                     "matched")
+    label = classify([(blank, "empty, needs_update")], "group differs, needs_update")
     return (j.where(blank | (fix & c("personnel_group").isNotNull()))
              .select("code", "name", c("group_id").alias("current_group_id"), c("_cur_name").alias("current_group_name"),
                      "personnel_group", "target_group_id", "target_group_name", label.alias("status")))
@@ -240,7 +229,7 @@ def group_mismatch_preview(people, personnel, groups, p: SyncParams = P, remaini
     if remaining:
         return (j.where(cond).select("code", "name", c("_cur_name").alias("current_group_name"), "personnel_group",
                                      F.lit("still differs").alias("status")))
-    g = broadcast_if_small(groups, c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
+    g = groups.select(c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
     j = j.join(g, c("personnel_group") == c("target_group_name"))
     return (j.where(cond).select("code", "name", c("group_id").alias("current_group_id"),
                                  c("_cur_name").alias("current_group_name"), "employee_id", "personnel_name",
@@ -249,7 +238,7 @@ def group_mismatch_preview(people, personnel, groups, p: SyncParams = P, remaini
 
 
 def _fill_base_w(people, personnel, groups):
-    g = broadcast_if_small(groups, c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
+    g = groups.select(c("id").alias("target_group_id"), c("group_name").alias("target_group_name"))
     j = people.join(_per_w(personnel), c("code") == c("employee_id")) \
         .join(g, c("personnel_group") == c("target_group_name"), "left")
     return j.where(c("group_id").isNull() & c("personnel_group").isNotNull())
@@ -322,7 +311,7 @@ def group_sizes(personnel) -> DataFrame:
 
 def group_name_match(personnel, groups) -> DataFrame:
     """Distinct personnel group names, found / not found in the dimension."""
-    g = broadcast_if_small(groups, c("id").alias("dim_group_id"), c("group_name").alias("dim_group_name"))
+    g = groups.select(c("id").alias("dim_group_id"), c("group_name").alias("dim_group_name"))
     j = personnel.where(c("group_name").isNotNull()).join(g, c("group_name") == c("dim_group_name"), "left")
     st = F.when(c("dim_group_name").isNotNull(), F.lit("found")).otherwise(F.lit("not found"))
     return (j.select(c("group_name").alias("personnel_group"), st.alias("match_status"),
@@ -357,133 +346,111 @@ def q_people_group_fill_after(spark, d):
     return people_group_fill(*_T(spark, d)).after
 
 
-_CUR = "LEFT JOIN groups_dim cur ON b.group_id = cur.id"
+# A person with each personnel row of the same code: the person's own group name
+# is "mine" (NULL: none or unknown), the personnel row's is "theirs".
+_KNOWN = """known AS (
+  SELECT b.*, own.group_name AS mine, per.employee_id, per.name AS personnel_name, per.group_name AS theirs
+  FROM personnel per JOIN people b ON b.code = per.employee_id LEFT JOIN groups_dim own ON own.id = b.group_id)"""
+_BLANK = "coalesce(group_id, '') = ''"
+_PROT = ", ".join(f"'{g}'" for g in P.protected_groups)
+_MAY_MOVE = f"NOT {_BLANK} AND mine <> theirs AND NOT list_has_any([mine, theirs], [{_PROT}])"
 
 
-@query("people_group_fill_or_fix", f"""
-SELECT b.id, b.code, b.name, b.sys_user, b.job_status, min(g.id) AS group_id
-FROM people b JOIN personnel per ON b.code = per.employee_id JOIN groups_dim g ON per.group_name = g.group_name
-{_CUR}
-WHERE (b.group_id IS NULL OR b.group_id = '')
-   OR (b.group_id IS NOT NULL AND b.group_id <> '' AND cur.group_name IS NOT NULL
-       AND cur.group_name <> per.group_name AND per.group_name IS NOT NULL)
-GROUP BY b.id, b.code, b.name, b.sys_user, b.job_status
-""")
-def q_people_group_fill_or_fix(spark, d):
-    return people_group_fill_or_fix(*_T(spark, d)).rows
+def _labelled(rows: str, where: str, columns: str, **labels) -> str:
+    """Rows of ``known`` with a label chosen by which of the two groups is empty.
 
+    ``labels``: neither / mine / theirs / both -> label text.
+    """
+    flags = {"neither": "FALSE, FALSE", "mine": "TRUE, FALSE", "theirs": "FALSE, TRUE", "both": "TRUE, TRUE"}
+    values = ", ".join(f"({flags[k]}, '{v}')" for k, v in labels.items())
+    return f"""
+WITH {_KNOWN}, label(no_mine, no_theirs, said) AS (VALUES {values})
+SELECT {columns} FROM {rows} JOIN label ON no_mine = (mine IS NULL) AND no_theirs = (theirs IS NULL)
+WHERE {where}
+"""
 
-_PROT = ", ".join(f"'{g}'" for g in P.protected_groups)
-_U5_COND = f"""b.group_id IS NOT NULL AND b.group_id <> '' AND cur.group_name IS NOT NULL
-  AND cur.group_name <> per.group_name AND per.group_name IS NOT NULL
-  AND cur.group_name NOT IN ({_PROT}) AND per.group_name NOT IN ({_PROT})"""
 
+def _moved(where: str) -> str:
+    """People whose group id becomes that of a personnel group (the smallest, if several fit)."""
+    return f"""
+WITH {_KNOWN}
+SELECT id, code, name, sys_user, job_status, min(aim.gid) AS group_id
+FROM known JOIN (SELECT id AS gid, group_name AS aimed FROM groups_dim) aim ON aimed = theirs
+WHERE {where}
+GROUP BY ALL
+"""
 
-@query("people_group_fix_mismatch", f"""
-SELECT b.id, b.code, b.name, b.sys_user, b.job_status, min(g.id) AS group_id
-FROM people b JOIN personnel per ON b.code = per.employee_id JOIN groups_dim g ON per.group_name = g.group_name
-{_CUR}
-WHERE {_U5_COND}
-GROUP BY b.id, b.code, b.name, b.sys_user, b.job_status
-""")
+
+@query("people_group_fill_or_fix", _moved(f"{_BLANK} OR mine <> theirs"))
+def q_people_group_fill_or_fix(spark, d):
+    return people_group_fill_or_fix(*_T(spark, d)).rows
+
+
+@query("people_group_fix_mismatch", _moved(_MAY_MOVE))
 def q_people_group_fix_mismatch(spark, d):
     return people_group_fix_mismatch(*_T(spark, d)).rows
 
 
-_DIFF = ("((bg.group_name IS NULL AND per.group_name IS NOT NULL) OR (bg.group_name IS NOT NULL AND per.group_name IS NULL) "
-         "OR (bg.group_name IS NOT NULL AND per.group_name IS NOT NULL AND bg.group_name <> per.group_name))")
-_BG = "LEFT JOIN groups_dim bg ON b.group_id = bg.id"
+_DIFFERENT = "mine IS DISTINCT FROM theirs"
 
 
-@query("group_compare", f"""
-SELECT b.code, b.name, bg.group_name AS people_group, per.employee_id AS personnel_employee_id,
-       per.name AS personnel_name, per.group_name AS personnel_group,
-       CASE WHEN per.employee_id IS NULL THEN 'not in personnel' WHEN bg.group_name IS NULL THEN 'people group empty'
-            WHEN bg.group_name <> per.group_name THEN 'group differs' ELSE 'matched' END AS status,
-       'people group: ' || coalesce(bg.group_name, 'NULL') || ' | personnel group: ' || coalesce(per.group_name, 'NULL') AS group_difference
-FROM people b {_BG} LEFT JOIN personnel per ON b.code = per.employee_id
-WHERE per.employee_id IS NOT NULL AND {_DIFF}
-ORDER BY b.code
-""")
+@query("group_compare", _labelled("known", _DIFFERENT, """code, name, mine AS people_group, employee_id AS personnel_employee_id,
+       personnel_name, theirs AS personnel_group, said AS status,
+       format('people group: {} | personnel group: {}', coalesce(mine, 'NULL'), coalesce(theirs, 'NULL')) AS group_difference""",
+                                  neither="group differs", mine="people group empty", theirs="matched"))
 def q_group_compare(spark, d):
     return group_compare(*_T(spark, d))
 
 
-@query("group_compare_inner", """
-SELECT b.code, b.name, bg.group_name AS people_group, per.name AS personnel_name, per.group_name AS personnel_group,
-       CASE WHEN bg.group_name = per.group_name THEN 'matched'
-            WHEN bg.group_name IS NULL AND per.group_name IS NOT NULL THEN 'people group empty'
-            WHEN bg.group_name IS NOT NULL AND per.group_name IS NULL THEN 'personnel group empty'
-            ELSE 'group differs' END AS status
-FROM people b JOIN groups_dim bg ON b.group_id = bg.id JOIN personnel per ON b.code = per.employee_id
-WHERE bg.group_name <> per.group_name OR (bg.group_name IS NULL AND per.group_name IS NOT NULL)
-   OR (bg.group_name IS NOT NULL AND per.group_name IS NULL)
-ORDER BY b.code
-""")
+@query("group_compare_inner", _labelled(
+    "known SEMI JOIN groups_dim g ON g.id = known.group_id", _DIFFERENT,
+    "code, name, mine AS people_group, personnel_name, theirs AS personnel_group, said AS status",
+    neither="group differs", mine="people group empty", theirs="personnel group empty"))
 def q_group_compare_inner(spark, d):
     return group_compare_inner(*_T(spark, d))
 
 
 @query("group_compare_detail", f"""
-SELECT b.code, b.name, b.group_id AS people_group_id, bg.group_name AS people_group_name, per.employee_id,
-       per.name AS personnel_name, per.group_name AS personnel_group_name,
-       CASE WHEN per.employee_id IS NULL THEN 'code not in personnel'
-            WHEN bg.group_name IS NULL AND per.group_name IS NULL THEN 'both groups empty'
-            WHEN bg.group_name IS NULL AND per.group_name IS NOT NULL THEN 'people group empty, personnel has one'
-            WHEN bg.group_name IS NOT NULL AND per.group_name IS NULL THEN 'people has group, personnel empty'
-            WHEN bg.group_name = per.group_name THEN 'groups equal'
-            WHEN bg.group_name <> per.group_name THEN 'groups differ' ELSE 'other' END AS comparison_status,
-       CASE WHEN bg.group_name <> per.group_name THEN 1 WHEN bg.group_name IS NULL THEN 2
-            WHEN per.group_name IS NULL THEN 3 ELSE 4 END AS priority
-FROM people b {_BG} LEFT JOIN personnel per ON b.code = per.employee_id
-WHERE per.employee_id IS NOT NULL AND (bg.group_name IS NULL OR per.group_name IS NULL OR bg.group_name <> per.group_name)
-ORDER BY priority, b.code
+SELECT * EXCLUDE (comparison), comparison[3:] AS comparison_status, CAST(comparison[1] AS INTEGER) AS priority FROM ({_labelled(
+    "known", "coalesce(mine <> theirs, TRUE)",
+    """code, name, group_id AS people_group_id, mine AS people_group_name, employee_id, personnel_name,
+       theirs AS personnel_group_name, said AS comparison""",
+    neither="1 groups differ", mine="2 people group empty, personnel has one", theirs="3 people has group, personnel empty",
+    both="2 both groups empty")})
 """)
 def q_group_compare_detail(spark, d):
     return group_compare_detail(*_T(spark, d))
 
 
 @query("group_mismatch_short", f"""
-SELECT b.code, b.name, bg.group_name AS people_group, per.group_name AS personnel_group, 'group differs' AS status
-FROM people b {_BG} JOIN personnel per ON b.code = per.employee_id
-WHERE {_DIFF}
-ORDER BY b.code
+WITH {_KNOWN}
+SELECT code, name, mine AS people_group, theirs AS personnel_group, 'group differs' AS status FROM known WHERE {_DIFFERENT}
 """)
 def q_group_mismatch_short(spark, d):
     return group_mismatch_short(*_T(spark, d))
 
 
-@query("group_mismatch_core", f"""
-SELECT b.code, b.name, bg.group_name AS people_group, per.employee_id, per.name AS personnel_name,
-       per.group_name AS personnel_group,
-       CASE WHEN bg.group_name IS NULL AND per.group_name IS NOT NULL THEN 'people group empty'
-            WHEN bg.group_name IS NOT NULL AND per.group_name IS NULL THEN 'personnel group empty'
-            WHEN bg.group_name <> per.group_name THEN 'group differs' END AS difference
-FROM people b {_BG} JOIN personnel per ON b.code = per.employee_id
-WHERE {_DIFF}
-ORDER BY b.code
-""")
+@query("group_mismatch_core", _labelled(
+    "known", _DIFFERENT, "code, name, mine AS people_group, employee_id, personnel_name, theirs AS personnel_group, said AS difference",
+    neither="group differs", mine="people group empty", theirs="personnel group empty"))
 def q_group_mismatch_core(spark, d):
     return group_mismatch_core(*_T(spark, d))
 
 
 @query("group_mismatch_count", f"""
-SELECT count(*) AS mismatched_count, 'group mismatches' AS description
-FROM people b {_BG} JOIN personnel per ON b.code = per.employee_id
-WHERE {_DIFF}
+WITH {_KNOWN}
+SELECT count(*) FILTER ({_DIFFERENT}) AS mismatched_count, 'group mismatches' AS description FROM known
 """)
 def q_group_mismatch_count(spark, d):
     return group_mismatch_count(*_T(spark, d))
 
 
 @query("group_profile", f"""
-SELECT count(*) AS total_records,
-  CAST(SUM(CASE WHEN per.employee_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS not_in_personnel,
-  CAST(SUM(CASE WHEN per.employee_id IS NOT NULL AND bg.group_name = per.group_name THEN 1 ELSE 0 END) AS BIGINT) AS matched_groups,
-  CAST(SUM(CASE WHEN per.employee_id IS NOT NULL AND bg.group_name <> per.group_name THEN 1 ELSE 0 END) AS BIGINT) AS mismatched_groups,
-  CAST(SUM(CASE WHEN per.employee_id IS NOT NULL AND bg.group_name IS NULL AND per.group_name IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS people_null_group,
-  CAST(SUM(CASE WHEN per.employee_id IS NOT NULL AND bg.group_name IS NOT NULL AND per.group_name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS personnel_null_group
-FROM people b {_BG} LEFT JOIN personnel per ON b.code = per.employee_id
+WITH {_KNOWN}, alone AS (SELECT count(*) AS n FROM people ANTI JOIN personnel ON code = employee_id)
+SELECT count(*) + any_value(n) AS total_records, any_value(n) AS not_in_personnel,
+       count(*) FILTER (mine = theirs) AS matched_groups, count(*) FILTER (mine <> theirs) AS mismatched_groups,
+       count(theirs) FILTER (mine IS NULL) AS people_null_group, count(mine) FILTER (theirs IS NULL) AS personnel_null_group
+FROM known, alone
 """)
 def q_group_profile(spark, d):
     return group_profile(*_T(spark, d))
@@ -491,16 +458,16 @@ def q_group_profile(spark, d):
 
 _FILL = """FROM people b JOIN personnel per ON b.code = per.employee_id
 LEFT JOIN groups_dim g ON per.group_name = g.group_name"""
+_AIMED = f"""{_KNOWN}, aimed AS (
+  SELECT known.*, t.id AS target_group_id, t.group_name AS target_group_name
+  FROM known LEFT JOIN groups_dim t ON t.group_name = known.theirs WHERE theirs IS NOT NULL)"""
 
 
 @query("group_fill_preview", f"""
-SELECT b.code, b.name, b.group_id AS current_group_id, per.employee_id, per.name AS personnel_name,
-       per.group_name AS personnel_group, g.id AS target_group_id, g.group_name AS target_group_name,
-       CASE WHEN b.group_id IS NULL AND g.id IS NOT NULL THEN 'update' WHEN b.group_id IS NOT NULL THEN 'has group'
-            WHEN g.id IS NULL THEN 'unknown group' ELSE 'other' END AS status
-{_FILL}
-WHERE b.group_id IS NULL AND per.group_name IS NOT NULL
-ORDER BY b.code
+WITH {_AIMED}
+SELECT code, name, group_id AS current_group_id, employee_id, personnel_name, theirs AS personnel_group, target_group_id,
+       target_group_name, if(target_group_id IS NULL, 'unknown group', 'update') AS status
+FROM aimed WHERE group_id IS NULL
 """)
 def q_group_fill_preview(spark, d):
     return group_fill_preview(*_T(spark, d))
@@ -524,37 +491,31 @@ def q_group_fill_unknown_blank(spark, d):
     return group_fill_unknown(*_T(spark, d), blank_mode=True)
 
 
+_FIX_COLUMNS = "code, name, group_id AS current_group_id, mine AS current_group_name, theirs AS personnel_group, target_group_id, target_group_name"
+
+
 @query("group_fix_preview", f"""
-SELECT b.code, b.name, b.group_id AS current_group_id, cur.group_name AS current_group_name,
-       per.group_name AS personnel_group, g.id AS target_group_id, g.group_name AS target_group_name,
-       CASE WHEN b.group_id IS NULL OR b.group_id = '' THEN 'empty, needs_update'
-            WHEN cur.group_name <> per.group_name THEN 'group differs, needs_update' ELSE 'matched' END AS status
-FROM people b JOIN personnel per ON b.code = per.employee_id JOIN groups_dim g ON per.group_name = g.group_name
-{_CUR}
-WHERE (b.group_id IS NULL OR b.group_id = '')
-   OR (b.group_id IS NOT NULL AND b.group_id <> '' AND cur.group_name IS NOT NULL
-       AND cur.group_name <> per.group_name AND per.group_name IS NOT NULL)
+WITH {_AIMED}, real AS (SELECT * FROM aimed WHERE target_group_id IS NOT NULL)
+SELECT {_FIX_COLUMNS}, 'empty, needs_update' AS status FROM real WHERE {_BLANK}
+UNION ALL
+SELECT {_FIX_COLUMNS}, 'group differs, needs_update' FROM real WHERE NOT {_BLANK} AND mine <> theirs
 """)
 def q_group_fix_preview(spark, d):
     return group_fix_preview(*_T(spark, d))
 
 
 @query("group_mismatch_preview", f"""
-SELECT b.code, b.name, b.group_id AS current_group_id, cur.group_name AS current_group_name, per.employee_id,
-       per.name AS personnel_name, per.group_name AS personnel_group, g.id AS target_group_id,
-       g.group_name AS target_group_name, 'group differs, needs_update' AS status
-FROM people b JOIN personnel per ON b.code = per.employee_id JOIN groups_dim g ON per.group_name = g.group_name
-{_CUR}
-WHERE {_U5_COND}
+WITH {_AIMED}
+SELECT {_FIX_COLUMNS}, employee_id, personnel_name, 'group differs, needs_update' AS status
+FROM aimed WHERE target_group_id IS NOT NULL AND {_MAY_MOVE}
 """)
 def q_group_mismatch_preview(spark, d):
     return group_mismatch_preview(*_T(spark, d))
 
 
 @query("group_mismatch_remaining", f"""
-SELECT b.code, b.name, cur.group_name AS current_group_name, per.group_name AS personnel_group, 'still differs' AS status
-FROM people b JOIN personnel per ON b.code = per.employee_id {_CUR}
-WHERE {_U5_COND}
+WITH {_KNOWN}
+SELECT code, name, mine AS current_group_name, theirs AS personnel_group, 'still differs' AS status FROM known WHERE {_MAY_MOVE}
 """)
 def q_group_mismatch_remaining(spark, d):
     return group_mismatch_preview(*_T(spark, d), remaining=True)
@@ -562,8 +523,7 @@ def q_group_mismatch_remaining(spark, d):
 
 @query("group_fill_profile", f"""
 SELECT count(*) AS total_null_group,
-       CAST(SUM(CASE WHEN g.id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS can_update,
-       CAST(SUM(CASE WHEN g.id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS cannot_update,
+       count(g.id) AS can_update, count(*) - count(g.id) AS cannot_update,
        'people with NULL group' AS description
 {_FILL}
 WHERE b.group_id IS NULL AND per.group_name IS NOT NULL
@@ -633,3 +593,10 @@ ORDER BY personnel_group
 def q_group_name_match(spark, d):
     T = Tables(spark, d)
     return group_name_match(T.personnel, T.groups_dim)
+
+
+@query("group_dim_list", """
+SELECT id, group_name, 'available group' AS description FROM groups_dim
+""")
+def q_group_dim_list(spark, d):
+    return group_dim_list(Tables(spark, d).groups_dim)

@@ -58,7 +58,7 @@ def people_job_status(people: DataFrame, roster: DataFrame, p: SyncParams = P,
     elif scope == "dept":
         when = (c("s.gdname4") == p.single_dept) & when
     return update_from(people, roster, c("t.code") == c("s.empcode"), when,
-                       {"job_status": job_status_expr(fl, st)}, target_key="id",
+                       {"job_status": job_status_expr(fl, st)},
                        source_cols=["empcode", "gdname4", "isactive"])
 
 
@@ -68,7 +68,7 @@ def people_job_status_oneway(people: DataFrame, roster: DataFrame, to_left: bool
     st = c("t.job_status")
     when = (c("s.isactive") == flag) & (st.isNull() | (st != val))
     return update_from(people, roster, c("t.code") == c("s.empcode"), when,
-                       {"job_status": F.lit(val)}, target_key="id", source_cols=["empcode", "isactive"])
+                       {"job_status": F.lit(val)}, source_cols=["empcode", "isactive"])
 
 
 def _status_name(x, default=JOB_UNKNOWN):
@@ -79,13 +79,8 @@ def job_status_preview(people, roster) -> DataFrame:
     """People whose status would change, with decodes, target and label."""
     b, r = people.alias("b"), roster.alias("r")
     st, fl = c("b.job_status"), c("r.isactive")
-    label = classify([
-        (st.isNull() & fl.isNotNull(), "needs_update (was NULL)"),
-        ((fl == 0) & (st != 1), "needs_update_to_left"),
-        ((fl == 1) & (st != 0), "needs_update_to_active"),
-        ((fl == 0) & (st == 1), "matched_left"),
-        ((fl == 1) & (st == 0), "matched_active"),
-    ], "other")
+    label = classify([(st.isNull() & fl.isNull(), "other"), (st.isNull(), "needs_update (was NULL)"),
+                      (fl == 0, "needs_update_to_left")], "needs_update_to_active")
     return (b.join(r, c("b.code") == c("r.empcode")).where(_change_test(st, fl))
              .select(c("b.code"), c("b.name"), st.alias("current_job_status"),
                      _status_name(st).alias("current_status_name"), c("r.empcode"),
@@ -113,8 +108,7 @@ def job_status_inconsistent(people, roster, p: SyncParams = P) -> DataFrame:
     b, r = people.alias("b"), roster.alias("r")
     st, fl = c("b.job_status"), c("r.isactive")
     bad = ((fl == 0) & (st != 1)) | ((fl == 1) & (st != 0))
-    label = classify([((fl == 0) & (st != 1), "inconsistent (should be left)"),
-                      ((fl == 1) & (st != 0), "inconsistent (should be active)")], "matched")
+    label = classify([(fl == 0, "inconsistent (should be left)")], "inconsistent (should be active)")
     return (b.join(r, c("b.code") == c("r.empcode"))
              .where((c("r.gdname4") == p.single_dept) & fl.isNotNull() & bad)
              .select(c("b.code"), c("b.name"), st.alias("current_job_status"),
@@ -231,24 +225,20 @@ def q_people_job_status_all(spark, d):
     return people_job_status(T.people, T.roster, scope="all").rows
 
 
-_SN = "CASE WHEN {x} = 0 THEN 'active' WHEN {x} = 1 THEN 'left' ELSE '{d}' END"
+# What a roster flag asks for, and the names of the two states.
+_STATES = """asked(flag, target, state) AS (VALUES (0, 1, 'left'), (1, 0, 'active')),
+named(status, state) AS (VALUES (0, 'active'), (1, 'left')),
+met AS (SELECT b.code, b.name, b.job_status, n.state AS now, r.empcode, r.gdname4, r.isactive, asked.target, asked.state AS wanted
+        FROM roster r JOIN people b ON b.code = r.empcode LEFT JOIN asked ON asked.flag = r.isactive
+        LEFT JOIN named n ON n.status = b.job_status)"""
 
 
 @query("job_status_preview", f"""
-SELECT b.code, b.name, b.job_status AS current_job_status,
-       {_SN.format(x='b.job_status', d='unknown')} AS current_status_name, r.empcode,
-       r.isactive AS roster_isactive,
-       CASE WHEN r.isactive = 0 THEN 'left' WHEN r.isactive = 1 THEN 'active' ELSE 'unknown' END AS roster_status_name,
-       CASE WHEN r.isactive = 0 THEN 1 WHEN r.isactive = 1 THEN 0 END AS target_job_status,
-       CASE WHEN b.job_status IS NULL AND r.isactive IS NOT NULL THEN 'needs_update (was NULL)'
-            WHEN r.isactive = 0 AND b.job_status <> 1 THEN 'needs_update_to_left'
-            WHEN r.isactive = 1 AND b.job_status <> 0 THEN 'needs_update_to_active'
-            WHEN r.isactive = 0 AND b.job_status = 1 THEN 'matched_left'
-            WHEN r.isactive = 1 AND b.job_status = 0 THEN 'matched_active'
-            ELSE 'other' END AS status
-FROM people b JOIN roster r ON b.code = r.empcode
-WHERE b.job_status IS NULL OR (r.isactive = 0 AND b.job_status <> 1) OR (r.isactive = 1 AND b.job_status <> 0)
-ORDER BY b.code
+WITH {_STATES}
+SELECT code, name, job_status AS current_job_status, coalesce(now, 'unknown') AS current_status_name, empcode,
+       isactive AS roster_isactive, coalesce(wanted, 'unknown') AS roster_status_name, target AS target_job_status,
+       if(job_status IS NULL, if(isactive IS NULL, 'other', 'needs_update (was NULL)'), 'needs_update_to_' || wanted) AS status
+FROM met WHERE job_status IS NULL OR job_status <> target
 """)
 def q_job_status_preview(spark, d):
     T = Tables(spark, d)
@@ -256,17 +246,10 @@ def q_job_status_preview(spark, d):
 
 
 @query("job_status_preview_simple", f"""
-SELECT b.code, b.name, b.job_status AS current_job_status,
-       {_SN.format(x='b.job_status', d='NULL')} AS current_status_name,
-       r.isactive AS roster_isactive,
-       CASE WHEN r.isactive = 0 THEN 'left' WHEN r.isactive = 1 THEN 'active' END AS roster_status_name,
-       CASE WHEN r.isactive = 0 THEN 1 WHEN r.isactive = 1 THEN 0 END AS target_job_status,
-       CASE WHEN r.isactive = 0 AND b.job_status <> 1 THEN 'needs_update_to_left'
-            WHEN r.isactive = 1 AND b.job_status <> 0 THEN 'needs_update_to_active'
-            ELSE 'matched' END AS status
-FROM people b JOIN roster r ON b.code = r.empcode
-WHERE {_TEST}
-ORDER BY b.code
+WITH {_STATES}
+SELECT code, name, job_status AS current_job_status, coalesce(now, 'NULL') AS current_status_name, isactive AS roster_isactive,
+       wanted AS roster_status_name, target AS target_job_status, if(job_status IS NULL, 'matched', 'needs_update_to_' || wanted) AS status
+FROM met WHERE isactive IS NOT NULL AND (job_status IS NULL OR job_status <> target)
 """)
 def q_job_status_preview_simple(spark, d):
     T = Tables(spark, d)
@@ -274,16 +257,10 @@ def q_job_status_preview_simple(spark, d):
 
 
 @query("job_status_inconsistent", f"""
-SELECT b.code, b.name, b.job_status AS current_job_status,
-       {_SN.format(x='b.job_status', d='unknown')} AS current_status_name, r.isactive AS roster_isactive,
-       CASE WHEN r.isactive = 0 THEN 'left' WHEN r.isactive = 1 THEN 'active' ELSE 'unknown' END AS roster_status_name,
-       CASE WHEN r.isactive = 0 AND b.job_status <> 1 THEN 'inconsistent (should be left)'
-            WHEN r.isactive = 1 AND b.job_status <> 0 THEN 'inconsistent (should be active)'
-            ELSE 'matched' END AS status
-FROM people b JOIN roster r ON b.code = r.empcode
-WHERE r.gdname4 = '{P.single_dept}' AND r.isactive IS NOT NULL
-  AND ((r.isactive = 0 AND b.job_status <> 1) OR (r.isactive = 1 AND b.job_status <> 0))
-ORDER BY b.code
+WITH {_STATES}
+SELECT code, name, job_status AS current_job_status, coalesce(now, 'unknown') AS current_status_name, isactive AS roster_isactive,
+       wanted AS roster_status_name, format('inconsistent (should be {{}})', wanted) AS status
+FROM met WHERE gdname4 = '{P.single_dept}' AND job_status <> target
 """)
 def q_job_status_inconsistent(spark, d):
     T = Tables(spark, d)
@@ -291,11 +268,9 @@ def q_job_status_inconsistent(spark, d):
 
 
 @query("job_status_distribution", f"""
-SELECT b.job_status, {_SN.format(x='b.job_status', d='unknown')} AS status_name,
-       r.isactive AS roster_isactive, count(*) AS cnt
-FROM people b JOIN roster r ON b.code = r.empcode
-GROUP BY b.job_status, r.isactive
-ORDER BY b.job_status, r.isactive
+WITH {_STATES}
+SELECT job_status, coalesce(any_value(now), 'unknown') AS status_name, isactive AS roster_isactive, count(*) AS cnt
+FROM met GROUP BY job_status, isactive
 """)
 def q_job_status_distribution(spark, d):
     T = Tables(spark, d)
@@ -303,13 +278,11 @@ def q_job_status_distribution(spark, d):
 
 
 @query("job_status_profile", f"""
-SELECT count(*) AS total_records,
-       CAST(SUM(CASE WHEN b.job_status = 0 AND r.isactive = 1 THEN 1 ELSE 0 END) AS BIGINT) AS matched_active,
-       CAST(SUM(CASE WHEN b.job_status = 1 AND r.isactive = 0 THEN 1 ELSE 0 END) AS BIGINT) AS matched_left,
-       CAST(SUM(CASE WHEN (b.job_status = 0 AND r.isactive = 0) OR (b.job_status = 1 AND r.isactive = 1) THEN 1 ELSE 0 END) AS BIGINT) AS mismatched,
+WITH {_STATES}
+SELECT count(*) AS total_records, count(*) FILTER (now = wanted AND wanted = 'active') AS matched_active,
+       count(*) FILTER (now = wanted AND wanted = 'left') AS matched_left, count(*) FILTER (now <> wanted) AS mismatched,
        'status after update' AS description
-FROM people b JOIN roster r ON b.code = r.empcode
-WHERE r.gdname4 = '{P.single_dept}'
+FROM met WHERE gdname4 = '{P.single_dept}'
 """)
 def q_job_status_profile(spark, d):
     T = Tables(spark, d)

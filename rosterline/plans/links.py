@@ -5,11 +5,11 @@ U3 / U3a / U3b updates, classification lists C4-C9, profiles and counts Q2-Q5.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterline.functions.exprs import classify, is_live, key_norm, needs_change
-from rosterline.operators.audit import missing_from, weighted
+from rosterline.functions.exprs import classify, is_live, key_norm, needs_change, strict_mismatch
+from rosterline.operators.audit import missing_from, salt, weighted
 from rosterline.operators.change import Change, update_from
 from rosterline.plans.registry import query
 from rosterline.sources.standins import Tables
@@ -29,29 +29,24 @@ def people_link_account(people: DataFrame, accounts: DataFrame, mode: str = "nul
             "null": su.isNull(),
             "stale": su.isNotNull() & (su != aid)}[mode]
     return update_from(people, two_smallest_ids(accounts), c("t.code") == c("s.account"), when,
-                       {"sys_user": aid}, target_key="id")
+                       {"sys_user": aid})
 
 
 def two_smallest_ids(accounts: DataFrame) -> DataFrame:
-    """Per account code, its two smallest account ids (one row each), plus
-    one NULL-id row when the code has an account without id.
+    """Per account code, a few of its account ids, among them the two smallest.
 
     That is all the link update can use: the smallest passing id is the
     smallest id, or the second smallest when the person already points at
-    the smallest. Built with two combinable aggregates (the second over the
-    accounts joined to one row per code), so a code held by very many
-    accounts never meets the people of that code pair by pair.
+    the smallest. Two ids are kept by (code, salt): the row-number limit is
+    applied by each task before the shuffle, a hot code keeps at most
+    2 x SALTS rows, and the join with the people gets an exchange of its own,
+    so AQE can split a code that is hot there. An account without id counts
+    as the largest id (it matches a person whose link is NULL, if the code has
+    no other).
     """
-    a = accounts.select("account", "id").where(c("id").isNotNull())
-    m1 = a.groupBy("account").agg(F.min("id").alias("_id1"))
-    m2 = (a.join(m1, "account").where(c("id") > c("_id1"))
-           .groupBy("account").agg(F.min("id").alias("_id2")))
-    first = m1.select("account", c("_id1").alias("id"))
-    # an account without id still matches a person whose link is NULL (the
-    # link is then "set" to NULL and counted): one such row per code
-    no_id = (accounts.where(c("id").isNull()).select("account").distinct()
-             .select("account", F.lit(None).cast("string").alias("id")))
-    return first.unionByName(m2.select("account", c("_id2").alias("id"))).unionByName(no_id)
+    ids = accounts.select("account", "id", salt().alias("_salt")).distinct()
+    rank = F.row_number().over(Window.partitionBy("account", "_salt").orderBy(c("id").asc_nulls_last()))
+    return ids.withColumn("_rank", rank).where(c("_rank") <= 2).select("account", "id")
 
 
 def _pair_cols(label):
@@ -64,18 +59,14 @@ def link_pending(people, accounts) -> DataFrame:
     """C4 (left join): NULL links (also people without account) and stale ones."""
     b, a = people.alias("b"), accounts.alias("a")
     su, aid = c("b.sys_user"), c("a.id")
-    label = classify([(su.isNull(), "needs_update (NULL)"), (su != aid, "needs_update (differs)")], "matched")
+    label = classify([(su.isNull(), "needs_update (NULL)")], "needs_update (differs)")
     return (b.join(a, c("b.code") == c("a.account"), "left")
              .where(su.isNull() | (aid.isNotNull() & (su != aid)))
              .select(*_pair_cols(label)).orderBy("code"))
 
 
-def _inner_label(su, aid, with_other=False):
-    rules = [(su.isNull(), "NULL, needs_update"), (su != aid, "differs, needs_update")]
-    if with_other:
-        rules.append((su == aid, "matched"))
-        return classify(rules, "other")
-    return classify(rules, "matched")
+def _inner_label(su, aid):
+    return classify([(su.isNull(), "NULL, needs_update"), (su != aid, "differs, needs_update"), (su == aid, "matched")], "other")
 
 
 def link_pending_inner(people, accounts, trim_keys: bool = False) -> DataFrame:
@@ -92,16 +83,15 @@ def link_all_matched(people, accounts) -> DataFrame:
     b, a = people.alias("b"), accounts.alias("a")
     su, aid = c("b.sys_user"), c("a.id")
     return (b.join(a, c("b.code") == c("a.account"))
-             .select(*_pair_cols(_inner_label(su, aid, with_other=True))).orderBy("status", "code"))
+             .select(*_pair_cols(_inner_label(su, aid))).orderBy("status", "code"))
 
 
 def link_stale(people, accounts) -> DataFrame:
     """Non-NULL links that differ."""
     b, a = people.alias("b"), accounts.alias("a")
     su, aid = c("b.sys_user"), c("a.id")
-    label = F.when(su == aid, F.lit("matched")).otherwise(F.lit("differs"))
-    return (b.join(a, c("b.code") == c("a.account")).where(su.isNotNull() & (su != aid))
-             .select(*_pair_cols(label)).orderBy("code"))
+    return (b.join(a, c("b.code") == c("a.account")).where(strict_mismatch(su, aid))
+             .select(*_pair_cols(F.lit("differs"))).orderBy("code"))
 
 
 def link_full_check(people, accounts) -> DataFrame:
@@ -109,7 +99,7 @@ def link_full_check(people, accounts) -> DataFrame:
     b, a = people.alias("b"), accounts.alias("a")
     su, aid = c("b.sys_user"), c("a.id")
     label = classify([(aid.isNull(), "no account"), (su.isNull(), "NULL, needs_update"),
-                      (su != aid, "differs, needs_update"), (su == aid, "matched")], "other")
+                      (su != aid, "differs, needs_update")], "matched")
     prio = F.when(aid.isNull(), 1).when(su.isNull(), 2).when(su != aid, 3).otherwise(4)
     return (b.join(a, c("b.code") == c("a.account"), "left")
              .select(*_pair_cols(label), prio.alias("priority")).orderBy("priority", "code"))
@@ -135,28 +125,28 @@ def key_format_check(people, accounts, n: int | None = None) -> DataFrame:
 def link_profile(people, accounts) -> DataFrame:
     """Q2: total, NULL, matched, mismatched over people LEFT JOIN accounts.
 
-    Counted without building the pairs: accounts per code (all rows / rows
-    with an id) and per (code, id) are joined to the people, then
-      total = sum max(n_all, 1); null = the same for NULL links;
-      matched = n(code, link); mismatched = n_with_id - n(code, link).
+    Counted without building the pairs: people meet the accounts counted by
+    (code, has an id), and by (code, id) those that they link to. A linked
+    pair with an id that isn't equal is a mismatch.
     """
-    by_id = weighted(accounts.select(c("account").alias("_k2"), c("id").alias("_v")), ["_k2", "_v"], "_n_v")
-    per_code = by_id.groupBy(c("_k2").alias("_k")).agg(      # from the same aggregate: one scan
-        F.sum("_n_v").alias("_n_all"), F.sum(F.when(c("_v").isNotNull(), c("_n_v")).otherwise(0)).alias("_n_id"))
-    per_id = by_id.where(c("_v").isNotNull())
-    j = (people.join(per_code, c("code") == c("_k"), "left")
-               .join(per_id, (c("code") == c("_k2")) & (c("sys_user") == c("_v")), "left"))
-    su = c("sys_user")
-    rows = F.greatest(F.coalesce(c("_n_all"), F.lit(0)), F.lit(1))
-    eq = F.coalesce(c("_n_v"), F.lit(0))
-    ne = F.coalesce(c("_n_id"), F.lit(0)) - eq
+    per_code = weighted(accounts.select(c("account").alias("_k"), c("id").isNotNull().alias("_has")), ["_k", "_has"], "_n")
+    per_id = weighted(accounts.where(c("id").isNotNull()).select(c("account").alias("_k2"), c("id").alias("_v")), ["_k2", "_v"], "_n")
+    linked = c("sys_user").isNotNull()
+    n = F.coalesce(c("_n"), F.lit(1))                   # a person without account is one row
 
     def s(x):
         return F.sum(x).cast("bigint")
-    return j.agg(F.coalesce(s(rows), F.lit(0)).cast("bigint").alias("total_records"),
-                 s(F.when(su.isNull(), rows).otherwise(0)).alias("null_count"),
-                 s(F.when(su.isNotNull(), eq).otherwise(0)).alias("matched_count"),
-                 s(F.when(su.isNotNull(), ne).otherwise(0)).alias("mismatched_count"))
+    by_code = people.join(per_code, c("code") == c("_k"), "left").agg(
+        F.coalesce(s(n), F.lit(0)).cast("bigint").alias("total"), s(F.when(linked, 0).otherwise(n)).alias("null"),
+        s(F.when(linked & c("_has"), c("_n")).otherwise(0)).alias("paired"))
+    by_link = people.join(per_id, (c("code") == c("_k2")) & (c("sys_user") == c("_v"))).agg(s(c("_n")).alias("equal"))
+    # two one-row aggregates, put side by side by adding them up
+    both = by_code.select("total", "null", "paired", F.lit(0).cast("bigint").alias("equal")) \
+        .unionByName(by_link.select("equal"), allowMissingColumns=True).agg(*[s(c(x)).alias(x) for x in ("total", "null", "paired", "equal")])
+    some = c("null").isNotNull()                        # SUM over no rows is NULL
+    return both.select(c("total").alias("total_records"), c("null").alias("null_count"),
+                       F.when(some, c("equal")).alias("matched_count"),
+                       F.when(some, c("paired") - c("equal")).alias("mismatched_count"))
 
 
 def people_without_account(people, accounts) -> DataFrame:
@@ -233,81 +223,56 @@ def q_people_link_account_stale(spark, d):
     return people_link_account(T.people, T.accounts, "stale").rows
 
 
-_PAIR = ("b.code, b.name, b.sys_user AS current_sys_user, a.id AS target_sys_user, a.account, "
-         "a.real_name AS account_name")
+def _pairs_sql(join: str, where: str, tests: list, labels: list, more: str = "") -> str:
+    """Person-account pairs labelled by the first test that holds (NULL: it doesn't)."""
+    said = ", ".join(f"'{x}'" for x in labels)
+    return f"""
+SELECT code, name, current_sys_user, target_sys_user, account, account_name, ([{said}])[nth] AS status{more}
+FROM (SELECT b.code, b.name, b.sys_user AS current_sys_user, a.id AS target_sys_user, a.account, a.real_name AS account_name,
+             list_position([{", ".join(tests)}, TRUE], TRUE) AS nth
+      FROM people b {join} WHERE {where})
+"""
+
 
+_ON_CODE = "accounts a ON a.account = b.code"
+_UNLINKED, _STALE = "b.sys_user IS NULL", "a.id <> b.sys_user"
+_PAIR_LABELS = ["NULL, needs_update", "differs, needs_update", "matched"]
 
-@query("link_pending", f"""
-SELECT {_PAIR},
-       CASE WHEN b.sys_user IS NULL THEN 'needs_update (NULL)' WHEN b.sys_user <> a.id THEN 'needs_update (differs)'
-            ELSE 'matched' END AS status
-FROM people b LEFT JOIN accounts a ON b.code = a.account
-WHERE b.sys_user IS NULL OR (a.id IS NOT NULL AND b.sys_user <> a.id)
-ORDER BY b.code
-""")
+
+@query("link_pending", _pairs_sql(f"LEFT JOIN {_ON_CODE}", f"{_UNLINKED} OR {_STALE}", [_UNLINKED],
+                                  ["needs_update (NULL)", "needs_update (differs)"]))
 def q_link_pending(spark, d):
     T = Tables(spark, d)
     return link_pending(T.people, T.accounts)
 
 
-_INNER_LABEL = ("CASE WHEN b.sys_user IS NULL THEN 'NULL, needs_update' WHEN b.sys_user <> a.id "
-                "THEN 'differs, needs_update' ELSE 'matched' END")
-
-
-@query("link_pending_inner", f"""
-SELECT {_PAIR}, {_INNER_LABEL} AS status
-FROM people b JOIN accounts a ON b.code = a.account
-WHERE b.sys_user IS NULL OR b.sys_user <> a.id
-ORDER BY b.code
-""")
+@query("link_pending_inner", _pairs_sql(f"JOIN {_ON_CODE}", f"{_UNLINKED} OR {_STALE}", [_UNLINKED, _STALE], _PAIR_LABELS))
 def q_link_pending_inner(spark, d):
     T = Tables(spark, d)
     return link_pending_inner(T.people, T.accounts)
 
 
-@query("link_all_matched", f"""
-SELECT {_PAIR},
-       CASE WHEN b.sys_user IS NULL THEN 'NULL, needs_update' WHEN b.sys_user <> a.id THEN 'differs, needs_update'
-            WHEN b.sys_user = a.id THEN 'matched' ELSE 'other' END AS status
-FROM people b JOIN accounts a ON b.code = a.account
-ORDER BY status, b.code
-""")
+@query("link_all_matched", _pairs_sql(f"JOIN {_ON_CODE}", "TRUE", [_UNLINKED, _STALE], _PAIR_LABELS))
 def q_link_all_matched(spark, d):
     T = Tables(spark, d)
     return link_all_matched(T.people, T.accounts)
 
 
-@query("link_stale", f"""
-SELECT {_PAIR}, CASE WHEN b.sys_user = a.id THEN 'matched' ELSE 'differs' END AS status
-FROM people b JOIN accounts a ON b.code = a.account
-WHERE b.sys_user IS NOT NULL AND b.sys_user <> a.id
-ORDER BY b.code
-""")
+@query("link_stale", _pairs_sql(f"JOIN {_ON_CODE}", _STALE, [_STALE], ["differs", ""]))
 def q_link_stale(spark, d):
     T = Tables(spark, d)
     return link_stale(T.people, T.accounts)
 
 
-@query("link_full_check", f"""
-SELECT {_PAIR},
-       CASE WHEN a.id IS NULL THEN 'no account' WHEN b.sys_user IS NULL THEN 'NULL, needs_update'
-            WHEN b.sys_user <> a.id THEN 'differs, needs_update' WHEN b.sys_user = a.id THEN 'matched'
-            ELSE 'other' END AS status,
-       CASE WHEN a.id IS NULL THEN 1 WHEN b.sys_user IS NULL THEN 2 WHEN b.sys_user <> a.id THEN 3 ELSE 4 END AS priority
-FROM people b LEFT JOIN accounts a ON b.code = a.account
-ORDER BY priority, b.code
-""")
+@query("link_full_check", _pairs_sql(f"LEFT JOIN {_ON_CODE}", "TRUE", ["a.id IS NULL", _UNLINKED, _STALE],
+                                     ["no account", *_PAIR_LABELS], ", CAST(nth AS INTEGER) AS priority"))
 def q_link_full_check(spark, d):
     T = Tables(spark, d)
     return link_full_check(T.people, T.accounts)
 
 
-@query("link_trimmed", f"""
-SELECT {_PAIR}, {_INNER_LABEL} AS status
-FROM people b JOIN accounts a ON trim(b.code) = trim(a.account)
-WHERE b.sys_user IS NULL OR b.sys_user <> a.id
-ORDER BY b.code
-""")
+@query("link_trimmed", _pairs_sql("JOIN accounts a ON trim(a.account) = trim(b.code)", f"{_UNLINKED} OR {_STALE}",
+                                  [_UNLINKED, _STALE], _PAIR_LABELS))
 def q_link_trimmed(spark, d):
     T = Tables(spark, d)
     return link_pending_inner(T.people, T.accounts, trim_keys=True)
@@ -330,12 +295,10 @@ def q_key_format_check(spark, d):
     return key_format_check(T.people, T.accounts)
 
 
-@query("link_profile", """
-SELECT count(*) AS total_records,
-       CAST(SUM(CASE WHEN b.sys_user IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count,
-       CAST(SUM(CASE WHEN b.sys_user IS NOT NULL AND b.sys_user = a.id THEN 1 ELSE 0 END) AS BIGINT) AS matched_count,
-       CAST(SUM(CASE WHEN b.sys_user IS NOT NULL AND b.sys_user <> a.id THEN 1 ELSE 0 END) AS BIGINT) AS mismatched_count
-FROM people b LEFT JOIN accounts a ON b.code = a.account
+@query("link_profile", f"""
+SELECT count(*) AS total_records, count(*) FILTER ({_UNLINKED}) AS null_count,
+       count(*) FILTER (a.id = b.sys_user) AS matched_count, count(*) FILTER ({_STALE}) AS mismatched_count
+FROM people b LEFT JOIN {_ON_CODE}
 """)
 def q_link_profile(spark, d):
     T = Tables(spark, d)

@@ -23,10 +23,6 @@ def query(key: str, sql: str | None = None):
     return deco
 
 
-def register(key: str, fn, sql: str | None = None):
-    query(key, sql)(fn)
-
-
 def queries() -> dict:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -14,6 +14,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key also where an aggregate after the join must then shuffle again
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -78,13 +80,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and versioned tables.
 
     Read ``spark.checkpoint.dir`` from the session (a cluster names a shared
-    folder there). Only when it is unset -- local tests -- is a folder made,
-    once per session; ``spark.checkpoint.dir`` is a core setting that cannot
-    be changed at run time, so the fallback is kept here and handed to the
-    SparkContext.
+    folder there). Only when it is unset and the master is local -- tests --
+    is a folder made, once per session; ``spark.checkpoint.dir`` is a core
+    setting that cannot be changed at run time, so the fallback is kept here
+    and handed to the SparkContext. On a cluster every executor would see a
+    folder of its own, so there an unset name is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         key = id(spark.sparkContext)
         if key not in _FALLBACK_DIRS:
             _FALLBACK_DIRS[key] = tempfile.mkdtemp(prefix="rosterline-ckpt-",

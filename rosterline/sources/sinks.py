@@ -22,7 +22,7 @@ def table_root(spark: SparkSession, name: str, base: str | None = None) -> str:
     return f"{(base or checkpoint_dir(spark)).rstrip('/')}/tables/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, through the Hadoop file system of the path
     (works for local, HDFS and object-store folders alike)."""
     jvm = spark.sparkContext._jvm
@@ -42,7 +42,7 @@ def commit(df: DataFrame, spark: SparkSession, name: str, version: str, base: st
     # Only a folder that already exists can be one the data is read from; the
     # (driver-side) list of input files is consulted only in that rare case
     # (a replayed version), never for a fresh version of a large table.
-    if _exists(spark, path):
+    if exists(spark, path):
         target = urlparse(path).path.rstrip("/") + "/"
         if any(urlparse(f).path.startswith(target) for f in df.inputFiles()):
             raise ValueError(f"refusing to overwrite {path}: the data being written is read from it")
@@ -56,11 +56,13 @@ def commit(df: DataFrame, spark: SparkSession, name: str, version: str, base: st
 
 
 def commit_counted(df: DataFrame, spark: SparkSession, name: str, version: str, base: str | None = None,
-                   paths: dict | None = None):
+                   paths: dict | None = None, count: str | None = None):
     """``commit`` that also returns the number of rows written, observed
-    while writing (A9: the affected-row count costs no second job)."""
+    while writing (A9: the affected-row count costs no second job); with
+    ``count`` the sum of that column instead."""
     obs = Observation(f"count_{name}_{version}".replace("-", "_").replace(".", "_"))
-    out = commit(df.observe(obs, F.count(F.lit(1)).alias("n")), spark, name, version, base, paths=paths)
+    n = F.count(F.lit(1)) if count is None else F.coalesce(F.sum(count), F.lit(0))
+    out = commit(df.observe(obs, n.alias("n")), spark, name, version, base, paths=paths)
     return out, int(obs.get["n"])
 
 

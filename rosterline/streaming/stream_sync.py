@@ -8,19 +8,20 @@ tables under version ``b<batch_id>`` in the shared checkpoint folder, and a
 one-row manifest per batch records which version of each managed table is
 current. A replayed batch (a failure before the stream checkpoint committed)
 finds its own manifest row and is skipped, or, if it died before writing it,
-rewrites the same version folders: each batch is applied exactly once.
+rewrites the same version folders: each batch is applied exactly once. A
+batch in which a step fails is not applied: the query fails, and a restart
+replays it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.sync import run_sync
 from rosterline.session import checkpoint_dir
-from rosterline.sources.sinks import commit
+from rosterline.sources.sinks import commit, exists
 
 ROSTER_STREAM_SCHEMA = "empcode string, empname string, gdname4 string, isactive int, change_ts timestamp_ntz"
 MANAGED = ("accounts", "logons", "people")
@@ -35,13 +36,14 @@ def last_per_code(batch: DataFrame) -> DataFrame:
 
 
 def _load_manifest(spark, base):
-    """Newest manifest row (batch_id + table paths) or None."""
-    try:
-        m = spark.read.parquet(f"{base}/manifest")
-    except AnalysisException:
+    """Newest manifest row (batch_id + table paths), or None before the first batch.
+
+    Only a folder that isn't there means "no manifest"; one that can't be read
+    is an error, never a fresh start."""
+    if not exists(spark, f"{base}/manifest"):
         return None
-    row = m.orderBy(F.col("batch_id").desc()).limit(1).collect()
-    return row[0].asDict() if row else None
+    newest = spark.read.parquet(f"{base}/manifest").agg(F.max_by(F.struct("batch_id", *MANAGED), "batch_id").alias("m")).first()["m"]
+    return newest.asDict() if newest else None
 
 
 def stream_sync(spark: SparkSession, roster_dir: str, initial: dict, state_dir: str | None = None,
@@ -60,18 +62,25 @@ def stream_sync(spark: SparkSession, roster_dir: str, initial: dict, state_dir:
     def current_tables():
         doc = _load_manifest(spark, base)
         if doc is None:
-            return dict(initial), -1
-        return {k: spark.read.parquet(doc[k]) for k in MANAGED}, doc["batch_id"]
+            return dict(initial), {}, -1
+        return {k: spark.read.parquet(doc[k]) for k in MANAGED}, doc, doc["batch_id"]
 
     def on_batch(batch: DataFrame, batch_id: int):
-        tables, last = current_tables()
+        tables, known, last = current_tables()
         if batch_id <= last:          # already applied: replay after a restart
             return
         tables["roster"] = last_per_code(batch)
         paths = {}
         out, res = run_sync(spark, tables, p, run_id=f"b{batch_id}", base=base, paths=paths)
-        for k in MANAGED:             # a table no step changed keeps a copy at this batch
-            if k not in paths:
+        failed = [f"{r.task}: {r.error}" for r in res.where(~F.col("success")).collect()]
+        if failed:
+            # a batch holds only its own roster rows, so no later one would make up for it:
+            # nothing is marked as applied, and the stream replays the batch
+            raise RuntimeError(f"batch {batch_id} failed: " + "; ".join(failed))
+        for k in MANAGED:             # a table no step changed stays where it is
+            if k not in paths and k in known:
+                paths[k] = known[k]
+            elif k not in paths:
                 commit(out[k], spark, k, f"b{batch_id}", base, paths=paths)
         doc = {"batch_id": batch_id, **{k: paths[k] for k in MANAGED}}
         spark.createDataFrame([doc]).write.mode("overwrite").parquet(f"{base}/manifest/b={batch_id}")
@@ -82,7 +91,7 @@ def stream_sync(spark: SparkSession, roster_dir: str, initial: dict, state_dir:
          .option("checkpointLocation", ckpt or f"{base}/_stream_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    tables, _ = current_tables()
+    tables, _, _ = current_tables()
     results = None
     for r in collected:
         results = r if results is None else results.unionByName(r)

@@ -55,7 +55,7 @@ def test_cli_sync_and_query(spark, sf_small, tmp_path, capsys):
     from rosterline.__main__ import main
     from rosterline.sources.standins import Tables
     T = Tables(spark, sf_small)
-    conf = {"tables": {}, "params": {"dept_map": [{"dept": "BUILDING", "factory": "1060"}]},
+    conf = {"tables": {}, "params": {"dept_map": [{"dept": "BUILDING", "factory": "1060"}], "default_secret": "s", "run_salt": "r"},
             "out": str(tmp_path / "out")}
     for name in ("roster", "accounts", "logons", "people"):
         path = str(tmp_path / name)

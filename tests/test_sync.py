@@ -4,6 +4,7 @@ run ledger; micro-batch stream: two batches equal one batch."""
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from rosterline.params import DEFAULT_PARAMS
@@ -41,8 +42,8 @@ def test_failing_step_becomes_a_row_and_later_steps_run(spark, sf_small, monkeyp
     def boom(t, p):
         raise RuntimeError("planned failure")
     steps = dict(PL.STEPS)
-    tbl, kind, key, reads, _ = steps["people_insert_missing"]
-    steps["people_insert_missing"] = (tbl, kind, key, reads, boom)
+    tbl, kind, reads, _ = steps["people_insert_missing"]
+    steps["people_insert_missing"] = (tbl, kind, reads, boom)
     monkeypatch.setattr(PL, "STEPS", steps)
     _, res = PL.run_sync(spark, PL.tables_for(spark, sf_small))
     by = {r.task: r for r in res.collect()}
@@ -139,6 +140,41 @@ def test_stream_two_batches_equal_one(spark, sf_small):
     assert _snapshot(t_split) == _snapshot(t_one)
 
 
+def test_stream_replays_a_failed_batch(spark, sf_small, monkeypatch):
+    init = {k: v for k, v in PL.tables_for(spark, sf_small).items() if k != "roster"}
+    d = tempfile.mkdtemp(prefix="roster-stream-")
+    _roster_files(spark, sf_small, os.path.join(d, "in"), False)
+    folder, state = os.path.join(d, "in", "a"), os.path.join(d, "state")
+    whole, _ = stream_sync(spark, folder, init, state_dir=os.path.join(d, "other"))
+    steps = dict(PL.STEPS)
+
+    def boom(t, p):
+        raise RuntimeError("planned failure " + "x" * 5000 + " the cause")
+    tbl, kind, reads, _ = steps["people_job_status"]
+    with monkeypatch.context() as m:
+        m.setattr(PL, "STEPS", {**steps, "people_job_status": (tbl, kind, reads, boom)})
+        with pytest.raises(Exception, match="the cause"):
+            stream_sync(spark, folder, init, state_dir=state)
+    assert not os.path.exists(os.path.join(state, "manifest"))
+    after, results = stream_sync(spark, folder, init, state_dir=state)
+    assert results.where("not success").count() == 0
+    assert _snapshot(after) == _snapshot(whole)
+
+
+def test_stream_leaves_unchanged_tables_where_they_are(spark, sf_small):
+    init = {k: v for k, v in PL.tables_for(spark, sf_small).items() if k != "roster"}
+    d = tempfile.mkdtemp(prefix="roster-stream-")
+    folder, state = os.path.join(d, "in"), os.path.join(d, "state")
+    _roster_files(spark, sf_small, folder, False)
+    stream_sync(spark, os.path.join(folder, "a"), init, state_dir=state)
+    first = spark.read.parquet(f"{state}/manifest").first()
+    again = spark.read.parquet(os.path.join(folder, "a")).limit(3)          # nothing new
+    again.coalesce(1).write.mode("append").parquet(os.path.join(folder, "a"))
+    stream_sync(spark, os.path.join(folder, "a"), init, state_dir=state)
+    rows = {r.batch_id: r for r in spark.read.parquet(f"{state}/manifest").collect()}
+    assert len(rows) == 2 and all(r.accounts == first.accounts and r.people == first.people for r in rows.values())
+
+
 def test_last_per_code_is_deterministic_on_ties(spark):
     from rosterline.streaming.stream_sync import last_per_code
     b = spark.createDataFrame(
