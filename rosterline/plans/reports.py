@@ -5,7 +5,8 @@ fan-out (N5, A8, N6) and unmaintained groups (N7).
 The picking report joins the line table (the big one) to items, keepers and
 heads. Items and keepers are joined on the same key (item) one after the
 other, so the lines are shuffled on it once; heads are joined on the picking
-id. Window and status filters are pushed into the parquet scan.
+id. On a stored picking table the window and status filters are pushed into the
+parquet scan; the stand-in derives the time by a CASE, which cannot be pushed.
 """
 
 from __future__ import annotations
@@ -69,10 +70,11 @@ LEVELS = (1, 2, 3, 4, 5)
 
 
 def rules_in_force(rules: DataFrame, lo: int = 1, hi: int = 100, enterprise_id=None, org_id=None) -> DataFrame:
-    """Active, recipients non-blank, level in band, tenant NULL or equal."""
+    """Active, recipients and report non-blank, level in band, tenant NULL or equal."""
     ent = c("enterprise_id").isNull() | (c("enterprise_id") == F.lit(enterprise_id))
     org = c("org_id").isNull() | (c("org_id") == F.lit(org_id))
-    return rules.where(c("is_active") & (F.trim(c("user_ids")) != "") & c("level").between(lo, hi) & ent & org)
+    return rules.where(c("is_active") & (F.trim(c("user_ids")) != "") & (F.trim(c("report")) != "")
+                       & c("level").between(lo, hi) & ent & org)
 
 
 def rule_recipients(rules: DataFrame, trim_items: bool = True) -> DataFrame:
@@ -109,53 +111,45 @@ def pick_tagged(T: Tables, p: SyncParams = P, levels=LEVELS) -> DataFrame:
     return b.select(*BASE_COLS, F.explode(arr).alias("_t")).select("_t.level", *BASE_COLS, "_t.keeper_name")
 
 
+REPORT = "picking"        # the registered report of levels 1-5
+
+
+def _runs():
+    return c("level").isin(*LEVELS) & (c("report") == REPORT)
+
+
 def rule_rows(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100),
               enterprise_id="ent-1", org_id="org-1"):
     """Every rule in force, through the registered report of its level,
     rows tagged with rule id and level. Returns (rows, failures).
 
-    The rule table is configuration (a handful of rows): it is read on the
-    driver to choose which tests to evaluate; the report rows never are. A
-    rule whose level has no registered report is recorded and skipped. The
-    rules of each level are attached to the tagged rows as a literal array
-    that is exploded -- a projection, not a join on the (five-valued) level,
-    which would put every row of one level into one task. A rule may name
-    its own keeper (several level-5 rules, one name each).
+    A rule whose report or level is not registered is a row of ``failures``
+    (rule_id, level, error); the others go on. The rules are joined to the
+    tagged rows on the level (a rule may also name its own keeper): AQE
+    broadcasts the rule table by its real size, so that the few levels are no
+    hot keys, and otherwise splits them.
     """
-    has_keeper = "keeper_name" in rules.columns
-    cols = ["rule_id", "level"] + (["keeper_name"] if has_keeper else [])
-    conf = rules_in_force(rules, band[0], band[1], enterprise_id, org_id).select(*cols).collect()
-    failures = [(r.rule_id, r.level, f"KeyError: no registered report for level {r.level}")
-                for r in conf if r.level not in LEVELS]
-    by_level = {}
-    for r in conf:
-        if r.level in LEVELS:
-            rk = r["keeper_name"] if has_keeper else None
-            by_level.setdefault(r.level, []).append(
-                F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(rk).cast("string").alias("rk")))
-    tagged = pick_tagged(T, p, sorted(by_level))
-    empty = F.array().cast("array<struct<rule_id:string,rk:string>>")
-    per_level = empty
-    for lv in sorted(by_level, reverse=True):
-        per_level = F.when(c("level") == lv, F.array(*by_level[lv])).otherwise(per_level)
-    out = (tagged.select("*", F.explode(per_level).alias("_r"))
-                 .where(c("_r.rk").isNull() | (c("keeper_name") == c("_r.rk"))))
-    return out.select(c("_r.rule_id").alias("rule_id"), "level", *BASE_COLS, "keeper_name"), failures
+    conf = rules_in_force(rules, band[0], band[1], enterprise_id, org_id)
+    failures = conf.where(~_runs()).select("rule_id", "level", F.format_string(
+        "no registered report %s for level %d", "report", "level").alias("error"))
+    chosen = conf.where(_runs()).select("rule_id", c("level").alias("_level"), c("keeper_name").alias("_keeper"))
+    tagged = pick_tagged(T, p)
+    out = tagged.join(chosen, (c("level") == c("_level")) & (c("_keeper").isNull() | (c("_keeper") == c("keeper_name"))))
+    return out.select("rule_id", "level", *BASE_COLS, "keeper_name"), failures
 
 
 def _summary_all(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100),
                  enterprise_id="ent-1", org_id="org-1") -> DataFrame:
     """Every rule in force with recipients, rows and status; a rule with no
     recipient after splitting has status 'skipped'."""
-    rows, failures = rule_rows(T, rules, p, band, enterprise_id, org_id)
+    rows, _ = rule_rows(T, rules, p, band, enterprise_id, org_id)
     counts = rows.groupBy("rule_id").agg(F.count(F.lit(1)).alias("row_count"))
     rif = rules_in_force(rules, band[0], band[1], enterprise_id, org_id).select(
-        "rule_id", "level", F.size(split_ids("user_ids")).alias("recipient_count"))
-    failed = [f[0] for f in failures]
+        "rule_id", "level", F.size(split_ids("user_ids")).alias("recipient_count"), _runs().alias("_runs"))
     j = rif.join(counts, "rule_id", "left")
     n = F.coalesce(c("row_count"), F.lit(0))
     status = (F.when(c("recipient_count") == 0, F.lit("skipped"))
-               .when(c("rule_id").isin(failed) if failed else F.lit(False), F.lit("error"))
+               .when(~c("_runs"), F.lit("error"))
                .when(n == 0, F.lit("no data")).otherwise(F.lit("sent")))
     return j.select("rule_id", "level", "recipient_count", n.alias("row_count"), status.alias("status"))
 
@@ -187,14 +181,21 @@ def delivery_fanout(T: Tables, rules: DataFrame, p: SyncParams = P) -> DataFrame
     return rec.join(s, "rule_id").select("rule_id", "level", "recipient", "row_count")
 
 
+BAND_RULES = 1000
+
+
 def _band_rules(rules, lo, hi, enterprise_id="ent-1", org_id="org-1") -> list:
-    """Rules in force of one band that have at least one recipient.
+    """Rules in force of one band that have at least one recipient, at most BAND_RULES.
 
-    The rule table is configuration (a handful of rows); its rows are read on
-    the driver, never the report rows."""
-    return (rules_in_force(rules, lo, hi, enterprise_id, org_id)
-            .select("rule_id", "level", F.size(split_ids("user_ids")).alias("recipient_count"))
-            .where(c("recipient_count") > 0).orderBy("level", "rule_id").collect())
+    Every rule of these bands repeats the same summary, so they become an
+    expression of the plan; more of them than a person could have written is
+    an error, not a larger plan."""
+    found = (rules_in_force(rules, lo, hi, enterprise_id, org_id)
+             .select("rule_id", "level", F.size(split_ids("user_ids")).alias("recipient_count"))
+             .where(c("recipient_count") > 0).orderBy("level", "rule_id").limit(BAND_RULES + 1).collect())
+    if len(found) > BAND_RULES:
+        raise ValueError(f"more than {BAND_RULES} rules in levels {lo}-{hi}")
+    return found
 
 
 _RULE_T = "array<struct<rule_id:string,level:int,recipient_count:int>>"
@@ -238,27 +239,22 @@ def group_unmaintained_count(people: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- queries
-_BASE_SQL = """SELECT m.src_doc_no, m.doc_no, m.matnr, bim.item_name, bim.item_specs, m.qty, m.requisition_ts,
-       m.prep_status, i.keeper, mm.remark
-FROM picking_lines m
-LEFT JOIN items bim ON m.item_id = bim.id
-LEFT JOIN (SELECT DISTINCT item_id, keeper FROM item_keepers WHERE keeper IS NOT NULL) i ON m.item_id = i.item_id
-LEFT JOIN picking_heads mm ON m.picking_id = mm.id"""
+_BASE_SQL = """SELECT src_doc_no, doc_no, matnr, item_name, item_specs, qty, requisition_ts, prep_status, keeper, remark
+FROM picking_lines
+LEFT JOIN (SELECT id AS item_id, item_name, item_specs FROM items) USING (item_id)
+LEFT JOIN (SELECT item_id, keeper FROM item_keepers GROUP BY ALL HAVING keeper IS NOT NULL) USING (item_id)
+LEFT JOIN (SELECT id AS picking_id, remark FROM picking_heads) USING (picking_id)"""
 
-_WIN = (f"m.requisition_ts IS NOT NULL AND m.requisition_ts >= TIMESTAMP '{P.picking_as_of}' - INTERVAL {P.window_days} DAY "
-        f"AND m.requisition_ts <= TIMESTAMP '{P.picking_as_of}' + INTERVAL {P.window_days} DAY")
-_NOT_SIGNED = "m.prep_status <> 'signed'"
-_ISSUING = "(m.prep_status = 'issuing' OR m.prep_status IS NULL)"
+_WIN = (f"abs(epoch(requisition_ts) - epoch(TIMESTAMP '{P.picking_as_of}')) <= {P.window_days} * 86400")
 
 
 def _level_sql(level: int) -> str:
     if level in (1, 2, 3):
-        extra = {1: "", 2: " AND mm.remark LIKE '1%'", 3: " AND mm.remark LIKE 'G%'"}[level]
-        return f"SELECT *, CAST(NULL AS VARCHAR) AS keeper_name FROM ({_BASE_SQL}\nWHERE {_WIN} AND {_NOT_SIGNED}{extra}) x"
+        first = {1: "TRUE", 2: "starts_with(remark, '1')", 3: "starts_with(remark, 'G')"}[level]
+        return f"SELECT *, CAST(NULL AS VARCHAR) AS keeper_name FROM ({_BASE_SQL}) WHERE {_WIN} AND prep_status <> 'signed' AND {first}"
     names = [P.keeper_level4] if level == 4 else list(P.keeper_level5)
-    vals = ", ".join(f"('{n}')" for n in names)
-    return (f"SELECT x.*, k.name AS keeper_name FROM ({_BASE_SQL}\nWHERE {_WIN} AND {_ISSUING}) x "
-            f"JOIN (VALUES {vals}) k(name) ON contains(x.keeper, k.name)")
+    return (f"SELECT * FROM (SELECT *, unnest([{', '.join(repr(n) for n in names)}]) AS keeper_name FROM ({_BASE_SQL}) "
+            f"WHERE {_WIN} AND coalesce(prep_status, 'issuing') = 'issuing') WHERE contains(keeper, keeper_name)")
 
 
 @query("pick_base", _BASE_SQL)
@@ -280,15 +276,16 @@ def _reg_level(level):
 for _lv in LEVELS:
     _reg_level(_lv)
 
-_RIF_SQL = """SELECT rule_id, level, user_ids FROM report_rules
-WHERE is_active AND trim(user_ids) <> '' AND level BETWEEN 1 AND 100
-  AND (enterprise_id IS NULL OR enterprise_id = 'ent-1') AND (org_id IS NULL OR org_id = 'org-1')"""
+_RIF_SQL = """SELECT rule_id, level, user_ids, report, keeper_name, level IN (1, 2, 3, 4, 5) AND report = 'picking' AS runs FROM report_rules
+WHERE is_active AND trim(user_ids) <> '' AND trim(report) <> '' AND level BETWEEN 1 AND 100
+  AND coalesce(enterprise_id, 'ent-1') = 'ent-1' AND coalesce(org_id, 'org-1') = 'org-1'"""
 
 _LV_UNION = "\nUNION ALL\n".join(f"SELECT {lv} AS lvl, * FROM ({_level_sql(lv)}) l{lv}" for lv in LEVELS)
 
 _RULE_ROWS_SQL = f"""
 WITH rif AS ({_RIF_SQL}), lv AS ({_LV_UNION})
-SELECT rif.rule_id, rif.level, lv.* EXCLUDE (lvl) FROM rif JOIN lv ON lv.lvl = rif.level
+SELECT rif.rule_id, rif.level, lv.* EXCLUDE (lvl) FROM rif JOIN lv ON runs AND lvl = rif.level
+  AND coalesce(rif.keeper_name, lv.keeper_name) IS NOT DISTINCT FROM lv.keeper_name
 """
 
 
@@ -301,11 +298,12 @@ def q_rule_rows(spark, d):
 _RECIP = "CAST(len(list_filter(string_split(user_ids, ','), lambda x: regexp_matches(trim(x), '\\S'))) AS INTEGER)"
 _SUMMARY_SQL = f"""
 WITH rif AS ({_RIF_SQL}), lv AS ({_LV_UNION}),
-rr AS (SELECT rif.rule_id, count(*) AS n FROM rif JOIN lv ON lv.lvl = rif.level GROUP BY rif.rule_id),
-s AS (SELECT rif.rule_id, rif.level, {_RECIP} AS recipient_count, coalesce(rr.n, 0) AS row_count
+rr AS (SELECT rif.rule_id, count(*) AS n FROM rif JOIN lv ON runs AND lvl = rif.level
+         AND coalesce(rif.keeper_name, lv.keeper_name) IS NOT DISTINCT FROM lv.keeper_name GROUP BY rif.rule_id),
+s AS (SELECT rif.rule_id, rif.level, {_RECIP} AS recipient_count, coalesce(rr.n, 0) AS row_count, runs
       FROM rif LEFT JOIN rr ON rif.rule_id = rr.rule_id)
 SELECT rule_id, level, recipient_count, row_count,
-       CASE WHEN row_count = 0 THEN 'no data' ELSE 'sent' END AS status
+       CASE WHEN NOT runs THEN 'error' WHEN row_count = 0 THEN 'no data' ELSE 'sent' END AS status
 FROM s WHERE recipient_count > 0
 ORDER BY level, rule_id
 """
@@ -358,8 +356,8 @@ def q_group_unmaintained_count(spark, d):
 
 
 _BAND_SQL = """SELECT rule_id, level, {recip} AS recipient_count FROM report_rules
-WHERE is_active AND trim(user_ids) <> '' AND level BETWEEN {lo} AND {hi}
-  AND (enterprise_id IS NULL OR enterprise_id = 'ent-1') AND (org_id IS NULL OR org_id = 'org-1')"""
+WHERE is_active AND trim(user_ids) <> '' AND trim(report) <> '' AND level BETWEEN {lo} AND {hi}
+  AND coalesce(enterprise_id, 'ent-1') = 'ent-1' AND coalesce(org_id, 'org-1') = 'org-1'"""
 
 
 def _attendance_rule_sql():
@@ -389,3 +387,17 @@ ORDER BY r.level, r.rule_id
 def q_group_notice_summary(spark, d):
     T = Tables(spark, d)
     return group_notice_summary(T, T.report_rules)
+
+
+@query("rules_in_force", f"SELECT rule_id, level, user_ids, report, keeper_name FROM ({_RIF_SQL})")
+def q_rules_in_force(spark, d):
+    rules = rules_in_force(Tables(spark, d).report_rules, 1, 100, "ent-1", "org-1")
+    return rules.select("rule_id", "level", "user_ids", "report", "keeper_name")
+
+
+@query("rule_recipients", f"""
+SELECT rule_id, level, regexp_replace(x, '^\\s+|\\s+$', '', 'g') AS recipient
+FROM (SELECT rule_id, level, unnest(string_split(user_ids, ',')) AS x FROM ({_RIF_SQL})) WHERE regexp_matches(x, '\\S')
+""")
+def q_rule_recipients(spark, d):
+    return rule_recipients(rules_in_force(Tables(spark, d).report_rules, 1, 100, "ent-1", "org-1"))

@@ -132,11 +132,10 @@ def items(spark, d):
 
 
 def item_keepers(spark, d):
-    li = base(spark, d, "lineitem").where(c("l_linenumber") == 1).select("l_partkey", "l_suppkey")
-    s = base(spark, d, "supplier").select("s_suppkey", "s_name")
-    j = li.join(s, li.l_suppkey == s.s_suppkey)
-    return j.select(c("l_partkey").alias("item_id"),
-                    F.when(c("l_suppkey") % 10 == 0, lit(None).cast("string")).otherwise(c("s_name")).alias("keeper"))
+    """One keeper for each five suppliers: every item has up to four, from all of its lines."""
+    nth = c("l_suppkey") % 5
+    return base(spark, d, "lineitem").select(c("l_partkey").alias("item_id"), F.when(
+        nth != 0, F.format_string("Supplier#%09d", nth * 4 + 3)).alias("keeper")).distinct()
 
 
 def attendance(spark, d):
@@ -162,26 +161,19 @@ def system_log(spark, d):
     )
 
 
-REPORT_RULE_ROWS = [
-    ("r1", 1, "u1, u2,u3", "ent-1", "org-1", True),
-    ("r2", 2, "u2,,u4", None, None, True),
-    ("r3", 3, "u5", "ent-1", None, True),
-    ("r4", 4, "u1", "ent-2", "org-1", True),
-    ("r5", 5, "   ", "ent-1", "org-1", True),
-    ("r6", 5, "u6", "ent-1", "org-1", False),
-    ("r7", 101, "u1,u7", "ent-1", "org-1", True),
-    ("r8", 201, "u8", "ent-1", "org-1", True),
-]
-REPORT_RULE_SCHEMA = ("rule_id string, level int, user_ids string, enterprise_id string, "
-                      "org_id string, is_active boolean")
+REPORT_RULE_SCHEMA = ("rule_id string, level int, user_ids string, enterprise_id string, org_id string, is_active boolean, "
+                      "report string, keeper_name string")
 
 
-def report_rules(spark, d=None):
-    """The rule table is configuration (eight rows), not data that grows.
-
-    Built as a VALUES relation (not ``createDataFrame``) so the planner knows
-    its size and can broadcast it in the rule joins."""
-    return spark.sql(VIEW_SQL["report_rules"])
+def report_rules(spark, d):
+    """Fixed rules for every case, and one rule of level 5 for each supplier, so that the table grows with the data."""
+    k = c("s_suppkey")
+    own = base(spark, d, "supplier").select(
+        F.concat(lit("s"), _s(k)).alias("rule_id"), lit(5).alias("level"),
+        F.when(k % 3 == 0, F.concat(lit("u"), _s(k))).when(k % 3 == 1, F.concat(lit("u"), _s(k), lit(", ,u1"))).otherwise(lit(" , ")).alias("user_ids"),
+        F.when(k % 4 != 0, lit("ent-1")).alias("enterprise_id"), lit("org-1").alias("org_id"), (k % 5 != 0).alias("is_active"),
+        F.when(k % 7 == 0, lit("")).otherwise(lit("picking")).alias("report"), c("s_name").alias("keeper_name"))
+    return spark.sql(f"SELECT * FROM {FIXED_RULES}").union(own)
 
 
 BUILDERS = {
@@ -228,6 +220,22 @@ class Tables:
 
 # ---------------------------------------------------------------------------
 # SQL text of the same views (DuckDB and Spark SQL), for oracle CTEs.
+FIXED_RULES = """(VALUES
+  ('r1', 1, 'u1, u2,u3', 'ent-1', 'org-1', TRUE, 'picking', NULL),
+  ('r2', 2, 'u2,,u4', NULL, NULL, TRUE, 'picking', NULL),
+  ('r3', 3, 'u5', 'ent-1', NULL, TRUE, 'picking', NULL),
+  ('r4', 4, 'u1', 'ent-2', 'org-1', TRUE, 'picking', NULL),
+  ('r5', 5, '   ', 'ent-1', 'org-1', TRUE, 'picking', NULL),
+  ('r6', 5, 'u6', 'ent-1', 'org-1', FALSE, 'picking', NULL),
+  ('r7', 101, 'u1,u7', 'ent-1', 'org-1', TRUE, 'attendance', NULL),
+  ('r8', 201, 'u8', 'ent-1', 'org-1', TRUE, 'groups', NULL),
+  ('r9', 4, 'u9', 'ent-1', 'org-1', TRUE, 'picking', 'Supplier#000000007'),
+  ('r10', 5, 'u10,u11', 'ent-1', 'org-1', TRUE, 'picking', 'Supplier#000000011'),
+  ('r11', 5, 'u12', NULL, 'org-1', TRUE, 'picking', NULL),
+  ('r12', 1, 'u13', 'ent-1', 'org-1', TRUE, ' ', NULL),
+  ('r13', 3, 'u14', 'ent-1', 'org-1', TRUE, 'no such report', NULL),
+  ('r14', 42, 'u15', 'ent-1', 'org-1', TRUE, 'picking', NULL)
+) AS t(rule_id, level, user_ids, enterprise_id, org_id, is_active, report, keeper_name)"""
 VIEW_SQL = {
     "roster": """SELECT c_name AS empcode, concat('Emp ', CAST(c_custkey AS VARCHAR)) AS empname,
        c_mktsegment AS gdname4,
@@ -275,8 +283,8 @@ FROM lineitem""",
             WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END AS remark
 FROM orders""",
     "items": """SELECT p_partkey AS id, p_name AS item_name, concat(p_brand, '/', p_type) AS item_specs FROM part""",
-    "item_keepers": """SELECT l_partkey AS item_id, CASE WHEN l_suppkey % 10 = 0 THEN NULL ELSE s_name END AS keeper
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber = 1""",
+    "item_keepers": """SELECT DISTINCT l_partkey AS item_id,
+       CASE WHEN l_suppkey % 5 <> 0 THEN printf('Supplier#%09d', l_suppkey % 5 * 4 + 3) END AS keeper FROM lineitem""",
     "attendance": """SELECT event_id AS row_id, CAST(user_id AS VARCHAR) AS empcode, CAST(ts AS DATE) AS work_date,
        CASE WHEN user_id % 37 = 0 THEN NULL ELSE concat('G', CAST(user_id % 12 AS VARCHAR)) END AS group_name,
        CASE WHEN event_type = 'click' THEN 'normal' WHEN event_type = 'purchase' THEN 'late 5m'
@@ -287,16 +295,11 @@ FROM events""",
        CASE WHEN event_type = 'error' THEN 'Error' WHEN event_type = 'signup' THEN 'Warning' ELSE 'Information' END AS log_level,
        event_type AS category, coalesce(props, '') AS message, CAST(user_id AS VARCHAR) AS user_id
 FROM events""",
-    "report_rules": """SELECT * FROM (VALUES
-  ('r1', 1,   'u1, u2,u3',     'ent-1', 'org-1', TRUE),
-  ('r2', 2,   'u2,,u4',        NULL,    NULL,    TRUE),
-  ('r3', 3,   'u5',            'ent-1', NULL,    TRUE),
-  ('r4', 4,   'u1',            'ent-2', 'org-1', TRUE),
-  ('r5', 5,   '   ',           'ent-1', 'org-1', TRUE),
-  ('r6', 5,   'u6',            'ent-1', 'org-1', FALSE),
-  ('r7', 101, 'u1,u7',         'ent-1', 'org-1', TRUE),
-  ('r8', 201, 'u8',            'ent-1', 'org-1', TRUE)
-) AS t(rule_id, level, user_ids, enterprise_id, org_id, is_active)""",
+    "report_rules": f"""SELECT * FROM {FIXED_RULES}
+UNION ALL
+SELECT concat('s', s_suppkey), 5, CASE s_suppkey % 3 WHEN 0 THEN concat('u', s_suppkey) WHEN 1 THEN concat('u', s_suppkey, ', ,u1')
+       ELSE ' , ' END, CASE WHEN s_suppkey % 4 <> 0 THEN 'ent-1' END, 'org-1', s_suppkey % 5 <> 0,
+       CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE 'picking' END, s_name FROM supplier""",
 }
 
 _ORDER = list(VIEW_SQL)

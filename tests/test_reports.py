@@ -18,16 +18,22 @@ from rosterline.sources.standins import REPORT_RULE_SCHEMA, Tables
 c = F.col
 
 
+def fixed(T):
+    """The rules that don't come from a table."""
+    return T.report_rules.where("rule_id like 'r%'")
+
+
 def test_rules_in_force_band_and_tenant(spark, sf_small):
-    rules = Tables(spark, sf_small).report_rules
+    rules = fixed(Tables(spark, sf_small))
     got = sorted(r.rule_id for r in R.rules_in_force(rules, 1, 100, "ent-1", "org-1").collect())
-    assert got == ["r1", "r2", "r3"]            # r4 other tenant, r5 blank, r6 inactive, r7/r8 other band
+    # r4 other tenant, r5 blank, r6 inactive, r7/r8 other band, r12 without report
+    assert got == ["r1", "r10", "r11", "r13", "r14", "r2", "r3", "r9"]
     assert [r.rule_id for r in R.rules_in_force(rules, 101, 200, "ent-1", "org-1").collect()] == ["r7"]
 
 
 def test_recipients_split_trim_and_drop_blank(spark, sf_small):
-    rules = Tables(spark, sf_small).report_rules
-    rec = R.rule_recipients(R.rules_in_force(rules, 1, 100, "ent-1", "org-1"))
+    rules = fixed(Tables(spark, sf_small))
+    rec = R.rule_recipients(R.rules_in_force(rules, 1, 3, "ent-1", "org-1").where("rule_id < 'r4' and rule_id not like 'r1_'"))
     assert sorted((r.rule_id, r.recipient) for r in rec.collect()) == [
         ("r1", "u1"), ("r1", "u2"), ("r1", "u3"), ("r2", "u2"), ("r2", "u4"), ("r3", "u5")]
     raw = R.rule_recipients(rules.where(c("rule_id") == "r1"), trim_items=False)
@@ -36,13 +42,14 @@ def test_recipients_split_trim_and_drop_blank(spark, sf_small):
 
 def test_rule_with_unknown_level_is_recorded_and_skipped(spark, sf_small):
     T = Tables(spark, sf_small)
-    rules = spark.createDataFrame([("x1", 1, "u1", None, None, True), ("x2", 42, "u2", None, None, True)],
+    rules = spark.createDataFrame([("x1", 1, "u1", None, None, True, "picking", None), ("x2", 42, "u2", None, None, True, "picking", None),
+                                   ("x3", 1, "u3", None, None, True, "nothing", None)],
                                   REPORT_RULE_SCHEMA)
     rows, failures = R.rule_rows(T, rules)
-    assert [f[0] for f in failures] == ["x2"]
+    assert sorted(f.rule_id for f in failures.collect()) == ["x2", "x3"]
     assert rows.select("rule_id").distinct().collect()[0].rule_id == "x1"
     s = {r.rule_id: r.status for r in R.delivery_summary(T, rules).collect()}
-    assert s == {"x1": "sent", "x2": "error"}
+    assert s == {"x1": "sent", "x2": "error", "x3": "error"}
 
 
 def test_rule_rows_single_pass_equals_per_level(spark, sf_small):
@@ -73,7 +80,7 @@ def test_export_reports_partitioned_by_level(spark, sf_small):
     out = os.path.join(tempfile.mkdtemp(prefix="reports-"), "out")
     export_reports(rows, out)
     dirs = sorted(d for d in os.listdir(out) if d.startswith("level="))
-    assert dirs == ["level=1", "level=2", "level=3"]
+    assert dirs == ["level=1", "level=2", "level=3", "level=4", "level=5"]
 
 
 def test_config_loading_and_validation(tmp_path):
@@ -102,11 +109,10 @@ def test_level5_rules_get_only_their_own_keeper(spark, sf_small):
     T = Tables(spark, sf_small)
     names = list(R.P.keeper_level5[:2])
     rules = spark.createDataFrame(
-        [("k1", 5, "u1", None, None, True, names[0]), ("k2", 5, "u2", None, None, True, names[1]),
-         ("k3", 5, "u3", None, None, True, None)],
-        REPORT_RULE_SCHEMA + ", keeper_name string")
+        [("k1", 5, "u1", None, None, True, "picking", names[0]), ("k2", 5, "u2", None, None, True, "picking", names[1]),
+         ("k3", 5, "u3", None, None, True, "picking", None)], REPORT_RULE_SCHEMA)
     rows, failures = R.rule_rows(T, rules)
-    assert failures == []
+    assert failures.isEmpty()
     got = {}
     for r in rows.select("rule_id", "keeper_name").collect():
         got.setdefault(r.rule_id, set()).add(r.keeper_name)
