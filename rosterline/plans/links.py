@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rosterline.functions.exprs import classify, is_live, key_norm, needs_change, strict_mismatch
 from rosterline.operators.audit import missing_from, salt, weighted
 from rosterline.operators.change import Change, update_from
+from rosterline.operators.frames import top_n
 from rosterline.plans.registry import query
 from rosterline.sources.standins import Tables
 
@@ -117,9 +118,7 @@ def key_format_check(people, accounts, n: int | None = None) -> DataFrame:
                     acct.alias("account"), F.length(F.rtrim(acct)).alias("account_length"),
                     F.octet_length(F.encode(acct, "UTF-16LE")).alias("account_bytes"),
                     label.alias("match_status")))
-    if n is not None:
-        out = out.orderBy("people_code").limit(n)
-    return out
+    return out if n is None else top_n(out, n, "people_code", "account")
 
 
 def link_profile(people, accounts) -> DataFrame:
@@ -295,6 +294,21 @@ def q_key_format_check(spark, d):
     return key_format_check(T.people, T.accounts)
 
 
+_FIRST = 20
+
+
+@query("key_format_first", f"""
+SELECT people_code, account, match_status FROM (
+  SELECT b.code AS people_code, a.account, if(b.code = a.account, 'match', 'match after trim') AS match_status
+  FROM people b JOIN accounts a ON trim(b.code) = trim(a.account))
+ORDER BY people_code, account LIMIT {_FIRST}
+""")
+def q_key_format_first(spark, d):
+    """C9 as the reference prints it: the first rows only."""
+    T = Tables(spark, d)
+    return key_format_check(T.people, T.accounts, _FIRST).select("people_code", "account", "match_status")
+
+
 @query("link_profile", f"""
 SELECT count(*) AS total_records, count(*) FILTER ({_UNLINKED}) AS null_count,
        count(*) FILTER (a.id = b.sys_user) AS matched_count, count(*) FILTER ({_STALE}) AS mismatched_count

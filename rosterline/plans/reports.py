@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.functions.exprs import is_blank, is_open, split_ids, within_days
+from rosterline.operators.frames import rename_columns
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.registry import query
 from rosterline.sources.standins import Tables
@@ -389,6 +390,17 @@ def q_group_notice_summary(spark, d):
     return group_notice_summary(T, T.report_rules)
 
 
+# Headings of the picking report, in column order.
+HEADINGS = dict(zip(BASE_COLS, ("Source document", "Document", "Material", "Item", "Specification", "Quantity", "Requested",
+                                "Preparation", "Keeper", "Remark")))
+
+
+@query("pick_headed", "SELECT " + ", ".join(f'{k} AS "{v}"' for k, v in HEADINGS.items()) + f" FROM ({_level_sql(1)})")
+def q_pick_headed(spark, d):
+    """N1a under report headings (P10)."""
+    return rename_columns(pick_level(Tables(spark, d), 1).select(*BASE_COLS), HEADINGS)
+
+
 @query("rules_in_force", f"SELECT rule_id, level, user_ids, report, keeper_name FROM ({_RIF_SQL})")
 def q_rules_in_force(spark, d):
     rules = rules_in_force(Tables(spark, d).report_rules, 1, 100, "ent-1", "org-1")

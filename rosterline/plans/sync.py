@@ -285,3 +285,20 @@ def q_sync_run_ledger(spark, d):
     days = base(spark, d, "events").select(c("ts").cast("date").alias("run_day"), c("event_type"))
     span = days.agg(F.min("run_day").alias("lo"), F.max("run_day").alias("hi")).first()
     return due_days(spark, days.where(c("event_type") == "signup"), str(span.lo), str(span.hi))
+
+
+@query("stream_sync", f"""
+SELECT task, sum(affected_rows)::BIGINT AS affected_rows FROM ({_SYNC_SQL.strip()}) WHERE step > 0 GROUP BY task
+""")
+def q_stream_sync(spark, d):
+    """The roster arrives in two files, one batch each; rows affected by each task over both."""
+    from rosterline.session import checkpoint_dir
+    from rosterline.streaming.stream_sync import stream_sync
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    tables = tables_for(spark, d)
+    roster = tables.pop("roster").withColumn("change_ts", F.to_timestamp_ntz(F.lit(P.run_ts)))
+    half = F.pmod(F.xxhash64("empcode"), F.lit(2))
+    for i in range(2):
+        roster.where(half == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    _, results = stream_sync(spark, f"{root}/in", tables, state_dir=f"{root}/state", reader_options={"maxFilesPerTrigger": "1"})
+    return results.where("step > 0").groupBy("task").agg(F.sum("affected_rows").alias("affected_rows"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, StructField,
+from pyspark.sql.types import (BooleanType, DateType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
 
 S, I, L, B, TS = StringType(), IntegerType(), LongType(), BooleanType(), TimestampNTZType()
@@ -58,3 +58,18 @@ SYNC_RESULT_SCHEMA = StructType([
     _f("step", I), _f("task", S), _f("success", B), _f("affected_rows", L),
     _f("message", S), _f("error", S), _f("duration_ms", L),
 ])
+
+PERSONNEL_SCHEMA = StructType([
+    _f("serial_number", I, "running number of the sheet"),
+    _f("group_name", S, "-> groups_dim.group_name"),
+    _f("employee_id", S, "business code = roster empcode"),
+    _f("name", S), _f("join_date", DateType()),
+])
+
+REPORT_RULE_SCHEMA = StructType([
+    _f("rule_id", S), _f("level", I, "1-100 picking, 101-200 attendance, 201-300 groups without maintenance"),
+    _f("user_ids", S, "recipients, separated by commas"),
+    _f("enterprise_id", S, "NULL: every enterprise"), _f("org_id", S, "NULL: every organisation"),
+    _f("is_active", B), _f("report", S, "registered report; blank: not in force"),
+    _f("keeper_name", S, "NULL: every keeper of the level"),
+])

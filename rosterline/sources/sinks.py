@@ -66,9 +66,11 @@ def commit_counted(df: DataFrame, spark: SparkSession, name: str, version: str,
     return out, int(obs.get["n"])
 
 
-def export_reports(df: DataFrame, path: str, by: str = "level") -> None:
-    """SNK3: one folder of CSV per rule level (spreadsheet output is not built)."""
-    df.write.mode("overwrite").partitionBy(by).option("header", "true").csv(path)
+def export_reports(df: DataFrame, path: str) -> DataFrame:
+    """SNK3: one folder of CSV for each rule, under its level (spreadsheets are
+    not built); returns ``(level, rule_id, row_count)`` of what was written."""
+    df.write.mode("overwrite").partitionBy("level", "rule_id").option("header", "true").csv(path)
+    return df.groupBy("level", "rule_id").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -78,7 +78,8 @@ def test_export_reports_partitioned_by_level(spark, sf_small):
     T = Tables(spark, sf_small)
     rows, _ = R.rule_rows(T, T.report_rules)
     out = os.path.join(tempfile.mkdtemp(prefix="reports-"), "out")
-    export_reports(rows, out)
+    counts = {r.rule_id: r.row_count for r in export_reports(rows, out).collect()}
+    assert counts["r1"] == spark.read.option("header", "true").csv(f"{out}/level=1/rule_id=r1").count()
     dirs = sorted(d for d in os.listdir(out) if d.startswith("level="))
     assert dirs == ["level=1", "level=2", "level=3", "level=4", "level=5"]
 
