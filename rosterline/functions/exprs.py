@@ -85,6 +85,21 @@ def project_template(mapping: dict, schema) -> list:
     return out
 
 
+def project_template_sql(mapping: dict, schema) -> str:
+    """The SQL of P1: ``mapping`` holds SQL texts and plain values, missing columns are typed NULLs."""
+    kinds = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+    out = []
+    for f in schema.fields:
+        v, kind = mapping.get(f.name, "NULL"), f.dataType.simpleString()
+        out.append(f"CAST({v if v != '' else repr('')} AS {kinds.get(kind, kind.upper())}) AS {f.name}")
+    return ",\n       ".join(out)
+
+
+def quoted(values: dict) -> dict:
+    """Plain values as SQL texts."""
+    return {k: f"'{v}'" if isinstance(v, str) else str(v) for k, v in values.items()}
+
+
 # ----------------------------------------------------------------- predicates
 def in_scope(c, params) -> Column:
     """department IN the configured list."""

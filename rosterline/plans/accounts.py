@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.functions.exprs import (in_scope, in_scope_sql, map_ordered, map_ordered_sql,
-                                        project_template, stable_id_sql, ts_lit)
+                                        project_template, project_template_sql, quoted, stable_id_sql, ts_lit)
 from rosterline.operators.audit import weighted
 from rosterline.operators.change import Change, insert_missing, update_from
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.registry import query
-from rosterline.schemas import ACCOUNT_SCHEMA
+from rosterline.schemas import ACCOUNT_FIXED, ACCOUNT_SCHEMA
 from rosterline.sources.standins import Tables
 
 c = F.col
@@ -35,6 +35,8 @@ def acct_insert_missing(roster: DataFrame, accounts: DataFrame, p: SyncParams =
             "factory": map_ordered("gdname4", p.dept_pairs(), p.default_factory),
             "created_at": ts_lit(p.run_ts), "created_by": p.system_user,
             "modified_at": ts_lit(p.run_ts), "modified_by": p.system_user,
+            "added_at": ts_lit(p.run_ts), "added_by": p.system_user, "changed_at": ts_lit(p.run_ts), "changed_by": p.system_user,
+            **ACCOUNT_FIXED,
         }, ACCOUNT_SCHEMA)
 
     return insert_missing(src, accounts, "empcode", "account", template, id_table="accounts",
@@ -93,8 +95,6 @@ def acct_disable_counts(accounts: DataFrame, roster: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- queries
-_ACCT_COLS = "id, account, real_name, delete_mark, enabled_mark, org, enterprise_id"
-
 _I1_SQL = f"""
 WITH src AS (
   SELECT empcode, empname, gdname4, isactive, count(*) AS n
@@ -103,14 +103,13 @@ WITH src AS (
     AND NOT EXISTS (SELECT 1 FROM accounts a WHERE a.account = r.empcode)
   GROUP BY empcode, empname, gdname4, isactive
 ), cp AS (SELECT *, unnest(generate_series(1, n)) AS copy_no FROM src)
-SELECT {stable_id_sql("'accounts'", 'empcode', 'empname', 'gdname4', 'isactive', 'copy_no')} AS id,
-       empcode AS account, empname AS real_name, 0 AS gender, 0 AS is_admin,
-       '{P.role_id}' AS role_id, '{P.organize_id}' AS organize_id, '{P.organize_id}' AS department_id,
-       CAST(NULL AS INTEGER) AS delete_mark, 1 AS enabled_mark,
-       '{P.org}' AS org, '{P.enterprise_id}' AS enterprise_id,
-       {map_ordered_sql('gdname4', P.dept_pairs(), P.default_factory)} AS factory,
-       TIMESTAMP '{P.run_ts}' AS created_at, '{P.system_user}' AS created_by,
-       TIMESTAMP '{P.run_ts}' AS modified_at, '{P.system_user}' AS modified_by
+SELECT {project_template_sql({
+    "id": stable_id_sql("'accounts'", 'empcode', 'empname', 'gdname4', 'isactive', 'copy_no'), "account": "empcode", "real_name": "empname",
+    "gender": 0, "is_admin": 0, "enabled_mark": 1, "factory": map_ordered_sql('gdname4', P.dept_pairs(), P.default_factory),
+    **{k: f"TIMESTAMP '{P.run_ts}'" for k in ("created_at", "modified_at", "added_at", "changed_at")},
+    **{k: f"'{P.system_user}'" for k in ("created_by", "modified_by", "added_by", "changed_by")},
+    **quoted({"role_id": P.role_id, "organize_id": P.organize_id, "department_id": P.organize_id, "org": P.org,
+              "enterprise_id": P.enterprise_id, **ACCOUNT_FIXED})}, ACCOUNT_SCHEMA)}
 FROM cp
 """
 
@@ -121,16 +120,7 @@ def q_acct_insert_missing(spark, d):
     return acct_insert_missing(T.roster, T.accounts).rows
 
 
-_I1_AFTER_SQL = f"""
-WITH ins AS ({_I1_SQL.strip()})
-SELECT {_ACCT_COLS}, NULL::INTEGER AS gender, NULL::INTEGER AS is_admin, NULL AS role_id,
-       NULL AS organize_id, NULL AS department_id, NULL AS factory,
-       NULL::TIMESTAMP AS created_at, NULL AS created_by, NULL::TIMESTAMP AS modified_at, NULL AS modified_by
-FROM accounts
-UNION ALL
-SELECT {_ACCT_COLS}, gender, is_admin, role_id, organize_id, department_id, factory,
-       created_at, created_by, modified_at, modified_by FROM ins
-"""
+_I1_AFTER_SQL = f"SELECT * FROM accounts UNION ALL BY NAME SELECT * FROM ({_I1_SQL.strip()})"
 
 
 @query("acct_insert_missing_after", _I1_AFTER_SQL)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from rosterline.functions.exprs import (classify, decode, in_scope, in_scope_sql, job_status_expr,
                                         job_status_on_insert, map_ordered, map_ordered_sql,
-                                        project_template, stable_id_sql, ts_lit)
+                                        project_template, project_template_sql, quoted, stable_id_sql, ts_lit)
 from rosterline.operators.audit import weighted
 from rosterline.operators.change import Change, insert_missing, update_from
 from rosterline.params import DEFAULT_PARAMS, JOB_LABELS, JOB_UNKNOWN, SyncParams
 from rosterline.plans.registry import query
-from rosterline.schemas import PEOPLE_SCHEMA
+from rosterline.schemas import PEOPLE_FIXED, PEOPLE_SCHEMA
 from rosterline.sources.standins import Tables
 
 c = F.col
@@ -34,6 +34,7 @@ def people_insert_missing(roster: DataFrame, people: DataFrame, p: SyncParams =
             "is_quit": 0, "staff_type": "staff", "org": p.org, "enterprise_id": p.enterprise_id,
             "created_at": ts_lit(p.run_ts), "created_by": p.system_user,
             "modified_at": ts_lit(p.run_ts), "modified_by": p.system_user,
+            **{k: ts_lit(p.run_ts) for k in ("committed_at", "approved_at", "approval_cancelled_at")}, **PEOPLE_FIXED,
         }, PEOPLE_SCHEMA)
 
     return insert_missing(src, people, "empcode", "code", template, id_table="people", dedup=dedup,
@@ -153,13 +154,12 @@ WITH src AS (
     AND NOT EXISTS (SELECT 1 FROM people b WHERE b.code = r.empcode)
   GROUP BY empcode, empname, gdname4, isactive
 ), cp AS (SELECT *, unnest(generate_series(1, n)) AS copy_no FROM src)
-SELECT {stable_id_sql("'people'", 'empcode', 'empname', 'gdname4', 'isactive', 'copy_no')} AS id,
-       empcode AS code, empname AS name, CAST(NULL AS VARCHAR) AS sys_user,
-       CASE WHEN isactive = 0 THEN 1 ELSE 0 END AS job_status, CAST(NULL AS VARCHAR) AS group_id,
-       {map_ordered_sql('gdname4', P.dept_pairs(), P.default_factory)} AS factory,
-       0 AS is_quit, 'staff' AS staff_type, '{P.org}' AS org, '{P.enterprise_id}' AS enterprise_id,
-       TIMESTAMP '{P.run_ts}' AS created_at, '{P.system_user}' AS created_by,
-       TIMESTAMP '{P.run_ts}' AS modified_at, '{P.system_user}' AS modified_by
+SELECT {project_template_sql({
+    "id": stable_id_sql("'people'", 'empcode', 'empname', 'gdname4', 'isactive', 'copy_no'), "code": "empcode", "name": "empname",
+    "job_status": "if(isactive = 0, 1, 0)", "factory": map_ordered_sql('gdname4', P.dept_pairs(), P.default_factory), "is_quit": 0,
+    **{k: f"TIMESTAMP '{P.run_ts}'" for k in ("created_at", "modified_at", "committed_at", "approved_at", "approval_cancelled_at")},
+    **quoted({"staff_type": "staff", "org": P.org, "enterprise_id": P.enterprise_id, "created_by": P.system_user,
+              "modified_by": P.system_user, **PEOPLE_FIXED})}, PEOPLE_SCHEMA)}
 FROM cp
 """
 
@@ -289,16 +289,7 @@ def q_job_status_profile(spark, d):
     return job_status_profile(T.people, T.roster)
 
 
-@query("people_insert_missing_after", f"""
-WITH ins AS ({_I3_SQL.strip()})
-SELECT id, code, name, sys_user, job_status, group_id, NULL AS factory, NULL::INTEGER AS is_quit,
-       NULL AS staff_type, NULL AS org, NULL AS enterprise_id, NULL::TIMESTAMP AS created_at, NULL AS created_by,
-       NULL::TIMESTAMP AS modified_at, NULL AS modified_by
-FROM people
-UNION ALL
-SELECT id, code, name, sys_user, job_status, group_id, factory, is_quit, staff_type, org, enterprise_id,
-       created_at, created_by, modified_at, modified_by FROM ins
-""")
+@query("people_insert_missing_after", f"SELECT * FROM people UNION ALL BY NAME SELECT * FROM ({_I3_SQL.strip()})")
 def q_people_insert_missing_after(spark, d):
     T = Tables(spark, d)
     return people_insert_missing(T.roster, T.people).after
