@@ -22,6 +22,7 @@ BLOCK = 8 << 10             # characters encoded at once
 LEVEL = 9
 FULL_MARGIN = 0.10          # share of the second best size that counts as a score of 1
 MIN_SCORE = 0.02            # below it the language is rejected
+LANGUAGES = 256             # learned at most, the most frequent ones: each has a dictionary in every task
 UNKNOWN = "und"
 NO_LETTER = re.compile(r"[\W\d_]+")
 
@@ -40,8 +41,8 @@ def learn(texts: DataFrame) -> dict[str, bytes]:
     without letters teach nothing.
     """
     rows = texts.where("lang is not null and text is not null").where(F.regexp_like("text", F.lit(r"\p{L}")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "l")
-    drawn = rows.withColumn("h", F.xxhash64("text")).join(counts, F.col("lang") == F.col("l")) \
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).withColumnRenamed("lang", "l")
+    drawn = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(counts), F.col("lang") == F.col("l")) \
         .where(F.pmod("h", F.lit(1 << 31)) / float(1 << 31) <= SAMPLE_ROWS / F.col("n")) \
         .select("lang", "n", "h", F.substring("text", 1, DICT_BYTES).alias("text")).distinct()
     order = Window.partitionBy("lang").orderBy("h", "text")
