@@ -108,9 +108,7 @@ def write_md(path: str, sf_dir: str) -> None:
            "- **local**: the session defaults; every dimension and most tables fit under the",
            "  64 MiB broadcast threshold, so AQE plans broadcast joins.",
            "- **at scale** (`--no-broadcast`): broadcast thresholds off, the plan every data",
-           "  table gets on a cluster where it is far above the threshold. Only sides whose",
-           "  size is checked in code (group dimensions, `broadcast_if_small`) are still",
-           "  broadcast. Exchanges that serve both an aggregate and a join appear once.", "",
+           "  table gets on a cluster where it is far above the threshold. Exchanges that serve both an aggregate and a join appear once.", "",
            "## Shuffles and joins per query", "",
            "| key | at scale: hash / range shuffles | at scale: sort-merge joins | at scale: broadcasts "
            "| local: hash / range shuffles | local: broadcasts |",
