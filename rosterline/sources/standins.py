@@ -184,13 +184,21 @@ BUILDERS = {
 }
 
 
+def _listing(spark: SparkSession, folder: str) -> tuple:
+    """What a folder holds, through the Hadoop file system of its path."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in found))
+
+
 class Tables:
     """Lazy access to the stand-in views of one data folder: ``T.roster`` etc.
 
     The resolved DataFrames (plans only, no data) are shared by every query of
     the same session and folder, so files are listed and footers read once per
-    session rather than once per query. ``Tables.forget()`` drops them (for a
-    folder whose files changed).
+    session rather than once per query. They are kept by what the folder holds
+    (names, sizes and times of its entries): a replaced or added file makes new
+    ones.
     """
 
     _shared: dict = {}
@@ -199,7 +207,10 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         key = (id(spark), spark.sparkContext.applicationId, self.sf_dir)
-        self._cache = Tables._shared.setdefault(key, {})
+        state = _listing(spark, self.sf_dir)
+        if Tables._shared.get(key, (None,))[0] != state:
+            Tables._shared[key] = (state, {})
+        self._cache = Tables._shared[key][1]
 
     @classmethod
     def forget(cls, sf_dir: str | None = None):

@@ -70,3 +70,18 @@ def test_cli_sync_and_query(spark, sf_small, tmp_path, capsys):
     assert main(["--master", "local[8]", "query", "link_profile", "--data", sf_small,
                  "--out", str(tmp_path / "q")]) == 0
     assert spark.read.parquet(str(tmp_path / "q")).count() == 1
+
+
+def test_tables_notice_a_replaced_file(spark, sf_small, tmp_path):
+    import os
+    import shutil
+    from rosterline.sources.standins import Tables
+    for name in ("customer", "supplier"):
+        shutil.copy(f"{sf_small}/{name}.parquet", tmp_path)
+    first = Tables(spark, str(tmp_path))
+    n = first.roster.count()
+    assert Tables(spark, str(tmp_path)).roster is first.roster
+    spark.read.parquet(f"{sf_small}/customer.parquet").limit(7).coalesce(1).write.parquet(str(tmp_path / "new"))
+    part = next(f for f in os.listdir(tmp_path / "new") if f.endswith(".parquet"))
+    os.replace(tmp_path / "new" / part, tmp_path / "customer.parquet")
+    assert n > 7 and Tables(spark, str(tmp_path)).roster.count() == 7
