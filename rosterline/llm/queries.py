@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rosterline.llm import chat, decontam, langid, lines, packing, sharding, simhash, spotsigs, urls
+from rosterline.llm import chat, decontam, langid, lines, packing, secrets, sharding, simhash, spotsigs, urls
 
 REGISTRY = {
     "op1_packing": (packing.op1, None),
     "op2_decontam": (decontam.op2, None),
     "op3_urls": (urls.op3, None),
     "op4_fingerprints": (spotsigs.op4, None),
+    "op5_secrets": (secrets.op5, None),
     "op6_simhash": (simhash.op6, None),
     "op7_langid": (langid.op7, None),
     "op8_sharding": (sharding.op8, None),
