@@ -7,26 +7,35 @@ at a place that the lengths of both confine. Segments and probing substrings
 meet on one key (length, segment number, characters). Equal lines are one line
 throughout.
 
-A key that many lines share (the same line with other words changed) would
-list n x n candidates. Such a key is taken apart again: its segment, and whatever
+A key's lines are verified within the task that reads them, by banded
+bit-parallel edit distance, and only links come out. A key that very many lines
+share would be n x n verifications. Such a key is taken apart again: its segment, and whatever
 all its lines begin and end with, is removed from every line, and what remains
-is joined in the same way, under the old key. This loses no link, since the
-remains of two linked lines are within the threshold again. Candidates are verified by banded bit-parallel edit distance.
+is joined under the old key by three pieces at once (of threshold + 3, of which
+edits leave three whole). This loses no link, since the remains of two linked
+lines are within the threshold again. Candidates are verified by banded bit-parallel edit distance.
 """
 
 from __future__ import annotations
 
+from itertools import chain, combinations, product
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from xxhash import xxh64_intdigest
+
 from rosterline.llm.common import components, cut, table, written
 
 STEP = 32               # characters of a line for each edit
 MOST = 2                # edits at most
 LEAST = 20              # shorter lines are never dropped from a document
-LISTED = 1 << 12        # candidate pairs of a key that are listed; above it the key is taken apart
-POSTING = "key bigint, id bigint, probe boolean, start int, size int, edits int, delta int, rest string"
+LISTED = 1 << 17        # candidate pairs of a key that a task verifies; above it the key is taken apart
+POSTING = "key bigint, id bigint, probe boolean, edits int, delta int, rest string"
+FILTER_BITS = 1 << 26   # of the table of shared keys that every task gets (8 MB)
+CHUNK = 1 << 18         # characters of lines that a worker hashes at once
 
 
 def threshold(chars: int) -> int:
@@ -35,65 +44,157 @@ def threshold(chars: int) -> int:
 
 def segments(chars: int, edits: int) -> list[tuple[int, int]]:
     """(start, size) of edits + 1 even segments, the longer ones last."""
-    n = edits + 1
-    short, at, out = chars // n, 0, []
+    n, at, out = edits + 1, 0, []
     for i in range(n):
-        size = short + (i >= n - chars % n)
-        out.append((at, size))
-        at += size
+        out.append((at, chars // n + (i >= n - chars % n)))
+        at += out[-1][1]
     return out
 
 
-def _postings(text: str, salt: int, index: bool, lengths):
-    """Keys of a text: its own segments if ``index``, and the substrings that probe texts of ``lengths`` [(delta, edits)].
+def _line_keys(texts: list[str], wanted=None):
+    """Keys of whole lines: of their segments, and of the substrings that probe every length within reach.
+
+    Returns arrays (row, key, probe, start, size, edits, delta); ``wanted`` is a
+    bit table of keys, others are left out.
 
-    (key, probe, start, size, edits, delta); a text's own segments are probes of its own length too.
+    Substrings are hashed by differences of one running sum: characters times
+    the powers of an odd number, brought to the substring's start by the inverse
+    power. Equal substrings have equal keys; unequal ones that meet are told
+    apart by the verification.
     """
-    from xxhash import xxh64_intdigest
-    data, size_ = text.encode("utf-32-le", "surrogatepass"), len(text)
+    base = 0x9E3779B97F4A7C15
+    chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    powers = np.full(len(chars) + 1, base, np.uint64)
+    powers[0] = 1
+    back = np.full(len(chars) + 1, pow(base, -1, 1 << 64), np.uint64)
+    back[0] = 1
+    np.cumprod(powers, out=powers)
+    np.cumprod(back, out=back)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(chars * powers[:-1], dtype=np.uint64)])
+    length = np.array([len(t) for t in texts], np.int64)
+    offset = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)[:-1]])
     out = []
-    for delta, edits in lengths:
-        whole = size_ - delta
-        for i, (p, n) in enumerate(segments(whole, edits)):
-            low = max(0, p - i, p + delta - (edits - i))
-            high = min(size_ - n, p + i, p + delta + (edits - i))
-            for start in range(low, high + 1):
-                own = index and delta == 0 and start == p
-                key = xxh64_intdigest(data[4 * start:4 * (start + n)], (salt * 1000003 + whole * 8 + i) & 0xFFFFFFFFFFFFFFFF)
-                out.append((key - (1 << 64) if key >> 63 else key, not own, start, n, edits, delta))
-    return out
+    for most in range(1, MOST + 1):
+        for delta in range(most + 1):
+            whole = length - delta
+            rows = np.flatnonzero(np.minimum(MOST, whole // STEP) == most)
+            if not len(rows):
+                continue
+            n, w, full = most + 1, whole[rows], length[rows]
+            for i in range(n):
+                size = w // n + (i >= n - w % n)
+                start = i * (w // n) + np.maximum(0, i - (n - w % n))
+                for shift in range(max(-i, delta - (most - i)), min(i, delta + (most - i)) + 1):
+                    at, held = start + shift, delta == 0 and shift == 0
+                    ok = (at >= 0) & (at + size <= full)
+                    r, p, z = rows[ok], at[ok], size[ok]
+                    first = offset[r] + p
+                    key = (sums[first + z] - sums[first]) * back[first]
+                    key = (key ^ ((w[ok] * 8 + i).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0xBF58476D1CE4E5B9)
+                    key = (key ^ (key >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+                    key ^= key >> np.uint64(29)
+                    if wanted is not None:
+                        bit = key & np.uint64(FILTER_BITS - 1)
+                        keep = (wanted[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                        r, p, z, key = r[keep], p[keep], z[keep], key[keep]
+                    out.append((r, key.view(np.int64), np.full(len(r), not held), p, z, np.full(len(r), most), np.full(len(r), delta)))
+    if not out:
+        return [np.zeros(0, np.int64)] * 7
+    return [np.concatenate(c) for c in zip(*out)]
+
+
+def _shifts(parts: int, edits: int, delta: int) -> list[tuple[int, ...]]:
+    """How far ``parts`` untouched pieces of a text can stand from their places in one that is ``delta`` longer.
+
+    A shift changes by one with every insertion or deletion before the piece.
+    """
+    return [s for s in product(range(-edits, edits + 1), repeat=parts)
+            if sum(abs(b - a) for a, b in zip((0, *s), (*s, delta))) <= edits]
 
 
-def _emit(rows: DataFrame) -> DataFrame:
-    """``rows(id, text, salt, probe, edits, delta)`` to postings.
+def _rest_keys(text: str, salt: int, probe: bool, edits: int, delta: int):
+    """Keys of a remainder: of three of its edits + 3 pieces at once, as edits leave three untouched.
 
-    ``edits`` is NULL for whole lines, which probe every length within reach;
-    the postings of remains carry ``rest``, the text without the segment.
+    (key, probe, rest) with the remainder less these pieces; one too short for
+    that many pieces has its edits + 1 segments one by one.
+    """
+    whole = len(text) - delta
+    n, k = (edits + 3, 3) if whole >= edits + 3 else (edits + 1, 1)
+    data, spans = text.encode("utf-32-le", "surrogatepass"), segments(whole, n - 1)
+    for chosen in combinations(range(n), k):
+        for shift in _shifts(k, edits, delta):
+            held = not probe and not any(shift)
+            at = [(spans[i][0] + d, spans[i][0] + d + spans[i][1]) for i, d in zip(chosen, shift)]
+            if at[0][0] < 0 or at[-1][1] > len(text) or any(a[1] > b[0] for a, b in zip(at, at[1:])):
+                continue
+            mark = salt.to_bytes(8, "little", signed=True) + bytes((*chosen, n)) + whole.to_bytes(4, "little")
+            key = xxh64_intdigest(mark + b"".join(data[4 * a:4 * b] for a, b in at))
+            rest = "".join(text[a:b] for a, b in zip((0, *(x[1] for x in at)), (*(x[0] for x in at), len(text))))
+            yield key - (1 << 64) if key >> 63 else key, not held, rest
+
+
+def _parts(batch):
+    """(texts, rows) of a batch, CHUNK characters at a time."""
+    texts, at = batch.column("text").to_pylist(), 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size < CHUNK):
+            size, end = size + len(texts[end]), end + 1
+        yield texts[at:end], batch.slice(at, end - at)
+        at = end
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """``keys(key, probe)`` under which a segment meets another text, with the number of pairs they would list."""
+    sums = keys.groupBy("key").agg(F.sum(F.when(F.col("probe"), 0).otherwise(1)).alias("held"), F.count("*").alias("n"))
+    return cut(sums.where("held > 0 and n > 1").select(F.col("key").alias("k"), (F.col("held") * F.col("n")).alias("pairs")))
+
+
+def _line_postings(rows: DataFrame) -> DataFrame:
+    """``rows(id, text)``, whole lines, as postings (key, id, probe, edits, delta, rest, pairs) of the shared keys.
+
+    ``rest`` is the text without the posting's part. A bit table of the shared
+    keys, FILTER_BITS long whatever their number, spares the tasks most of the
+    postings that would only be shuffled to find that nobody shares their key.
     """
+    def keys_of(batches):
+        for batch in batches:
+            for texts, _ in _parts(batch):
+                _, key, probe, *_ = _line_keys(texts)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(probe)], names=["key", "probe"])
+    keys = _shared(rows.mapInArrow(keys_of, "key bigint, probe boolean"))
+    bits = keys.select(F.expr(f"k & {FILTER_BITS - 1}L").alias("slot")) \
+        .select(F.expr("shiftright(slot, 3)").alias("byte"), F.expr("shiftleft(1, cast(slot & 7 AS int))").alias("bit")) \
+        .groupBy("byte").agg(F.bit_or("bit").alias("bits"))
+    pages = bits.groupBy(F.floor(F.col("byte") / 4096)).agg(F.collect_list("byte").alias("byte"), F.collect_list("bits").alias("bits"))
+    table_ = np.zeros(FILTER_BITS // 8, np.uint8)
+    for page in pages.toLocalIterator():
+        table_[page["byte"]] = page["bits"]
+    shared = rows.sparkSession.sparkContext.broadcast(table_.tobytes())
+
+    def postings(batches):
+        wanted = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            for texts, part in _parts(batch):
+                row, key, probe, start, size, edits, delta = _line_keys(texts, wanted)
+                rest = [texts[r][:s] + texts[r][s + z:] for r, s, z in zip(row.tolist(), start.tolist(), size.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), part.column("id").take(pa.array(row)), pa.array(probe), pa.array(edits.astype(np.int32)),
+                     pa.array(delta.astype(np.int32)), pa.array(rest, pa.string())], names=["key", "id", "probe", "edits", "delta", "rest"])
+    return rows.mapInArrow(postings, POSTING).join(keys, F.col("key") == F.col("k"))
+
+
+def _rest_postings(rows: DataFrame) -> DataFrame:
+    """``rows(id, text, salt, probe, edits, delta)``, remains of the lines of hot keys, as postings of the shared keys."""
     def run(batches):
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                text, part = r["text"], r["edits"] is not None
-                n = len(text)
-                if part:
-                    reach = [(r["delta"] if r["probe"] else 0, r["edits"])]
-                else:
-                    reach = [(d, threshold(n - d)) for d in range(MOST + 1) if n >= d and threshold(n - d) >= max(1, d)]
-                out += [(k, r["id"], p, s, z, e, d, text[:s] + text[s + z:] if part else None)
-                        for k, p, s, z, e, d in _postings(text, r["salt"], not r["probe"], reach)]
-            cols = list(zip(*out)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                             names=["key", "id", "probe", "start", "size", "edits", "delta", "rest"])
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
-    return rows.mapInArrow(run, POSTING)
-
-
-def _shared(postings: DataFrame) -> DataFrame:
-    """Keys under which at least one segment meets another line, with the number of pairs they would list."""
-    sums = postings.groupBy("key").agg(F.sum(F.when(F.col("probe"), 0).otherwise(1)).alias("held"), F.count("*").alias("n"),
-                                       F.min("id").alias("lo"), F.max("id").alias("hi"))
-    return sums.where("held > 0 and lo < hi").select(F.col("key").alias("k"), (F.col("held") * F.col("n")).alias("pairs"))
+            out = [(k, r["id"], p, r["edits"], r["delta"], rest) for r in batch.to_pylist()
+                   for k, p, rest in _rest_keys(r["text"], r["salt"], r["probe"], r["edits"], r["delta"])]
+            kinds = pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.string()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 6, kinds)],
+                                             names=["key", "id", "probe", "edits", "delta", "rest"])
+    found = written(rows.repartition("id").mapInArrow(run, POSTING).distinct(), "line-rests")
+    return found.join(_shared(found), F.col("key") == F.col("k"))
 
 
 def _stripped(rows: DataFrame) -> DataFrame:
@@ -116,54 +217,6 @@ def _stripped(rows: DataFrame) -> DataFrame:
         .withColumn("text", F.substr("text", F.col("head") + 1, F.char_length("text") - F.col("head") - F.col("tail"))).drop("s", "head", "tail")
 
 
-def _pairs(few: DataFrame) -> DataFrame:
-    """``few(key, id, probe)`` to pairs of a key's own lines with all its lines."""
-    left, right = few.where("not probe").select("key", F.col("id").alias("a")), few.select("key", F.col("id").alias("b"))
-    return left.join(right, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
-def candidates(lines: DataFrame, listed: int = LISTED) -> tuple[DataFrame, DataFrame]:
-    """``lines(id, text)``, texts distinct, to candidate pairs ``(a, b)`` and sure links ``(a, b)``.
-
-    Sure links chain the lines of a key that were cut at the same places and
-    whose remains are too short to differ in more than the threshold.
-    """
-    rows = lines.where(F.char_length("text") >= STEP).select(
-        "id", "text", F.lit(0).cast("bigint").alias("salt"), F.lit(False).alias("probe"), F.lit(None).cast("int").alias("edits"),
-        F.lit(0).alias("delta"))
-    pairs, sure = [], []
-    while True:
-        postings = _emit(rows)
-        keys = cut(_shared(postings))
-        some = written(postings.join(keys, F.col("key") == F.col("k")), "line-postings")
-        pairs.append(_pairs(some.where(F.col("pairs") <= listed).select("key", "id", "probe").distinct()))
-        hot = some.where(F.col("pairs") > listed)
-        if hot.isEmpty():
-            break
-        if len(pairs) == 1:         # whole lines: their postings don't carry the text
-            hot = hot.drop("rest").join(lines.select(F.col("id").alias("i"), "text"), F.col("id") == F.col("i")).withColumn(
-                "rest", F.concat(F.substr("text", F.lit(1), F.col("start")), F.substr("text", F.col("start") + F.col("size") + 1)))
-        rests = hot.select("id", F.col("rest").alias("text"), F.col("key").alias("salt"), "probe", "edits", "delta").distinct()
-        rests = written(_stripped(cut(rests)), "line-remains")
-        # too short for edits + 1 segments: lines cut at the same places cannot differ in more, probes are listed
-        size = F.char_length("text")
-        ends = rests.where(size - F.when(F.col("probe"), F.col("delta")).otherwise(0) <= F.col("edits"))
-        held = ends.where("not probe").select(F.col("salt").alias("key"), F.col("id").alias("a"))
-        first = held.groupBy("key").agg(F.min("a").alias("least"))
-        sure.append(held.join(first, "key").where("a <> least").select(F.col("least").alias("a"), F.col("a").alias("b")))
-        pairs.append(held.join(ends.where("probe").select(F.col("salt").alias("key"), F.col("id").alias("b")), "key").where("a <> b")
-                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        rows = rests.where(size - F.when(F.col("probe"), F.col("delta")).otherwise(0) > F.col("edits"))
-
-    def all_of(frames):
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.union(f)
-        return out.distinct()
-    nothing = pairs[0].where("false")
-    return all_of(pairs), all_of([*sure, nothing])
-
-
 def edits(a: str, b: str, most: int) -> int:
     """Edit distance of two texts, ``most`` + 1 if it is more; bit-parallel in a band of diagonals (Hyyro 2003).
 
@@ -199,6 +252,8 @@ def edits(a: str, b: str, most: int) -> int:
         right_plus, right_minus = down_minus | ~(level | down_plus) & full, level & down_plus
         if j < len(a) - most:               # along the band's lowest diagonal
             score += not level & top
+            if score > 2 * most + len(b) - len(a):
+                return most + 1             # the rest can't make up for it
         else:                               # along the last row of a
             score += bool(right_plus & side) - bool(right_minus & side)
             side >>= 1
@@ -208,16 +263,81 @@ def edits(a: str, b: str, most: int) -> int:
     return min(score, most + 1)
 
 
-def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of line ids within the threshold of the shorter line."""
-    left, right = lines.select(F.col("id").alias("a"), F.col("text").alias("ta")), lines.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+def _links(few: DataFrame, lines: DataFrame) -> DataFrame:
+    """``few(key, id, probe)`` to links ``(a, b)`` that connect the linked lines of every key.
+
+    A key's own lines are verified against all its lines, except where they are
+    connected already, so a key of n near copies gives n - 1 links and about n
+    verifications. Keys hold a bounded number of pairs (see ``links``); a task
+    reads its keys one after the other.
+    """
+    text = lines.select(F.col("id").alias("i"), "text")
+    rows = few.distinct().join(text, F.col("id") == F.col("i")).select("key", "id", "probe", "text")
 
     def run(batches):
-        for batch in batches:
-            keep = [edits(x, y, threshold(min(len(x), len(y)))) <= threshold(min(len(x), len(y)))
-                    for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist())]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a bigint, b bigint")
+        key, held = None, []
+        for batch in chain(batches, [None]):
+            out = []
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "probe", "text"))) if batch else [(None,)]:
+                if k != key or batch is None:
+                    out += _connect(held)
+                    key, held = k, []
+                if batch is not None:
+                    held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
+
+
+def _connect(rows):
+    """Links (a, b) that connect the linked ones of ``rows`` (id, probe, text)."""
+    texts = {i: t for i, _, t in rows}
+    up = {i: i for i in texts}
+
+    def root(i):
+        while up[i] != i:
+            up[i] = i = up[up[i]]
+        return i
+    out = []
+    for a in sorted({i for i, probe, _ in rows if not probe}):
+        for b, t in texts.items():
+            most = threshold(min(len(texts[a]), len(t)))
+            if abs(len(texts[a]) - len(t)) <= most and root(a) != root(b) and edits(texts[a], t, most) <= most:
+                up[root(a)] = root(b)
+                out.append((a, b))
+    return out
+
+
+def links(lines: DataFrame, listed: int = LISTED) -> DataFrame:
+    """``lines(id, text)``, texts distinct, to links ``(a, b)``: their components are those of all pairs within the threshold.
+
+    Every returned pair is within the threshold. A key of more than ``listed``
+    pairs is taken apart until none is left; the lines of a key that were cut
+    at the same places and whose remains are too short to differ in more than
+    the threshold are linked in a chain, unverified.
+    """
+    found = []
+    some = _line_postings(lines.where(F.char_length("text") >= STEP))
+    while True:
+        some = written(some, "line-postings")
+        found.append(_links(some.where(F.col("pairs") <= listed).select("key", "id", "probe"), lines))
+        hot = some.where(F.col("pairs") > listed)
+        if hot.isEmpty():
+            break
+        rests = hot.select("id", F.col("rest").alias("text"), F.col("key").alias("salt"), "probe", "edits", "delta").distinct()
+        rests = written(_stripped(cut(rests)), "line-remains")
+        # too short for edits + 1 segments: lines cut at the same places cannot differ in more, probes are verified
+        size = F.char_length("text")
+        short = size - F.when(F.col("probe"), F.col("delta")).otherwise(0) <= F.col("edits")
+        held = rests.where(short & ~F.col("probe")).select(F.col("salt").alias("key"), "id")
+        first = held.groupBy("key").agg(F.min("id").alias("a"))
+        found.append(held.join(first, "key").where("a <> id").select("a", F.col("id").alias("b")))
+        few = rests.where(short & F.col("probe")).select(F.col("salt").alias("key"), "id", "probe")
+        found.append(_links(few.union(first.select("key", F.col("a").alias("id"), F.lit(False).alias("probe"))), lines))
+        some = _rest_postings(rests.where(~short))
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
+    return out.distinct()
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
@@ -234,8 +354,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
     lines = written(rows.groupBy("h", "g").agg(F.min(place).alias("first"), F.any_value("text").alias("text"))
                     .withColumn("id", F.monotonically_increasing_id()), "lines")
     texts = lines.select("id", "text")
-    pairs, sure = candidates(texts)
-    groups = cut(components(verified(pairs, texts).union(sure)))
+    groups = cut(components(links(texts)))
     member = lines.select("id", "first").join(groups, F.col("id") == F.col("node"))
     heads = member.groupBy("component").agg(F.min("first").alias("head")).withColumnRenamed("component", "c")
     moved = cut(member.join(heads, F.col("component") == F.col("c")).select(F.col("id").alias("i"), "head"))
