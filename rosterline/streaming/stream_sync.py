@@ -3,10 +3,10 @@
 ``readStream`` over the roster folder -> ``foreachBatch``: each batch keeps
 the last row per code (``max`` of (change time, row), an aggregate that
 combines map-side, so a hot code is pre-aggregated), then runs ``run_sync``
-with the batch as the roster. Every batch writes its deltas and compacted
-tables under version ``b<batch_id>`` in the shared checkpoint folder, and a
-one-row manifest per batch records which version of each managed table is
-current. A replayed batch (a failure before the stream checkpoint committed)
+with the batch as the roster. Every batch writes only its changed rows, under
+version ``b<batch_id>`` in the shared checkpoint folder, and a one-row manifest
+per batch records the folder and the deltas that make up each managed table; a
+table is rewritten once it has COMPACT_AFTER deltas. A replayed batch (a failure before the stream checkpoint committed)
 finds its own manifest row and is skipped, or, if it died before writing it,
 rewrites the same version folders: each batch is applied exactly once. A
 batch in which a step fails is not applied: the query fails, and a restart
@@ -15,9 +15,12 @@ replays it.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterline.operators.change import apply_changes
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.sync import run_sync
 from rosterline.session import checkpoint_dir
@@ -25,6 +28,7 @@ from rosterline.sources.sinks import commit, exists
 
 ROSTER_STREAM_SCHEMA = "empcode string, empname string, gdname4 string, isactive int, change_ts timestamp_ntz"
 MANAGED = ("accounts", "logons", "people")
+COMPACT_AFTER = 24        # deltas of a table
 
 
 def last_per_code(batch: DataFrame) -> DataFrame:
@@ -36,16 +40,25 @@ def last_per_code(batch: DataFrame) -> DataFrame:
 
 
 def _load_manifest(spark, base):
-    """Newest manifest row (batch_id + table paths), or None before the first batch.
+    """Newest manifest row (batch_id; table folder and deltas of each table), or None before the first batch.
 
     Only a folder that isn't there means "no manifest"; one that can't be read
     is an error, never a fresh start."""
     if not exists(spark, f"{base}/manifest"):
         return None
-    newest = spark.read.parquet(f"{base}/manifest").agg(F.max_by(F.struct("batch_id", *MANAGED), "batch_id").alias("m")).first()["m"]
+    row = F.struct("batch_id", *MANAGED, *[f"{k}_deltas" for k in MANAGED])
+    newest = spark.read.parquet(f"{base}/manifest").agg(F.max_by(row, "batch_id").alias("m")).first()["m"]
     return newest.asDict() if newest else None
 
 
+def _table(spark, folder: str, deltas: list) -> DataFrame:
+    """A managed table: its folder with the deltas written since, in order."""
+    df = spark.read.parquet(folder)
+    for kind, path in deltas:
+        df = apply_changes(df, spark.read.parquet(path), kind)
+    return df
+
+
 def stream_sync(spark: SparkSession, roster_dir: str, initial: dict, state_dir: str | None = None,
                 p: SyncParams = DEFAULT_PARAMS, ckpt: str | None = None, schema: str = ROSTER_STREAM_SCHEMA,
                 reader_options: dict | None = None):
@@ -63,7 +76,8 @@ def stream_sync(spark: SparkSession, roster_dir: str, initial: dict, state_dir:
         doc = _load_manifest(spark, base)
         if doc is None:
             return dict(initial), {}, -1
-        return {k: spark.read.parquet(doc[k]) for k in MANAGED}, doc, doc["batch_id"]
+        known = {k: (doc[k], json.loads(doc[f"{k}_deltas"])) for k in MANAGED}
+        return {k: _table(spark, *known[k]) for k in MANAGED}, known, doc["batch_id"]
 
     def on_batch(batch: DataFrame, batch_id: int):
         tables, known, last = current_tables()
@@ -71,18 +85,22 @@ def stream_sync(spark: SparkSession, roster_dir: str, initial: dict, state_dir:
             return
         tables["roster"] = last_per_code(batch)
         paths = {}
-        out, res = run_sync(spark, tables, p, run_id=f"b{batch_id}", base=base, paths=paths)
+        out, res = run_sync(spark, tables, p, run_id=f"b{batch_id}", base=base, paths=paths, compact=False)
         failed = [f"{r.task}: {r.error}" for r in res.where(~F.col("success")).collect()]
         if failed:
             # a batch holds only its own roster rows, so no later one would make up for it:
             # nothing is marked as applied, and the stream replays the batch
             raise RuntimeError(f"batch {batch_id} failed: " + "; ".join(failed))
-        for k in MANAGED:             # a table no step changed stays where it is
-            if k not in paths and k in known:
-                paths[k] = known[k]
-            elif k not in paths:
+        doc = {"batch_id": batch_id}
+        for k in MANAGED:             # a batch writes its changes; a table is rewritten once in COMPACT_AFTER of them
+            if k not in known:
+                commit(tables[k], spark, k, "start", base, paths=paths)
+                known[k] = (paths[k], [])
+            folder, deltas = known[k][0], known[k][1] + paths.get(f"{k}_deltas", [])
+            if len(deltas) >= COMPACT_AFTER:
                 commit(out[k], spark, k, f"b{batch_id}", base, paths=paths)
-        doc = {"batch_id": batch_id, **{k: paths[k] for k in MANAGED}}
+                folder, deltas = paths[k], []
+            doc |= {k: folder, f"{k}_deltas": json.dumps(deltas)}
         spark.createDataFrame([doc]).write.mode("overwrite").parquet(f"{base}/manifest/b={batch_id}")
         collected.append(res.withColumn("batch_id", F.lit(batch_id)))
 

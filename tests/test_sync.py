@@ -120,6 +120,19 @@ def _snapshot(tables):
     return out
 
 
+def test_stream_compacts_after_some_deltas(spark, sf_small, monkeypatch):
+    from rosterline.streaming import stream_sync as S
+    monkeypatch.setattr(S, "COMPACT_AFTER", 2)
+    init = {k: v for k, v in PL.tables_for(spark, sf_small).items() if k != "roster"}
+    d = tempfile.mkdtemp(prefix="roster-stream-")
+    _roster_files(spark, sf_small, os.path.join(d, "in"), False)
+    after, _ = stream_sync(spark, os.path.join(d, "in", "a"), init, state_dir=os.path.join(d, "state"))
+    row = spark.read.parquet(os.path.join(d, "state", "manifest")).first()
+    assert row.people.endswith("v=b0") and row.people_deltas == "[]"
+    whole, _ = PL.run_sync(spark, PL.tables_for(spark, sf_small))
+    assert after["people"].count() == whole["people"].count()
+
+
 def test_stream_two_batches_equal_one(spark, sf_small):
     init = {k: v for k, v in PL.tables_for(spark, sf_small).items() if k != "roster"}
     results = {}
