@@ -120,6 +120,44 @@ def test_op4_prose(spark, sf_small):
     assert sum(r.near_edited > 0.3 for r in got) > 0.95 * len(got) and sum(r.near_next < 0.1 for r in got) > 0.99 * len(got)
 
 
+def test_op5(spark, tables):
+    from rosterline.llm.secrets import CANDIDATE
+    want = Counter((k, m.start(), len(m[0]), hashlib.sha256(m[0].encode()).hexdigest()) for k, t in documents(spark, tables)
+                   for m in re.finditer(CANDIDATE, t or ""))
+    assert Counter(tuple(r)[:4] for r in rows(spark, "op5_secrets", tables)) == want
+
+
+def test_op5_judges_unlabelled_candidates(spark):
+    import random
+
+    from rosterline.llm import secrets
+    rng = random.Random(3)
+
+    def key():
+        return "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    prose = [helpers.words(rng, 30, ["table", "window", "garden", "paper", "letter"]) for _ in range(400)]
+    texts, want = [], {}
+    for i, p in enumerate(prose):
+        if i % 4 == 0:
+            texts.append(f'{p} token = "{key()}" {p}')
+        elif i % 4 == 1:
+            texts.append(f"{p} call {rng.randrange(10 ** 13, 10 ** 14)} or write to a{i}@mail{i}.example.com {p}")
+        elif i % 4 == 2:
+            k = key().upper() if i % 8 == 2 else key()
+            texts.append(f'{p} TOKEN = "{k}" {p}')
+            want[i, k] = True
+        else:
+            k = f"window-garden-paper-{i}"
+            texts.append(f"{p} see {k} {p}")
+            want[i, k] = False
+    docs = spark.createDataFrame([*enumerate(texts), (900, None), (901, "")], "doc_id bigint, text string")
+    got = [(r.doc_id, texts[r.doc_id][r.start:r.start + r.n_chars], r.label, r.secret) for r in secrets.scan(docs).collect()]
+    assert all(label == secret for _, _, label, secret in got if label is not None)
+    judged = {(d, k): s for d, k, label, s in got if label is None}
+    assert judged.keys() == want.keys() and sum(judged[x] == want[x] for x in want) > 0.95 * len(want)
+    assert secrets.scan(docs.where("doc_id % 4 = 3 or text is null")).where("secret").count() == 0
+
+
 def test_op6(spark, tables):
     from xxhash import xxh64_intdigest
 
