@@ -170,19 +170,18 @@ def q_people_insert_missing(spark, d):
     return people_insert_missing(T.roster, T.people).rows
 
 
-def _u2_sql(extra: str, new: str, test: str) -> str:
+def _u2_sql(scope: str, flag: str = "r.isactive IS NOT NULL") -> str:
+    """People whose status is unknown or not what a roster row of their code asks for."""
     return f"""
-SELECT b.id, b.code, b.name, b.sys_user, min({new}) AS job_status, b.group_id
-FROM people b JOIN roster r ON b.code = r.empcode
-WHERE {extra} {test}
-GROUP BY b.id, b.code, b.name, b.sys_user, b.group_id, b.job_status
+WITH asked(flag, target) AS (VALUES (0, 1), (1, 0))
+SELECT b.id, b.code, b.name, b.sys_user, min(coalesce(target, b.job_status)) AS job_status, b.group_id
+FROM roster r JOIN people b ON b.code = r.empcode LEFT JOIN asked ON flag = r.isactive
+WHERE {scope} AND {flag} AND coalesce(b.job_status <> target, b.job_status IS NULL)
+GROUP BY b.id, b.code, b.name, b.sys_user, b.job_status, b.group_id
 """
 
 
-_NEW = "CASE WHEN r.isactive = 0 THEN 1 WHEN r.isactive = 1 THEN 0 ELSE b.job_status END"
-_TEST = ("r.isactive IS NOT NULL AND (b.job_status IS NULL OR (r.isactive = 0 AND b.job_status <> 1) "
-         "OR (r.isactive = 1 AND b.job_status <> 0))")
-_U2_SQL = _u2_sql(f"{in_scope_sql('r.gdname4', P)} AND", _NEW, _TEST)
+_U2_SQL = _u2_sql(in_scope_sql('r.gdname4', P))
 
 
 @query("people_job_status", _U2_SQL)
@@ -201,25 +200,25 @@ def q_people_job_status_after(spark, d):
     return people_job_status(T.people, T.roster).after
 
 
-@query("people_job_status_left", _u2_sql("", "1", "r.isactive = 0 AND (b.job_status IS NULL OR b.job_status <> 1)"))
+@query("people_job_status_left", _u2_sql("TRUE", "r.isactive = 0"))
 def q_people_job_status_left(spark, d):
     T = Tables(spark, d)
     return people_job_status_oneway(T.people, T.roster, to_left=True).rows
 
 
-@query("people_job_status_active", _u2_sql("", "0", "r.isactive = 1 AND (b.job_status IS NULL OR b.job_status <> 0)"))
+@query("people_job_status_active", _u2_sql("TRUE", "r.isactive = 1"))
 def q_people_job_status_active(spark, d):
     T = Tables(spark, d)
     return people_job_status_oneway(T.people, T.roster, to_left=False).rows
 
 
-@query("people_job_status_dept", _u2_sql(f"r.gdname4 = '{P.single_dept}' AND", _NEW, _TEST))
+@query("people_job_status_dept", _u2_sql(f"r.gdname4 = '{P.single_dept}'"))
 def q_people_job_status_dept(spark, d):
     T = Tables(spark, d)
     return people_job_status(T.people, T.roster, scope="dept").rows
 
 
-@query("people_job_status_all", _u2_sql("", _NEW, _TEST))
+@query("people_job_status_all", _u2_sql("TRUE"))
 def q_people_job_status_all(spark, d):
     T = Tables(spark, d)
     return people_job_status(T.people, T.roster, scope="all").rows

@@ -223,8 +223,7 @@ c5 AS (SELECT count(*) AS n FROM ppl4 b WHERE EXISTS (SELECT 1 FROM acc1 a WHERE
 c6 AS (SELECT count(*) AS n FROM acc1 a WHERE EXISTS (SELECT 1 FROM roster r WHERE a.account = r.empcode
        AND {scope} AND r.isactive = 0 AND (a.enabled_mark IS NULL OR a.enabled_mark <> 0))),
 c7 AS (SELECT count(*) AS n FROM ppl4 b WHERE EXISTS (SELECT 1 FROM roster r WHERE b.code = r.empcode
-       AND {scope} AND r.isactive IS NOT NULL AND (b.job_status IS NULL OR (r.isactive = 0 AND b.job_status <> 1)
-       OR (r.isactive = 1 AND b.job_status <> 0)))),
+       AND {scope} AND (r.isactive IN (0, 1) AND b.job_status <> 1 - r.isactive OR b.job_status IS NULL AND r.isactive IS NOT NULL))),
 dup AS (SELECT count(*) AS n FROM (
         {duplicates}) z)
 SELECT * FROM (VALUES
