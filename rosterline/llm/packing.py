@@ -11,6 +11,7 @@ group is left: its open bins are the only partly filled ones at the end.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,8 +25,61 @@ LIMIT = 4096
 OPEN = 256
 ROWS_PER_GROUP = 25_000     # pieces that one task packs
 END = 1                     # id after every document
-WORDS_KEPT = 300_000        # entries of a worker's word cache
-CHUNK = 1 << 20             # characters that a worker tokenizes at once
+WORDS_KEPT = 1_000_000        # words that a worker remembers (and as many older ones)
+ROWS_AT_ONCE = 2_000        # documents of one result batch
+TAIL = ".,;:!?"             # marks that the tokenizer separates from the letters before them
+
+
+class WordIds(dict):
+    """Ids (bytes) of the words of a text, filled as words are met; words not met for long are forgotten.
+
+    A new word of lower-case Latin letters goes to the byte-pair model directly,
+    without the tokenizer's normalizing and splitting, which leave it as it is;
+    any other word goes through the tokenizer.
+    """
+
+    #: Where a byte of a word stands for itself in the model's alphabet; the others follow from 256 on, in order.
+    SELF = (*range(33, 127), *range(161, 173), *range(174, 256))
+
+    def __init__(self, coder):
+        super().__init__()
+        self.coder, self.older = coder, {}
+        self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in self.SELF)}
+        probe = ["probe", "straße", "élan", "às", "zyxwvut"]
+        self.direct = all(self.letters(w.encode()) == self.whole(w) for w in probe)
+        text = "Ab straße, (x-1) y.\nÉ z!"
+        self.apart = self.whole(text) == [i for w in text.split() for i in self.whole(w)] == self.whole(text.replace("A", "a"))
+
+    def whole(self, text: str) -> list[int]:
+        return self.coder.encode(text, add_special_tokens=False).ids
+
+    def letters(self, word: bytes) -> list[int]:
+        return [t.id for t in self.coder.model.tokenize(word.decode("latin-1").translate(self.alphabet))]
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            text = word.decode()
+            core = text.rstrip(TAIL)
+            if core != text and core.lower().isalpha():
+                ids = self[core.encode()] + self[text[len(core):].encode()]
+            elif self.direct and text.isalpha() and max(text) < "\u0180" and text == text.lower():
+                ids = array("I", self.letters(word)).tobytes()
+            else:
+                ids = array("I", self.whole(text)).tobytes()
+        if len(self) >= WORDS_KEPT:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def text(self, text: bytes) -> bytes:
+        """Ids of a text: word by word, or at once by a tokenizer for which case or white space matter."""
+        if not self.apart:
+            return array("I", self.whole(text.decode())).tobytes()
+        if b"<|" not in text:
+            text = text.lower()                  # ASCII letters only, as these are bytes
+        return b"".join(map(self.__getitem__, text.replace(b"\n", b" ").split(b" ")))
 
 
 def pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, ids: bool = False) -> DataFrame:
@@ -33,43 +87,28 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, ids: bool = Fals
 
     ``tokenizer`` is the path of a tokenizers file that every executor can read.
     A document is its text's ids and END (a NULL text: END alone); only longer
-    ones are cut, at multiples of ``limit``. The tokenizer drops white space, so
-    a text is tokenized by its space-separated parts, each part once a worker.
+    ones are cut, at multiples of ``limit``. If the tokenizer drops white space
+    and case, a text is tokenized by its space-separated parts in lower case
+    (as they are, where a special token may stand), each part once a worker.
     """
     def run(batches):
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy as np
         from tokenizers import Tokenizer
-        coder, known, end = Tokenizer.from_file(tokenizer), {}, np.array([END], "<u4").tobytes()
+        known, end = WordIds(Tokenizer.from_file(tokenizer)), array("I", [END]).tobytes()
 
-        def encoded(texts):
-            words = [t.replace("\n", " ").split(" ") for t in texts]
-            if len(known) > WORDS_KEPT:
-                known.clear()
-            new = [w for w in set().union(*words) if w not in known]
-            for w, e in zip(new, coder.encode_batch_fast(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-            return [b"".join(map(known.__getitem__, w)) + end for w in words]
+        def cut(i, text):
+            data = known.text(text or b"") + end
+            for n, b in enumerate(range(0, len(data), 4 * limit)):
+                own = data[b:b + 4 * limit]
+                yield (i, n, b // 4, len(own) // 4, zlib.crc32(own)) + ((own,) if ids else ())
 
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * ids
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids
         for batch in batches:
-            keys, texts = batch.column("doc_id"), batch.column("text")
-            at = 0
-            while at < len(texts):
-                part, size, first = [], 0, at
-                while at < len(texts) and (not part or size < CHUNK):
-                    part.append(texts[at].as_py() or "")
-                    size, at = size + len(part[-1]), at + 1
-                rows = []
-                for i, data in zip(range(first, at), encoded(part)):
-                    for n, b in enumerate(range(0, len(data), 4 * limit)):
-                        own = data[b:b + 4 * limit]
-                        rows.append((i, n, b // 4, len(own) // 4, zlib.crc32(own)) + ((own,) if ids else ()))
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(cols[0], pa.int32())), pa.array(cols[1], pa.int32()), *[pa.array(c, pa.int64()) for c in cols[2:5]],
-                     *([pa.array(cols[5], pa.binary())] if ids else [])],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])])
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                texts = part.column("text").cast(pa.binary())
+                cols = [pa.array(c, k) for c, k in zip(zip(*(x for i, t in enumerate(texts) for x in cut(i, t.as_py()))), kinds)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(cols[0]), *cols[1:]], names=names)
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if ids else ""))
