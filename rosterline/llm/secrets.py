@@ -11,13 +11,16 @@ are counted over all documents and all labelled candidates.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+import uuid
+
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterline.llm.common import cut, table, written
+from rosterline.session import checkpoint_dir
 
 KEY = r"A-Za-z0-9_+/=.@:\-"
 LEAST = 12
@@ -120,7 +123,10 @@ def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         gather = VectorAssembler(inputCols=FEATURES, outputCol="features")
         rows = gather.transform(full)
         fitted = rows.where("label is not null").orderBy(F.xxhash64("text"), "id").limit(sample).select("features", "label")
-        model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=42).fit(fitted)
+        # written and read: a fitted model keeps its session in a summary, which cannot always be sent to tasks
+        path = f"{checkpoint_dir(docs.sparkSession).rstrip('/')}/secret-forest-{uuid.uuid4().hex}"
+        RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=42).fit(fitted).save(path)
+        model = RandomForestClassificationModel.load(path)
         judged = model.transform(rows).withColumn("p", vector_to_array("probability")[1])
     else:
         judged = own.withColumn("p", F.lit(float(overall)))
