@@ -166,8 +166,9 @@ def test_one_account_logon_outcomes(spark):
                                    ("a3", "C3", "z", 1, 1, "o", "e")], ACCTS)
     logons = spark.createDataFrame([("a1", "a1", "h", "k")], "id string, user_id string, password_hash string, "
                                                                "secret_key string")
-    out = {u: CR.logon_insert_one(accts, logons, u).first().outcome for u in ("a1", "a2", "a3")}
-    assert out == {"a1": "exists", "a2": "inserted", "a3": "not_live"}
+    done = {u: CR.logon_insert_one(accts, logons, u) for u in ("a1", "a2", "a3")}
+    assert {u: d[1].first().outcome for u, d in done.items()} == {"a1": "exists", "a2": "inserted", "a3": "not_live"}
+    assert {u: [r.user_id for r in d[0].rows.collect()] for u, d in done.items()} == {"a1": [], "a2": ["a2"], "a3": []}
 
 
 def test_one_account_credential_reset(spark):
