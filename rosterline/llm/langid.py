@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from rosterline.llm.common import table
 
 DICT_BYTES = 128 << 10      # of a language's dictionary
-SAMPLE_ROWS = 400           # of learning rows of a language that may enter its dictionary
+SAMPLE_ROWS = 400           # of learning texts of a language that may enter its dictionary
 BLOCK = 8 << 10             # characters encoded at once
 LEVEL = 9
 FULL_MARGIN = 0.10          # share of the second best size that counts as a score of 1
 MIN_SCORE = 0.02            # below it the language is rejected
-LANGUAGES = 256             # learned at most, the most frequent ones: each has a dictionary in every task
+LANGUAGES = 256             # whose dictionaries a task holds ready at once; more are taken block by block
 UNKNOWN = "und"
 NO_LETTER = re.compile(r"[\W\d_]+")
 
@@ -33,16 +33,17 @@ def plain(text: str) -> str:
 
 
 def learn(texts: DataFrame) -> dict[str, bytes]:
-    """``texts(lang, text)`` to one dictionary a language, the most frequent language first.
+    """``texts(lang, text)`` to one dictionary a language, that of most texts first.
 
-    The rows come from hashing the text: a fraction of each language's rows that
-    leaves about SAMPLE_ROWS of them, in hash order until DICT_BYTES are full.
-    The driver gets at most DICT_BYTES a language. NULL languages and texts
-    without letters teach nothing.
+    Copies count once. The texts come from hashing: a fraction of each
+    language's texts that leaves about SAMPLE_ROWS of them, in hash order until
+    DICT_BYTES are full. The driver gets at most DICT_BYTES a language. NULL
+    languages and texts without letters teach nothing.
     """
     rows = texts.where("lang is not null and text is not null").where(F.regexp_like("text", F.lit(r"\p{L}")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).withColumnRenamed("lang", "l")
-    drawn = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(counts), F.col("lang") == F.col("l")) \
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    counts = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "l")
+    drawn = rows.join(F.broadcast(counts), F.col("lang") == F.col("l")) \
         .where(F.pmod("h", F.lit(1 << 31)) / float(1 << 31) <= SAMPLE_ROWS / F.col("n")) \
         .select("lang", "n", "h", F.substring("text", 1, DICT_BYTES).alias("text")).distinct()
     order = Window.partitionBy("lang").orderBy("h", "text")
@@ -68,27 +69,38 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
     def encode(batches):
         import zstandard
-        names = list(shared.value)         # ties go to the more frequent language
-        coders = []
-        for n in names:
-            d = zstandard.ZstdCompressionDict(shared.value[n], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            coders.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False))
-        alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
-
-        def judge(t):
-            if not names or t is None or not any(map(str.isalpha, t)):
-                return UNKNOWN, 0.0
+        names = list(shared.value)         # ties go to the language of more texts
+
+        def coders(at):
+            out = []
+            for n in names[at:at + LANGUAGES]:
+                d = zstandard.ZstdCompressionDict(shared.value[n], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                d.precompute_compress(level=LEVEL)
+                out.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False))
+            return out
+        first = coders(0)
+        alone = [zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)]
+
+        def sizes(t, some):
             t = plain(t)
             blocks = [t[i:i + BLOCK].encode() for i in range(0, len(t), BLOCK)]
-            sizes = [sum(len(c.compress(b)) for b in blocks) for c in coders]
-            best = min(range(len(names)), key=sizes.__getitem__)
-            rest = sizes[:best] + sizes[best + 1:] or [sum(len(alone.compress(b)) for b in blocks)]
-            second = max(1, min(rest))
-            return names[best], min(1.0, max(0, second - sizes[best]) / second / FULL_MARGIN)
+            return [sum(len(c.compress(b)) for b in blocks) for c in some]
+
+        def judge(t, two):
+            if not two:
+                return UNKNOWN, 0.0
+            size, best = two[0]
+            second = max(1, two[1][0] if len(two) > 1 else sizes(t, alone)[0])
+            return names[best], min(1.0, max(0, second - size) / second / FULL_MARGIN)
 
         for batch in batches:
-            out = [judge(t.as_py()) for t in batch.column(text)]
+            rows = [(t, []) for t in batch.column(text).to_pylist()]      # with the two smallest (size, language)
+            for at in range(0, len(names), LANGUAGES):
+                some = coders(at) if at else first
+                for t, two in rows:
+                    if t is not None and any(map(str.isalpha, t)):
+                        two[:] = sorted([*two, *zip(sizes(t, some), range(at, at + len(some)))])[:2]
+            out = [judge(t, two) for t, two in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64()),
                                               pa.array([o[0] == UNKNOWN or o[1] < MIN_SCORE for o in out], pa.bool_())],
                                              names=[*batch.schema.names, "lang_pred", "score", "rejected"])

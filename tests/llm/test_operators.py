@@ -205,3 +205,30 @@ def test_language_without_labels(spark):
     assert langid.recognized(docs).count() == 2
     out = langid.classify(docs, {}).collect()
     assert all(r.lang_pred == "und" and r.score == 0 and r.rejected for r in out)
+
+
+def test_copies_do_not_empty_a_dictionary(spark):
+    rng = random.Random(2)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
+    docs = [(i, helpers.words(rng, 8, vocabulary), "xa") for i in range(300)]
+    docs += [(1000 + i, helpers.words(rng, 8, ["und", "der", "zu", "ist"]), "xb") for i in range(5)]
+    plenty = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    hot = spark.createDataFrame([(1, "one text of many many copies", "xa")], plenty.schema)
+    one = langid.learn(plenty.union(hot))
+    assert langid.learn(plenty.union(hot.crossJoin(spark.range(200_000)).drop("id"))) == one
+    assert list(one) == ["xa", "xb"] and one["xa"].count(b"\n") + one["xa"].count(b" ") > 300 * 8
+
+
+def test_languages_beyond_one_block(spark, monkeypatch):
+    rng = random.Random(8)
+    docs = []
+    for i in range(7):
+        vocabulary = ["".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(40)]
+        docs += [(100 * i + j, helpers.words(rng, 30, vocabulary), f"x{i}") for j in range(20 - i)]
+    df = spark.createDataFrame([*docs, (None, None, None), (7, "", "x1")], "doc_id bigint, text string, lang string")
+    whole = sorted(map(tuple, langid.classify(df, langid.learn(df)).collect()), key=repr)
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    known = langid.learn(df)
+    assert list(known) == [f"x{i}" for i in range(7)]
+    assert sorted(map(tuple, langid.classify(df, known).collect()), key=repr) == whole
+    assert all(r[2] == r[3] and not r[5] for r in whole if r[1])
