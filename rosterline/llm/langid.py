@@ -21,7 +21,7 @@ SAMPLE_ROWS = 400           # of learning texts of a language that may enter its
 BLOCK = 8 << 10             # characters encoded at once
 LEVEL = 9
 FULL_MARGIN = 0.10          # share of the second best size that counts as a score of 1
-MIN_SCORE = 0.02            # below it the language is rejected
+MIN_SCORE = 0.2             # below it the language is rejected; figures in the README
 LANGUAGES = 256             # whose dictionaries a task holds ready at once; more are taken block by block
 UNKNOWN = "und"
 NO_LETTER = re.compile(r"[\W\d_]+")

@@ -232,3 +232,22 @@ def test_languages_beyond_one_block(spark, monkeypatch):
     assert list(known) == [f"x{i}" for i in range(7)]
     assert sorted(map(tuple, langid.classify(df, known).collect()), key=repr) == whole
     assert all(r[2] == r[3] and not r[5] for r in whole if r[1])
+
+
+def test_gibberish_and_unlearned_languages_are_rejected(spark):
+    rng = random.Random(6)
+
+    def language():
+        parts = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randrange(2, 4))) for _ in range(12)]
+        return ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 4))) for _ in range(400)]
+    spoken = [language() for _ in range(4)]
+    docs = [(f"x{i}", helpers.words(rng, 150, v)) for i, v in enumerate(spoken) for _ in range(100)]
+    known = langid.learn(spark.createDataFrame(docs, "lang string, text string"))
+    new = [(f"x{i}", helpers.words(rng, 60, v)) for i, v in enumerate(spoken) for _ in range(25)]
+    new += [("gibberish", " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) for _ in range(150)))
+            for _ in range(100)]
+    new += [("unlearned", helpers.words(rng, 150, v)) for v in [language() for _ in range(20)] for _ in range(5)]
+    out = langid.classify(spark.createDataFrame(new, "lang string, text string"), known).collect()
+    assert all(r.lang_pred == r.lang and not r.rejected for r in out if r.lang[0] == "x")
+    for kind in ("gibberish", "unlearned"):
+        assert sum(r.rejected for r in out if r.lang == kind) > 85, kind
