@@ -307,6 +307,62 @@ def _connect(rows):
     return out
 
 
+def _short_links(held: DataFrame, first: DataFrame, probes: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of the ``probes(key, id)`` to the ``held(key, id)`` lines of their key, which are linked to ``first(key, a)``.
+
+    The held lines of a key differ in a few places only. If a probe is linked to
+    one of them, it is linked to all that have the same characters at the places
+    which the edits leave. So held lines are grouped by their characters at every
+    choice of places, and a probe is verified against one line of each group
+    whose characters it has within the threshold's reach of the places.
+    """
+    text = lines.select(F.col("id").alias("i"), "text")
+    whole = lambda rows: rows.join(text, F.col("id") == F.col("i")).drop("i")
+
+    def differ(batches):
+        for batch in batches:
+            at = [[i for i, (x, y) in enumerate(zip(a, b)) if x != y]
+                  for a, b in zip(batch.column("text").to_pylist(), batch.column("other").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(at, pa.list_(pa.int32()))], names=["key", "at"])
+    others = whole(first.withColumnRenamed("a", "id")).select(F.col("key").alias("k"), F.col("text").alias("other"))
+    places = whole(held).join(others, F.col("key") == F.col("k")).select("key", "text", "other").mapInArrow(differ, "key bigint, at array<int>")
+    places = cut(places.groupBy("key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("at")))).alias("at"))
+                 .withColumnRenamed("key", "k"))
+
+    def groups(reach):
+        def run(batches):
+            for batch in batches:
+                out = []
+                for key, i, at, size, t in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "at", "size", "text"))):
+                    most = threshold(size) if reach else 0
+                    for k in range(len(at) + 1):
+                        for chosen in combinations(at, k):
+                            near = [range(max(0, p - most), min(len(t), p + most + 1)) for p in chosen]
+                            kept = {"".join(t[j] for j in js) for js in product(*near) if all(x < y for x, y in zip(js, js[1:]))}
+                            out += [(key, i, ",".join(map(str, chosen)), chars) for chars in kept]
+                cols = list(zip(*out)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string()))],
+                                                 names=["key", "id", "places", "chars"])
+        return run
+    kind = "key bigint, id bigint, places string, chars string"
+    sizes = whole(first.withColumnRenamed("a", "id")).select(F.col("key").alias("s"), F.char_length("text").alias("size"))
+    shape = cut(places.join(sizes, F.col("k") == F.col("s")).select("k", "at", "size"))
+    one = whole(held).join(shape, F.col("key") == F.col("k")).drop("k").mapInArrow(groups(False), kind) \
+        .groupBy("key", "places", "chars").agg(F.min("id").alias("a"))
+    found = whole(probes.distinct()).join(shape, F.col("key") == F.col("k")).drop("k").mapInArrow(groups(True), kind) \
+        .join(one, ["key", "places", "chars"]).where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    pairs = found.join(text.toDF("i", "left"), F.col("a") == F.col("i")).drop("i").join(text.toDF("i", "right"), F.col("b") == F.col("i"))
+
+    def verify(batches):
+        for batch in batches:
+            fit = []
+            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+                most = threshold(min(len(x), len(y)))
+                fit.append(edits(x, y, most) <= most)
+            yield batch.select(["a", "b"]).filter(pa.array(fit, pa.bool_()))
+    return pairs.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint")
+
+
 def links(lines: DataFrame, listed: int = LISTED) -> DataFrame:
     """``lines(id, text)``, texts distinct, to links ``(a, b)``: their components are those of all pairs within the threshold.
 
@@ -329,10 +385,9 @@ def links(lines: DataFrame, listed: int = LISTED) -> DataFrame:
         size = F.char_length("text")
         short = size - F.when(F.col("probe"), F.col("delta")).otherwise(0) <= F.col("edits")
         held = rests.where(short & ~F.col("probe")).select(F.col("salt").alias("key"), "id")
-        first = held.groupBy("key").agg(F.min("id").alias("a"))
+        first = cut(held.groupBy("key").agg(F.min("id").alias("a")))
         found.append(held.join(first, "key").where("a <> id").select("a", F.col("id").alias("b")))
-        few = rests.where(short & F.col("probe")).select(F.col("salt").alias("key"), "id", "probe")
-        found.append(_links(few.union(first.select("key", F.col("a").alias("id"), F.lit(False).alias("probe"))), lines))
+        found.append(_short_links(held, first, rests.where(short & F.col("probe")).select(F.col("salt").alias("key"), "id"), lines))
         some = _rest_postings(rests.where(~short))
     out = found[0]
     for more in found[1:]:

@@ -251,3 +251,15 @@ def test_gibberish_and_unlearned_languages_are_rejected(spark):
     assert all(r.lang_pred == r.lang and not r.rejected for r in out if r.lang[0] == "x")
     for kind in ("gibberish", "unlearned"):
         assert sum(r.rejected for r in out if r.lang == kind) > 85, kind
+
+
+@pytest.mark.parametrize("listed", [1 << 17, 100])
+def test_probes_of_short_remains_meet_every_held_line(spark, listed):
+    letters = "ABCDEFGHIJKLMNOPQRST"
+    left, right = "the first third of this line, then ", " and so it goes to the end of it."
+    codes = sorted({a + b for a in letters for b in letters} | {"XY", "XYZ", "zXY", "VW", "qVWr", "KLqrs", "uvw"})
+    texts = [left + c + right for c in codes]
+    assert all(lines.threshold(len(t)) == 2 for t in texts)
+    want = [(i, j) for j in range(len(texts)) for i in range(j) if helpers.distance(codes[i], codes[j]) <= 2]
+    got = {(min(r), max(r)) for r in lines.links(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string"), listed).collect()}
+    assert got <= set(want) and helpers.connected(len(texts), got) == helpers.connected(len(texts), want)
