@@ -1,8 +1,9 @@
 """Secret scan: candidates by pattern, a random forest to remove the false positives (native).
 
-A candidate is a run of 12 or more key characters with a digit in it. Some
-candidates are labelled by what they say themselves: one that is assigned to a
-name such as ``token`` is a finding, an address or a plain number is none. The
+A candidate is a run of 12 or more key characters with a digit in it, or
+whatever is assigned to a name such as ``token``, quoted or up to a space, from
+6 characters on. Some candidates are labelled: an assigned one is a finding, any
+other address or plain number is none. The
 forest learns from a bounded sample of these and judges all candidates by
 length, character transitions, dictionary coverage, path marks and
 neighbouring words. Dictionary, transitions and the rates of neighbouring words
@@ -25,7 +26,13 @@ from rosterline.session import checkpoint_dir
 KEY = r"A-Za-z0-9_+/=.@:\-"
 LEAST = 12
 CANDIDATE = rf"(?<![{KEY}])(?=[{KEY}]{{{LEAST}}})[A-Za-z_+/=.@:\-]*[0-9][{KEY}]*"
-ASSIGNED = r"(?:token|secret|passw(?:or)?d|api_?key|access_?key) *[:=] *[\"']?$"
+NAME = "(?:token|secret|passw(?:or)?d|api_?key|access_?key)"
+ASSIGNED = NAME + r"[\"']? *[:=] *[\"']?$"
+# Java only, for the bounded lookbehinds; the short ones spare most places the long one
+VALUE = r"[^\s\"']{5,}[^\s\"'.,;:)\]}?]"
+AFTER_NAME = rf"(?<=[:= \"'])(?<=[:=] {{0,8}}[\"']?)(?<=(?i:{NAME})[\"']? {{0,8}}[:=] {{0,8}}[\"']?)"
+FOUND = rf"{AFTER_NAME}(?:(?<=\")[^\"\r\n]{{6,}}(?=\")|(?<=')[^'\r\n]{{6,}}(?=')|{VALUE})" \
+    rf"|(?![A-Za-z0-9_.\-]{{0,64}}?(?i:{NAME})[:=]{VALUE}){CANDIDATE}"
 NOT_SECRET = r"@|^[0-9]+$|^[0-9]{1,3}(?:[.][0-9]{1,3}){3}|^https?:|^[0-9.:/\-]+$"
 NEAR = 60               # characters kept on either side
 SAMPLE = 20_000         # labelled candidates the forest is fitted on
@@ -43,11 +50,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     characters around; ``place`` is the share of the text before it. Every row
     of a repeated document has its own candidates.
     """
-    found = docs.where(F.regexp_like("text", F.lit(CANDIDATE))).withColumn("row", F.monotonically_increasing_id())
-    gaps = F.split("text", CANDIDATE)
+    found = docs.where(F.regexp_like("text", F.lit(FOUND))).withColumn("row", F.monotonically_increasing_id())
+    gaps = F.split("text", FOUND)
     pairs = F.arrays_zip(F.transform(gaps, lambda g: F.struct(F.char_length(g).alias("n"), F.left(g, F.lit(NEAR)).alias("head"),
                                                                F.right(g, F.lit(NEAR)).alias("tail"))).alias("gap"),
-                         F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("own"))
+                         F.regexp_extract_all("text", F.lit(FOUND), F.lit(0)).alias("own"))
     rows = found.select("row", "doc_id", F.char_length("text").alias("whole"), F.posexplode(pairs).alias("nth", "x")) \
         .select("row", "doc_id", "whole", "nth", F.col("x.gap.n").alias("n"), F.col("x.gap.head").alias("head"),
                 F.col("x.gap.tail").alias("before"), F.col("x.own").alias("own"))
@@ -111,7 +118,7 @@ def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     docs = docs.where("text is not null")
     found = written(candidates(docs), "secret-candidates")
     own = measured(found, cut(dictionary(docs)))
-    label = F.when(F.col("text").rlike(NOT_SECRET), F.lit(0.0)).when(F.col("before").rlike(ASSIGNED), F.lit(1.0))
+    label = F.when(F.col("before").rlike(ASSIGNED), F.lit(1.0)).when(F.col("text").rlike(NOT_SECRET), F.lit(0.0))
     own = written(own.withColumns({"label": label, "before": F.lower(F.regexp_extract("before", r"([\p{L}_]+)[^\p{L}]*$", 1)),
                                    "after": F.lower(F.regexp_extract("after", r"^[^\p{L}]*([\p{L}_]+)", 1))}), "secret-features")
     known = own.where("label is not null")

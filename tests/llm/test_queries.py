@@ -162,6 +162,20 @@ def test_op5_judges_unlabelled_candidates(spark):
     assert secrets.scan(docs.where("doc_id % 4 = 3 or text is null")).where("secret").count() == 0
 
 
+def test_op5_assigned_values(spark):
+    from rosterline.llm import secrets
+    cases = [("a password: hunter2 b", "hunter2", True), ('secret: "correcthorsebatterystaple".', "correcthorsebatterystaple", True),
+             ("api_key = a8Kx02mQpz", "a8Kx02mQpz", True), ("password=p!a#s$s%w, then", "p!a#s$s%w", True),
+             ("passwd: 'four words of it'", "four words of it", True), ("token=abcdef0123456789 x", "abcdef0123456789", True),
+             ("my_token:abcdef0123456789", "abcdef0123456789", True), ('{"password": "me@home99"}', "me@home99", True),
+             ("secret = https://me:pass99@host.example/x", "https://me:pass99@host.example/x", True),
+             ("Password: Hunter\U0001F600 2", "Hunter\U0001F600", None), ("write to someone99@mail.example", "someone99@mail.example", False),
+             ("password=a1b2 x", "password=a1b2", None), ("x token = abc", None, None), ("the tokens are: abcdefgh", None, None)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id bigint, text string")
+    got = sorted((r.doc_id, cases[r.doc_id][0][r.start:r.start + r.n_chars], r.label) for r in secrets.scan(docs).collect())
+    assert got == [(i, v, label) for i, (_, v, label) in enumerate(cases) if v]
+
+
 def test_op6(spark, tables):
     from xxhash import xxh64_intdigest
 
