@@ -90,17 +90,17 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
             if not two:
                 return UNKNOWN, 0.0
             size, best = two[0]
-            second = max(1, two[1][0] if len(two) > 1 else sizes(t, alone)[0])
+            second = max(1, two[1][0] if len(two) > 1 else sizes(t.as_py(), alone)[0])
             return names[best], min(1.0, max(0, second - size) / second / FULL_MARGIN)
 
         for batch in batches:
-            rows = [(t, []) for t in batch.column(text).to_pylist()]      # with the two smallest (size, language)
+            found = [[] for _ in range(batch.num_rows)]     # the two smallest (size, language) of each text, decoded one at a time
             for at in range(0, len(names), LANGUAGES):
                 some = coders(at) if at else first
-                for t, two in rows:
+                for t, two in zip(map(pa.Scalar.as_py, batch.column(text)), found):
                     if t is not None and any(map(str.isalpha, t)):
                         two[:] = sorted([*two, *zip(sizes(t, some), range(at, at + len(some)))])[:2]
-            out = [judge(t, two) for t, two in rows]
+            out = [judge(t, two) for t, two in zip(batch.column(text), found)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64()),
                                               pa.array([o[0] == UNKNOWN or o[1] < MIN_SCORE for o in out], pa.bool_())],
                                              names=[*batch.schema.names, "lang_pred", "score", "rejected"])
