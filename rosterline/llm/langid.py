@@ -97,7 +97,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
             found = [[] for _ in range(batch.num_rows)]     # the two smallest (size, language) of each text, decoded one at a time
             for at in range(0, len(names), LANGUAGES):
                 some = coders(at) if at else first
-                for t, two in zip(map(pa.Scalar.as_py, batch.column(text)), found):
+                for t, two in zip((x.as_py() for x in batch.column(text)), found):
                     if t is not None and any(map(str.isalpha, t)):
                         two[:] = sorted([*two, *zip(sizes(t, some), range(at, at + len(some)))])[:2]
             out = [judge(t, two) for t, two in zip(batch.column(text), found)]
