@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rosterline.llm import chat, decontam, langid, lines, packing, secrets, sharding, simhash, spotsigs, urls
+from rosterline.llm import chat, decontam, langid, lines, negatives, packing, phrases, secrets, sharding, simhash, spotsigs, toxicity, urls
 
 REGISTRY = {
     "op1_packing": (packing.op1, None),
@@ -15,6 +15,9 @@ REGISTRY = {
     "op8_sharding": (sharding.op8, None),
     "op9_lines": (lines.op9, None),
     "op10_chat": (chat.op10, chat.OP10_SQL),
+    "op11_phrases": (phrases.op11, phrases.OP11_SQL),
+    "op12_toxicity": (toxicity.op12, None),
+    "op13_negatives": (negatives.op13, negatives.OP13_SQL),
 }
 
 
