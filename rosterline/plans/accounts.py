@@ -21,7 +21,7 @@ P = DEFAULT_PARAMS
 
 # ------------------------------------------------------------------ operators
 def acct_insert_missing(roster: DataFrame, accounts: DataFrame, p: SyncParams = P,
-                        dedup: bool = False) -> Change:
+                        dedup: bool = False, cut=None) -> Change:
     """Active, in-scope roster people without an account become accounts."""
     src = roster.where(in_scope("gdname4", p) & (c("isactive") == 1))
 
@@ -40,15 +40,16 @@ def acct_insert_missing(roster: DataFrame, accounts: DataFrame, p: SyncParams =
         }, ACCOUNT_SCHEMA)
 
     return insert_missing(src, accounts, "empcode", "account", template, id_table="accounts",
-                          dedup=dedup, source_cols=["empcode", "empname", "gdname4", "isactive"])
+                          dedup=dedup, cut=cut, source_cols=["empcode", "empname", "gdname4", "isactive"])
 
 
 def acct_disable_leavers(accounts: DataFrame, roster: DataFrame, p: SyncParams = P,
-                         scoped: bool = True) -> Change:
+                         scoped: bool = True, extra: tuple = ()) -> Change:
     """U1 (service) / U1s (script): leavers' accounts get enabled_mark = 0.
 
     Service: in scope, flag 0, mark NULL or not 0. Script: flag 0 only, so rows
-    already 0 are rewritten (and counted). Nobody is ever re-enabled.
+    already 0 are rewritten (and counted). Nobody is ever re-enabled. ``extra``:
+    more columns of ``accounts`` that tell its rows apart in the delta.
     """
     on = c("t.account") == c("s.empcode")
     if scoped:
@@ -57,7 +58,7 @@ def acct_disable_leavers(accounts: DataFrame, roster: DataFrame, p: SyncParams =
     else:
         when = c("s.isactive") == 0
     return update_from(accounts, roster, on, when, {"enabled_mark": F.lit(0)},
-                       source_cols=["empcode", "gdname4", "isactive"])
+                       source_cols=["empcode", "gdname4", "isactive"], target_cols=list(extra) + ["account", "enabled_mark"], key="account")
 
 
 def acct_disable_preview(accounts: DataFrame, roster: DataFrame) -> DataFrame:

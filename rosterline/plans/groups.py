@@ -48,7 +48,7 @@ def people_group_fill(people, personnel, groups) -> Change:
     when = c("t.group_id").isNull() & c("s.group_name").isNotNull() & c("s.gid").isNotNull()
     return update_from(people, _chain(personnel, groups), c("t.code") == c("s.employee_id"), when,
                        {"group_id": c("s.gid")},
-                     source_cols=["employee_id", "group_name", "gid"])
+                       source_cols=["employee_id", "group_name", "gid"], target_cols=["code", "group_id"], key="code")
 
 
 def people_group_fill_or_fix(people, personnel, groups) -> Change:
@@ -63,7 +63,7 @@ def people_group_fill_or_fix(people, personnel, groups) -> Change:
     when = blank | (fix & c("s.group_name").isNotNull())
     ch = update_from(tgt, _chain(personnel, groups), c("t.code") == c("s.employee_id"), when,
                      {"group_id": c("s.gid")},
-                     source_cols=["employee_id", "group_name", "gid"])
+                     source_cols=["employee_id", "group_name", "gid"], target_cols=["code", "group_id", "_cur_name"], key="code")
     return _strip(ch, people.columns)
 
 
@@ -76,7 +76,7 @@ def people_group_fix_mismatch(people, personnel, groups, p: SyncParams = P) -> C
             & ~c("t._cur_name").isin(prot) & ~c("s.group_name").isin(prot))
     ch = update_from(tgt, _chain(personnel, groups), c("t.code") == c("s.employee_id"), when,
                      {"group_id": c("s.gid")},
-                     source_cols=["employee_id", "group_name", "gid"])
+                     source_cols=["employee_id", "group_name", "gid"], target_cols=["code", "group_id", "_cur_name"], key="code")
     return _strip(ch, people.columns)
 
 

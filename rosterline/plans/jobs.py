@@ -22,7 +22,7 @@ P = DEFAULT_PARAMS
 
 # ------------------------------------------------------------------ operators
 def people_insert_missing(roster: DataFrame, people: DataFrame, p: SyncParams = P,
-                          dedup: bool = False) -> Change:
+                          dedup: bool = False, cut=None) -> Change:
     """Active, in-scope roster rows with no person row become people."""
     src = roster.where(in_scope("gdname4", p) & (c("isactive") == 1))
 
@@ -37,7 +37,7 @@ def people_insert_missing(roster: DataFrame, people: DataFrame, p: SyncParams =
             **{k: ts_lit(p.run_ts) for k in ("committed_at", "approved_at", "approval_cancelled_at")}, **PEOPLE_FIXED,
         }, PEOPLE_SCHEMA)
 
-    return insert_missing(src, people, "empcode", "code", template, id_table="people", dedup=dedup,
+    return insert_missing(src, people, "empcode", "code", template, id_table="people", dedup=dedup, cut=cut,
                           source_cols=["empcode", "empname", "gdname4", "isactive"])
 
 
@@ -46,11 +46,12 @@ def _change_test(status, flag):
 
 
 def people_job_status(people: DataFrame, roster: DataFrame, p: SyncParams = P,
-                      scope: str = "config") -> Change:
+                      scope: str = "config", extra: tuple = ()) -> Change:
     """U2 family: job status follows the roster flag where NULL or contradicting.
 
     scope: "config" (service, U2), "dept" (one department, U2c), "all" (U2d).
     A NULL status with a flag outside {0, 1} counts as changed but stays NULL.
+    ``extra``: more columns of ``people`` that tell its rows apart in the delta.
     """
     st, fl = c("t.job_status"), c("s.isactive")
     when = fl.isNotNull() & _change_test(st, fl)
@@ -60,7 +61,7 @@ def people_job_status(people: DataFrame, roster: DataFrame, p: SyncParams = P,
         when = (c("s.gdname4") == p.single_dept) & when
     return update_from(people, roster, c("t.code") == c("s.empcode"), when,
                        {"job_status": job_status_expr(fl, st)},
-                       source_cols=["empcode", "gdname4", "isactive"])
+                       source_cols=["empcode", "gdname4", "isactive"], target_cols=list(extra) + ["code", "job_status"], key="code")
 
 
 def people_job_status_oneway(people: DataFrame, roster: DataFrame, to_left: bool) -> Change:
@@ -69,7 +70,7 @@ def people_job_status_oneway(people: DataFrame, roster: DataFrame, to_left: bool
     st = c("t.job_status")
     when = (c("s.isactive") == flag) & (st.isNull() | (st != val))
     return update_from(people, roster, c("t.code") == c("s.empcode"), when,
-                       {"job_status": F.lit(val)}, source_cols=["empcode", "isactive"])
+                       {"job_status": F.lit(val)}, source_cols=["empcode", "isactive"], target_cols=["code", "job_status"], key="code")
 
 
 def _status_name(x, default=JOB_UNKNOWN):

@@ -19,18 +19,19 @@ c = F.col
 
 
 # ------------------------------------------------------------------ operators
-def people_link_account(people: DataFrame, accounts: DataFrame, mode: str = "null_or_stale") -> Change:
+def people_link_account(people: DataFrame, accounts: DataFrame, mode: str = "null_or_stale", extra: tuple = ()) -> Change:
     """U3 (null_or_stale) / U3a (null) / U3b (stale): sys_user = account id.
 
     Any account counts (also disabled or deleted ones). Several accounts with
-    one code: the smallest id wins, the person is counted once.
+    one code: the smallest id wins, the person is counted once. ``extra``:
+    more columns of ``people`` that tell its rows apart in the delta.
     """
     su, aid = c("t.sys_user"), c("s.id")
     when = {"null_or_stale": needs_change(su, aid),
             "null": su.isNull(),
             "stale": su.isNotNull() & (su != aid)}[mode]
     return update_from(people, two_smallest_ids(accounts), c("t.code") == c("s.account"), when,
-                       {"sys_user": aid})
+                       {"sys_user": aid}, target_cols=list(extra) + ["code", "sys_user"], key="code")
 
 
 def two_smallest_ids(accounts: DataFrame) -> DataFrame:
