@@ -230,8 +230,8 @@ def stored_update(delta: DataFrame, seq: int, key: str) -> DataFrame:
                         *[F.struct(F.col(f"_new.{n}").alias("v")).alias(f"new_{n}") for n in names], "_n")
 
 
-def merged(rows: DataFrame, net: DataFrame | None, key: str) -> DataFrame:
-    """Stored rows as they are after their net update: one join, whatever the number of updates.
+def merged(rows: DataFrame, net: DataFrame | None, key: str, how: str = "left") -> DataFrame:
+    """Stored rows as they are after their net update (``how="inner"``: only those that have one): one join, whatever the number of updates.
 
     An inserted row that was updated is the inserted row with its last values.
     Set columns that the table lacks are added, NULL on rows without an update.
@@ -241,7 +241,7 @@ def merged(rows: DataFrame, net: DataFrame | None, key: str) -> DataFrame:
     names = [x[4:] for x in net.columns if x.startswith("new_")]
     change = net.withColumnsRenamed({key: "_k", "_at": "_net_at", "_was": "_net_was"})
     both = rows.join(change, (rows[key] == change["_k"]) & same(F.struct(rows["_at"].alias("a"), rows["_was"].alias("w")),
-                                                                F.struct(change["_net_at"].alias("a"), change["_net_was"].alias("w"))), "left")
+                                                                F.struct(change["_net_at"].alias("a"), change["_net_was"].alias("w"))), how)
     return both.select(*[F.when(F.col(f"new_{x}").isNotNull(), F.col(f"new_{x}.v")).otherwise(rows[x]).alias(x) if x in names else rows[x]
                          for x in rows.columns], *[F.col(f"new_{n}.v").alias(n) for n in names if n not in rows.columns])
 

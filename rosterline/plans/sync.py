@@ -17,6 +17,7 @@ rewrites only its own folder.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from types import SimpleNamespace
@@ -31,45 +32,88 @@ from rosterline.plans import jobs as J
 from rosterline.plans import links as L
 from rosterline.plans.audits import all_duplicate_keys
 from rosterline.plans.logs import append_log, log_entries
-from rosterline.operators.change import apply_changes
+from rosterline.operators.change import ORIGIN, apply_changes
 from rosterline.plans.registry import query
 from rosterline.schemas import SYNC_RESULT_SCHEMA
-from rosterline.sources.sinks import commit, commit_counted
+from rosterline.sources.buckets import ManagedTable, buckets_for
+from rosterline.sources.sinks import commit, commit_counted, exists, table_root
 from rosterline.sources.standins import Tables
+from rosterline.functions.exprs import in_scope_sql
+from rosterline.session import checkpoint_dir
 
 c = F.col
 P = DEFAULT_PARAMS
 
+class View(dict):
+    """The tables one step sees. ``extra``: columns that name the stored rows (tables in
+    buckets); ``cut``: writes what an insert found before its rows are built."""
+    extra: tuple = ()
+    cut = None
+
+
 # step name -> (target table, kind, tables read, builder(tables, params) -> Change)
 STEPS = {
     "acct_insert_missing": ("accounts", "insert", ("roster", "accounts"),
-                            lambda t, p: A.acct_insert_missing(t["roster"], t["accounts"], p)),
+                            lambda t, p: A.acct_insert_missing(t["roster"], t["accounts"], p, cut=t.cut)),
     "logon_insert_missing": ("logons", "insert", ("accounts", "logons"),
-                             lambda t, p: CR.logon_insert_missing(t["accounts"], t["logons"], p)),
+                             lambda t, p: CR.logon_insert_missing(t["accounts"], t["logons"], p, cut=t.cut)),
     "cred_backfill": ("logons", "update", ("logons", "accounts"),
-                      lambda t, p: CR.cred_backfill(t["logons"], t["accounts"], p, mode=p.live_mode)),
+                      lambda t, p: CR.cred_backfill(t["logons"], t["accounts"], p, mode=p.live_mode, extra=t.extra)),
     "people_insert_missing": ("people", "insert", ("roster", "people"),
-                              lambda t, p: J.people_insert_missing(t["roster"], t["people"], p)),
+                              lambda t, p: J.people_insert_missing(t["roster"], t["people"], p, cut=t.cut)),
     "people_link_account": ("people", "update", ("people", "accounts"),
-                            lambda t, p: L.people_link_account(t["people"], t["accounts"])),
+                            lambda t, p: L.people_link_account(t["people"], t["accounts"], extra=t.extra)),
     "acct_disable_leavers": ("accounts", "update", ("accounts", "roster"),
-                             lambda t, p: A.acct_disable_leavers(t["accounts"], t["roster"], p)),
+                             lambda t, p: A.acct_disable_leavers(t["accounts"], t["roster"], p, extra=t.extra)),
     "people_job_status": ("people", "update", ("people", "roster"),
-                          lambda t, p: J.people_job_status(t["people"], t["roster"], p)),
+                          lambda t, p: J.people_job_status(t["people"], t["roster"], p, extra=t.extra)),
 }
+# business code of each table in buckets, and the columns that updates read or set
+MANAGED = {"roster": ("empcode", ["empcode"]), "accounts": ("account", ["account", "enabled_mark"]),
+           "logons": ("user_id", ["user_id", "id", "password_hash", "secret_key"]), "people": ("code", ["code", "sys_user", "job_status"])}
 KEYED = (("roster", "empcode"), ("accounts", "account"), ("accounts", "id"), ("logons", "user_id"), ("logons", "id"),
          ("people", "code"), ("people", "id"))
 
 
+def managed_tables(tables: dict, buckets: int | None = None, version: str = "start", base: str | None = None) -> dict:
+    """The tables of a run, stored in one number of buckets of their business codes: once, not for every run."""
+    buckets = buckets or buckets_for(*[df for df in tables.values() if isinstance(df, DataFrame)])
+    return {x: ManagedTable.create(df, x, *MANAGED[x], buckets, version, base) if isinstance(df, DataFrame) else df for x, df in tables.items()}
+
+
+def _frame(table, origin: bool = False) -> DataFrame:
+    return table.frame(origin) if isinstance(table, ManagedTable) else table
+
+
+class StepLog:
+    """Manifest of a run: one row for each finished step, written after the step's changes are.
+
+    A run that is started again under its id takes the finished steps from here and goes on behind them.
+    """
+
+    def __init__(self, spark: SparkSession, run_id: str, base: str | None):
+        self.spark, self.root = spark, f"{table_root(spark, 'sync_steps', base)}/run={run_id}"
+
+    def read(self, step) -> dict | None:
+        path = f"{self.root}/step={step}"
+        return json.loads(self.spark.read.parquet(path).first()["doc"]) if exists(self.spark, f"{path}/_SUCCESS") else None
+
+    def write(self, step, doc: dict):
+        self.spark.createDataFrame([(json.dumps(doc),)], "doc string").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/step={step}")
+
+
 def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str | None = None,
              base: str | None = None, check_keys: bool = True, log: DataFrame | None = None,
-             paths: dict | None = None, compact: bool = True, parallel: bool = True):
+             paths: dict | None = None, compact: bool = True, parallel: bool = True, resume: bool = False):
     """G1 + G3: run the enabled steps in order. Returns (tables_after, results).
 
-    ``tables`` maps roster / accounts / logons / people to DataFrames. Deltas
+    ``tables`` maps roster / accounts / logons / people to DataFrames, or to
+    tables in buckets (``managed_tables``), and gives back the same kind. Deltas
     go to ``<spark.checkpoint.dir>/tables/<name>_changes/v=<run>-<step>``, the
     compacted tables to ``.../tables/<name>/v=<run>``; ``paths`` (if given)
-    receives the folder of each compacted table.
+    receives the folder of each compacted table. Changes of tables in buckets
+    are stored in the same buckets: their joins on the business code need no
+    shuffle, and only the buckets that changed are rewritten.
 
     Every step sees exactly the table versions it would see if the steps ran
     one after another (the output of the last earlier step that wrote the
@@ -82,18 +126,29 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
     the input versions plus the written deltas (``paths["<table>_deltas"]``
     lists them in order with their kind), for jobs that compact periodically
     instead of every run.
+
+    ``resume=True``: a run that broke off, started again with its ``run_id`` and
+    the same tables, goes on behind its finished steps (``StepLog``). A failed
+    step isn't finished.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     run_id = run_id or uuid.uuid4().hex[:12]
-    base_tables = dict(tables)
+    base_tables = {x: t.snapshot() if isinstance(t, ManagedTable) else t for x, t in tables.items()}
+    for t in base_tables.values():            # a code that fills a bucket is left to AQE, which can split it
+        if isinstance(t, ManagedTable):
+            t.bucketed = t.balanced()
     results = []
+    steps = StepLog(spark, run_id, base) if resume else None
 
     def check_keys_step():
         # Q12 on the input tables: duplicate keys make the joins fan out. It
         # reads only the inputs, so it runs beside the first steps.
         t0 = time.time()
-        n = all_duplicate_keys(SimpleNamespace(**base_tables), KEYED).count()
+        known = steps.read(0) if steps else None
+        n = known["n"] if known else all_duplicate_keys(SimpleNamespace(**{x: _frame(t) for x, t in base_tables.items()}), KEYED).count()
+        if steps and not known:
+            steps.write(0, {"n": n})
         return (0, "duplicate_keys", True, n, f"{n} duplicated keys", None, int((time.time() - t0) * 1000))
 
     enabled = [(i, name) for i, name in enumerate(TASKS, start=1) if p.tasks.get(name, True)]
@@ -112,23 +167,62 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
         after = futures[i].result()[0]
         return after if after is not None else version(tbl, i)
 
+    def plain_step(i, tbl, kind, build, view):
+        """A step over DataFrames: (table after, rows changed, (kind, folder of the delta))."""
+        ch = build(view, p)
+        dpaths = {}
+        rows, n = commit_counted(ch.delta, spark, f"{tbl}_changes", f"{run_id}-{i}", base, paths=dpaths,
+                                 count="_n" if kind == "update" else None)
+        return apply_changes(view[tbl], rows, kind) if n else None, n, (kind, dpaths[f"{tbl}_changes"]) if n else None
+
+    def bucket_step(i, tbl, kind, build, view):
+        """A step over tables in buckets."""
+        frames = View({x: _frame(t, kind == "update" and x == tbl) for x, t in view.items()})
+        frames.extra = ORIGIN if kind == "update" else ()
+        frames.cut = lambda df: commit(df, spark, f"{tbl}_found", f"{run_id}-{i}", base)
+        after = view[tbl].snapshot()
+        ch = build(frames, p)
+        if kind == "update":
+            n = after.update(ch.delta, f"{run_id}-{i}")
+        else:
+            n = after.insert(ch.delta.repartition(after.buckets, after.key), f"{run_id}-{i}")
+        return after if n else None, n, None
+
+    def finished_step(tbl, kind, known, view):
+        """A step that an earlier attempt finished: its stored changes."""
+        if not known["n"]:
+            return None, 0, None
+        if isinstance(view[tbl], ManagedTable):
+            after = view[tbl].snapshot()
+            after.restore(known["table"])
+            return after, known["n"], None
+        return apply_changes(view[tbl], spark.read.parquet(known["path"]), kind), known["n"], (kind, known["path"])
+
     def run_step(i, name):
         tbl, kind, reads, build = STEPS[name]
-        view = {x: version(x, i) for x in set(reads) | {tbl}}      # waits for the inputs
+        view = View({x: version(x, i) for x in set(reads) | {tbl}})      # waits for the inputs
         t0 = time.time()
         try:
-            ch = build(view, p)
-            dpaths = {}
-            rows, n = commit_counted(ch.delta, spark, f"{tbl}_changes", f"{run_id}-{i}", base, paths=dpaths,
-                                     count="_n" if kind == "update" else None)
-            after = apply_changes(view[tbl], rows, kind) if n else None
+            known = steps.read(i) if steps else None
+            if known:
+                after, n, delta = finished_step(tbl, kind, known, view)
+            else:
+                after, n, delta = (bucket_step if isinstance(view[tbl], ManagedTable) else plain_step)(i, tbl, kind, build, view)
+                if steps:
+                    steps.write(i, {"n": n, "path": delta and delta[1], "table": after.manifest() if isinstance(after, ManagedTable) else None})
             verb = "inserted" if kind == "insert" else "updated"
-            res = (i, name, True, n, f"{verb} {n} rows of {tbl}", None, int((time.time() - t0) * 1000))
-            return after, res, (kind, dpaths[f"{tbl}_changes"]) if n else None
+            return after, (i, name, True, n, f"{verb} {n} rows of {tbl}", None, int((time.time() - t0) * 1000)), delta
         except Exception as e:  # G3: the error becomes a result row; later steps still run
             return None, (i, name, False, 0, f"failed: {type(e).__name__}", str(e),
                           int((time.time() - t0) * 1000)), None
 
+    def compacted(x, table):
+        if isinstance(table, ManagedTable):
+            table = table.snapshot()
+            table.compact(run_id)
+            return table
+        return commit(table, spark, x, run_id, base, None, paths)
+
     with ThreadPoolExecutor(max_workers=len(enabled) + 1 if parallel else 1) as pool:
         keys_check = pool.submit(check_keys_step) if check_keys else None
         for i, name in enabled:               # submitted in step order; each waits for its inputs
@@ -144,7 +238,7 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
                     paths.setdefault(f"{STEPS[name][0]}_deltas", []).append(outcomes[i][2])
         final = {x: version(x, len(TASKS) + 1) for x in base_tables}
         if compact:                           # one rewrite per changed table per run, tables in parallel
-            done = {x: pool.submit(commit, final[x], spark, x, run_id, base, None, paths) for x in changed}
+            done = {x: pool.submit(compacted, x, final[x]) for x in changed}
             final.update({x: f.result() for x, f in done.items()})
     res = spark.createDataFrame(results, SYNC_RESULT_SCHEMA)
     if log is not None:
@@ -204,7 +298,6 @@ def tables_for(spark, d) -> dict:
 def _sync_results_sql() -> str:
     i1 = A._I1_SQL.strip()
     i3 = J._I3_SQL.strip()
-    from rosterline.functions.exprs import in_scope_sql
     scope = in_scope_sql("r.gdname4", P)
     duplicates = " UNION ALL ".join(f"SELECT CAST({k} AS VARCHAR) FROM {t} GROUP BY {k} HAVING count(*) > 1" for t, k in KEYED)
     return f"""
@@ -286,12 +379,43 @@ def q_sync_run_ledger(spark, d):
     return due_days(spark, days.where(c("event_type") == "signup"), str(span.lo), str(span.hi))
 
 
+@query("sync_bucketed", _SYNC_SQL)
+def q_sync_bucketed(spark, d):
+    """The run over tables in buckets, stored for it; the buckets with changes are rewritten."""
+    _, res = run_sync(spark, managed_tables(tables_for(spark, d), base=own_base(spark, "bucketed")))
+    return res.select("step", "task", "success", "affected_rows")
+
+
+def own_base(spark, what: str) -> str:
+    """A new folder in the shared one, for tables that one query makes."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+@query("delta_net", f"""
+WITH linked AS (SELECT b.code, b.sys_user, min(a.id) AS id FROM (SELECT DISTINCT code, sys_user FROM people) b
+                JOIN accounts a ON a.account = b.code AND (b.sys_user IS NULL OR b.sys_user <> a.id) GROUP BY ALL),
+status AS (SELECT b.code, b.job_status, min(1 - r.isactive) AS st FROM (SELECT DISTINCT code, job_status FROM people) b
+           JOIN roster r ON r.empcode = b.code AND {in_scope_sql("r.gdname4", P)} AND (b.job_status IS NULL OR b.job_status <> 1 - r.isactive)
+                AND r.isactive IS NOT NULL GROUP BY ALL)
+SELECT b.code, CASE WHEN l.code IS NULL THEN b.sys_user ELSE l.id END AS sys_user, CASE WHEN s.code IS NULL THEN b.job_status ELSE s.st END AS job_status
+FROM people b LEFT JOIN linked l ON l.code = b.code AND l.sys_user IS NOT DISTINCT FROM b.sys_user
+              LEFT JOIN status s ON s.code = b.code AND s.job_status IS NOT DISTINCT FROM b.job_status
+WHERE l.code IS NOT NULL OR s.code IS NOT NULL
+""")
+def q_delta_net(spark, d):
+    """Two stored updates of the people as one: the rows they hit, with the last values, by one join."""
+    T = Tables(spark, d)
+    people = ManagedTable.create(T.people, "people", *MANAGED["people"], buckets_for(T.people), base=own_base(spark, "net"))
+    people.update(L.people_link_account(people.frame(origin=True), T.accounts, extra=ORIGIN).delta, "link")
+    people.update(J.people_job_status(people.frame(origin=True), T.roster, extra=ORIGIN).delta, "status")
+    return people.changed().select("code", "sys_user", "job_status")
+
+
 @query("stream_sync", f"""
 SELECT task, sum(affected_rows)::BIGINT AS affected_rows FROM ({_SYNC_SQL.strip()}) WHERE step > 0 GROUP BY task
 """)
 def q_stream_sync(spark, d):
     """The roster arrives in two files, one batch each; rows affected by each task over both."""
-    from rosterline.session import checkpoint_dir
     from rosterline.streaming.stream_sync import stream_sync
     root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     tables = tables_for(spark, d)

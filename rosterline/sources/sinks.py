@@ -30,6 +30,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def children(spark: SparkSession, path: str) -> list:
+    """Names of the entries of a folder, none if it isn't there."""
+    if not exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return [x.getPath().getName() for x in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+
+
 def version_path(spark: SparkSession, name: str, version: str, base: str | None = None) -> str:
     return f"{table_root(spark, name, base)}/v={version}"
 

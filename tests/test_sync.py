@@ -197,3 +197,28 @@ def test_last_per_code_is_deterministic_on_ties(spark):
         .withColumn("change_ts", F.to_timestamp_ntz("change_ts"))
     got = sorted(tuple(r) for r in last_per_code(b.repartition(3)).collect())
     assert got == [("C1", "b", "X", 0), ("C2", "q", "Y", 1)]
+
+
+def test_stream_ignores_rows_that_arrive_late(spark, sf_small):
+    """Two files with contradicting flags of the same people, in either order of arrival: the newer row decides."""
+    init = {k: v for k, v in PL.tables_for(spark, sf_small).items() if k != "roster"}
+    people = init["people"].where("job_status = 0").select("code").orderBy("code").limit(5)
+    old = people.select(c("code").alias("empcode"), F.lit("n").alias("empname"), F.lit("BUILDING").alias("gdname4"), F.lit(0).alias("isactive"),
+                        F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")).alias("change_ts"))
+    new = old.withColumns({"isactive": F.lit(1), "change_ts": F.to_timestamp_ntz(F.lit("2024-01-02 00:00:00"))})
+    out = []
+    for files in ([old, new], [new, old]):
+        d = tempfile.mkdtemp(prefix="roster-stream-")
+        for i, df in enumerate(files):
+            df.coalesce(1).write.parquet(os.path.join(d, f"tmp{i}"))
+            part = next(x for x in os.listdir(os.path.join(d, f"tmp{i}")) if x.endswith(".parquet"))
+            os.makedirs(os.path.join(d, "in"), exist_ok=True)
+            os.link(os.path.join(d, f"tmp{i}", part), os.path.join(d, "in", f"p{i}.parquet"))
+            os.utime(os.path.join(d, "in", f"p{i}.parquet"), (1_700_000_000 + i, 1_700_000_000 + i))
+        after, res = stream_sync(spark, os.path.join(d, "in"), init, state_dir=os.path.join(d, "state"), reader_options={"maxFilesPerTrigger": "1"})
+        assert res.select("batch_id").distinct().count() == 2
+        rows = after["people"].join(people, "code", "left_semi").select("code", "job_status").collect()
+        out.append(sorted(map(tuple, rows)))
+        if files[0] is new:          # the late file changes nobody's status
+            assert res.where("batch_id = 1 and task = 'people_job_status'").first().affected_rows == 0
+    assert out[0] == out[1] and all(status == 0 for _, status in out[0])
