@@ -138,7 +138,7 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
     for t in base_tables.values():            # a code that fills a bucket is left to AQE, which can split it
         if isinstance(t, ManagedTable):
             t.bucketed = t.balanced()
-    results = []
+    results, stopped = [], []
     steps = StepLog(spark, run_id, base) if resume else None
 
     def check_keys_step():
@@ -200,6 +200,8 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
 
     def run_step(i, name):
         tbl, kind, reads, build = STEPS[name]
+        if stopped:
+            raise RuntimeError("the run was broken off")
         view = View({x: version(x, i) for x in set(reads) | {tbl}})      # waits for the inputs
         t0 = time.time()
         try:
@@ -215,6 +217,9 @@ def run_sync(spark: SparkSession, tables: dict, p: SyncParams = P, run_id: str |
         except Exception as e:  # G3: the error becomes a result row; later steps still run
             return None, (i, name, False, 0, f"failed: {type(e).__name__}", str(e),
                           int((time.time() - t0) * 1000)), None
+        except BaseException:   # an interrupt ends the run: no later step starts
+            stopped.append(i)
+            raise
 
     def compacted(x, table):
         if isinstance(table, ManagedTable):

@@ -191,11 +191,11 @@ class ManagedTable:
     def stored(self) -> DataFrame:
         """The rows as they were stored, with the columns that updates name."""
         if not self.live:
-            return stored(self.spark.createDataFrame([], self.rows_store.schema), 0, self.state)
+            return stored(self.spark.createDataFrame([], self.rows_store.schema), 0, self.state).select(*self.columns, *ORIGIN)
         at = F.lit(None).cast("long")
         for v in self.live:
             at = F.when(F.col("v") == v, F.lit(self.order[v])).otherwise(at)
-        return stored(self.rows_store.read(self.live, self.bucketed), at, self.state).drop("v", "_b")
+        return stored(self.rows_store.read(self.live, self.bucketed), at, self.state).select(*self.columns, *ORIGIN)
 
     def frame(self, origin: bool = False) -> DataFrame:
         """The table as it is: its rows with the net update; with ``origin`` also the columns that updates name."""
@@ -214,6 +214,7 @@ class ManagedTable:
         self.seq += 1
         if n:
             self.live[version], self.order[version] = touched, self.seq
+            self.columns = self.columns + [x for x in rows.columns if x not in self.columns]
             self.changes.append(["insert", f"{self.rows_store.root}/v={version}"])
         return n
 
@@ -239,11 +240,12 @@ class ManagedTable:
         part = self.snapshot()
         part.live = {v: [b for b in bs if b in set(dirty)] for v, bs in self.live.items()}
         part.live = {v: bs for v, bs in part.live.items() if bs}
-        _, written = self.rows_store.write(part.frame(), version)
+        rows = part.frame()
+        _, written = self.rows_store.write(rows, version)
         self.live = {v: [b for b in bs if b not in set(dirty)] for v, bs in self.live.items()} | {version: written}
         self.live = {v: bs for v, bs in self.live.items() if bs}
         self.seq += 1
         self.order = {v: n for v, n in self.order.items() if v in self.live} | {version: self.seq}
         self.chain, self.changes, self.folder = {}, [], f"{self.rows_store.root}/v={version}"
-        self.columns = [f.name for f in self.rows_store.schema.fields]
+        self.columns = rows.columns
         return dirty
