@@ -180,6 +180,14 @@ def key_norm(c, trim=False, lower=False) -> Column:
     return c
 
 
+COLLATION = "UTF8_LCASE_RTRIM"        # compares without case and trailing blanks, as the server's default does
+
+
+def collated(c, collation: str = COLLATION) -> Column:
+    """K1: a key that compares by a collation; a join on it needs no rewritten copy of the key."""
+    return F.collate(col(c), collation)
+
+
 # -------------------------------------------------------------------- scalars
 def _id_part(p) -> Column:
     # injective: NULL -> "N", a value -> "<utf-8 bytes>:<text>" (NULL and ''

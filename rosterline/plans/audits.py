@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.operators.audit import missing_from
+from rosterline.operators.identity import with_identity
 from rosterline.plans.registry import query
 from rosterline.sources.standins import Tables
 
@@ -39,15 +42,26 @@ def all_duplicate_keys(T: Tables, keyed=KEYED) -> DataFrame:
     One aggregate for all tables: the (table, key) pairs of every table are
     stacked and counted together, so there is one shuffle, combined map-side
     (a key holding a third of a table is one partial count per task)."""
-    stacked = None
+    stacked, keys = None, {}
     for table, key in keyed:
-        part = getattr(T, table).select(F.lit(f"{table}.{key}").alias("table_name"),
-                                        c(key).cast("string").alias("key_value"))
+        keys.setdefault(table, []).append(key)
+    for table, names in keys.items():         # one scan a table, whatever the number of its keys
+        each = F.array(*[F.struct(F.lit(f"{table}.{k}").alias("table_name"), c(k).cast("string").alias("key_value")) for k in names])
+        part = getattr(T, table).select(F.explode(each).alias("_k")).select("_k.*")
         stacked = part if stacked is None else stacked.unionByName(part)
     return (stacked.groupBy("table_name", "key_value").agg(F.count(F.lit(1)).alias("occurrences"))
             .where(c("occurrences") > 1))
 
 
+@query("personnel_identity", """
+SELECT row_number() OVER (ORDER BY serial_number) AS id, serial_number, employee_id, group_name FROM personnel
+""")
+def q_personnel_identity(spark, d):
+    """SNK6: the generated identity of the personnel rows, in the order of the sheet."""
+    rows = Tables(spark, d).personnel.select("serial_number", "employee_id", "group_name")
+    return with_identity(rows, ["serial_number"], version=uuid.uuid4().hex[:12], table="personnel_identity")
+
+
 @query("personnel_missing_detail", """
 SELECT per.group_name, per.employee_id, per.name, per.serial_number FROM personnel per
 WHERE NOT EXISTS (SELECT 1 FROM accounts a WHERE a.account = per.employee_id)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterline.functions.exprs import classify, is_live, key_norm, needs_change, strict_mismatch
+from rosterline.functions.exprs import classify, collated, is_live, key_norm, needs_change, strict_mismatch
 from rosterline.operators.audit import missing_from, salt, weighted
 from rosterline.operators.change import Change, update_from
 from rosterline.operators.frames import top_n
@@ -80,6 +80,14 @@ def link_pending_inner(people, accounts, trim_keys: bool = False) -> DataFrame:
              .select(*_pair_cols(_inner_label(su, aid))).orderBy("code"))
 
 
+def link_collated(people, accounts) -> DataFrame:
+    """Matched pairs under the server's key comparison (no case, no trailing blanks), by how they match."""
+    b, a = people.alias("b"), accounts.alias("a")
+    label = classify([(c("b.code") == c("a.account"), "equal"), (F.rtrim(c("b.code")) == F.rtrim(c("a.account")), "trailing blanks")], "case")
+    return b.join(a, collated("b.code") == collated("a.account")).select(
+        c("b.code"), c("b.name"), c("a.account"), c("a.id").alias("account_id"), label.alias("match"))
+
+
 def link_all_matched(people, accounts) -> DataFrame:
     """Every matched pair with its label, sorted by label then code."""
     b, a = people.alias("b"), accounts.alias("a")
@@ -271,6 +279,19 @@ def q_link_full_check(spark, d):
     return link_full_check(T.people, T.accounts)
 
 
+@query("link_collated", """
+WITH typed AS (SELECT name, CASE WHEN job_status = 1 THEN upper(code) WHEN sys_user IS NULL THEN concat(code, '  ') ELSE code END AS code FROM people)
+SELECT b.code, b.name, a.account, a.id AS account_id,
+       CASE WHEN b.code = a.account THEN 'equal' WHEN rtrim(b.code) = rtrim(a.account) THEN 'trailing blanks' ELSE 'case' END AS match
+FROM typed b JOIN accounts a ON lower(rtrim(b.code)) = lower(rtrim(a.account))
+""")
+def q_link_collated(spark, d):
+    """The codes of people who left are in upper case, those of people without a link end in blanks."""
+    T = Tables(spark, d)
+    typed = F.when(c("job_status") == 1, F.upper("code")).when(c("sys_user").isNull(), F.concat("code", F.lit("  "))).otherwise(c("code"))
+    return link_collated(T.people.withColumn("code", typed), T.accounts)
+
+
 @query("link_trimmed", _pairs_sql("JOIN accounts a ON trim(a.account) = trim(b.code)", f"{_UNLINKED} OR {_STALE}",
                                   [_UNLINKED, _STALE], _PAIR_LABELS))
 def q_link_trimmed(spark, d):

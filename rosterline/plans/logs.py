@@ -6,12 +6,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from rosterline.functions.exprs import older_than
 from rosterline.operators.change import Change, delete_where
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.registry import query
 from rosterline.schemas import LOG_SCHEMA
+from rosterline.sources.sinks import children, remove
 from rosterline.sources.standins import Tables
 
 c = F.col
@@ -48,6 +50,48 @@ def append_log(log: DataFrame, entries: DataFrame) -> DataFrame:
     return log.unionByName(e, allowMissingColumns=True)
 
 
+class DailyLog:
+    """SNK4 / D1 as a stored table, one folder a day: an append adds files to its days, retention
+    removes whole days and rewrites the one day that the cut goes through."""
+
+    DAY = "log_day"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def read(self) -> DataFrame:
+        schema = StructType([*LOG_SCHEMA.fields, StructField(self.DAY, DateType())])
+        return self.spark.read.schema(schema).option("basePath", self.root).parquet(self.root).drop(self.DAY)
+
+    def append(self, rows: DataFrame):
+        """Rows without a time get a folder of their own, which retention never touches."""
+        append_log(rows.limit(0), rows).withColumn(self.DAY, F.to_date("log_time")).write.mode("append").partitionBy(self.DAY).parquet(self.root)
+
+    def retain(self, as_of: str, days: int) -> dict:
+        """Delete what is older than ``days`` before ``as_of``; returns the days removed and the day rewritten."""
+        cut = dt.datetime.fromisoformat(as_of) - dt.timedelta(days=days)
+        edge, stored = cut.date().isoformat(), []
+        for x in children(self.spark, self.root):
+            if x.startswith(f"{self.DAY}=") and x.split("=")[1][:1].isdigit():
+                stored.append(x.split("=")[1])
+        gone = sorted(x for x in stored if x < edge)
+        rewritten = None
+        if edge in stored and cut.time() != dt.time():
+            one = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/{self.DAY}={edge}")
+            old = older_than("log_time", as_of, days)
+            counts = one.agg(F.count(F.when(old, 1)).alias("old"), F.count(F.lit(1)).alias("all")).first()
+            if counts["old"] == counts["all"]:
+                gone.append(edge)
+            elif counts["old"]:
+                # Spark reads the day before it replaces it: the new files are moved in place when the job commits
+                one.where(~F.coalesce(old, F.lit(False))).withColumn(self.DAY, F.lit(edge).cast("date")).write.mode("overwrite") \
+                    .option("partitionOverwriteMode", "dynamic").partitionBy(self.DAY).parquet(self.root)
+                rewritten = edge
+        for x in gone:
+            remove(self.spark, f"{self.root}/{self.DAY}={x}")
+        return {"removed": gone, "rewritten": rewritten}
+
+
 _CUT = f"TIMESTAMP '{P.log_as_of}' - INTERVAL {P.retain_days} DAY"
 
 

@@ -11,6 +11,9 @@ parquet scan; the stand-in derives the time by a CASE, which cannot be pushed.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +21,7 @@ from rosterline.functions.exprs import is_blank, is_open, split_ids, within_days
 from rosterline.operators.frames import rename_columns
 from rosterline.params import DEFAULT_PARAMS, SyncParams
 from rosterline.plans.registry import query
+from rosterline.sources.sinks import commit
 from rosterline.sources.standins import Tables
 
 c = F.col
@@ -139,6 +143,57 @@ def rule_rows(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100),
     return out.select("rule_id", "level", *BASE_COLS, "keeper_name"), failures
 
 
+REPORTS = {level: (lambda T, p, level=level: pick_tagged(T, p, (level,))) for level in LEVELS}
+
+
+def rule_rows_isolated(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100), enterprise_id="ent-1", org_id="org-1",
+                       reports=None, base: str | None = None):
+    """N2 with each level's report as a job of its own. Returns (rows, failures) like ``rule_rows``.
+
+    A report that fails, also while it runs, is a row of ``failures`` for each
+    of its rules, and the others' rows stay. The reports run side by side under
+    a job tag; if the caller is interrupted, the tag's jobs are cancelled. Each
+    report's rows are written, so that a failure cannot come up later.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    spark = T.spark
+    reports = REPORTS if reports is None else reports
+    run, sc = uuid.uuid4().hex[:12], spark.sparkContext
+    conf = rules_in_force(rules, band[0], band[1], enterprise_id, org_id)
+    known = c("level").isin(*reports) & (c("report") == REPORT)
+    failures = conf.where(~known).select("rule_id", "level", F.format_string("no registered report %s for level %d", "report", "level").alias("error"))
+
+    def one(level):
+        sc.addJobTag(f"rules-{run}")
+        chosen = conf.where(known & (c("level") == level)).select("rule_id", c("keeper_name").alias("_keeper"))
+        try:
+            return commit(_with_rules(reports[level](T, p), chosen, level), spark, "rule_rows", f"{run}-{level}", base), None
+        except Exception as e:
+            text = str(e).strip().splitlines()
+            return None, chosen.select("rule_id", F.lit(level).alias("level"), F.lit(f"{type(e).__name__}: {text[0] if text else ''}"[:500]).alias("error"))
+    with ThreadPoolExecutor(max_workers=len(reports) or 1) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(one), level) for level in sorted(reports)]
+        try:
+            done = [j.result() for j in jobs]
+        except BaseException:
+            sc.cancelJobsWithTag(f"rules-{run}")
+            raise
+    rows = None
+    for ok, bad in done:
+        if bad is not None:
+            failures = failures.unionByName(bad)
+        else:
+            rows = ok if rows is None else rows.unionByName(ok)
+    if rows is None:
+        rows = _with_rules(pick_tagged(T, p, ()), conf.limit(0).select("rule_id", c("keeper_name").alias("_keeper")), 0)
+    return rows, failures
+
+
+def _with_rules(tagged: DataFrame, chosen: DataFrame, level: int) -> DataFrame:
+    out = tagged.join(chosen.withColumn("_level", F.lit(level)), (c("level") == c("_level")) & (c("_keeper").isNull() | (c("_keeper") == c("keeper_name"))))
+    return out.select("rule_id", "level", *BASE_COLS, "keeper_name")
+
+
 def _summary_all(T: Tables, rules: DataFrame, p: SyncParams = P, band=(1, 100),
                  enterprise_id="ent-1", org_id="org-1") -> DataFrame:
     """Every rule in force with recipients, rows and status; a rule with no
@@ -296,6 +351,12 @@ def q_rule_rows(spark, d):
     return rule_rows(T, T.report_rules)[0]
 
 
+@query("rule_rows_isolated", _RULE_ROWS_SQL)
+def q_rule_rows_isolated(spark, d):
+    T = Tables(spark, d)
+    return rule_rows_isolated(T, T.report_rules)[0]
+
+
 _RECIP = "CAST(len(list_filter(string_split(user_ids, ','), lambda x: regexp_matches(trim(x), '\\S'))) AS INTEGER)"
 _SUMMARY_SQL = f"""
 WITH rif AS ({_RIF_SQL}), lv AS ({_LV_UNION}),

@@ -38,6 +38,12 @@ def children(spark: SparkSession, path: str) -> list:
     return [x.getPath().getName() for x in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of a managed table (expired data)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def version_path(spark: SparkSession, name: str, version: str, base: str | None = None) -> str:
     return f"{table_root(spark, name, base)}/v={version}"
 
@@ -74,6 +80,14 @@ def commit_counted(df: DataFrame, spark: SparkSession, name: str, version: str,
     return out, int(obs.get["n"])
 
 
+def as_of(spark: SparkSession, name: str, day: str, base: str | None = None) -> DataFrame:
+    """A table as it was on ``day`` (yyyy-mm-dd): its newest version folder named by that day or an earlier one."""
+    days = [x[2:] for x in children(spark, table_root(spark, name, base)) if x.startswith("v=") and x[2:] <= day]
+    if not days:
+        raise ValueError(f"{name} has no version of {day} or before")
+    return spark.read.parquet(version_path(spark, name, max(days), base))
+
+
 def export_reports(df: DataFrame, path: str) -> DataFrame:
     """SNK3: one folder of CSV for each rule, under its level (spreadsheets are
     not built); returns ``(level, rule_id, row_count)`` of what was written."""
