@@ -11,7 +11,7 @@ CLASHES = ["fp", "n", "row", "h", "key", "id", "shard", "slot", "length", "offse
            "component_id", "units", "print", "slice", "next", "d", "gone", "kept", "part", "first", "tree", "node"]
 
 
-def save(spark, path, docs, benchmark=(), pages=(), conversations=(), clash=False):
+def save(spark, path, docs, benchmark=(), pages=(), conversations=(), clash=False, labels=(), embeddings=()):
     """A folder of tables; ``docs``: (doc_id, text, lang)."""
     from pyspark.sql import functions as F
 
@@ -24,6 +24,8 @@ def save(spark, path, docs, benchmark=(), pages=(), conversations=(), clash=Fals
     put(spark.createDataFrame(list(benchmark), "item_id bigint, text string"), "benchmark")
     put(spark.createDataFrame(list(pages), "page_id bigint, url string, html string"), "pages")
     put(spark.createDataFrame(list(conversations), "conv_id bigint, turn int, role string, text string"), "conversations")
+    put(spark.createDataFrame(list(labels), "doc_id bigint, quality int, toxic int"), "labels")
+    put(spark.createDataFrame(list(embeddings), "vec_id bigint, embedding array<float>, label int"), "embeddings")
     return str(path)
 
 
