@@ -24,6 +24,7 @@ TOKENIZER = "word_bpe_49k.json"
 LIMIT = 4096
 OPEN = 256
 ROWS_PER_GROUP = 25_000     # pieces that one task packs
+MORE = 16                   # times as many pieces of a group if they are short, at most
 END = 1                     # id after every document
 WORDS_KEPT = 1_000_000        # words that a worker remembers (and as many older ones)
 ROWS_AT_ONCE = 2_000        # documents of one result batch
@@ -144,6 +145,20 @@ def best_fit(lengths, limit: int = LIMIT, most: int = OPEN):
     return out, {b for bins in by_free for b in bins}
 
 
+def group_plan(rows: int, tokens: int, limit: int, most: int, rows_per_group: int) -> tuple[int, int]:
+    """(rows of a group, free places up to which a bin closes).
+
+    A group leaves up to ``most`` bins open, so it must fill several times as
+    many: short pieces come in larger groups, up to MORE times the usual. Where
+    even those fill few bins, the pieces are so short that a bin is as good as
+    full when no more than one of them could fit. So every round leaves about half of its
+    rows at most, and the number of rounds grows with the logarithm of the rows.
+    """
+    mean = max(1.0, tokens / max(1, rows))
+    size = int(min(MORE * rows_per_group, max(rows_per_group, 8 * most * limit / mean)))
+    return size, int(mean) + 1 if size * mean < 2 * most * limit else 0
+
+
 def pack(rows: DataFrame, limit: int = LIMIT, most: int = OPEN, rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """``rows`` with a column ``length`` (1 .. limit) and ``sequence_id``, ``offset``: every row placed, sequences gapless from 0.
 
@@ -155,14 +170,23 @@ def pack(rows: DataFrame, limit: int = LIMIT, most: int = OPEN, rows_per_group:
     # the row number is drawn when the rows are written, so that no retry deals them anew
     waiting = written(rows.select(F.struct(*columns).alias("row"), F.col("length").cast("int").alias("n"),
                                   F.monotonically_increasing_id().alias("at")), "pieces")
-    left, turn, closed = waiting.count(), 0, []
-    groups = max(1, -(-left // rows_per_group))
+    def state(df):
+        return df.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    (left, tokens), turn, closed = state(waiting), 0, []
+    size, slack = group_plan(left, tokens, limit, most, rows_per_group)
+    groups = max(1, -(-left // size))
     while True:
-        last, salt = groups == 0, turn
+        last, salt, full = groups == 0, turn, slack
 
         def fill(key, found):
             found = found.sort_by([("n", "descending"), ("at", "ascending")] if last else "at")
-            places, still = best_fit(found.column("n").to_pylist(), limit, most)
+            lengths = found.column("n").to_pylist()
+            places, still = best_fit(lengths, limit, most)
+            if full and not last:
+                used = {}
+                for n, (b, o) in zip(lengths, places):
+                    used[b] = max(used.get(b, 0), o + n)
+                still = {b for b in still if limit - used[b] > full}
             base = (salt << 56) + (key[0].as_py() << 24)
             return found.drop_columns(["group"]).append_column("sequence_id", pa.array([base + b for b, _ in places], pa.int64())) \
                 .append_column("offset", pa.array([o for _, o in places], pa.int64())) \
@@ -175,8 +199,9 @@ def pack(rows: DataFrame, limit: int = LIMIT, most: int = OPEN, rows_per_group:
         if last:
             break
         waiting = done.where("open").select("row", "n", "at")
-        left, turn = waiting.count(), turn + 1
-        groups = min(groups - 1, max(1, -(-left // rows_per_group)))    # 0: what one group left open, longest first
+        (left, tokens), turn = state(waiting), turn + 1
+        size, slack = group_plan(left, tokens, limit, most, rows_per_group)
+        groups = min(groups - 1, max(1, -(-left // size)))    # 0: what one group left open, longest first
     out = closed[0]
     for more in closed[1:]:
         out = out.union(more)

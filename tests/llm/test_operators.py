@@ -263,3 +263,17 @@ def test_probes_of_short_remains_meet_every_held_line(spark, listed):
     want = [(i, j) for j in range(len(texts)) for i in range(j) if helpers.distance(codes[i], codes[j]) <= 2]
     got = {(min(r), max(r)) for r in lines.links(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string"), listed).collect()}
     assert got <= set(want) and helpers.connected(len(texts), got) == helpers.connected(len(texts), want)
+
+
+def test_short_pieces_take_few_rounds(spark, monkeypatch):
+    """Pieces so short that a group of the usual size fills fewer bins than may stay open."""
+    from rosterline.llm import packing
+    rounds = []
+    real = packing.written
+    monkeypatch.setattr(packing, "written", lambda df, what: rounds.append(what) or real(df, what))
+    rows = spark.range(100_000).select("id", F.lit(5).alias("length"))
+    out = packing.pack(rows, limit=1024, most=64, rows_per_group=500).cache()
+    assert out.count() == 100_000 and rounds.count("packed") <= 6
+    bins = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("c"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert bins.where("n > 1024 or end <> n").count() == 0
+    assert bins.count() <= 1.01 * 100_000 * 5 / 1020 + 1
