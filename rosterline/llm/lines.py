@@ -426,12 +426,16 @@ def drop_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     A document that loses lines and keeps none but blank ones goes. Documents
     without repeated lines keep their text, NULL included; documents without
-    doc_id are kept as they are. All columns of ``docs`` stay.
+    doc_id are kept as they are. Rows of one doc_id and equal texts are judged
+    alike, rows of one doc_id with unequal texts each on its own. All columns of
+    ``docs`` stay.
     """
-    gone = line_classes(docs.where("doc_id is not null").select("doc_id", "text")).where("repeated").where(F.col("n_chars") >= least)
+    own = F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("h"))
+    gone = line_classes(docs.where("doc_id is not null").select(own.alias("doc_id"), "text")).where("repeated").where(F.col("n_chars") >= least)
     gone = gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone")).withColumnRenamed("doc_id", "d")
     rest = [c for c in docs.columns if c != "text"]
-    whole = docs.select(F.struct(*rest).alias("row"), "text").join(gone, F.col("row.doc_id") == F.col("d"), "left")
+    whole = docs.select(F.struct(*rest).alias("row"), "text", F.xxhash64("text").alias("own")) \
+        .join(gone, (F.col("row.doc_id") == F.col("d.i")) & (F.col("own") == F.col("d.h")), "left")
     parts = F.split("text", "\n")
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone")), lambda i: F.get(parts, i))
     whole = whole.withColumn("kept", F.when(F.col("gone").isNotNull(), F.array_join(left, "\n")))

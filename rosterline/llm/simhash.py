@@ -107,13 +107,16 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The document of smallest doc_id of every component, with all columns of ``docs``.
 
-    Rows of one doc_id are one document: the row of the smallest text stays.
-    Rows without doc_id are not compared and stay.
+    Rows of one doc_id and equal texts are one document, of which one row stays;
+    rows of one doc_id with unequal texts are documents of their own. Rows
+    without doc_id are not compared and stay.
     """
+    own = F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("h"))
     known = docs.where("doc_id is not null")
-    kept = near_duplicates(known.select("doc_id", "text")).where("doc_id = component_id").select(F.col("doc_id").alias("d")).distinct()
-    rows = known.select(F.struct(*docs.columns).alias("row")).join(kept, F.col("row.doc_id") == F.col("d"), "left_semi")
-    first = Window.partitionBy("row.doc_id").orderBy("row.text")
+    kept = near_duplicates(known.select(own.alias("doc_id"), "text")).where("doc_id = component_id").select("doc_id.*").distinct()
+    rows = known.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("own"))
+    rows = rows.join(kept, (F.col("row.doc_id") == F.col("i")) & (F.col("own") == F.col("h")), "left_semi")
+    first = Window.partitionBy("row.doc_id", "own").orderBy("row.text")
     rows = rows.withColumn("n", F.row_number().over(first)).where("n = 1").select("row.*")
     return rows.union(docs.where("doc_id is null"))
 
