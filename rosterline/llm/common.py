@@ -36,6 +36,21 @@ def cut(df: DataFrame) -> DataFrame:
     return written(df, "state")
 
 
+def bounded_sample(keys: DataFrame, most: int) -> DataFrame:
+    """About ``most`` of ``keys(key, label, ...)``, labels 0 and 1, one row a key: those of smallest hash, of both labels.
+
+    The labels keep their shares, but the rarer one has a tenth of the sample if it has so many keys.
+    """
+    n = {int(r["label"]): r["n"] for r in keys.groupBy("label").agg(F.count("*").alias("n")).collect()}      # two rows
+    total = sum(n.values())
+    out = None
+    for label, count in sorted(n.items()):
+        share = max(1, most // 10, round(most * count / total))
+        part = keys.where(F.col("label") == label).orderBy(F.xxhash64("key"), "key").limit(min(share, most))
+        out = part if out is None else out.union(part)
+    return keys.limit(0) if out is None else out
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(node, component)``; component = smallest node.
 

@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import cut, table, written
+from rosterline.llm.common import bounded_sample, cut, table, written
 from rosterline.session import checkpoint_dir
 
 KEY = r"A-Za-z0-9_+/=.@:\-"
@@ -112,7 +112,7 @@ def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     ``label`` is true or false where the candidate is labelled, ``probability``
     the forest's; ``secret`` is its verdict. Without labels nothing is a secret,
-    with labels of one kind everything is of that kind. NULL and empty texts
+    with labels of one kind everything is of that kind; the sample has both kinds and distinct texts. NULL and empty texts
     have no candidates; the secret itself isn't returned.
     """
     docs = docs.where("text is not null")
@@ -129,7 +129,10 @@ def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
             .fillna(overall, ["before_rate", "after_rate"])
         gather = VectorAssembler(inputCols=FEATURES, outputCol="features")
         rows = gather.transform(full)
-        fitted = rows.where("label is not null").orderBy(F.xxhash64("text"), "id").limit(sample).select("features", "label")
+        # one row a text and label, so that copies cannot fill the sample
+        keys = known.groupBy(F.col("text").alias("key"), "label").agg(F.min("id").alias("first"))
+        chosen = F.broadcast(bounded_sample(keys, sample).select("first"))            # 1.1 x sample rows at most
+        fitted = rows.join(chosen, F.col("id") == F.col("first"), "left_semi").orderBy(F.xxhash64("text"), "id").select("features", "label")
         # written and read: a fitted model keeps its session in a summary, which cannot always be sent to tasks
         path = f"{checkpoint_dir(docs.sparkSession).rstrip('/')}/secret-forest-{uuid.uuid4().hex}"
         RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=42).fit(fitted).save(path)

@@ -1,7 +1,7 @@
 """URL filter: fixed rules first, gradient-boosted trees on lexical features for the rest.
 
 The URLs that a rule decides are the labelled ones. The trees are fitted on a
-bounded sample of them (``SAMPLE`` rows, the smallest URL hashes); suffix
+bounded sample of them (about ``SAMPLE`` distinct URLs of both verdicts); suffix
 statistics are counted over all labelled rows; every URL is judged.
 """
 
@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import cut, table
+from rosterline.llm.common import bounded_sample, cut, table
 
 #: (rule, verdict): host and path in one, a path begins at the first slash.
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
@@ -93,7 +93,10 @@ def judge(pages: DataFrame, rules=RULES, sample: int = SAMPLE) -> DataFrame:
         out = rows.withColumn("score", F.lit(float(overall)))
     else:
         guess = F.when(F.col("prediction") == 1, "block").otherwise("allow")
-        fitted = full(known.orderBy(F.xxhash64("url"), "url", "page_id").limit(sample))
+        # one row a URL, so that copies cannot fill the sample; rules give equal URLs equal labels
+        keys = known.select(F.col("url").alias("key"), F.col("blocked").alias("label")).distinct()
+        chosen = F.broadcast(bounded_sample(keys, sample).select("key"))              # 1.1 x sample rows at most
+        fitted = full(known.join(chosen, F.col("url") == F.col("key"), "left_semi").dropDuplicates(["url"])).orderBy(F.xxhash64("url"), "url")
         gather = VectorAssembler(inputCols=FEATURES, outputCol="features")
         model = GBTClassifier(labelCol="blocked", maxIter=TREES, maxDepth=DEPTH, seed=42).fit(gather.transform(fitted).select("features", "blocked"))
         from pyspark.ml.functions import vector_to_array
