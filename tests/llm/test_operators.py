@@ -277,3 +277,37 @@ def test_short_pieces_take_few_rounds(spark, monkeypatch):
     bins = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("c"), F.max(F.col("offset") + F.col("length")).alias("end"))
     assert bins.where("n > 1024 or end <> n").count() == 0
     assert bins.count() <= 1.01 * 100_000 * 5 / 1020 + 1
+
+
+def test_rows_of_one_doc_id_with_unequal_texts_are_documents_of_their_own(spark):
+    """None of them goes because of another row's lines or text; equal ones are one document."""
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    texts = [helpers.words(rng, 60, vocabulary) + "\n" + helpers.words(rng, 20, vocabulary) for _ in range(4)]
+    repeated = texts[3].split("\n")[0]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[2]), (5, texts[2]), (9, texts[3]), (5, repeated + "\n" + helpers.words(rng, 20, vocabulary))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(kept) == sorted(set(rows))
+    got = Counter((r.doc_id, r.text) for r in lines.drop_lines(docs).collect())
+    want = Counter(rows) - Counter([rows[4]]) + Counter([(9, texts[3].split("\n")[1])])
+    assert got == want
+
+
+def test_fitting_samples_have_both_labels_and_distinct_values(spark):
+    """One address and one URL copied far more often than the samples are large."""
+    from rosterline.llm import secrets, urls
+    rng = random.Random(5)
+    key = lambda: "".join(rng.choice("abcdefABCDEF0123456789") for _ in range(30))
+    docs = [(i, f"see token = {key()} and mail user{i}@example.org for 12{i:05d}7890123 now") for i in range(60)]
+    docs += [(1000 + i, "write to the.same.person99@example.com today") for i in range(2000)]
+    found = secrets.scan(spark.createDataFrame(docs, "doc_id bigint, text string"), sample=30).collect()
+    assert sum(bool(r.label) for r in found) >= 60 and all(0 <= r.probability <= 1 for r in found)
+    pages = [(i, f"http://{w}.{t}/{p}/{i}") for i in range(40) for w, t, p in (("aa", "com", "x"), ("bb", "net", "es"), ("cc", "org", "y"))]
+    few = urls.judge(spark.createDataFrame(pages, "page_id bigint, url string"), sample=30).collect()
+    many = urls.judge(spark.createDataFrame(pages + [(10_000 + i, "http://bb.net/fr/hot") for i in range(3000)], "page_id bigint, url string"), sample=30)
+    verdict = lambda rows: {r.page_id: r.verdict for r in rows if r.page_id < 10_000 and r.rule}
+    assert verdict(few) == verdict(many.collect())
+    for one in ("http://aa.com/x", "http://bb.net/es/"):
+        rows = urls.judge(spark.createDataFrame([(1, one), (2, "http://q.org/")], "page_id bigint, url string")).collect()
+        assert len({r.verdict for r in rows}) == 1
