@@ -56,9 +56,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star / small-star: every round is a grouped minimum
     (combined before the shuffle) and one join on the node, and the number of
-    rounds grows with the logarithm of the longest chain. Nodes without an edge
+    rounds grows with the logarithm of the longest chain. The minimum is grouped
+    by the node and its hash, so that the join shuffles both sides by the node
+    itself and AQE can split the links of a hub. Nodes without an edge
     are not returned. Self-loops are ignored; no edges gives an empty table.
     """
+    def lowest(links):
+        return links.groupBy("hi", F.xxhash64("hi").alias("hash")).agg(F.min("lo").alias("m"))
+
     links = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
     seen = None
     while True:
@@ -67,11 +72,10 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = mark
         both = links.select("hi", "lo").union(links.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        low = both.groupBy("hi").agg(F.min("lo").alias("m")).select(
-            F.col("hi").alias("u"), F.least("hi", "m").alias("m"))
+        low = lowest(both).select(F.col("hi").alias("u"), F.least("hi", "m").alias("m"))
         large = both.join(low, both["hi"] == low["u"]).where("lo > hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         large = large.distinct()
-        low = large.groupBy("hi").agg(F.min("lo").alias("m")).withColumnRenamed("hi", "u")
+        low = lowest(large).select(F.col("hi").alias("u"), "m")
         small = large.join(low, large["hi"] == low["u"])
         links = cut(small.select(F.explode(F.array(
             F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")),
