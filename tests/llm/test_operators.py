@@ -21,6 +21,31 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_the_links_of_a_hub_are_split(spark, monkeypatch):
+    """A star of 60,000 links: the joins of a round are skew joins."""
+    plans, conf = [], {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+                       "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                       "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    cut = common.cut
+
+    def seen(df):
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+    monkeypatch.setattr(common, "cut", seen)
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        star = spark.range(1, 60_001).selectExpr("id AS a", "0L AS b")
+        assert common.components(star).where("component = 0").count() == 60_001
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert any("skew=true" in p for p in plans)
+
+
 def test_hypergeometric_draws_follow_the_law(spark):
     from math import comb
     total, marked, drawn, n = 40, 13, 11, 20_000
@@ -165,6 +190,51 @@ def test_no_leak_beyond_the_budget():
     assert decontam.Index([(0, item)]).leaks([text]) == []
 
 
+def test_leaks_equal_brute_force(monkeypatch):
+    """Fewest edits of every pair, on texts of few characters and repetitive ones; the same where runs are worked off in halves."""
+    rng = random.Random(3)
+
+    def plain(item, text):
+        w = min(len(item), decontam.WINDOW)
+        e = int(w * decontam.EDIT_RATE)
+        return min((decontam.banded(item[s:s + w], text[max(0, at - e):at + w + 2 * e + 1], e)
+                    for s in range(len(item) - w + 1) for at in range(len(text))), default=e + 1), e
+    for trial in range(24):
+        alphabet = ("ab ", "abcdefgh ")[trial % 2]
+        items = []
+        for i in range(3):
+            unit = "".join(rng.choice(alphabet) for _ in range(rng.choice((2, 3, 7)) if trial % 3 == 0 else 80))
+            items.append((i, decontam.words((unit * 60)[:rng.choice((12, 25, 61, 70))])))
+        text = ""
+        for _ in range(3):
+            part = list(rng.choice(items)[1])
+            for _ in range(rng.randrange(5) if part else 0):
+                p = rng.randrange(len(part))
+                part[p:p + 1] = rng.choice(([], [rng.choice(alphabet)], [part[p], rng.choice(alphabet)])) if len(part) > 1 else part
+            text += "".join(rng.choice(alphabet) for _ in range(rng.randrange(20))) + "".join(part)
+        text = decontam.words(text)
+        want = {i: n for i, t in items if len(t) >= decontam.Q for n, e in [plain(t, text)] if n <= e}
+        for most in (1 << 21, 8):
+            monkeypatch.setattr(decontam, "RUNS", most)
+            index = decontam.Index(items)
+            assert {index.texts[i][0]: e for d, i, e, _ in index.leaks(["q" * 9, text]) if d == 1} == want
+
+
+def test_repetitive_texts_have_few_runs():
+    """3 * 10^8 hits of a text of 200,000 characters on an item of 4,200 are 70,000 runs."""
+    index = decontam.Index([(0, "na " * 1400 + "na"), (1, "na no " * 700 + "na")])
+    text = "na " * 70_000 + "na"
+    assert sum(len(r[1]) for r in index.runs(index.codes(text))) < 75_000
+    assert index.leaks(["x " + text, ""]) == [(0, 0, 0, 1)]         # the blank is within the item as well
+
+
+def test_short_items_leak_as_whole_words(spark):
+    docs = spark.createDataFrame([(1, "say: yes, YES!"), (2, "yesterday"), (3, "is it 4 2 now"), (4, None), (5, "")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(0, "Yes"), (1, "4-2"), (2, ""), (3, None), (4, "yes")], "item_id bigint, text string")
+    assert sorted(map(tuple, decontam.leaks(docs, items).collect())) == [(1, 0, 0, 4), (1, 4, 0, 4), (3, 1, 0, 6)]
+    assert decontam.clean(docs, items).count() == 5
+
+
 @pytest.mark.parametrize("listed", [1 << 17, 16])
 def test_line_links_with_hot_keys(spark, listed):
     rng = random.Random(5)
