@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from rosterline.llm.common import cut, table
 
 ROWS_PER_PART = 2_000_000
-MIN_PARTS = 1024
+MIN_PARTS = 256
 MAX_PARTS = 1 << 16
 
 
@@ -108,25 +108,29 @@ def matrix(sizes: DataFrame, parts: int, shards: int, seed: int) -> DataFrame:
     """``sizes(part, n)`` to ``(part, sends array<bigint>)``: exact counts for every shard.
 
     Columns of the matrix sum to floor or ceil of rows / shards, rows to n.
-    ``sizes`` has at most ``parts`` rows (a power of two), so it fits one row.
+    ``sizes`` has at most ``parts`` rows (a power of two), so it fits one row: the
+    root of the tree. A node holds the sizes of its own partitions only, so a level
+    of the tree is ``parts`` numbers in all.
     """
-    ends = F.transform(F.sequence(F.lit(0), F.lit(parts)),
-                       lambda p: F.aggregate(F.filter(F.col("all"), lambda x: x["part"] < p),
-                                             F.lit(0).cast("bigint"), lambda a, x: a + x["n"]))
-    tree = sizes.groupBy().agg(F.collect_list(F.struct("part", "n")).alias("all")).select(ends.alias("ends"))
-    n = F.element_at("ends", -1)
-    base, more = F.floor(n / shards).cast("bigint"), n % shards
-    tree = tree.select("ends", F.lit(0).alias("node"), F.transform(
-        F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: base + F.when(s < more, 1).otherwise(0)).alias("sends"))
+    def total(numbers):
+        return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    empty = sizes.sparkSession.range(parts).select(F.col("id").alias("part"), F.lit(0).cast("bigint").alias("n"))
+    every = sizes.select("part", "n").union(empty).groupBy("part").agg(F.sum("n").alias("n"))
+    root = every.groupBy().agg(F.array_sort(F.collect_list(F.struct("part", "n"))).alias("all")).select(F.col("all.n").alias("sizes"))
+    tree = root.select(F.lit(0).alias("node"), "sizes", total(F.col("sizes")).alias("n"))
+    base, more = F.floor(F.col("n") / shards).cast("bigint"), F.col("n") % shards
+    tree = tree.withColumn("sends", F.transform(
+        F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: base + F.when(s < more, 1).otherwise(0)))
     level, width = 0, parts
     while width > 1:
-        at = F.col("node") * width
-        first, middle, last = F.get("ends", at), F.get("ends", at + width // 2), F.get("ends", at + width)
-        tree = tree.withColumn("left", _split(middle - first, last - first, F.col("sends"), seed, level, F.col("node")))
-        tree = tree.select("ends", F.explode(F.array(
-            F.struct((F.col("node") * 2).alias("node"), F.col("left").alias("sends")),
-            F.struct((F.col("node") * 2 + 1).alias("node"),
-                     F.zip_with("sends", "left", lambda a, b: a - b).alias("sends")))).alias("x")).select("ends", "x.*")
+        tree = tree.withColumn("half", total(F.slice("sizes", 1, width // 2)))
+        tree = tree.withColumn("left", _split(F.col("half"), F.col("n"), F.col("sends"), seed, level, F.col("node")))
+        tree = tree.select(F.explode(F.array(
+            F.struct((F.col("node") * 2).alias("node"), F.slice("sizes", 1, width // 2).alias("sizes"),
+                     F.col("half").alias("n"), F.col("left").alias("sends")),
+            F.struct((F.col("node") * 2 + 1).alias("node"), F.slice("sizes", width // 2 + 1, width // 2).alias("sizes"),
+                     (F.col("n") - F.col("half")).alias("n"),
+                     F.zip_with("sends", "left", lambda a, b: a - b).alias("sends")))).alias("x")).select("x.*")
         if level == 4:          # from here on the draws run on many tasks
             tree = tree.repartition(32, "node")
         level, width = level + 1, width // 2
