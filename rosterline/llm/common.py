@@ -4,16 +4,23 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.session import checkpoint_dir
+from rosterline.sources.sinks import remove
 
 # Functions that run in Python workers travel with the job, so that the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules["rosterline.llm"])
 
+_folders: WeakKeyDictionary = WeakKeyDictionary()                         # of the tables that written() made
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)    # folders made inside settled()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,7 +35,35 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _folders[out] = path
+    if _made.get() is not None:
+        _made.get().append(path)
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Remove the table that ``written`` made for ``df``, once no plan reads it any more; other frames are left alone."""
+    path = _folders.pop(df, None)
+    if path is not None:
+        remove(df.sparkSession, path)
+
+
+def settled(make: Callable[[], DataFrame], what: str) -> DataFrame:
+    """The written result of ``make()``; the tables that were written on the way to it are removed.
+
+    Only for results that ``make`` alone reads: a lazy frame over one of these tables fails afterwards.
+    """
+    folders: list[str] = []
+    token = _made.set(folders)
+    try:
+        result = make()
+    finally:
+        _made.reset(token)
+    out = written(result, what)
+    for path in folders:
+        remove(out.sparkSession, path)
+    return out
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -59,7 +94,8 @@ def components(edges: DataFrame) -> DataFrame:
     rounds grows with the logarithm of the longest chain. The minimum is grouped
     by the node and its hash, so that the join shuffles both sides by the node
     itself and AQE can split the links of a hub. Nodes without an edge
-    are not returned. Self-loops are ignored; no edges gives an empty table.
+    are not returned. Self-loops are ignored; no edges gives an empty table. A round's
+    links are removed once the next round's are written.
     """
     def lowest(links):
         return links.groupBy("hi", F.xxhash64("hi").alias("hash")).agg(F.min("lo").alias("m"))
@@ -77,9 +113,10 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.distinct()
         low = lowest(large).select(F.col("hi").alias("u"), "m")
         small = large.join(low, large["hi"] == low["u"])
-        links = cut(small.select(F.explode(F.array(
+        before, links = links, cut(small.select(F.explode(F.array(
             F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")),
             F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
             .select("e.hi", "e.lo").where("hi <> lo").distinct())
+        dropped(before)
     nodes = links.groupBy("hi").agg(F.min("lo").alias("component")).withColumnRenamed("hi", "node")
     return nodes.union(links.select("lo", "lo").distinct().toDF("node", "component"))

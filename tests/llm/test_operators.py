@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterline.llm import chat, common, decontam, langid, lines, packing, sharding, simhash, spotsigs
+from rosterline.session import checkpoint_dir
+from rosterline.sources.sinks import children
 
 
 def test_components(spark):
@@ -21,6 +23,28 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_tables_of_finished_steps_are_removed(spark):
+    folders = lambda: set(children(spark, checkpoint_dir(spark)))
+    before = folders()
+    chain = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
+    out = common.components(chain)
+    assert out.where("component = 0").count() == 301
+    assert len(folders() - before) == 1             # the links of the last round, which the result is read from
+
+    before, kept = folders(), common.cut(spark.range(7).toDF("x"))
+
+    def make():
+        inner = common.settled(lambda: common.cut(kept.selectExpr("x + 1 AS x")), "inner")
+        return common.cut(inner).where("x > 3")
+    got = common.settled(make, "outer")
+    assert {f.rsplit("-", 1)[0] for f in folders() - before} == {"state", "outer"}
+    assert sorted(r.x for r in got.collect()) == [4, 5, 6, 7] and kept.count() == 7
+    common.dropped(got)
+    common.dropped(got)
+    common.dropped(spark.range(1))
+    assert {f.rsplit("-", 1)[0] for f in folders() - before} == {"state"}
+
+
 def test_the_links_of_a_hub_are_split(spark, monkeypatch):
     """A star of 60,000 links: the joins of a round are skew joins."""
     plans, conf = [], {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
@@ -65,6 +89,15 @@ def test_matrix_has_exact_margins(spark):
     assert max(columns) - min(columns) <= 1 and all(x >= 0 for r in m for x in r.sends)
 
 
+def test_matrix_of_many_partitions(spark):
+    sizes = spark.range(4096).selectExpr("cast(id AS int) AS part", "id % 5 AS n").where("part % 7 <> 0")
+    m = sharding.matrix(sizes, 4096, 3, 3).collect()
+    assert {r.part: sum(r.sends) for r in m} == {p: p % 5 * (p % 7 > 0) for p in range(4096)}
+    columns = [sum(r.sends[s] for r in m) for s in range(3)]
+    assert max(columns) - min(columns) <= 1 and all(x >= 0 for r in m for x in r.sends)
+    assert len(sharding.matrix(sizes.limit(0), 64, 3, 3).where("aggregate(sends, 0L, (a, x) -> a + x) = 0").collect()) == 64
+
+
 def test_shards_keep_all_columns_and_hot_rows(spark):
     df = spark.range(3000).select((F.col("id") % 3 * F.col("id")).alias("k"), F.lit("x").alias("shard"), F.lit(1).alias("part"), F.lit(None).cast("string").alias("at"))
     out = sharding.shard(df, 5, "k")

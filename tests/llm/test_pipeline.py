@@ -9,6 +9,8 @@ from test_queries import gapless
 
 from rosterline.llm import decontam, langid, lines
 from rosterline.llm.common import table
+from rosterline.session import checkpoint_dir
+from rosterline.sources.sinks import children
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -30,7 +32,11 @@ def test_stages(spark, tables):
         out.write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
     assert gapless(docs.collect())
+    before = set(children(spark, checkpoint_dir(spark)))
     got = corpus_pipeline.run(spark, tables)
+    left = {f.rsplit("-", 1)[0] for f in set(children(spark, checkpoint_dir(spark))) - before}
+    assert {f for f in left if f.startswith("pipeline")} == {"pipeline-decontamination"}
+    assert not any(f.startswith(("line", "simhash")) for f in left)
     key = lambda r: (r.doc_id is None, r.doc_id, r.piece, r.length, r.ids_crc32)
     assert sorted(map(key, got.collect()), key=repr) == sorted(map(key, docs.collect()), key=repr)
 
