@@ -8,7 +8,7 @@ stage's ``docs``. All stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from rosterline.llm import decontam, langid, lines, packing, simhash
-from rosterline.llm.common import table, written
+from rosterline.llm.common import dropped, settled, table
 
 
 def language(spark, docs, sf_dir):
@@ -44,8 +44,13 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir: str):
-    """All stages over ``documents``: one row a packed piece."""
+    """All stages over ``documents``: one row a packed piece.
+
+    A stage's own intermediate tables are removed when its result is written, and
+    that result when the next one is; packing's tables stay, as its rows are read from them.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, settled(lambda: stage(spark, docs, sf_dir), f"pipeline-{name}")
+        dropped(before)
     return STAGES[-1][1](spark, docs, sf_dir)
