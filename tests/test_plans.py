@@ -5,6 +5,7 @@ import re
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
@@ -67,3 +68,21 @@ def test_group_dimension_is_broadcast_by_its_real_size(spark, sf_small, key):
     p = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     smj = [ln for ln in p.splitlines() if "SortMergeJoin" in ln]
     assert not [ln for ln in smj if re.search(r"SortMergeJoin \[[^\]]*(group|gid|gname|_cur_id|dim_)", ln)], smj
+
+
+def test_picking_lines_are_multiplied_by_keepers_after_the_last_shuffle_of_them(spark):
+    """Heads are joined (on another key) before the items' texts and a row for each keeper are added."""
+    from rosterline.plans import reports as R
+    lines = spark.createDataFrame([(1, 10, "d1"), (1, 11, "d2"), (2, 10, "d3"), (None, 10, "d4"), (3, None, "d5"), (9, 99, "d6")],
+                                  "picking_id long, item_id long, doc_no string") \
+        .withColumns({"src_doc_no": F.lit("s"), "matnr": F.lit("m"), "qty": F.lit(1.0), "requisition_ts": F.lit(None).cast("timestamp_ntz"), "prep_status": F.lit("issuing")})
+    items = spark.createDataFrame([(10, "i10", "s"), (10, "j10", "s"), (12, "i12", "s"), (None, "none", "s")], "id long, item_name string, item_specs string")
+    heads = spark.createDataFrame([(1, "h1"), (2, "h2"), (2, "g2"), (None, "none")], "id long, remark string")
+    keepers = spark.createDataFrame([(10, "k1"), (10, "k2"), (10, "k1"), (11, "k3"), (99, None), (None, "k4")], "item_id long, keeper string")
+    df = R.pick_base(lines, items, heads, keepers)
+    got = sorted((r.doc_no, str(r.item_name), str(r.keeper), str(r.remark)) for r in df.collect())
+    pairs = [(i, k) for i in ("i10", "j10") for k in ("k1", "k2")]
+    assert got == sorted([("d1", i, k, "h1") for i, k in pairs] + [("d2", "None", "k3", "h1")] + [("d3", i, k, h) for i, k in pairs for h in ("h2", "g2")]
+                         + [("d4", i, k, "None") for i, k in pairs] + [("d5", "None", "None", "None"), ("d6", "None", "None", "None")])
+    joins = [ln for ln in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in ln]
+    assert len(joins) == 3 and "k_item" in joins[0] and "h_id" in joins[2], joins
