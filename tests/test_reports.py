@@ -147,3 +147,41 @@ def test_attendance_day_defaults_to_today(spark):
                                 "row_id long, empcode string, work_date date, group_name string, status string")
     p = SyncParams(attendance_day=None)
     assert AT.attendance_total(att, p).first().due == 1
+
+
+def _own_tables(spark, lines=40):
+    """Lines in the window, each with the keepers of its item: one of level 4, two of level 5, one of none."""
+    from types import SimpleNamespace
+    p, n = R.P, F.col("id")
+    picks = spark.range(lines).select(
+        n.alias("picking_id"), (n % 4).alias("item_id"), F.lit("s").alias("src_doc_no"), n.cast("string").alias("doc_no"), F.lit("m").alias("matnr"),
+        F.lit(1.0).alias("qty"), F.to_timestamp_ntz(F.lit(p.picking_as_of)).alias("requisition_ts"), F.lit("issuing").alias("prep_status"))
+    names = [p.keeper_level4, *p.keeper_level5[:2], "somebody else"]
+    return SimpleNamespace(
+        spark=spark, picking_lines=picks, picking_heads=spark.range(lines).select("id", F.lit("1-URGENT").alias("remark")),
+        items=spark.range(4).select("id", F.lit("i").alias("item_name"), F.lit("s").alias("item_specs")),
+        item_keepers=spark.createDataFrame([(i, k) for i, k in enumerate(names)] + [(0, names[1])], "item_id long, keeper string"))
+
+
+def _own_rules(spark, others=300):
+    p = R.P
+    named = [("a", 4, p.keeper_level4), ("b", 5, p.keeper_level5[0]), ("b2", 5, p.keeper_level5[0]), ("c", 5, p.keeper_level5[1]), ("d", 5, None), ("e", 1, None),
+             ("f", 2, p.keeper_level4), ("g", 4, p.keeper_level5[0]), ("h", 5, ""), *[(f"o{i}", 5, f"nobody {i}") for i in range(others)]]
+    return spark.createDataFrame([(r, level, "u1,u2", None, None, True, "picking", k) for r, level, k in named], REPORT_RULE_SCHEMA)
+
+
+OWN_COUNTS = {"a": 10, "b": 20, "b2": 20, "c": 10, "d": 30, "e": 50}
+
+
+def _keys_of_joins(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return [ln for ln in text.splitlines() if "Join" in ln and "_level" in ln], text
+
+
+def test_rules_are_joined_on_equal_keepers_and_those_of_others_left_out(spark):
+    rows, _ = R.rule_rows(_own_tables(spark), _own_rules(spark))
+    assert {r["rule_id"]: r["count"] for r in rows.groupBy("rule_id").count().collect()} == OWN_COUNTS
+    joins, text = _keys_of_joins(rows)
+    assert joins and all("_keeper" in ln and " OR " not in ln for ln in joins), joins      # no row meets another keeper's rules
+    assert sorted(r.rule_id for r in _own_rules(spark).where(R._has_rows(R.P)).collect()) == sorted(OWN_COUNTS)
