@@ -185,3 +185,24 @@ def test_rules_are_joined_on_equal_keepers_and_those_of_others_left_out(spark):
     joins, text = _keys_of_joins(rows)
     assert joins and all("_keeper" in ln and " OR " not in ln for ln in joins), joins      # no row meets another keeper's rules
     assert sorted(r.rule_id for r in _own_rules(spark).where(R._has_rows(R.P)).collect()) == sorted(OWN_COUNTS)
+
+
+def test_isolated_rule_rows_leave_out_rules_of_other_keepers(spark, tmp_path):
+    T, rules = _own_tables(spark), _own_rules(spark)
+    seen, whole = [], R._with_rules
+
+    def watched(tagged, chosen, *more):
+        seen.extend(r.rule_id for r in chosen.collect())
+        return whole(tagged, chosen, *more)
+
+    def custom(T, p):       # a report of the caller's own may tag its rows with any keeper
+        return R.pick_tagged(T, p, (1,)).withColumns({"level": F.lit(5), "keeper_name": F.lit("nobody 7")})
+    R._with_rules = watched
+    try:
+        rows, _ = R.rule_rows_isolated(T, rules, base=str(tmp_path))
+    finally:
+        R._with_rules = whole
+    assert sorted(seen) == sorted(OWN_COUNTS)
+    assert {r["rule_id"]: r["count"] for r in rows.groupBy("rule_id").count().collect()} == OWN_COUNTS
+    rows, _ = R.rule_rows_isolated(T, rules, reports={5: custom}, base=str(tmp_path))
+    assert {r["rule_id"]: r["count"] for r in rows.groupBy("rule_id").count().collect()} == {"d": 50, "o7": 50}
