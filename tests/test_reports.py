@@ -206,3 +206,16 @@ def test_isolated_rule_rows_leave_out_rules_of_other_keepers(spark, tmp_path):
     assert {r["rule_id"]: r["count"] for r in rows.groupBy("rule_id").count().collect()} == OWN_COUNTS
     rows, _ = R.rule_rows_isolated(T, rules, reports={5: custom}, base=str(tmp_path))
     assert {r["rule_id"]: r["count"] for r in rows.groupBy("rule_id").count().collect()} == {"d": 50, "o7": 50}
+
+
+def test_delivery_counts_rows_before_they_meet_the_rules(spark):
+    T, rules = _own_tables(spark), _own_rules(spark, 3)
+    counts, _ = R.rule_rows(T, rules, counted=True)
+    assert {r.rule_id: r.n for r in counts.groupBy("rule_id").agg(F.sum("n").alias("n")).collect()} == OWN_COUNTS
+    for df in (R.delivery_summary(T, rules), R.delivery_totals(T, rules), R.delivery_fanout(T, rules)):
+        assert "Aggregate [level" in df._jdf.queryExecution().optimizedPlan().toString()
+    summary = {r.rule_id: (r.row_count, r.status) for r in R.delivery_summary(T, rules).collect()}
+    assert summary == {**{k: (n, "sent") for k, n in OWN_COUNTS.items()}, **{k: (0, "no data") for k in ("f", "g", "h", "o0", "o1", "o2")}}
+    t = R.delivery_totals(T, rules).first()
+    assert (t.total_recipients, t.rules_sent, t.total_rows, t.rule_count) == (12, 6, 140, 12)
+    assert {(r.rule_id, r.recipient, r.row_count) for r in R.delivery_fanout(T, rules).collect()} == {(k, u, n) for k, n in OWN_COUNTS.items() for u in ("u1", "u2")}
